@@ -1,0 +1,182 @@
+"""Labelled traffic derived from any keyed, timed table.
+
+Every value is a draw from the row's key, so the projection is distributed,
+repeatable and needs no shuffle.
+"""
+
+from __future__ import annotations
+
+import hashlib
+import math
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from tidewarden.functions.draws import shard_of, uniform
+from tidewarden.functions.scoring import clamp
+from tidewarden.schema import FEATURE_TYPES, FEATURES
+
+# User agents per class.
+HUMAN_AGENTS = (
+    "Mozilla/5.0 (Windows NT 10.0; Win64; x64) AppleWebKit/537.36",
+    "Mozilla/5.0 (Macintosh; Intel Mac OS X 10_15_7) AppleWebKit/537.36",
+    "Mozilla/5.0 (X11; Linux x86_64) AppleWebKit/537.36",
+    "Mozilla/5.0 (iPhone; CPU iPhone OS 14_0 like Mac OS X) AppleWebKit/605.1.15",
+)
+BOT_AGENTS = (
+    "Mozilla/5.0 (compatible; Googlebot/2.1)",
+    "Python-urllib/3.8",
+    "curl/7.68.0",
+    "Scrapy/2.5.0",
+    "Bot/1.0",
+)
+PHASES = 3
+PHASE_STEP = 0.2
+
+
+@dataclass(frozen=True)
+class TrafficOptions:
+    """``phase_seconds=None`` switches evolution off (always phase 0)."""
+
+    bot_ratio: float = 0.3
+    start: str = "2024-01-01 00:00:00"
+    phase_seconds: int | None = 864_000
+    shards: int = 8
+    ratio_walk_epochs: int = 0
+
+
+def epoch(options: TrafficOptions) -> Column:
+    """Index of the behaviour period an event falls in."""
+    if options.phase_seconds is None:
+        return F.lit(0).cast("bigint")
+    start = F.lit(options.start).cast("timestamp")
+    micros = F.unix_micros("ts") - F.unix_micros(start)
+    return F.greatest(F.lit(0), F.floor(micros / (options.phase_seconds * 1_000_000)))
+
+
+def phase(options: TrafficOptions) -> Column:
+    return (epoch(options) % PHASES).cast("int")
+
+
+def _key_draw(text: str) -> float:
+    return int(hashlib.md5(text.encode()).hexdigest()[:8], 16) / 4294967296.0
+
+
+def walked_ratios(options: TrafficOptions) -> list[float]:
+    """Bot ratio per epoch: at each change, with chance 0.3, a step within ±0.1."""
+    ratios = [options.bot_ratio]
+    for e in range(1, options.ratio_walk_epochs):
+        ratio = ratios[-1]
+        if _key_draw(f"{e}:walk") < 0.3:
+            ratio = max(0.1, min(0.7, ratio + (_key_draw(f"{e}:step") - 0.5) * 0.2))
+        ratios.append(ratio)
+    return ratios
+
+
+def bot_ratio(options: TrafficOptions) -> Column:
+    """The ratio in force; without a walk the clamped base ratio."""
+    if not options.ratio_walk_epochs:
+        return F.lit(max(0.0, min(1.0, options.bot_ratio)))
+    ratios = walked_ratios(options)
+    last = F.least(epoch(options), F.lit(len(ratios) - 1)).cast("int")
+    return F.element_at(F.array(*[F.lit(r) for r in ratios]), last + 1)
+
+
+def noise_factor() -> Column:
+    return (uniform("event_id", "15") - 0.5) * 0.2
+
+
+def _pick(values: tuple[str, ...], u: Column) -> Column:
+    index = F.floor(u * len(values)).cast("int") + 1
+    return F.element_at(F.array(*[F.lit(v) for v in values]), index)
+
+
+def _drawn_values(s: Column) -> dict[str, tuple[Column, Column]]:
+    """(human, bot) value per feature before noise; ``s`` is the sophistication."""
+    u = {i: F.col(f"u{i}") for i in range(1, 17)}
+    floor = F.floor
+    return {
+        "requests_per_second": (
+            floor(u[1] * 5) + 1,
+            floor((floor(u[1] * 40) + 10) * (1 - s * 0.5)),
+        ),
+        "avg_response_time": (u[2] * 200 + 100, u[2] * 50 + 10),
+        "unique_endpoints": (floor(u[3] * 10) + 3, floor(u[3] * 30) + 5),
+        "click_rate": (u[4] * 0.35 + 0.6, s * 0.5 + 0.1),
+        "scroll_depth": (u[5] * 0.5 + 0.4, s * 0.4),
+        "session_duration": (
+            floor(u[6] * 600) + 60,
+            floor(u[6] * (floor(s * 400) + 100)) + 10,
+        ),
+        "page_views_per_session": (u[7] * 7 + 3, u[7] * 40 + 10),
+        "error_rate": (floor(u[8] * 3), floor(u[8] * 10) + 5),
+        "time_between_requests": (u[9] * 5000 + 1000, (u[9] * 200 + 50) * (s * 2 + 1)),
+        "distinct_headers": (floor(u[10] * 5) + 10, floor(u[10] * 5) + 3),
+        "javascript_enabled": (u[11] > 0.05, u[11] < s),
+        "cookies_enabled": (u[12] > 0.1, u[12] < s * 0.8),
+        "screen_resolution": (floor(u[13] * 1000) + 1920, floor(u[13] * 500) + 1024),
+        "http_version": (
+            F.when(u[14] > 0.3, "HTTP/2").otherwise("HTTP/1.1"),
+            F.lit("HTTP/1.1"),
+        ),
+    }
+
+
+def add_noise(events: DataFrame, noise: Column) -> DataFrame:
+    """One factor within ±10 % on three columns; the two rates stay in [0, 1]."""
+    return events.withColumns(
+        {
+            "avg_response_time": F.col("avg_response_time") * (noise + 1),
+            "click_rate": clamp(F.col("click_rate") * (noise + 1), 0.0, 1.0),
+            "scroll_depth": clamp(F.col("scroll_depth") * (noise + 1), 0.0, 1.0),
+        }
+    )
+
+
+def traffic_without_noise(
+    keyed: DataFrame, options: TrafficOptions = TrafficOptions()
+) -> DataFrame:
+    draws = keyed.select(
+        "event_id",
+        F.col("ts").cast("timestamp").alias("ts"),
+        *[uniform("event_id", str(i)).alias(f"u{i}") for i in range(1, 21)],
+        uniform("event_id", "0").alias("u0"),
+    ).withColumns({"phase": phase(options), "bot_ratio": bot_ratio(options)})
+    classed = draws.withColumns(
+        {"is_bot": F.col("u0") < F.col("bot_ratio"), "sophistication": F.col("phase") * PHASE_STEP}
+    )
+    bot = F.col("is_bot")
+    values = _drawn_values(F.col("sophistication"))
+    octets = [F.floor(F.col(f"u{i}") * 256).cast("string") for i in range(17, 21)]
+    return classed.select(
+        "event_id",
+        shard_of("event_id", options.shards).alias("shard"),
+        "ts",
+        "phase",
+        F.md5(F.col("event_id").cast("string")).alias("session_id"),
+        F.concat_ws(".", *octets).alias("ip_address"),
+        F.when(bot, _pick(BOT_AGENTS, F.col("u16")))
+        .otherwise(_pick(HUMAN_AGENTS, F.col("u16")))
+        .alias("user_agent"),
+        *[
+            F.when(bot, values[name][1])
+            .otherwise(values[name][0])
+            .cast(FEATURE_TYPES[name])
+            .alias(name)
+            for name in FEATURES
+        ],
+        "is_bot",
+    )
+
+
+def labelled_traffic(
+    keyed: DataFrame, options: TrafficOptions = TrafficOptions()
+) -> DataFrame:
+    """Labelled events for every row of a table with ``event_id`` and ``ts``."""
+    return add_noise(traffic_without_noise(keyed, options), noise_factor())
+
+
+def shards_for(rows: int, rows_per_shard: int, at_least: int = 8) -> int:
+    """Detectors needed so that none holds much more than ``rows_per_shard`` rows."""
+    return max(at_least, math.ceil(rows / rows_per_shard))
