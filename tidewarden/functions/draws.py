@@ -29,16 +29,35 @@ def uniform(key: Column | str, salt: str | Column) -> Column:
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") / F.lit(4294967296.0)
 
 
+def uniforms(key: Column | str, count: int) -> Column:
+    """An array of draws with salts 0, 1, ... ``count - 1``.
+
+    One lambda instead of ``count`` copies of the expression: the generated code stays
+    below the size from which the JVM no longer compiles it.
+    """
+    salts = F.sequence(F.lit(0), F.lit(count - 1))
+    return F.transform(salts, lambda i: uniform(key, i.cast("string")))
+
+
 def poisson_copies(key: Column | str, model_id: int | Column, seed: int) -> Column:
     """How often a model trains on an event: a Poisson(1) draw per (event, model)."""
     if isinstance(model_id, int):
         u = uniform(key, f"{model_id}:{seed}")
     else:
         u = uniform(key, F.concat(model_id.cast("string"), F.lit(f":{seed}")))
-    copies = F.when(u < POISSON_CUTS[0], 0)
-    for k, cut in enumerate(POISSON_CUTS[1:], start=1):
-        copies = copies.when(u < cut, k)
-    return copies.otherwise(len(POISSON_CUTS)).cast("int")
+    return poisson(u)
+
+
+def poisson(u: Column) -> Column:
+    """Number of cut points not above a uniform draw: the inverse distribution."""
+    cuts = F.array(*[F.lit(cut) for cut in POISSON_CUTS])
+    return F.size(F.filter(cuts, lambda cut: cut <= u))
+
+
+def copies_per_model(key: Column | str, n_models: int, seed: int) -> Column:
+    """Array of :func:`poisson_copies` for models 0, 1, ... ``n_models - 1``."""
+    models = F.sequence(F.lit(0), F.lit(n_models - 1))
+    return F.transform(models, lambda m: poisson_copies(key, m, seed))
 
 
 def shard_of(key: Column | str, shards: int) -> Column:

@@ -1,4 +1,4 @@
-"""Adaptive window over 0/1 errors (Bifet and Gavaldà, SDM 2007)."""
+"""Adaptive window over errors (Bifet and Gavaldà, SDM 2007)."""
 
 from __future__ import annotations
 
@@ -12,34 +12,38 @@ SMALLEST_SIDE = 5
 class AdaptiveWindow:
     """Exponential histogram of the recent errors; shrinks when its two ends disagree.
 
-    ``rows[i]`` holds the error sums of buckets of 2**i observations, newest first.
+    ``rows[i]`` holds buckets of ``2**i`` additions as (observations, errors), newest
+    first, so memory grows with the logarithm of the window. An addition is one
+    observation, or the counts of a whole block.
     """
 
-    def __init__(self, delta: float, rows: list[list[float]] | None = None, ticks: int = 0):
+    def __init__(self, delta: float, rows: list | None = None, ticks: int = 0):
         self.delta = delta
-        self.rows = rows or [[]]
+        self.rows = [[tuple(b) for b in row] for row in rows] if rows else [[]]
         self.ticks = ticks
-        self.width = sum(len(r) << i for i, r in enumerate(self.rows))
-        self.total = float(sum(sum(r) for r in self.rows))
+        buckets = [b for row in self.rows for b in row]
+        self.width = sum(n for n, _ in buckets)
+        self.total = float(sum(errors for _, errors in buckets))
 
     @property
     def estimate(self) -> float:
         return self.total / self.width if self.width else 0.0
 
-    def add(self, error: float) -> bool:
-        """Take one observation; true if the window was cut."""
-        self.rows[0].insert(0, error)
-        self.width += 1
-        self.total += error
-        self.ticks += 1
+    def add(self, errors: float, count: int = 1) -> bool:
+        """Take an observation (or a block of them); true if the window was cut."""
+        self.rows[0].insert(0, (count, errors))
+        self.width += count
+        self.total += errors
         level = 0
         while len(self.rows[level]) > BUCKETS_PER_ROW:
-            older, old = self.rows[level].pop(), self.rows[level].pop()
+            (n0, s0), (n1, s1) = self.rows[level].pop(), self.rows[level].pop()
             if level + 1 == len(self.rows):
                 self.rows.append([])
-            self.rows[level + 1].insert(0, older + old)
             level += 1
-        if self.ticks % CHECK_EVERY or self.width <= 2 * SMALLEST_SIDE:
+            self.rows[level].insert(0, (n0 + n1, s0 + s1))
+        checked = self.ticks // CHECK_EVERY
+        self.ticks += count
+        if self.ticks // CHECK_EVERY == checked or self.width <= 2 * SMALLEST_SIDE:
             return False
         changed = False
         while self._ends_disagree():
@@ -53,10 +57,10 @@ class AdaptiveWindow:
             return False
         log_term = math.log(2 * math.log(self.width) / self.delta)
         n0, s0 = 0, 0.0
-        for level in range(len(self.rows) - 1, -1, -1):
-            for bucket in reversed(self.rows[level]):
-                n0 += 1 << level
-                s0 += bucket
+        for row in reversed(self.rows):
+            for count, errors in reversed(row):
+                n0 += count
+                s0 += errors
                 n1 = self.width - n0
                 if n1 < SMALLEST_SIDE:
                     return False
@@ -70,7 +74,8 @@ class AdaptiveWindow:
         return False
 
     def _drop_oldest(self) -> None:
-        self.total -= self.rows[-1].pop()
-        self.width -= 1 << (len(self.rows) - 1)
+        count, errors = self.rows[-1].pop()
+        self.total -= errors
+        self.width -= count
         while len(self.rows) > 1 and not self.rows[-1]:
             self.rows.pop()

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewarden.functions.draws import poisson_copies
+from tidewarden.functions.draws import copies_per_model
 from tidewarden.functions.features import feature_value
 from tidewarden.learning.detector import BLOCK_ROWS, Detector, fold_block
 from tidewarden.learning.kernel import row_of_model
@@ -51,17 +51,16 @@ def copy_columns(options: DetectorOptions) -> list[str]:
 
 def fold_input(events: DataFrame, options: DetectorOptions) -> DataFrame:
     """Flat numeric columns: they reach the fold as Arrow buffers, not as objects."""
-    return events.select(
+    flat = events.select(
         "shard",
         "ts",
         "event_id",
         *[feature_value(f).alias(c) for f, c in zip(FEATURES, FEATURE_COLUMNS)],
         "is_bot",
-        *[
-            poisson_copies("event_id", m, options.seed).alias(c)
-            for m, c in enumerate(copy_columns(options))
-        ],
+        copies_per_model("event_id", options.n_models, options.seed).alias("_copies"),
     )
+    copies = [F.col("_copies")[m].alias(c) for m, c in enumerate(copy_columns(options))]
+    return flat.select("*", *copies).drop("_copies")
 
 
 def fold_frame(detector: Detector, frame: pd.DataFrame, options: DetectorOptions) -> pd.DataFrame:

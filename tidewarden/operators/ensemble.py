@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewarden.functions.display import model_size
-from tidewarden.functions.features import feature_value, uniform_weights
+from tidewarden.functions.features import feature_vector, uniform_weights
 from tidewarden.operators.metrics import ratio, worst_model
 from tidewarden.operators.sampling import (
     latest_rules,
@@ -16,8 +16,8 @@ from tidewarden.operators.sampling import (
     weighted_instance_numbers,
     with_copies,
 )
-from tidewarden.functions.features import feature_vector
-from tidewarden.schema import FEATURES, MODEL_STATE_SCHEMA, N_FEATURES, RULE_TYPE, DetectorOptions
+from tidewarden.operators.statistics import weighted_feature_moments
+from tidewarden.schema import MODEL_STATE_SCHEMA, N_FEATURES, RULE_TYPE, DetectorOptions
 
 STATE_COLUMNS = MODEL_STATE_SCHEMA.fieldNames()
 
@@ -42,7 +42,7 @@ def initial_state(shards: DataFrame, options: DetectorOptions, version: int = 0)
     """
     models = F.explode(F.sequence(F.lit(0), F.lit(options.n_models - 1)))
     return (
-        shards.select("shard", models.cast("int").alias("model_id"))
+        shards.select("shard", models.alias("model_id"))
         .withColumns({"version": F.lit(version).cast("bigint"), **_fresh_columns()})
         .select(*STATE_COLUMNS)
     )
@@ -52,15 +52,18 @@ def shard_list(spark: SparkSession, shards: int) -> DataFrame:
     return spark.range(shards).select(F.col("id").cast("int").alias("shard"))
 
 
-def accuracies(state: DataFrame) -> DataFrame:
-    return state.select(
-        "shard", "model_id", ratio(F.col("correct"), F.col("seen")).alias("accuracy")
-    )
+def accuracies(state: DataFrame, vote: str = "weighted") -> DataFrame:
+    """Accuracy per model; under the plain majority no accuracy is kept and all are 0."""
+    kept = ratio(F.col("correct"), F.col("seen")) if vote == "weighted" else F.lit(0.0)
+    return state.select("shard", "model_id", kept.alias("accuracy"))
+
 
+def replace_worst(state: DataFrame, drifted: DataFrame, vote: str = "majority") -> DataFrame:
+    """A fresh model in place of the worst one, in the shards listed in ``drifted``.
 
-def replace_worst(state: DataFrame, drifted: DataFrame) -> DataFrame:
-    """A fresh model in place of the worst one, in the shards listed in ``drifted``."""
-    replaced = worst_model(accuracies(state)).join(drifted.select("shard"), "shard", "left_semi")
+    Under the plain majority all accuracies tie, so the worst is the first model.
+    """
+    replaced = worst_model(accuracies(state, vote)).join(drifted.select("shard"), "shard", "left_semi")
     kept = state.join(replaced, ["shard", "model_id"], "left_anti")
     version = F.col("version")
     fresh = (
@@ -88,7 +91,7 @@ def snapshot(events: DataFrame, options: DetectorOptions, weights=given_weights)
     narrow = copied.select("shard", "ts", "event_id", "features", "is_bot", "copies")
     samples = rule_samples(weighted_instance_numbers(narrow, options), options)
     rules = rule_lists(latest_rules(samples, options), options)
-    stats = weighted_stats(copied)
+    stats = weighted_feature_moments(copied)
     empty = F.array().cast(T.ArrayType(RULE_TYPE))
     return (
         stats.join(rules, ["shard", "model_id"], "left")
@@ -105,42 +108,6 @@ def snapshot(events: DataFrame, options: DetectorOptions, weights=given_weights)
     )
 
 
-def weighted_stats(copied: DataFrame) -> DataFrame:
-    """(n, mean, m2) per (shard, model), each event counted as often as it was drawn.
-
-    Deviations are taken around the shard's mean, so no digits are lost.
-    """
-    names = [f"x{i}" for i in range(N_FEATURES)]
-    values = copied.select(
-        "shard", "copies", *[feature_value(f).alias(x) for f, x in zip(FEATURES, names)]
-    )
-    centres = values.groupBy("shard").agg(*[F.avg(x).alias(f"c_{x}") for x in names])
-    per_model = (
-        values.join(centres, "shard")
-        .select(
-            "shard",
-            *[f"c_{x}" for x in names],
-            *[(F.col(x) - F.col(f"c_{x}")).alias(x) for x in names],
-            F.posexplode("copies").alias("model_id", "k"),
-        )
-        .filter(F.col("k") > 0)
-    )
-    sums = [F.sum(F.col("k").cast("bigint")).alias("n")]
-    for x in names:
-        sums.append(F.sum(F.col("k") * F.col(x)).alias(f"s1_{x}"))
-        sums.append(F.sum(F.col("k") * F.col(x) * F.col(x)).alias(f"s2_{x}"))
-        sums.append(F.first(f"c_{x}").alias(f"c_{x}"))
-    n = F.col("n")
-    means = [F.col(f"c_{x}") + F.col(f"s1_{x}") / n for x in names]
-    squares = [
-        F.greatest(F.col(f"s2_{x}") - F.col(f"s1_{x}") * F.col(f"s1_{x}") / n, F.lit(0.0))
-        for x in names
-    ]
-    return per_model.groupBy("shard", "model_id").agg(*sums).select(
-        "shard", "model_id", "n", F.array(*means).alias("mean"), F.array(*squares).alias("m2")
-    )
-
-
 def ensemble_report(state: DataFrame) -> DataFrame:
     """One row per shard: totals and a list of per-model statistics (one per model)."""
     accuracy = ratio(F.col("correct"), F.col("seen"))

@@ -52,6 +52,8 @@ def stage_in_order(
     order: tuple[str, ...] = ORDER,
     rows_per_chunk: int = ROWS_PER_CHUNK,
     chunks: int | None = None,
+    partition_by: tuple[str, Column] | None = None,
+    path: str | None = None,
 ) -> DataFrame:
     """Range-partition by (keys, order), number the ranges as ``chunk``, write and re-read.
 
@@ -60,8 +62,13 @@ def stage_in_order(
     """
     chunks = chunks or chunk_count(df, rows_per_chunk)
     ranged = df.repartitionByRange(chunks, *keys, *order)
-    path = scratch_path(df.sparkSession, "ordered")
-    ranged.withColumn("chunk", F.spark_partition_id()).write.parquet(path)
+    path = path or scratch_path(df.sparkSession, "ordered")
+    numbered = ranged.withColumn("chunk", F.spark_partition_id())
+    if partition_by:
+        name, value = partition_by
+        numbered.withColumn(name, value).write.partitionBy(name).parquet(path)
+    else:
+        numbered.write.parquet(path)
     return df.sparkSession.read.parquet(path)
 
 

@@ -5,15 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewarden.functions.draws import poisson_copies
+from tidewarden.functions.draws import copies_per_model
 from tidewarden.operators.ordered import Running, running
 from tidewarden.schema import RULE_CONFIDENCE, DetectorOptions
 
 
 def with_copies(events: DataFrame, options: DetectorOptions) -> DataFrame:
     """Add ``copies``: per model, how often it trains on the event."""
-    draws = [poisson_copies("event_id", m, options.seed) for m in range(options.n_models)]
-    return events.withColumn("copies", F.array(*draws))
+    return events.withColumn(
+        "copies", copies_per_model("event_id", options.n_models, options.seed)
+    )
 
 
 def weighted_instance_numbers(

@@ -77,8 +77,8 @@ def labelled_only(events: DataFrame) -> DataFrame:
     return events.filter(F.col("is_bot").isNotNull())
 
 
-def encode_events(events: DataFrame) -> DataFrame:
-    """Key and JSON text per event; the key is the session id."""
+def encode_events(events: DataFrame, *keep: str) -> DataFrame:
+    """Key (the session id) and JSON text per event, after the columns to keep."""
     fields = []
     for wire, name in WIRE_TO_COLUMN.items():
         if name not in events.columns:
@@ -86,5 +86,5 @@ def encode_events(events: DataFrame) -> DataFrame:
         column = F.unix_millis(name) if wire == "timestamp" else F.col(name)
         fields.append(column.alias(wire))
     return events.select(
-        F.col("session_id").alias("key"), F.to_json(F.struct(*fields)).alias("value")
+        *keep, F.col("session_id").alias("key"), F.to_json(F.struct(*fields)).alias("value")
     )

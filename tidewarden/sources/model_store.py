@@ -16,20 +16,26 @@ def save_model(state: DataFrame, path: str, version: int) -> None:
     state.drop("version").write.mode("overwrite").parquet(f"{path}/version={version}")
 
 
+def _files(spark: SparkSession, path: str):
+    """The file system of a path and the path itself, as Hadoop objects."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop
+
+
+def is_written(spark: SparkSession, path: str) -> bool:
+    """True if a table's write has completed."""
+    files, marker = _files(spark, f"{path}/_SUCCESS")
+    return files.exists(marker)
+
+
 def versions(spark: SparkSession, path: str) -> list[int]:
-    """Versions whose write has completed, oldest first (one folder listing)."""
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    files = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    """Versions whose write has completed, oldest first."""
+    files, root = _files(spark, path)
     if not files.exists(root):
         return []
-    found = []
-    for status in files.listStatus(root):
-        folder = status.getPath()
-        done = files.exists(jvm.org.apache.hadoop.fs.Path(folder, "_SUCCESS"))
-        if done and folder.getName().startswith("version="):
-            found.append(int(folder.getName().split("=")[1]))
-    return sorted(found)
+    names = [status.getPath().getName() for status in files.listStatus(root)]
+    found = [name for name in names if name.startswith("version=")]
+    return sorted(int(n.split("=")[1]) for n in found if is_written(spark, f"{path}/{n}"))
 
 
 def load_model(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewarden.functions.draws import shard_of, uniform
+from tidewarden.functions.draws import shard_of, uniform, uniforms
 from tidewarden.functions.scoring import clamp
 from tidewarden.schema import FEATURE_TYPES, FEATURES
 
@@ -32,6 +32,7 @@ BOT_AGENTS = (
     "Bot/1.0",
 )
 PHASES = 3
+DRAWS = 21
 PHASE_STEP = 0.2
 
 
@@ -92,9 +93,13 @@ def _pick(values: tuple[str, ...], u: Column) -> Column:
     return F.element_at(F.array(*[F.lit(v) for v in values]), index)
 
 
+def _u(i: int) -> Column:
+    return F.col("u")[i]
+
+
 def _drawn_values(s: Column) -> dict[str, tuple[Column, Column]]:
     """(human, bot) value per feature before noise; ``s`` is the sophistication."""
-    u = {i: F.col(f"u{i}") for i in range(1, 17)}
+    u = {i: _u(i) for i in range(1, 17)}
     floor = F.floor
     return {
         "requests_per_second": (
@@ -140,15 +145,14 @@ def traffic_without_noise(
     draws = keyed.select(
         "event_id",
         F.col("ts").cast("timestamp").alias("ts"),
-        *[uniform("event_id", str(i)).alias(f"u{i}") for i in range(1, 21)],
-        uniform("event_id", "0").alias("u0"),
+        uniforms("event_id", DRAWS).alias("u"),
     ).withColumns({"phase": phase(options), "bot_ratio": bot_ratio(options)})
     classed = draws.withColumns(
-        {"is_bot": F.col("u0") < F.col("bot_ratio"), "sophistication": F.col("phase") * PHASE_STEP}
+        {"is_bot": _u(0) < F.col("bot_ratio"), "sophistication": F.col("phase") * PHASE_STEP}
     )
     bot = F.col("is_bot")
     values = _drawn_values(F.col("sophistication"))
-    octets = [F.floor(F.col(f"u{i}") * 256).cast("string") for i in range(17, 21)]
+    octets = [F.floor(_u(i) * 256).cast("string") for i in range(17, 21)]
     return classed.select(
         "event_id",
         shard_of("event_id", options.shards).alias("shard"),
@@ -156,8 +160,8 @@ def traffic_without_noise(
         "phase",
         F.md5(F.col("event_id").cast("string")).alias("session_id"),
         F.concat_ws(".", *octets).alias("ip_address"),
-        F.when(bot, _pick(BOT_AGENTS, F.col("u16")))
-        .otherwise(_pick(HUMAN_AGENTS, F.col("u16")))
+        F.when(bot, _pick(BOT_AGENTS, _u(16)))
+        .otherwise(_pick(HUMAN_AGENTS, _u(16)))
         .alias("user_agent"),
         *[
             F.when(bot, values[name][1])
