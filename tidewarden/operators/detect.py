@@ -94,10 +94,11 @@ def _detect_native(events: DataFrame, state: DataFrame, options: DetectorOptions
 
 
 def _detect_arrow(events: DataFrame, state: DataFrame, options: DetectorOptions) -> DataFrame:
+    """Only for a state whose size :func:`detect` has checked."""
     spark = events.sparkSession
     ship_package(spark)
     by_shard: dict[int, list] = {}
-    for row in state.orderBy("shard", "model_id").toLocalIterator():
+    for row in sorted(state.collect(), key=lambda r: (r["shard"], r["model_id"])):
         by_shard.setdefault(row["shard"], []).append(model_of_row(row))
     shared = spark.sparkContext.broadcast(by_shard)
     names = _ARROW_SCHEMA.fieldNames()

@@ -51,13 +51,10 @@ def cut_bound(n0: Column, n1: Column, mean: Column, delta: float) -> Column:
     return F.sqrt(2 * inverse * mean * (1 - mean) * log_term) + 2 / 3 * inverse * log_term
 
 
-def error_blocks(
-    detections: DataFrame, block_rows: int = CUT_BLOCK_ROWS, **options
-) -> DataFrame:
-    """Rows and errors per block of ``block_rows`` consecutive detections."""
-    numbered = running_error(detections, **options)
+def error_blocks(errors: DataFrame, block_rows: int = CUT_BLOCK_ROWS) -> DataFrame:
+    """Rows and errors per ``block_rows`` consecutive rows of :func:`running_error`."""
     block = F.floor((F.col("instance_number") - 1) / block_rows).cast("bigint")
-    return numbered.groupBy("shard", block.alias("block")).agg(
+    return errors.groupBy("shard", block.alias("block")).agg(
         F.count(F.lit(1)).alias("n"),
         F.sum("error").alias("errors"),
         F.max("instance_number").alias("instance_number"),
@@ -73,7 +70,7 @@ def drift_cut_scan(blocks: DataFrame, delta: float, **options) -> DataFrame:
         {"n0": Running("sum", F.col("n")), "s0": Running("sum", F.col("errors"))},
         order=("block",),
     ).drop("chunk")
-    whole = blocks.groupBy("shard").agg(
+    whole = staged.groupBy("shard").agg(
         F.sum("n").alias("total"), F.sum("errors").alias("total_errors")
     )
     n1 = F.col("total") - F.col("n0")

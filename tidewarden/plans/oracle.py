@@ -399,13 +399,14 @@ FINAL: dict[str, str] = {
     "g4_session_features": f"""select user_id, min(ts) as session_start, max(ts) as session_end,
       count(*) as events, count(*) filter (where event_type='error') as errors,
       round(sum(value),4) as value_sum,
-      round(case when count(*)>1 then (epoch_us(max(ts))-epoch_us(min(ts)))/(count(*)-1)/1000.0 else 0 end,3) as avg_gap_ms,
-      round((epoch_us(max(ts))-epoch_us(min(ts)))/1e6,4) as duration_s
+      round(case when count(*)>1 then (epoch_us(max(ts))-epoch_us(min(ts)))/(count(*)-1)/1000.0 else 0 end,6) as avg_gap_ms,
+      round((epoch_us(max(ts))-epoch_us(min(ts)))/1e6,6) as duration_s
       from (select *, sum(fresh) over (partition by user_id order by ts, event_id) as session from (
       select *, case when lag(ts) over w is null or epoch_us(ts)-epoch_us(lag(ts) over w)>={SESSION_GAP_SECONDS * 1_000_000}
         then 1 else 0 end as fresh from events window w as (partition by user_id order by ts, event_id)))
       group by user_id, session""",
-    "a2_decode_events": f"select {_EVENT_COLUMNS}, is_bot from decoded",
+    "a2_decode_events": f"select {_EVENT_COLUMNS.replace('unique_endpoints', 'coalesce(unique_endpoints,-1) as unique_endpoints')}, "
+    "coalesce(cast(is_bot as varchar),'missing') as is_bot from decoded",
     "a3_apply_defaults": f"select event_id, session_id, "
     "coalesce(date_trunc('millisecond',ts), timestamp '2024-02-01') as ts, "
     + ", ".join(_zeroed(f) if f == "unique_endpoints" else f for f in FEATURES if f not in DOUBLES)
@@ -413,7 +414,7 @@ FINAL: dict[str, str] = {
     + ", coalesce(is_bot,false) as is_bot, 0 as metadata_size from decoded",
     "a4_split_bad_records": "select event_id, case kind when 0 then 'unparsable' when 1 then "
     "'null_event' when 2 then 'unparsable' when 3 then 'missing_http_version' else 'good' end as outcome from wire",
-    "a5_encode_events": "select session_id as key, session_id, cast(epoch_ms(ts) as varchar) as time, "
+    "a5_encode_events": "select session_id as key, session_id, cast(epoch_us(ts)//1000 as varchar) as time, "
     "ip_address as ip, user_agent as agent, cast(requests_per_second as varchar) as rps, "
     "cast(javascript_enabled as varchar) as js, http_version as http, cast(is_bot as varchar) as bot from traffic",
     "a9_model_store": _summary("mean[i]", "m2[i]", "w[i]", 1, "n", "rules", "sized"),
@@ -480,8 +481,8 @@ FINAL: dict[str, str] = {
     "d13_bot_rate": "select shard, count(*) as events, count(*) filter (where is_bot_pred) as bots, "
     "round(count(*) filter (where is_bot_pred)/count(*)::double,6) as bot_rate, "
     "round(count(*) filter (where is_bot_pred)*100.0/count(*)::double,6) as bot_percent from det group by shard",
-    "d14_throughput": "select shard, count(*) as events, epoch_ms(max(ts))-epoch_ms(min(ts)) as span_ms, "
-    "round(count(*)*1000.0/(epoch_ms(max(ts))-epoch_ms(min(ts)))::double,9) as events_per_second from traffic group by shard",
+    "d14_throughput": "select shard, count(*) as events, epoch_us(max(ts))//1000-epoch_us(min(ts))//1000 as span_ms, "
+    "round(count(*)*1000.0/(epoch_us(max(ts))//1000-epoch_us(min(ts))//1000)::double,9) as events_per_second from traffic group by shard",
     "d15_bad_record_rate": "select count(*) as records, count(*) filter (where kind in (0,1,2,3)) as errors, "
     "round(count(*) filter (where kind in (0,1,2,3))/count(*)::double,6) as error_rate from wire",
     "d16_drift_summary": """select z.shard, checks, coalesce(warnings,0) as warnings, coalesce(drifts,0) as drifts,
@@ -497,7 +498,7 @@ FINAL: dict[str, str] = {
       round(bots*100.0/detections::double,6) as bot_percent, round(detections*1000.0/span::double,9) as events_per_second from (
       select *, {_RATES} from (select count(*) as detections, {_CELL_SUMS.format(over='')},
         count(*) as checks, count(*) filter (where is_bot_pred) as bots,
-        epoch_ms(max(ts))-epoch_ms(min(ts)) as span,
+        epoch_us(max(ts))//1000-epoch_us(min(ts))//1000 as span,
         (select count(*) from history where type='WARNING') as warnings,
         (select count(*) from history where type='DRIFT') as drifts from det))""",
     "e1_instance_number": "select event_id, shard, row_number() over (partition by shard order by ts, event_id) as instance_number from traffic",
@@ -523,7 +524,7 @@ FINAL: dict[str, str] = {
     "(partition by shard order by instance_number desc, type desc) as rank from history) where rank<=3",
     "e10_retrain_flag": "select shard, type='DRIFT' as should_retrain from (select *, row_number() over "
     "(partition by shard order by instance_number desc, type desc) as rank from history) where rank=1",
-    "e11_time_since_drift": """select shard, epoch_ms(as_of)-epoch_ms(coalesce(d.ts,first)) as ms_since_drift from (
+    "e11_time_since_drift": """select shard, epoch_us(as_of)//1000-epoch_us(coalesce(d.ts,first))//1000 as ms_since_drift from (
       select shard, min(ts) as first, max(ts) as as_of from det group by shard)
       left join (select shard, max(ts) as ts from drifts group by shard) d using (shard)""",
     "e12_rolling_metrics": f"""select event_id, instance_number, tp, tn, fp, fn, {_RATE_COLUMNS} from (

@@ -78,6 +78,11 @@ def detections(spark: SparkSession, folder: str, options=OPTIONS) -> DataFrame:
     return detecting.detect(labelled, state, options)
 
 
+def stored_detections(spark: SparkSession, folder: str) -> DataFrame:
+    """Detections as a written table, for queries that read them more than once."""
+    return stored(detections(spark, folder), "detections")
+
+
 def votes(spark: SparkSession, folder: str) -> DataFrame:
     labelled, state = snapshot(spark, folder)
     return detecting.vote_events(with_features(labelled), state)
@@ -150,8 +155,8 @@ def g4_session_features(spark, folder):
         "events",
         "errors",
         rounded("value_sum", 4).alias("value_sum"),
-        rounded("avg_gap_ms", 3).alias("avg_gap_ms"),
-        rounded("duration_s", 4).alias("duration_s"),
+        rounded("avg_gap_ms", 6).alias("avg_gap_ms"),
+        rounded("duration_s", 6).alias("duration_s"),
     )
 
 
@@ -199,7 +204,16 @@ def _event_columns() -> list[Column]:
 def a2_decode_events(spark, folder):
     decoded = decoded_records(spark, folder)
     ok = decoded.filter(F.col(codec.CORRUPT).isNull())
-    return ok.select(*_event_columns()).drop("ts")
+    return (
+        ok.select(*_event_columns())
+        .drop("ts")
+        .withColumns(
+            {
+                "unique_endpoints": F.coalesce("unique_endpoints", F.lit(-1)),
+                "is_bot": F.coalesce(F.col("is_bot").cast("string"), F.lit("missing")),
+            }
+        )
+    )
 
 
 @query
@@ -602,9 +616,10 @@ def d15_bad_record_rate(spark, folder):
 
 def _watched(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Detections, zone rows and drift history of the snapshot's detections."""
-    found = stored(detections(spark, folder), "detections")
-    zones = drift.warning_zone(drift.running_error(found), OPTIONS.warning_level)
-    cuts = drift.drift_cut_scan(drift.error_blocks(found), DELTA)
+    found = stored_detections(spark, folder)
+    errors = stored(drift.running_error(found), "errors")
+    zones = drift.warning_zone(errors, OPTIONS.warning_level)
+    cuts = drift.drift_cut_scan(stored(drift.error_blocks(errors), "blocks"), DELTA)
     return found, zones, stored(drift.drift_history(zones, cuts), "history")
 
 
@@ -685,7 +700,7 @@ def e3_weighted_instance_number(spark, folder):
 
 @query
 def e4_periodic_metrics(spark, folder):
-    found = metrics.periodic_metrics(detections(spark, folder), PERIOD)
+    found = metrics.periodic_metrics(stored_detections(spark, folder), PERIOD)
     return found.select("shard", "instance_number", "event_id", *metrics.CELLS, *_rates())
 
 
@@ -709,7 +724,7 @@ def e6_rule_buffer(spark, folder):
 
 @query
 def e7_error_indicator(spark, folder):
-    found = drift.running_error(detections(spark, folder))
+    found = drift.running_error(stored_detections(spark, folder))
     return found.select(
         "event_id", "error", "instance_number", rounded("error_rate").alias("error_rate")
     )
@@ -718,7 +733,7 @@ def e7_error_indicator(spark, folder):
 @query
 def e8_warning_zone(spark, folder):
     zones = drift.warning_zone(
-        drift.running_error(detections(spark, folder)), OPTIONS.warning_level
+        drift.running_error(stored_detections(spark, folder)), OPTIONS.warning_level
     )
     return zones.select("event_id", "in_warning_zone", "warning_entered", "warning_left")
 
@@ -745,7 +760,7 @@ def e11_time_since_drift(spark, folder):
 
 @query
 def e12_rolling_metrics(spark, folder):
-    found = metrics.rolling_metrics(detections(spark, folder), ROLLING)
+    found = metrics.rolling_metrics(stored_detections(spark, folder), ROLLING)
     return found.select("event_id", "instance_number", *metrics.CELLS, *_rates())
 
 
@@ -889,7 +904,8 @@ def f7_detect_mixing(spark, folder):
 
 @query
 def f9_drift_cut_scan(spark, folder):
-    cuts = drift.drift_cut_scan(drift.error_blocks(detections(spark, folder)), DELTA)
+    errors = drift.running_error(stored_detections(spark, folder))
+    cuts = drift.drift_cut_scan(stored(drift.error_blocks(errors), "blocks"), DELTA)
     return cuts.select(
         "shard",
         "block",

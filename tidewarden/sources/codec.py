@@ -19,13 +19,13 @@ def decode_events(records: DataFrame, value: str = "value") -> DataFrame:
     Text that does not parse, or a field of the wrong type, is left in ``_corrupt``.
     """
     kept = [c for c in records.columns if c != value]
-    parsed = records.select(
-        *kept, value, F.from_json(F.col(value), _DECODE_SCHEMA, _CASED).alias("_event")
-    )
-    fields = [F.col(f"_event.{wire}").alias(name) for wire, name in WIRE_TO_COLUMN.items()]
-    corrupt = F.when(F.col("_event").isNull(), F.coalesce(F.col(value), F.lit("null"))).otherwise(
-        F.col(f"_event.{CORRUPT}")
-    )
+    event = F.from_json(F.col(value), _DECODE_SCHEMA, _CASED)
+    # Inlined from an array of one, so that the text is parsed once per row: plain field
+    # accesses would each be rewritten into a parse of their own.
+    parsed = records.select(*kept, value, F.inline(F.array(event)))
+    fields = [F.col(wire).alias(name) for wire, name in WIRE_TO_COLUMN.items()]
+    is_null = F.coalesce(F.trim(value), F.lit("null")) == "null"
+    corrupt = F.when(is_null, "null").otherwise(F.col(CORRUPT))
     return parsed.select(*kept, *fields, corrupt.alias(CORRUPT))
 
 
