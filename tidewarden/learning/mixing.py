@@ -211,9 +211,13 @@ def _slice_starts(slices: DataFrame, options: DetectorOptions) -> dict[int, list
 
 
 def _last_window(run: MixRun, batch: int, options: DetectorOptions) -> tuple[AdaptiveWindow, int]:
-    if batch == 0:
+    """The drift window and event count after the last batch before this one."""
+    known = [v for v in versions(run.spark, run.models_path) if 0 < v <= batch]
+    row = None
+    if known:
+        row = run.spark.read.parquet(f"{run.control_path}/batch={known[-1] - 1}").first()
+    if row is None:
         return AdaptiveWindow(options.drift_delta), 0
-    row = run.control().filter(F.col("batch") == batch - 1).first()
     kept = json.loads(row["window"])
     return AdaptiveWindow(options.drift_delta, kept["rows"], kept["ticks"]), row["instance_number"]
 
@@ -221,11 +225,13 @@ def _last_window(run: MixRun, batch: int, options: DetectorOptions) -> tuple[Ada
 def mix_batch(run: MixRun, slices: DataFrame, batch: int, options: DetectorOptions) -> None:
     """Detect and learn over one batch of sliced :func:`fold_input` rows.
 
-    Reads model version ``batch`` and writes version ``batch + 1``; every write replaces
-    what an earlier attempt at the same batch left behind.
+    Reads the newest model version up to ``batch`` (batches without rows leave gaps) and
+    writes version ``batch + 1``; every write replaces what an earlier attempt at the
+    same batch left behind.
     """
     spark = run.spark
-    state = load_model(spark, run.models_path, batch)
+    version = [v for v in versions(spark, run.models_path) if v <= batch][-1]
+    state = load_model(spark, run.models_path, version)
     models = [model_of_row(row) for row in state.orderBy("model_id").collect()]  # n_models rows
     folded = fold_slices(slices, models, _slice_starts(slices, options), options)
     append_log(folded, run.folds_path, batch)
