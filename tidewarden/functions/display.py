@@ -28,7 +28,7 @@ def status_band(value: Column, kind: str) -> Column:
 
 
 def format_percent(value: Column) -> Column:
-    return F.coalesce(F.format_string("%.2f%%", value * 100), F.lit("0%"))
+    return F.when(value.isNull(), "0%").otherwise(F.format_string("%.2f%%", value * 100))
 
 
 def bar_width(value: Column) -> Column:
