@@ -28,7 +28,7 @@ from tidewarden.schema import (
     N_FEATURES,
     DetectorOptions,
 )
-from tidewarden.session import ship_package
+from tidewarden.session import ship_package, shuffle_width
 
 FEATURE_COLUMNS = [f"f{i}" for i in range(N_FEATURES)]
 _WATCHED = [
@@ -86,6 +86,19 @@ def _state_frame(shard: int, detector: Detector) -> pd.DataFrame:
     return pd.DataFrame({**empty, "shard": [shard], "models": [rows]})
 
 
+def dealt(rows: DataFrame, group: str) -> DataFrame:
+    """Rows in event order within their group, the numbered groups dealt out in turn.
+
+    Hashing a few group numbers can put many on one task, and so can merging small
+    partitions; here each task gets as many groups as any other. The grouped fold that
+    follows needs no shuffle or sort of its own.
+    """
+    width = shuffle_width(rows.sparkSession)
+    return rows.repartitionById(width, F.col(group)).sortWithinPartitions(
+        group, "ts", "event_id"
+    )
+
+
 def exact_fold(events: DataFrame, options: DetectorOptions) -> DataFrame:
     """Detections of every event, then one row per shard with the final models.
 
@@ -101,11 +114,7 @@ def exact_fold(events: DataFrame, options: DetectorOptions) -> DataFrame:
                 yield fold_frame(detector, frame, options).assign(models=None)[names]
         yield _state_frame(int(key[0]), detector)[names]
 
-    ordered = (
-        fold_input(events, options)
-        .repartition("shard")
-        .sortWithinPartitions("shard", "ts", "event_id")
-    )
+    ordered = dealt(fold_input(events, options), "shard")
     return ordered.groupBy("shard").applyInPandas(fold, FOLD_SCHEMA)
 
 

@@ -28,6 +28,7 @@ from tidewarden.learning.exact import (
     FEATURE_COLUMNS,
     FOLD_SCHEMA,
     copy_columns,
+    dealt,
     detections_of,
     fold_frame,
     fold_input,
@@ -149,8 +150,7 @@ def fold_slices(
         empty = {name: [None] for name in names}
         yield pd.DataFrame({**empty, "chunk": [chunk], "models": [rows]})[names]
 
-    ordered = slices.repartition("chunk").sortWithinPartitions("chunk", "ts", "event_id")
-    return ordered.groupBy("chunk").applyInPandas(fold, _SLICE_SCHEMA)
+    return dealt(slices, "chunk").groupBy("chunk").applyInPandas(fold, _SLICE_SCHEMA)
 
 
 def mixed_model(model: Model, parts: list[Model], options: DetectorOptions) -> Model:

@@ -42,18 +42,15 @@ def weighted_feature_moments(copied: DataFrame) -> DataFrame:
     """
     centres = feature_stats(copied, "shard").select("shard", F.col("mean").alias("centre"))
     values = copied.select("shard", "copies", feature_vector().alias("features"))
-    by_feature = values.join(centres, "shard").select(
-        "shard",
-        "copies",
-        F.posexplode(F.arrays_zip("features", "centre")).alias("i", "v"),
+    deviations = F.zip_with("features", "centre", lambda x, c: x - c)
+    per_model = (
+        values.join(centres, "shard")
+        .select("shard", "centre", deviations.alias("d"), F.posexplode("copies").alias("model_id", "k"))
+        .filter(F.col("k") > 0)
     )
-    by_model = by_feature.select(
-        "shard",
-        "i",
-        F.col("v.centre").alias("c"),
-        (F.col("v.features") - F.col("v.centre")).alias("d"),
-        F.posexplode("copies").alias("model_id", "k"),
-    ).filter(F.col("k") > 0)
+    by_model = per_model.select(
+        "shard", "model_id", "k", F.posexplode(F.arrays_zip("d", "centre")).alias("i", "v")
+    ).select("shard", "model_id", "k", "i", F.col("v.d").alias("d"), F.col("v.centre").alias("c"))
     n, s1 = F.col("n"), F.col("s1")
     per_feature = (
         by_model.groupBy("shard", "model_id", "i")

@@ -67,9 +67,14 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def stored_events(spark: SparkSession, folder: str) -> DataFrame:
+    """The traffic as a table, for queries that pass over it more than once."""
+    return stored(events(spark, folder), "traffic")
+
+
 def snapshot(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     """Events and the models trained on them, as used by the scoring queries."""
-    labelled = events(spark, folder)
+    labelled = stored_events(spark, folder)
     return labelled, stored(ensemble.snapshot(labelled, OPTIONS), "snapshot")
 
 
@@ -680,14 +685,14 @@ def e1_instance_number(spark, folder):
 
 @query
 def e2_running_feature_stats(spark, folder):
-    found = statistics.running_feature_stats(events(spark, folder))
+    found = statistics.running_feature_stats(stored_events(spark, folder))
     pick = (0, 1, 5, 8, 10)
     columns = [f"{kind}_{FEATURES[i]}" for i in pick for kind in ("mean", "sd")]
     return found.select("event_id", "n", *[rounded(c, 3).alias(c) for c in columns])
 
 
 def _numbered(spark: SparkSession, folder: str) -> DataFrame:
-    copied = sampling.with_copies(with_features(events(spark, folder)), OPTIONS)
+    copied = sampling.with_copies(with_features(stored_events(spark, folder)), OPTIONS)
     return sampling.weighted_instance_numbers(copied, OPTIONS)
 
 
@@ -899,7 +904,7 @@ def f8_adaptive_drift(spark, folder):
 @query
 def f7_detect_mixing(spark, folder):
     """One global detector learned in parallel slices, batch by batch."""
-    return mix(events(spark, folder), DetectorOptions()).detections()
+    return mix(stored_events(spark, folder), DetectorOptions()).detections()
 
 
 @query
