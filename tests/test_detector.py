@@ -165,8 +165,11 @@ def test_mixing_is_close_to_exact(keyed, tmp_path):
     assert mixed["detections"] == 1000
     assert abs(mixed["recall"] - exact["recall"]) < 0.05
     # Statistics, counts and rules do not depend on the slices at all.
-    columns = ("model_id", "n", "seen", F.size("rules").alias("rules"))
+    options = options.with_(grace_period=20, max_rules=10)
+    run = mix(events, options, root=str(tmp_path / "many-rules"), slices_per_batch=4)
+    columns = ("model_id", "n", "seen", F.col("rules"))
     single = final_state(exact_fold(events, options))
+    assert all(len(row["rules"]) == 10 for row in single.collect())
     assert run.state().select(*columns).exceptAll(single.select(*columns)).isEmpty()
     mean = F.expr("transform(mean, v -> round(v, 6))")
     assert run.state().select("model_id", mean).exceptAll(single.select("model_id", mean)).isEmpty()

@@ -23,6 +23,7 @@ from tidewarden.streaming.pipeline import (
     bounded_run,
     decoded_stream,
     mixing_stream,
+    observed,
     write_detections,
 )
 
@@ -44,9 +45,12 @@ def test_exact_stream_equals_batch(spark, traffic, tmp_path):
     records = read_event_stream(spark, "text", str(tmp_path / "in"))
     events, _ = decoded_stream(records, shards=2)
     writer = write_detections(
-        exact_stream(events, OPTIONS), str(tmp_path / "out"), str(tmp_path / "cp")
+        observed(exact_stream(events, OPTIONS)), str(tmp_path / "out"), str(tmp_path / "cp")
     )
-    writer.trigger(availableNow=True).start().awaitTermination(120)
+    query = writer.trigger(availableNow=True).start()
+    query.awaitTermination(120)
+    counts = [p["observedMetrics"].get("detections") for p in query.recentProgress]
+    assert sum(c["events"] for c in counts if c) == 1000
     streamed = spark.read.parquet(str(tmp_path / "out"))
 
     wire = traffic.withColumn("ts", F.timestamp_millis(F.unix_millis("ts")))

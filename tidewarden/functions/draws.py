@@ -39,25 +39,23 @@ def uniforms(key: Column | str, count: int) -> Column:
     return F.transform(salts, lambda i: uniform(key, i.cast("string")))
 
 
-def poisson_copies(key: Column | str, model_id: int | Column, seed: int) -> Column:
-    """How often a model trains on an event: a Poisson(1) draw per (event, model)."""
-    if isinstance(model_id, int):
-        u = uniform(key, f"{model_id}:{seed}")
-    else:
-        u = uniform(key, F.concat(model_id.cast("string"), F.lit(f":{seed}")))
-    return poisson(u)
-
-
 def poisson(u: Column) -> Column:
     """Number of cut points not above a uniform draw: the inverse distribution."""
-    cuts = F.array(*[F.lit(cut) for cut in POISSON_CUTS])
-    return F.size(F.filter(cuts, lambda cut: cut <= u))
+    copies = F.lit(0)
+    for cut in POISSON_CUTS:
+        copies = copies + (u >= cut).cast("int")
+    return copies
 
 
 def copies_per_model(key: Column | str, n_models: int, seed: int) -> Column:
-    """Array of :func:`poisson_copies` for models 0, 1, ... ``n_models - 1``."""
+    """How often models 0, 1, ... train on an event: Poisson(1) draws per (event, model).
+
+    The draws are made first and mapped second: inside one lambda each comparison with a
+    cut point would hash again.
+    """
     models = F.sequence(F.lit(0), F.lit(n_models - 1))
-    return F.transform(models, lambda m: poisson_copies(key, m, seed))
+    salt = lambda m: F.concat(m.cast("string"), F.lit(f":{seed}"))
+    return F.transform(F.transform(models, lambda m: uniform(key, salt(m))), poisson)
 
 
 def shard_of(key: Column | str, shards: int) -> Column:

@@ -42,6 +42,7 @@ from tidewarden.sources.model_store import (
     append_log,
     is_written,
     load_model,
+    numbered_folders,
     read_log,
     save_model,
     versions,
@@ -104,27 +105,37 @@ def _own_moments(models: list[Model], centre: np.ndarray, sums: dict) -> None:
 
 
 def fold_slices(
-    slices: DataFrame, models: list[Model], starts: dict[int, list[int]], options: DetectorOptions
+    slices: DataFrame,
+    models: list[Model],
+    starts: dict[int, list[int]],
+    totals: list[int],
+    options: DetectorOptions,
 ) -> DataFrame:
     """Fold each slice (``chunk``) from ``models``; detections, then its own models.
 
     ``starts[chunk][m]`` counts the batch's training copies before the slice, so that
-    rules are taken at the same training indices as by one sequential model.
+    rules are taken at the same training indices as by one sequential model. From the
+    batch's ``totals`` a slice knows which of its rules newer ones will displace, so all
+    slices together return at most ``max_rules`` per model.
     """
     spark = slices.sparkSession
     ship_package(spark)
-    shared = spark.sparkContext.broadcast((models, starts))
+    grace = options.grace_period
+    oldest_kept = [
+        max(m.clock, ((m.clock + total - 1) // grace - options.max_rules + 1) * grace)
+        for m, total in zip(models, totals)
+    ]
+    shared = spark.sparkContext.broadcast((models, starts, oldest_kept))
     quiet = options.with_(drift_enabled=False)
     names = _SLICE_SCHEMA.fieldNames()
 
     def fold(key: tuple, frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         chunk = int(key[0])
-        common, offsets = shared.value
+        common, offsets, oldest = shared.value
         begun = [
             Model(**{**vars(m), "clock": m.clock + offset, "correct": 0, "seen": 0})
             for m, offset in zip(common, offsets[chunk])
         ]
-        first_new = [m.clock for m in common]
         detector = Detector(begun, AdaptiveWindow(options.drift_delta))
         shape = (len(common), N_FEATURES)
         sums = {"n": np.zeros(len(common)), "s1": np.zeros(shape), "s2": np.zeros(shape)}
@@ -142,7 +153,7 @@ def fold_slices(
         if centre is None:
             return
         _own_moments(detector.models, centre, sums)
-        for model, seq in zip(detector.models, first_new):
+        for model, seq in zip(detector.models, oldest):
             new = model.rule_seq >= seq
             model.rules, model.rule_bot = model.rules[new], model.rule_bot[new]
             model.rule_seq = model.rule_seq[new]
@@ -199,15 +210,20 @@ def combine(models: list[Model], slices: DataFrame, options: DetectorOptions) ->
     return slices.groupBy("model_id").applyInPandas(mixed, MODEL_STATE_SCHEMA)
 
 
-def _slice_starts(slices: DataFrame, options: DetectorOptions) -> dict[int, list[int]]:
-    """Training copies before each slice, per model: one row per slice of the batch."""
+def _slice_starts(
+    slices: DataFrame, options: DetectorOptions
+) -> tuple[dict[int, list[int]], list[int]]:
+    """Training copies per model before each slice, and in the whole batch.
+
+    One row per slice of the batch reaches the driver.
+    """
     names = copy_columns(options)
     rows = slices.groupBy("chunk").agg(*[F.sum(c).alias(c) for c in names]).orderBy("chunk")
     starts, before = {}, [0] * len(names)
     for row in rows.collect():
         starts[row["chunk"]] = list(before)
         before = [b + row[c] for b, c in zip(before, names)]
-    return starts
+    return starts, before
 
 
 def _last_window(run: MixRun, batch: int, options: DetectorOptions) -> tuple[AdaptiveWindow, int]:
@@ -233,7 +249,7 @@ def mix_batch(run: MixRun, slices: DataFrame, batch: int, options: DetectorOptio
     version = [v for v in versions(spark, run.models_path) if v <= batch][-1]
     state = load_model(spark, run.models_path, version)
     models = [model_of_row(row) for row in state.orderBy("model_id").collect()]  # n_models rows
-    folded = fold_slices(slices, models, _slice_starts(slices, options), options)
+    folded = fold_slices(slices, models, *_slice_starts(slices, options), options)
     append_log(folded, run.folds_path, batch)
     stored = spark.read.schema(_SLICE_SCHEMA).parquet(f"{run.folds_path}/batch={batch}")
     own = stored.filter(F.col("event_id").isNull()).select(F.inline("models"))
@@ -308,9 +324,7 @@ def mix(
         )
     if not versions(spark, run.models_path):
         save_model(initial_state(shard_list(spark, 1), options), run.models_path, 0)
-    sliced = spark.read.parquet(run.slices_path)
-    batches = [row["batch"] for row in sliced.select("batch").distinct().collect()]
-    for batch in sorted(batches):
+    for batch in numbered_folders(spark, run.slices_path, "batch"):
         if batch >= versions(spark, run.models_path)[-1]:
             part = spark.read.parquet(f"{run.slices_path}/batch={batch}")
             mix_batch(run, part, batch, options)

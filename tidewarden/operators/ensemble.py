@@ -18,6 +18,7 @@ from tidewarden.operators.sampling import (
 )
 from tidewarden.operators.statistics import weighted_feature_moments
 from tidewarden.schema import MODEL_STATE_SCHEMA, N_FEATURES, RULE_TYPE, DetectorOptions
+from tidewarden.session import written
 
 STATE_COLUMNS = MODEL_STATE_SCHEMA.fieldNames()
 
@@ -89,7 +90,8 @@ def snapshot(events: DataFrame, options: DetectorOptions, weights=given_weights)
     """
     copied = with_copies(events, options).withColumn("features", feature_vector())
     narrow = copied.select("shard", "ts", "event_id", "features", "is_bot", "copies")
-    samples = rule_samples(weighted_instance_numbers(narrow, options), options)
+    numbered = weighted_instance_numbers(narrow, options)
+    samples = written(rule_samples(numbered, options), "rules")  # one in grace_period rows
     rules = rule_lists(latest_rules(samples, options), options)
     stats = weighted_feature_moments(copied)
     empty = F.array().cast(T.ArrayType(RULE_TYPE))

@@ -24,7 +24,7 @@ from tidewarden.operators import drift, ensemble, metrics, sampling, sessions, s
 from tidewarden.operators.ordered import instance_number
 from tidewarden.operators.report import metrics_snapshot
 from tidewarden.schema import FEATURES, RULE_CONFIDENCE, DetectorOptions
-from tidewarden.session import scratch_path
+from tidewarden.session import scratch_path, written
 from tidewarden.sources import codec, model_store, traffic
 from tidewarden.sources.tables import read_table, spread
 
@@ -60,22 +60,15 @@ def events(spark: SparkSession, folder: str, options=TRAFFIC) -> DataFrame:
     return traffic.labelled_traffic(keyed_events(spark, folder), options)
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """Write a result several steps read, so it is computed once."""
-    path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 def stored_events(spark: SparkSession, folder: str) -> DataFrame:
     """The traffic as a table, for queries that pass over it more than once."""
-    return stored(events(spark, folder), "traffic")
+    return written(events(spark, folder), "traffic")
 
 
 def snapshot(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     """Events and the models trained on them, as used by the scoring queries."""
     labelled = stored_events(spark, folder)
-    return labelled, stored(ensemble.snapshot(labelled, OPTIONS), "snapshot")
+    return labelled, written(ensemble.snapshot(labelled, OPTIONS), "snapshot")
 
 
 def detections(spark: SparkSession, folder: str, options=OPTIONS) -> DataFrame:
@@ -85,7 +78,7 @@ def detections(spark: SparkSession, folder: str, options=OPTIONS) -> DataFrame:
 
 def stored_detections(spark: SparkSession, folder: str) -> DataFrame:
     """Detections as a written table, for queries that read them more than once."""
-    return stored(detections(spark, folder), "detections")
+    return written(detections(spark, folder), "detections")
 
 
 def votes(spark: SparkSession, folder: str) -> DataFrame:
@@ -622,10 +615,10 @@ def d15_bad_record_rate(spark, folder):
 def _watched(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Detections, zone rows and drift history of the snapshot's detections."""
     found = stored_detections(spark, folder)
-    errors = stored(drift.running_error(found), "errors")
+    errors = written(drift.running_error(found), "errors")
     zones = drift.warning_zone(errors, OPTIONS.warning_level)
-    cuts = drift.drift_cut_scan(stored(drift.error_blocks(errors), "blocks"), DELTA)
-    return found, zones, stored(drift.drift_history(zones, cuts), "history")
+    cuts = drift.drift_cut_scan(written(drift.error_blocks(errors), "blocks"), DELTA)
+    return found, zones, written(drift.drift_history(zones, cuts), "history")
 
 
 @query
@@ -910,7 +903,7 @@ def f7_detect_mixing(spark, folder):
 @query
 def f9_drift_cut_scan(spark, folder):
     errors = drift.running_error(stored_detections(spark, folder))
-    cuts = drift.drift_cut_scan(stored(drift.error_blocks(errors), "blocks"), DELTA)
+    cuts = drift.drift_cut_scan(written(drift.error_blocks(errors), "blocks"), DELTA)
     return cuts.select(
         "shard",
         "block",

@@ -28,14 +28,19 @@ def is_written(spark: SparkSession, path: str) -> bool:
     return files.exists(marker)
 
 
-def versions(spark: SparkSession, path: str) -> list[int]:
-    """Versions whose write has completed, oldest first."""
+def numbered_folders(spark: SparkSession, path: str, name: str) -> list[int]:
+    """Numbers n of the folders ``name=n`` under a path, from one listing."""
     files, root = _files(spark, path)
     if not files.exists(root):
         return []
     names = [status.getPath().getName() for status in files.listStatus(root)]
-    found = [name for name in names if name.startswith("version=")]
-    return sorted(int(n.split("=")[1]) for n in found if is_written(spark, f"{path}/{n}"))
+    return sorted(int(n.split("=")[1]) for n in names if n.startswith(f"{name}="))
+
+
+def versions(spark: SparkSession, path: str) -> list[int]:
+    """Versions whose write has completed, oldest first."""
+    found = numbered_folders(spark, path, "version")
+    return [v for v in found if is_written(spark, f"{path}/version={v}")]
 
 
 def load_model(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
