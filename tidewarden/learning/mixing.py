@@ -37,7 +37,7 @@ from tidewarden.learning.kernel import Model, model_of_row, row_of_model
 from tidewarden.operators.ensemble import initial_state, replace_worst, shard_list
 from tidewarden.operators.ordered import stage_in_order
 from tidewarden.schema import MODEL_STATE_SCHEMA, N_FEATURES, DetectorOptions
-from tidewarden.session import scratch_path, ship_package, shuffle_width
+from tidewarden.session import scratch_path, ship_package
 from tidewarden.sources.model_store import (
     append_log,
     is_written,
@@ -311,7 +311,7 @@ def mix(
     spark = events.sparkSession
     run = MixRun(spark, root or scratch_path(spark, "mixing"))
     if not is_written(spark, run.slices_path):
-        per_batch = slices_per_batch or shuffle_width(spark)
+        per_batch = slices_per_batch or spark.sparkContext.defaultParallelism
         chunks = max(3 * per_batch, -(-events.count() // rows_per_slice))
         starts = F.array(*[F.lit(s) for s in batch_starts(chunks, per_batch)])
         batch_of = F.size(F.filter(starts, lambda s: s <= F.col("chunk"))) - 1

@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewarden.session import scratch_path, shuffle_width
+from tidewarden.session import scratch_path
 
 ROWS_PER_CHUNK = 1_000_000
 KEYS = ("shard",)
@@ -43,7 +43,9 @@ class Running:
 
 
 def chunk_count(df: DataFrame, rows_per_chunk: int) -> int:
-    return max(shuffle_width(df.sparkSession), math.ceil(df.count() / rows_per_chunk))
+    """Enough chunks to bound their size, and at least one per core."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return max(cores, math.ceil(df.count() / rows_per_chunk))
 
 
 def stage_in_order(
