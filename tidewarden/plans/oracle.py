@@ -12,16 +12,20 @@ from tidewarden.functions.draws import POISSON_CUTS
 from tidewarden.plans.queries import (
     DELTA,
     FOLD_OPTIONS,
+    LEAST_SHARDS,
     OPTIONS,
     PERIOD,
     ROLLING,
+    ROWS_PER_SHARD,
     SESSION_GAP_SECONDS,
     WALK_EPOCHS,
 )
 from tidewarden.schema import FEATURES
 from tidewarden.sources.traffic import BOT_AGENTS, HUMAN_AGENTS
 
-SHARDS = 8
+SHARDS = (
+    f"(select greatest({LEAST_SHARDS}, ceil(count(*)/{ROWS_PER_SHARD}.0)) from events)"
+)
 DOUBLES = (
     "avg_response_time",
     "click_rate",

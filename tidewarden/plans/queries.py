@@ -11,7 +11,6 @@ from tidewarden.functions import display, scoring
 from tidewarden.functions.draws import copies_per_model
 from tidewarden.functions.features import (
     explode_features,
-    feature_value,
     normalise_weights,
     standard_deviations,
     with_features,
@@ -30,8 +29,8 @@ from tidewarden.sources.tables import read_table, spread
 
 OPTIONS = DetectorOptions(n_models=5, threshold=0.6)
 FOLD_OPTIONS = DetectorOptions(n_models=3, threshold=0.6, drift_enabled=False)
-TRAFFIC = traffic.TrafficOptions(shards=8)
-ROWS_PER_SHARD = 12_500
+ROWS_PER_SHARD = 1_000_000
+LEAST_SHARDS = 8
 PERIOD = 100
 ROLLING = 100
 DELTA = OPTIONS.drift_delta
@@ -56,7 +55,14 @@ def keyed_events(spark: SparkSession, folder: str) -> DataFrame:
     return spread(read_table(spark, folder, "events").select("event_id", "ts"))
 
 
-def events(spark: SparkSession, folder: str, options=TRAFFIC) -> DataFrame:
+def traffic_options(spark: SparkSession, folder: str) -> traffic.TrafficOptions:
+    """Traffic over as many detectors as the table's size asks for."""
+    rows = read_table(spark, folder, "events").count()
+    return traffic.TrafficOptions(shards=traffic.shards_for(rows, ROWS_PER_SHARD, LEAST_SHARDS))
+
+
+def events(spark: SparkSession, folder: str, options=None) -> DataFrame:
+    options = options or traffic_options(spark, folder)
     return traffic.labelled_traffic(keyed_events(spark, folder), options)
 
 
@@ -118,7 +124,7 @@ def g1_labelled_traffic(spark, folder):
 
 @query
 def g2_multiplicative_noise(spark, folder):
-    plain = traffic.traffic_without_noise(keyed_events(spark, folder), TRAFFIC)
+    plain = traffic.traffic_without_noise(keyed_events(spark, folder))
     noisy = traffic.add_noise(plain, traffic.noise_factor())
     return noisy.select(
         "event_id",
@@ -874,23 +880,16 @@ def f7_detect(spark, folder):
     )
 
 
-def sized_traffic(spark: SparkSession, folder: str) -> DataFrame:
-    """Traffic over as many detectors as the table's size asks for."""
-    rows = read_table(spark, folder, "events").count()
-    shards = traffic.shards_for(rows, ROWS_PER_SHARD)
-    return events(spark, folder, traffic.TrafficOptions(shards=shards))
-
-
 @query
 def f7_detect_with_drift(spark, folder):
     """The whole job: exact learning with the drift test and model replacement."""
-    return detections_of(exact_fold(sized_traffic(spark, folder), DetectorOptions()))
+    return detections_of(exact_fold(events(spark, folder), DetectorOptions()))
 
 
 @query
 def f8_adaptive_drift(spark, folder):
     options = DetectorOptions(drift_delta=0.3)
-    folded = exact_fold(sized_traffic(spark, folder), options)
+    folded = exact_fold(events(spark, folder), options)
     return drift_events_of(detections_of(folded))
 
 
