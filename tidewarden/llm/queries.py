@@ -135,9 +135,9 @@ def oracle_sql() -> dict[str, str]:
                 SELECT DISTINCT doc_id, array_to_string(ws[s + 1 : s + 4], ' ') AS x
                 FROM (SELECT doc_id, ws, unnest(range(0, CASE WHEN len(ws) = 0 THEN 0 ELSE greatest(len(ws) - 3, 1) END)) AS s FROM w)),
             n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
-            both AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i FROM sh a JOIN sh b USING (x) WHERE a.doc_id <> b.doc_id GROUP BY 1, 2),
+            pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i FROM sh a JOIN sh b USING (x) WHERE a.doc_id <> b.doc_id GROUP BY 1, 2),
             links AS (
-                SELECT a, b FROM both JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * i >= 85 * (x.n + y.n - i))"""
+                SELECT a, b FROM pairs JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * i >= 85 * (x.n + y.n - i))"""
         + reach + """,
             low AS (SELECT a, min(b) AS m FROM recursive_reach GROUP BY a)
             SELECT w.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, least(w.doc_id, coalesce(m, w.doc_id)) AS component_id
