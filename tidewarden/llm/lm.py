@@ -84,11 +84,12 @@ def grow(texts: DataFrame, options: LmOptions = LmOptions(), text_col: str = "te
     top = top.orderBy(F.desc("n"), "context").limit(options.contexts)
     kept = seen.join(top.select("context"), F.shiftright(seen["code"], 8) == top["context"], "left_semi").toPandas()
     pairs = seen.groupBy(F.col("code").bitwiseAND(0xFFFFFF).alias("code")).agg(F.sum("n").alias("n")).toPandas()
+    kept = kept.sort_values("code")
     return lay_out(pairs["code"].to_numpy(), pairs["n"].to_numpy(), kept["code"].to_numpy(), kept["n"].to_numpy())
 
 
 def lay_out(code3: np.ndarray, n3: np.ndarray, code4: np.ndarray, n4: np.ndarray) -> Trie:
-    """Code lengths from counts of three-byte strings and of four-byte strings of the kept contexts."""
+    """Code lengths from counts of three-byte strings and, in order, of four-byte strings of the kept contexts."""
     c3 = np.zeros(1 << 24, np.float32)
     c3[code3] = n3
     c3 = c3.reshape(1 << 16, 256)
@@ -126,21 +127,25 @@ def lay_out(code3: np.ndarray, n3: np.ndarray, code4: np.ndarray, n4: np.ndarray
         block = np.where(has3, -_log2(block / np.maximum(t3 + d3, 1)[:, None]), escape3[:, None] + lower)
         block[t3 == 0] = len1[t3 == 0]
         two[head * 256 : head * 256 + 256] = block
-    context, where = np.unique(code4 >> 8, return_inverse=True)
-    rows = np.zeros((len(context), 256), np.float32)
-    rows[where, code4 & 255] = n4
-    has4 = rows > 0
-    t4, d4 = rows.sum(axis=1, dtype=np.float64), has4.sum(axis=1)
-    parent = c3[context & 0xFFFF]
-    parent_t, parent_d = parent.sum(axis=1, dtype=np.float64), (parent > 0).sum(axis=1)
-    left_t, left_d = parent_t - (has4 * parent).sum(axis=1, dtype=np.float64), parent_d - d4
-    escape4 = -_log2(d4 / np.maximum(t4 + d4, 1))
-    below = two.reshape(1 << 16, 256)[context & 0xFFFF]
-    escape3 = -_log2(parent_d / np.maximum(parent_t + parent_d, 1))
-    again = -_log2(np.maximum(left_d, 0.5) / np.maximum(left_t + left_d, 1))
-    lower = np.where(parent > 0, -_log2(parent / np.maximum(left_t + left_d, 1)[:, None]),
-                     below - escape3[:, None] + again[:, None])
-    three = np.where(has4, -_log2(rows / np.maximum(t4 + d4, 1)[:, None]), escape4[:, None] + lower).astype(np.float32)
+    context, first = np.unique(code4 >> 8, return_index=True)
+    three = np.empty((len(context), 256), np.float32)
+    two_of = two.reshape(1 << 16, 256)
+    for at in range(0, len(context), 1024):  # a part at a time: the tables are wide
+        some = context[at : at + 1024]
+        mine = slice(first[at], first[at + 1024] if at + 1024 < len(first) else None)
+        rows = np.zeros((len(some), 256))
+        rows[np.searchsorted(some, code4[mine] >> 8), code4[mine] & 255] = n4[mine]
+        has4 = rows > 0
+        t4, d4 = rows.sum(axis=1), has4.sum(axis=1)
+        parent = c3[some & 0xFFFF].astype(np.float64)
+        parent_t, parent_d = parent.sum(axis=1), (parent > 0).sum(axis=1)
+        left_t, left_d = parent_t - (has4 * parent).sum(axis=1), parent_d - d4
+        escape4 = -_log2(d4 / np.maximum(t4 + d4, 1))
+        escape3 = -_log2(parent_d / np.maximum(parent_t + parent_d, 1))
+        again = -_log2(np.maximum(left_d, 0.5) / np.maximum(left_t + left_d, 1))
+        lower = np.where(parent > 0, -_log2(parent / np.maximum(left_t + left_d, 1)[:, None]),
+                         two_of[some & 0xFFFF] - escape3[:, None] + again[:, None])
+        three[at : at + 1024] = np.where(has4, -_log2(rows / np.maximum(t4 + d4, 1)[:, None]), escape4[:, None] + lower)
     bits = max(4, int(np.ceil(np.log2(max(len(context), 1)))) + 2)
     slots = np.full(1 << bits, -1, np.int32)
     home = _home(context.astype(np.uint64), bits)
@@ -251,7 +256,8 @@ def score(docs: DataFrame, held_out: Column, options: LmOptions = LmOptions(),
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"),
                        F.coalesce(held_out, F.lit(True)).alias("held_out"))
     trie = grow(rows.where("not held_out").select("text"), options)
-    shared = spark.sparkContext.broadcast(trie)  # two^24 + contexts * 256 floats at most
+    shared = spark.sparkContext.broadcast(trie)  # 2^24 + contexts * 256 floats at most
+    del trie
     sums = rows.agg(F.sum(F.octet_length("text")).alias("size"), F.sum((~F.col("held_out")).cast("int")).alias("taught")).first()
     n_batches = max(1, -(-(sums["size"] or 0) // options.batch_bytes))
     taught = sums["taught"] or 0
