@@ -94,6 +94,11 @@ def _batch(names: list[str], columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c.view(np.int64) if c.dtype == np.uint64 else c) for c in columns], names=names)
 
 
+def _spread(id_: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """Routes of rows that are settled already, so that a frequent anchor's share no task."""
+    return mix64(id_.astype(np.uint64) ^ mix64(place.astype(np.uint64)))
+
+
 ANCHOR = ["kind", "route", "context", "id", "place", "ref_id", "ref_place"]
 ANCHOR_TYPE = "kind int, route long, context long, id long, place long, ref_id long, ref_place long"
 MARK_TYPE = "kind int, id long, place long, ref_id long, ref_place long"
@@ -115,7 +120,8 @@ def _index(options: SubstringOptions):
             if len(rows):
                 ref = first[rows]
                 zero = np.zeros(len(rows), np.int64)
-                yield _batch(ANCHOR, [np.full(len(rows), kind, np.int32), key[rows], context[rows], id_[rows], place[rows],
+                route = key[rows] if kind < CHECK else _spread(id_[rows], place[rows])
+                yield _batch(ANCHOR, [np.full(len(rows), kind, np.int32), route, context[rows], id_[rows], place[rows],
                                       id_[ref] if refer else zero, place[ref] if refer else zero])
 
     def run(batches) -> Iterator[pa.RecordBatch]:
@@ -192,7 +198,8 @@ def _windows(options: SubstringOptions):
         for known, rows in ((0, heads), (1, copy)):
             if len(rows):
                 ref = first[rows]
-                yield _batch(WINDOW, [np.full(len(rows), known, np.int32), one[rows], two[rows], id_[rows], place[rows], id_[ref], place[ref]])
+                route = _spread(id_[rows], place[rows]) if known else one[rows]
+                yield _batch(WINDOW, [np.full(len(rows), known, np.int32), route, two[rows], id_[rows], place[rows], id_[ref], place[ref]])
 
     def run(batches) -> Iterator[pa.RecordBatch]:
         parts, held = [], 0
