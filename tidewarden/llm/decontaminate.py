@@ -146,7 +146,7 @@ def find_leaks(column, index: LeakIndex, options: LeakOptions):
     text = np.searchsorted(at, hits, side="right") - 1
     good = (hi > lo) & (hits + options.q <= at[text + 1])
     hits, lo, n, text = hits[good], lo[good], (hi - lo)[good], text[good]
-    posting = np.repeat(lo - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
+    posting = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())
     text, hits = np.repeat(text, n), np.repeat(hits, n)
     window = index.window_of[posting]
     step = index.edits[window] + 1

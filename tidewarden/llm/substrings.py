@@ -108,6 +108,8 @@ def _index(options: SubstringOptions):
     """Anchors of the texts (id, tell, text), settled within the task."""
     def out(parts):
         key, context, id_, place = (np.concatenate(x) for x in zip(*parts, strict=True))
+        if not len(key):
+            return
         order, first, new = settle([key, context], id_, place)
         key, context, id_, place = key[order], context[order], id_[order], place[order]
         copy = ~new & ((id_ != id_[first]) | (place != place[first]))

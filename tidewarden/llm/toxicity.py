@@ -58,7 +58,7 @@ def inputs_of(column):
     buffer = np.empty(int(first[-1]), np.uint32)
     buffer[first[:-1]] = OPEN
     buffer[first[1:] - 1] = CLOSE
-    place = np.arange(length.sum()) - np.repeat(np.concatenate([[0], np.cumsum(length)[:-1]]), length)
+    place = np.arange(length.sum()) - np.repeat(np.cumsum(length) - length, length)
     buffer[np.repeat(first[:-1] + 1, length) + place] = words.data[np.repeat(start, length) + place]
     code = buffer[:-2] | (buffer[1:-1] << np.uint32(8)) | (buffer[2:] << np.uint32(16)) if len(buffer) else buffer
     code = (code * np.uint32(2654435761)) >> np.uint32(32 - 13)
