@@ -330,13 +330,13 @@ def test_toxicity(spark, odd, empty):
             text.insert(draw.randint(0, len(text)), draw.choice(stems) + draw.choice(["", "s", "ing", "ly"]))
         rows.append((i, " ".join(text), int(bad)))
     table = spark.createDataFrame(rows, "doc_id long, text string, toxic int").withColumn("score", F.lit(1))
-    weights = toxicity.train(table.where(remainder(5) != 0))
+    weights = toxicity.train(table, table.where(remainder(5) != 0))
     found = toxicity.toxicity(table, weights).join(table.select("doc_id", "toxic"), "doc_id").where(remainder(5) == 0).collect()
     assert sum((r["score"] >= 0.5) == (r["toxic"] == 1) for r in found) >= 0.95 * len(found)
     out = toxicity.toxicity(odd, weights).collect()
     assert len(out) == len(ODD) and all(0 <= r["score"] <= 1 for r in out)
     for none in (empty.withColumn("toxic", F.lit(1)), table.where("toxic = 0")):
-        assert len({r["score"] for r in toxicity.toxicity(odd, toxicity.train(none)).collect()}) == 1
+        assert len({r["score"] for r in toxicity.toxicity(odd, toxicity.train(none, none)).collect()}) == 1
 
 
 def test_gradients_follow_differences():

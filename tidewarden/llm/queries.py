@@ -84,8 +84,8 @@ def op9_merkle_fixity_audit(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op10_gated_network_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
-    labels = table(spark, folder, "labels").select("doc_id", "toxic")
-    weights = toxicity.train(docs.select("doc_id", "text").where(remainder(5) != 0).join(labels, "doc_id"))
+    labels = table(spark, folder, "labels").where(remainder(5) != 0)
+    weights = toxicity.train(docs, labels)
     held_out = F.coalesce(remainder(5) == 0, F.lit(True)).alias("held_out")
     found = toxicity.toxicity(docs, weights)
     return found.select("doc_id", held_out, "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "worst_word")

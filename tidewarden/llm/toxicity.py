@@ -260,19 +260,24 @@ def fit(texts: list[str], toxic: np.ndarray, options: ToxicityOptions, clean_wei
     return weights
 
 
-def train(labelled: DataFrame, options: ToxicityOptions = ToxicityOptions(), id_col: str = "doc_id",
+def train(docs: DataFrame, labels: DataFrame, options: ToxicityOptions = ToxicityOptions(), id_col: str = "doc_id",
           text_col: str = "text", label_col: str = "toxic") -> Weights:
-    """A network trained on a bounded sample of labelled rows, drawn by a hash of the id.
+    """A network trained on a bounded sample of the labels (id, label), drawn by a hash of the id.
 
-    Rows with a null id, text or label teach nothing; label 1 is toxic, any other is not.
-    Without both labels the score is a constant.
+    Label 1 is toxic, any other is not; of several labels of an id the highest counts. Null
+    ids, labels or texts teach nothing. The sample is drawn from the labels alone, and only
+    its few ids go to the documents, so no text moves but the sample's. Without both labels
+    the score is a constant.
     """
-    rows = labelled.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text"),
-                           (F.col(label_col) == 1).cast("int").alias("toxic")).where("id is not null and text is not null and toxic is not null")
-    sizes = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
+    marks = labels.select(F.col(id_col).cast("string").alias("id"), (F.col(label_col) == 1).cast("int").alias("toxic"))
+    marks = marks.where("id is not null and toxic is not null").groupBy("id").agg(F.max("toxic").alias("toxic"))
+    sizes = {r["toxic"]: r["count"] for r in marks.groupBy("toxic").count().collect()}
     draw = F.pmod(F.xxhash64("id", F.lit(11)), F.lit(1_000_000))
     limits = {label: 1e6 * n / sizes.get(label, 1) for label, n in ((0, options.sample_clean), (1, options.sample_toxic))}
-    sample = rows.where(draw < F.when(F.col("toxic") == 1, F.lit(limits[1])).otherwise(F.lit(limits[0])))
+    drawn = marks.where(draw < F.when(F.col("toxic") == 1, F.lit(limits[1])).otherwise(F.lit(limits[0]))).collect()
+    rows = docs.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text")).where("text is not null")
+    few = docs.sparkSession.createDataFrame(drawn, "id string, toxic int")  # about sample_toxic + sample_clean rows
+    sample = rows.join(F.broadcast(few), "id")
     found = sample.select("id", F.substring("text", 1, options.sample_chars).alias("text"), "toxic").toPandas().sort_values(["id", "toxic", "text"])
     got = found["toxic"].value_counts()
     weight = sizes.get(0, 1) / max(got.get(0, 1), 1) / (sizes.get(1, 1) / max(got.get(1, 1), 1))
