@@ -8,6 +8,7 @@ plan has at most a few combinations per length, whatever the number of documents
 
 from __future__ import annotations
 
+import functools
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -76,6 +77,12 @@ class Encoder(dict):
         return b"".join(map(self.__getitem__, parts))
 
 
+@functools.lru_cache(maxsize=1)
+def encoder_of(options: PackOptions) -> Encoder:
+    """The encoder of this Python worker; its cached words serve the worker's next tasks too."""
+    return Encoder(options)
+
+
 def cut(docs: DataFrame, options: PackOptions = PackOptions(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The pieces of all documents: (id, piece, start, length, ids, part, nth), as a written table.
 
@@ -90,7 +97,7 @@ def cut(docs: DataFrame, options: PackOptions = PackOptions(), id_col: str = "do
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches) -> Iterator[pa.RecordBatch]:
-        encoder, numbers = Encoder(options), Counter()
+        encoder, numbers = encoder_of(options), Counter()
         part = TaskContext.get().partitionId()
         for batch in batches:
             for begin in range(0, len(batch), 200):
