@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import sys
 from pathlib import Path
 
@@ -29,7 +30,8 @@ def duck():
 
 
 def test_every_query_is_checked():
-    assert set(contract.queries()) - set(contract.oracle_sql()) == WITHOUT_SQL
+    optional = {n for n in contract.queries() if re.match(r"op\d+_|pipeline$", n)}
+    assert set(contract.queries()) - optional - set(contract.oracle_sql()) == WITHOUT_SQL
     assert not set(contract.oracle_sql()) - set(contract.queries())
 
 

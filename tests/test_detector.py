@@ -13,7 +13,7 @@ from tidewarden.learning.exact import (
     exact_fold,
     final_state,
 )
-from tidewarden.learning.mixing import batch_starts, mix
+from tidewarden.learning.mixing import batch_number, batch_starts, mix
 from tidewarden.operators import detect as detecting
 from tidewarden.operators import ensemble, metrics, sampling
 from tidewarden.operators.statistics import feature_stats, merge_feature_stats
@@ -160,13 +160,13 @@ def test_mixing_is_close_to_exact(keyed, tmp_path):
     options = DetectorOptions(n_models=5, drift_enabled=False)
     events = labelled_traffic(keyed, TrafficOptions(shards=1))
     exact = metrics.detection_metrics(detections_of(exact_fold(events, options))).first()
-    run = mix(events, options, root=str(tmp_path / "run"), slices_per_batch=4)
+    run = mix(events, options, root=str(tmp_path / "run"), rows_per_slice=80, slices_per_batch=4)
     mixed = metrics.detection_metrics(run.detections()).first()
     assert mixed["detections"] == 1000
     assert abs(mixed["recall"] - exact["recall"]) < 0.05
     # Statistics, counts and rules do not depend on the slices at all.
     options = options.with_(grace_period=20, max_rules=10)
-    run = mix(events, options, root=str(tmp_path / "many-rules"), slices_per_batch=4)
+    run = mix(events, options, root=str(tmp_path / "many-rules"), rows_per_slice=80, slices_per_batch=4)
     columns = ("model_id", "n", "seen", F.col("rules"))
     single = final_state(exact_fold(events, options))
     assert all(len(row["rules"]) == 10 for row in single.collect())
@@ -178,6 +178,21 @@ def test_mixing_is_close_to_exact(keyed, tmp_path):
     assert versions(spark, mix(events, options, root=run.root).models_path) == before
 
 
+def test_mixing_is_repeatable(keyed, tmp_path):
+    spark = keyed.sparkSession
+    options = DetectorOptions(n_models=3)
+    events = labelled_traffic(keyed, TrafficOptions(shards=1))
+    runs = []
+    for k, rows in enumerate((events, events.repartition(7), events.repartition(3, "event_id"))):
+        run = mix(rows, options, root=str(tmp_path / str(k)), rows_per_slice=90, slices_per_batch=2)
+        runs.append(sorted(run.detections().select("event_id", "confidence", "is_bot_pred").collect()))
+    assert len(runs[0]) == 1000 and runs[0] == runs[1] == runs[2]
+    chunks = spark.range(40).select("id", batch_number(F.col("id"), 8).alias("b"), batch_number(F.col("id"), 3).alias("c")).collect()
+    for row in chunks:
+        assert row["b"] == sum(s <= row["id"] for s in batch_starts(40, 8)) - 1
+        assert row["c"] == sum(s <= row["id"] for s in batch_starts(40, 3)) - 1
+
+
 def test_batch_starts():
     assert batch_starts(20, 8) == [0, 1, 2, 4, 8, 16]
     assert batch_starts(1, 8) == [0]

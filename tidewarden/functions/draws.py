@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Cumulative Poisson(1) probabilities of 0, 1, ... 6; above them 7.
+# Cumulative Poisson(1) probabilities of 0, 1, ... 11; above them 12.
+# A 32-bit draw tells no later ones apart.
 POISSON_CUTS = (
     0.36787944117144233,
     0.7357588823428847,
@@ -18,6 +19,11 @@ POISSON_CUTS = (
     0.9963401531726563,
     0.9994058151824183,
     0.9999167588507119,
+    0.9999897508033252,
+    0.9999988747974019,
+    0.9999998885745215,
+    0.9999999899522335,
+    0.9999999991683891,
 )
 
 

@@ -18,7 +18,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,7 +35,7 @@ from tidewarden.learning.exact import (
 )
 from tidewarden.learning.kernel import Model, model_of_row, row_of_model
 from tidewarden.operators.ensemble import initial_state, replace_worst, shard_list
-from tidewarden.operators.ordered import stage_in_order
+from tidewarden.operators.ordered import instance_number
 from tidewarden.schema import MODEL_STATE_SCHEMA, N_FEATURES, DetectorOptions
 from tidewarden.session import scratch_path, ship_package
 from tidewarden.sources.model_store import (
@@ -49,6 +49,7 @@ from tidewarden.sources.model_store import (
 )
 
 ROWS_PER_SLICE = 100_000
+SLICES_PER_BATCH = 8
 _SLICE_SCHEMA = T.StructType(FOLD_SCHEMA.fields + [T.StructField("chunk", T.IntegerType())])
 
 
@@ -273,7 +274,6 @@ def mix_batch(run: MixRun, slices: DataFrame, batch: int, options: DetectorOptio
     if drift:
         following = replace_worst(following, shard_list(spark, 1), options.vote)
         window = AdaptiveWindow(options.drift_delta)
-    save_model(following, run.models_path, batch + 1)
     ended = max(block["ts"] for block in blocks)
     kept = json.dumps({"rows": window.rows, "ticks": window.ticks})
     control = spark.range(0, 1, 1, 1).select(
@@ -284,6 +284,7 @@ def mix_batch(run: MixRun, slices: DataFrame, batch: int, options: DetectorOptio
         F.lit(kept).alias("window"),
     )
     append_log(control, run.control_path, batch)
+    save_model(following, run.models_path, batch + 1)  # marks the batch as finished
 
 
 def batch_starts(chunks: int, per_batch: int) -> list[int]:
@@ -299,29 +300,35 @@ def batch_starts(chunks: int, per_batch: int) -> list[int]:
     return starts
 
 
+def batch_number(chunk: Column, per_batch: int) -> Column:
+    """The batch of a slice, as :func:`batch_starts` deals them, without a list of starts."""
+    doubled = max(1, (per_batch - 1).bit_length() and 1 << (per_batch - 1).bit_length())
+    steps = doubled.bit_length()
+    early = F.floor(F.log2(F.greatest(chunk, F.lit(1)).cast("double")) + F.lit(1e-9)) + 1
+    later = F.lit(steps) + F.floor((chunk - doubled) / per_batch)
+    return F.when(chunk == 0, 0).when(chunk < doubled, early).otherwise(later).cast("int")
+
+
 def mix(
     events: DataFrame,
     options: DetectorOptions,
     root: str | None = None,
     rows_per_slice: int = ROWS_PER_SLICE,
-    slices_per_batch: int | None = None,
+    slices_per_batch: int = SLICES_PER_BATCH,
 ) -> MixRun:
     """Run over a whole table in event order. A run with an existing ``root`` resumes
-    after its last finished batch."""
+    after its last finished batch.
+
+    Slices hold ``rows_per_slice`` events by their exact number in the stream, so the result
+    depends on the two sizes alone, not on cores, partitions or sampled borders.
+    """
     spark = events.sparkSession
     run = MixRun(spark, root or scratch_path(spark, "mixing"))
     if not is_written(spark, run.slices_path):
-        per_batch = slices_per_batch or spark.sparkContext.defaultParallelism
-        chunks = max(3 * per_batch, -(-events.count() // rows_per_slice))
-        starts = F.array(*[F.lit(s) for s in batch_starts(chunks, per_batch)])
-        batch_of = F.size(F.filter(starts, lambda s: s <= F.col("chunk"))) - 1
-        stage_in_order(
-            fold_input(events.withColumn("shard", F.lit(0)), options),
-            keys=(),
-            chunks=chunks,
-            partition_by=("batch", batch_of),
-            path=run.slices_path,
-        )
+        numbered = instance_number(fold_input(events.withColumn("shard", F.lit(0)), options))
+        chunk = F.floor((F.col("instance_number") - 1) / rows_per_slice).cast("int")
+        cut = numbered.withColumn("chunk", chunk).withColumn("batch", batch_number(F.col("chunk"), slices_per_batch))
+        cut.drop("instance_number").repartition("chunk").write.mode("overwrite").partitionBy("batch").parquet(run.slices_path)
     if not versions(spark, run.models_path):
         save_model(initial_state(shard_list(spark, 1), options), run.models_path, 0)
     for batch in numbered_folders(spark, run.slices_path, "batch"):

@@ -68,9 +68,9 @@ def stage_in_order(
     numbered = ranged.withColumn("chunk", F.spark_partition_id())
     if partition_by:
         name, value = partition_by
-        numbered.withColumn(name, value).write.partitionBy(name).parquet(path)
+        numbered.withColumn(name, value).write.mode("overwrite").partitionBy(name).parquet(path)
     else:
-        numbered.write.parquet(path)
+        numbered.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
 
 

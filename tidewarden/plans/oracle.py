@@ -204,7 +204,7 @@ STEPS: dict[str, str] = {
     "numbered": "select *, cast(sum(k) over (partition by shard, model_id order by ts, event_id) "
     "as bigint) as trained from copies",
     "samples": f"""select shard, model_id, cast(trained-k+j as bigint)//{_G} as rule_number,
-      event_id, x, is_bot from numbered, range(0,8) c(j)
+      event_id, x, is_bot from numbered, range(0,13) c(j)
       where j<k and (trained-k+j)%{_G}=0""",
     "newest": "select shard, model_id, max(rule_number) as top from samples group by all",
     "rules": "select s.* from samples s join newest n using (shard, model_id) "
@@ -212,7 +212,7 @@ STEPS: dict[str, str] = {
     "counts": "select shard, model_id, cast(sum(k) as bigint) as n from copies group by all",
     "moments": """select shard, model_id, i-1 as i, avg(x[i]) as mean,
       coalesce(stddev_samp(x[i]),0) as sd, var_pop(x[i])*count(*) as m2
-      from copies, range(0,8) c(j), range(1,15) t(i) where j<k group by all""",
+      from copies, range(0,13) c(j), range(1,15) t(i) where j<k group by all""",
     "given": f"select cast(model_id as int) as model_id, {_GIVEN} as w "
     f"from range({OPTIONS.n_models}) m(model_id)",
     "models": """select shard, model_id, list(mean order by i) as mean, list(sd order by i) as sd,
@@ -283,7 +283,7 @@ STEPS: dict[str, str] = {
     "f_numbered": "select *, cast(sum(k) over (partition by shard, model_id order by ts, event_id) "
     "as bigint) as trained from f_copies",
     "f_steps": "select shard, model_id, cast(trained-k+j as bigint) as c, event_id, x, is_bot "
-    "from f_numbered, range(0,8) c(j) where j<k",
+    "from f_numbered, range(0,13) c(j) where j<k",
     "f_long": """select shard, model_id, c, i-1 as i, x[i] as v, avg(x[i]) over w as mean,
       coalesce(stddev_samp(x[i]) over w,0) as sd from f_steps, range(1,15) t(i)
       window w as (partition by shard, model_id, i order by c)""",

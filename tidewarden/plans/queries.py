@@ -896,7 +896,7 @@ def f8_adaptive_drift(spark, folder):
 @query
 def f7_detect_mixing(spark, folder):
     """One global detector learned in parallel slices, batch by batch."""
-    return mix(stored_events(spark, folder), DetectorOptions()).detections()
+    return mix(stored_events(spark, folder), DetectorOptions(), rows_per_slice=5_000).detections()
 
 
 @query
