@@ -17,6 +17,7 @@ from tidewarden.learning.mixing import batch_number, batch_starts, mix
 from tidewarden.operators import detect as detecting
 from tidewarden.operators import ensemble, metrics, sampling
 from tidewarden.operators.statistics import feature_stats, merge_feature_stats
+from tidewarden.plans import queries
 from tidewarden.schema import DetectorOptions
 from tidewarden.sources.model_store import load_model, save_model, versions
 from tidewarden.sources.traffic import TrafficOptions, labelled_traffic, shards_for, walked_ratios
@@ -267,3 +268,27 @@ def test_shards_grow_with_the_data():
 def test_ratio_walk_is_bounded():
     ratios = walked_ratios(TrafficOptions(ratio_walk_epochs=200))
     assert len(ratios) == 200 and all(0.1 <= r <= 0.7 for r in ratios) and len(set(ratios)) > 10
+
+
+@pytest.mark.parametrize("engine", ["native", "arrow"])
+def test_shards_without_models_are_scored_neutral(spark, traffic, engine):
+    state = ensemble.snapshot(traffic, OPTIONS)
+    found = detecting.detect(traffic, state.filter("shard < 2"), OPTIONS, engine, keep=("session_id",))
+    rows = found.select("shard", "vote", "is_bot_pred", "confidence", "bot_votes", "human_votes", "model_bots").collect()
+    assert len(rows) == traffic.count()
+    untrained = [r for r in rows if r["shard"] >= 2]
+    expected = (False, False, 0.0, 0, OPTIONS.n_models, [False] * OPTIONS.n_models)
+    assert untrained and all(tuple(r)[1:] == expected for r in untrained)
+    assert any(r["vote"] for r in rows if r["shard"] < 2)
+    assert found.join(traffic, ["event_id", "session_id"]).count() == len(rows)
+
+
+def test_too_few_detectors_for_a_table_are_refused(spark, monkeypatch):
+    monkeypatch.setattr(queries, "ROWS_PER_SHARD", 100)
+    with pytest.raises(ValueError, match=queries.SHARDS_SETTING):
+        queries.traffic_options(spark, "/root/testdata/sf0.001")
+    spark.conf.set(queries.SHARDS_SETTING, "10")
+    try:
+        assert queries.traffic_options(spark, "/root/testdata/sf0.001").shards == 10
+    finally:
+        spark.conf.unset(queries.SHARDS_SETTING)

@@ -4,6 +4,8 @@
 ``arrow`` broadcasts the models and scores Arrow batches with numpy, which is several
 times faster once models hold many rules. ``auto`` takes ``arrow`` while the state is
 small enough to broadcast and ``native``, which has no size limit, beyond that.
+
+Events of a shard that has no models are scored by fresh ones: neutral, hence human.
 """
 
 from __future__ import annotations
@@ -20,7 +22,8 @@ from tidewarden.functions import scoring
 from tidewarden.functions.features import feature_value, with_features
 from tidewarden.learning.detector import ensemble_votes
 from tidewarden.learning.exact import FEATURE_COLUMNS
-from tidewarden.learning.kernel import frozen_scores, model_of_row
+from tidewarden.learning.kernel import Model, frozen_scores, model_of_row
+from tidewarden.operators.ensemble import fresh_models
 from tidewarden.schema import (
     DETECTION_SCHEMA,
     FEATURES,
@@ -53,14 +56,21 @@ def state_bytes(state: DataFrame) -> int:
     return state.agg(F.coalesce(F.sum(per_model), F.lit(0))).first()[0]
 
 
-def vote_events(featured: DataFrame, state: DataFrame, broadcast: bool | None = None) -> DataFrame:
-    """Add ``votes``: per model its score, vote and confidence, all inside the row."""
+def vote_events(
+    featured: DataFrame, state: DataFrame, broadcast: bool | None = None, n_models: int = 10
+) -> DataFrame:
+    """Add ``votes``: per model its score, vote and confidence, all inside the row.
+
+    A shard without models is given ``n_models`` fresh ones.
+    """
     models = models_by_shard(state)
     if broadcast is None:
         broadcast = state_bytes(state) <= BROADCAST_BYTES
     models = F.broadcast(models) if broadcast else models
-    return featured.join(models, "shard").select(
-        *featured.columns, scoring.model_votes(F.col("features"), F.col("models")).alias("votes")
+    fresh = fresh_models(n_models, [f.name for f in models.schema["models"].dataType.elementType])
+    own = F.coalesce(F.col("models"), fresh)
+    return featured.join(models, "shard", "left").select(
+        *featured.columns, scoring.model_votes(F.col("features"), own).alias("votes")
     )
 
 
@@ -85,15 +95,20 @@ def decide(voted: DataFrame, options: DetectorOptions) -> DataFrame:
     )
 
 
-def _detect_native(events: DataFrame, state: DataFrame, options: DetectorOptions, broadcast) -> DataFrame:
-    voted = vote_events(with_features(events), state, broadcast)
+def _detect_native(
+    events: DataFrame, state: DataFrame, options: DetectorOptions, broadcast: bool, keep: tuple[str, ...]
+) -> DataFrame:
+    voted = vote_events(with_features(events), state, broadcast, options.n_models)
     return decide(voted, options).select(
         *DETECTION_SCHEMA.fieldNames(),
+        *keep,
         scoring.all_predictions(F.col("votes")).alias("model_bots"),
     )
 
 
-def _detect_arrow(events: DataFrame, state: DataFrame, options: DetectorOptions) -> DataFrame:
+def _detect_arrow(
+    events: DataFrame, state: DataFrame, options: DetectorOptions, keep: tuple[str, ...]
+) -> DataFrame:
     """Only for a state whose size :func:`detect` has checked."""
     spark = events.sparkSession
     ship_package(spark)
@@ -101,14 +116,14 @@ def _detect_arrow(events: DataFrame, state: DataFrame, options: DetectorOptions)
     for row in sorted(state.collect(), key=lambda r: (r["shard"], r["model_id"])):
         by_shard.setdefault(row["shard"], []).append(model_of_row(row))
     shared = spark.sparkContext.broadcast(by_shard)
-    names = _ARROW_SCHEMA.fieldNames()
+    schema = T.StructType(_ARROW_SCHEMA.fields + [events.schema[name] for name in keep])
+    names = schema.fieldNames()
+    fresh = [Model() for _ in range(options.n_models)]
 
     def score(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for shard, part in frame.groupby("shard", sort=False):
-                models = shared.value.get(shard)
-                if models is None:
-                    continue
+                models = shared.value.get(shard, fresh)
                 x = part[FEATURE_COLUMNS].to_numpy(float)
                 scores = np.stack([frozen_scores(m, x) for m in models], axis=1)
                 accuracy = None
@@ -131,18 +146,23 @@ def _detect_arrow(events: DataFrame, state: DataFrame, options: DetectorOptions)
         "ts",
         "is_bot",
         *[feature_value(f).alias(c) for f, c in zip(FEATURES, FEATURE_COLUMNS)],
+        *keep,
     )
-    return flat.mapInPandas(score, _ARROW_SCHEMA)
+    return flat.mapInPandas(score, schema)
 
 
 def detect(
-    events: DataFrame, state: DataFrame, options: DetectorOptions, engine: str = "auto"
+    events: DataFrame,
+    state: DataFrame,
+    options: DetectorOptions,
+    engine: str = "auto",
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Detections of all events whose shard has models; events are never shuffled
-    while the state is small enough to broadcast."""
+    """Detections of all events, with the events' columns named in ``keep``; events are
+    never shuffled while the state is small enough to broadcast."""
     fits = state_bytes(state) <= BROADCAST_BYTES
     if engine == "arrow" and not fits:
         raise ValueError("the state is too large to broadcast; use the native engine")
     if engine == "native" or not fits:
-        return _detect_native(events, state, options, broadcast=fits)
-    return _detect_arrow(events, state, options)
+        return _detect_native(events, state, options, fits, keep)
+    return _detect_arrow(events, state, options, keep)

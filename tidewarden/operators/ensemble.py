@@ -36,6 +36,13 @@ def _fresh_columns() -> dict[str, Column]:
     }
 
 
+def fresh_models(n_models: int, names: list[str]) -> Column:
+    """An array of fresh models with the fields ``names``, for shards without a state."""
+    columns = _fresh_columns()
+    model = lambda m: F.struct(*[m.alias(c) if c == "model_id" else columns[c].alias(c) for c in names])
+    return F.transform(F.sequence(F.lit(0), F.lit(n_models - 1)), model)
+
+
 def initial_state(shards: DataFrame, options: DetectorOptions, version: int = 0) -> DataFrame:
     """Fresh models for every row of ``shards``: the first version, and also a reset.
 

@@ -32,7 +32,7 @@ def weighted_instance_numbers(
     return summed.withColumn("trained", F.array(*names)).drop(*names)
 
 
-def rule_gate(confidence: Column | float, split_confidence: float) -> Column:
+def rule_gate(confidence: Column | float, split_confidence: Column | float) -> Column:
     """A new rule is kept only if its confidence exceeds the split confidence."""
     confidence = F.lit(confidence) if isinstance(confidence, float) else confidence
     return confidence > split_confidence

@@ -12,20 +12,16 @@ from tidewarden.functions.draws import POISSON_CUTS
 from tidewarden.plans.queries import (
     DELTA,
     FOLD_OPTIONS,
-    LEAST_SHARDS,
     OPTIONS,
     PERIOD,
     ROLLING,
-    ROWS_PER_SHARD,
     SESSION_GAP_SECONDS,
+    SHARDS,
     WALK_EPOCHS,
 )
 from tidewarden.schema import FEATURES
 from tidewarden.sources.traffic import BOT_AGENTS, HUMAN_AGENTS
 
-SHARDS = (
-    f"(select greatest({LEAST_SHARDS}, ceil(count(*)/{ROWS_PER_SHARD}.0)) from events)"
-)
 DOUBLES = (
     "avg_response_time",
     "click_rate",
@@ -451,6 +447,10 @@ FINAL: dict[str, str] = {
     "session_id, ip_address, requests_per_second, cast(t.is_bot as varchar), confidence) as summary "
     "from traffic t join det using (event_id)",
     "c1_detection_threshold": "select event_id, vote, round(confidence,6) as confidence, is_bot_pred from det",
+    "c1_untrained_shards": f"""select event_id, case when shard%2=0 then bot_votes else 0 end as bot_votes,
+      case when shard%2=0 then human_votes else {OPTIONS.n_models} end as human_votes,
+      shard%2=0 and vote as vote, case when shard%2=0 then round(confidence,6) else 0 end as confidence,
+      shard%2=0 and is_bot_pred as is_bot_pred from det""",
     "c3_skip_null_event": "select event_id from wire where kind<>1",
     "c4_labelled_only": "select event_id, is_bot from decoded where is_bot is not null",
     "c5_rule_gate": f"select shard, model_id, rule_number*{_G} as seq, is_bot as outcome from rules where model_id%2=0",

@@ -29,8 +29,11 @@ from tidewarden.sources.tables import read_table, spread
 
 OPTIONS = DetectorOptions(n_models=5, threshold=0.6)
 FOLD_OPTIONS = DetectorOptions(n_models=3, threshold=0.6, drift_enabled=False)
+#: Detectors that the traffic is dealt to, unless the session sets ``SHARDS_SETTING``.
+SHARDS = 8
+SHARDS_SETTING = "spark.tidewarden.shards"
+#: An exact fold runs a shard in one task, so a shard may not hold many more rows than this.
 ROWS_PER_SHARD = 1_000_000
-LEAST_SHARDS = 8
 PERIOD = 100
 ROLLING = 100
 DELTA = OPTIONS.drift_delta
@@ -56,9 +59,19 @@ def keyed_events(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def traffic_options(spark: SparkSession, folder: str) -> traffic.TrafficOptions:
-    """Traffic over as many detectors as the table's size asks for."""
+    """Traffic over the detectors that the session sets; a table too large for them is refused.
+
+    Their number never follows the row count by itself: that would deal the events to other
+    detectors, and so change every model, as the table grows.
+    """
+    shards = int(spark.conf.get(SHARDS_SETTING, str(SHARDS)))
     rows = read_table(spark, folder, "events").count()
-    return traffic.TrafficOptions(shards=traffic.shards_for(rows, ROWS_PER_SHARD, LEAST_SHARDS))
+    if traffic.shards_for(rows, ROWS_PER_SHARD, shards) > shards:
+        raise ValueError(
+            f"{rows} events are too many for {shards} detectors of {ROWS_PER_SHARD} events: "
+            f"set {SHARDS_SETTING} and train anew"
+        )
+    return traffic.TrafficOptions(shards=shards)
 
 
 def events(spark: SparkSession, folder: str, options=None) -> DataFrame:
@@ -89,7 +102,7 @@ def stored_detections(spark: SparkSession, folder: str) -> DataFrame:
 
 def votes(spark: SparkSession, folder: str) -> DataFrame:
     labelled, state = snapshot(spark, folder)
-    return detecting.vote_events(with_features(labelled), state)
+    return detecting.vote_events(with_features(labelled), state, n_models=OPTIONS.n_models)
 
 
 def model_votes(spark: SparkSession, folder: str) -> DataFrame:
@@ -432,10 +445,9 @@ def b13_model_size(spark, folder):
 @query
 def b14_event_summary(spark, folder):
     labelled, state = snapshot(spark, folder)
-    confidence = detecting.detect(labelled, state, OPTIONS).select("event_id", "confidence")
-    return labelled.join(confidence, "event_id").select(
-        "event_id", display.event_summary().alias("summary")
-    )
+    shown = ("session_id", "ip_address", "requests_per_second")
+    found = detecting.detect(labelled, state, OPTIONS, keep=shown)
+    return found.select("event_id", display.event_summary().alias("summary"))
 
 
 # Filters
@@ -448,6 +460,21 @@ def c1_detection_threshold(spark, folder):
     )
 
 
+@query
+def c1_untrained_shards(spark, folder):
+    """Every second shard has no models; its events are still detected, as human."""
+    labelled, state = snapshot(spark, folder)
+    found = detecting.detect(labelled, state.filter(F.col("shard") % 2 == 0), OPTIONS)
+    return found.select(
+        "event_id",
+        "bot_votes",
+        "human_votes",
+        "vote",
+        rounded("confidence").alias("confidence"),
+        "is_bot_pred",
+    )
+
+
 @query
 def c3_skip_null_event(spark, folder):
     return codec.skip_null_events(decoded_records(spark, folder)).select("event_id")
@@ -464,7 +491,7 @@ def c5_rule_gate(spark, folder):
     _, state = snapshot(spark, folder)
     rules = state.select("shard", "model_id", F.explode("rules").alias("r"))
     gate = F.when(F.col("model_id") % 2 == 0, 1e-4).otherwise(0.9)
-    return rules.filter(F.lit(RULE_CONFIDENCE) > gate).select(
+    return rules.filter(sampling.rule_gate(RULE_CONFIDENCE, gate)).select(
         "shard", "model_id", F.col("r.seq").alias("seq"), F.col("r.outcome").alias("outcome")
     )
 
@@ -528,7 +555,8 @@ def d4_weighted_vote(spark, folder):
     ).select("shard", "model_id", "seen", "correct")
     weighted = state.drop("seen", "correct").join(seen, ["shard", "model_id"])
     options = OPTIONS.with_(vote="weighted")
-    found = detecting.detect(labelled, weighted.select(*state.columns), options)
+    weighted = written(weighted.select(*state.columns), "weighted")
+    found = detecting.detect(labelled, weighted, options)
     return found.select(
         "event_id", "vote", rounded("confidence").alias("confidence"), "is_bot_pred"
     )
