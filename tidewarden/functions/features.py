@@ -19,10 +19,11 @@ def feature_vector() -> Column:
     return F.array(*[feature_value(name) for name in FEATURES])
 
 
-def with_features(events: DataFrame) -> DataFrame:
-    """Just what learning and scoring need: ids, order, the vector and the label."""
+def with_features(events: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Just what learning and scoring need: ids, order, the vector and the label, beside
+    the columns named in ``keep``."""
     return events.select(
-        "event_id", "shard", "ts", feature_vector().alias("features"), "is_bot"
+        "event_id", "shard", "ts", feature_vector().alias("features"), "is_bot", *keep
     )
 
 

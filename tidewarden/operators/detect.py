@@ -98,7 +98,7 @@ def decide(voted: DataFrame, options: DetectorOptions) -> DataFrame:
 def _detect_native(
     events: DataFrame, state: DataFrame, options: DetectorOptions, broadcast: bool, keep: tuple[str, ...]
 ) -> DataFrame:
-    voted = vote_events(with_features(events), state, broadcast, options.n_models)
+    voted = vote_events(with_features(events, keep), state, broadcast, options.n_models)
     return decide(voted, options).select(
         *DETECTION_SCHEMA.fieldNames(),
         *keep,
