@@ -29,8 +29,8 @@ class ToxicityOptions:
     """``sample_toxic``, ``sample_clean``: about so many labelled documents are learned from,
     each up to ``sample_chars`` characters."""
 
-    sample_toxic: int = 500
-    sample_clean: int = 1000
+    sample_toxic: int = 700
+    sample_clean: int = 2800
     sample_chars: int = 10_000
     window: int = 16
     stride: int = 8
