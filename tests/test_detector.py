@@ -213,7 +213,7 @@ def test_merged_statistics_equal_whole(traffic):
 def test_rule_samples_with_a_small_grace_period(traffic):
     options = OPTIONS.with_(grace_period=3, n_models=2, max_rules=4)
     copied = sampling.with_copies(with_features(traffic), options)
-    numbered = sampling.weighted_instance_numbers(copied, options, chunks=5)
+    numbered = sampling.weighted_instance_numbers(copied, options, width=3600)
     samples = sampling.rule_samples(numbered, options)
     totals = numbered.groupBy("shard").agg(
         *[F.sum(F.col("copies")[m]).alias(f"t{m}") for m in range(2)]

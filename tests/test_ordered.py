@@ -23,8 +23,8 @@ def skewed(spark):
     )
 
 
-@pytest.mark.parametrize("chunks", [1, 3, 17])
-def test_running_equals_window(skewed, chunks):
+@pytest.mark.parametrize("width", [60, 150, 86_400])
+def test_running_equals_window(skewed, width):
     mine = running(
         skewed,
         {
@@ -32,7 +32,7 @@ def test_running_equals_window(skewed, chunks):
             "highest": Running("max", F.col("v")),
             "lowest_before": Running("min", F.col("v"), inclusive=False),
         },
-        chunks=chunks,
+        width=width,
     )
     frame = Window.partitionBy("shard").orderBy("ts", "event_id")
     so_far = frame.rowsBetween(Window.unboundedPreceding, 0)
@@ -48,16 +48,34 @@ def test_running_equals_window(skewed, chunks):
 
 
 def test_chunks_split_the_hot_key(skewed):
-    from tidewarden.operators.ordered import stage_in_order
+    from tidewarden.operators.ordered import chunked
 
-    staged = stage_in_order(skewed, rows_per_chunk=200)
-    largest = staged.groupBy("shard", "chunk").count().agg(F.max("count")).first()[0]
+    largest = chunked(skewed, width=60).groupBy("shard", "chunk").count().agg(F.max("count")).first()[0]
     assert largest < 600  # the hot key alone has about 1,900 rows
 
 
+def test_rows_without_key_or_time_are_kept(spark):
+    rows = [(None, None, 1, 5), (None, 60, 2, 7), (1, None, 3, 1), (1, 7200, 4, 2), (1, 7200, 5, 4), (2, 10, 6, None)]
+    events = spark.createDataFrame(rows, "shard int, s long, event_id long, v long").select(
+        "shard", F.timestamp_seconds("s").alias("ts"), "event_id", "v"
+    )
+    found = running(events, {"total": Running("sum", F.col("v")), "high": Running("max", F.col("v"), inclusive=False)})
+    got = {r["event_id"]: (r["total"], r["high"]) for r in found.collect()}
+    assert got == {1: (5, None), 2: (12, 5), 3: (1, None), 4: (3, 1), 5: (7, 2), 6: (0, None)}
+    assert running(events.limit(0), {"total": Running("sum", F.col("v"))}).isEmpty()
+
+
+def test_one_exchange_of_all_rows(skewed):
+    numbered = instance_number(skewed, width=60)
+    plan = numbered._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan
+    assert plan.count("Exchange hashpartitioning(shard#") == 3  # chunk totals twice, rows and carries once
+    assert "SortMergeJoin" not in plan
+
+
 @pytest.mark.parametrize("block_rows", [10, 64, 5000])
 def test_rolling_equals_window(skewed, block_rows):
-    numbered = instance_number(skewed, chunks=5)
+    numbered = instance_number(skewed, width=60)
     mine = rolling_sums(numbered, {"s": F.col("v")}, 10, block_rows=block_rows)
     frame = Window.partitionBy("shard").orderBy("ts", "event_id").rowsBetween(-9, 0)
     theirs = skewed.withColumn("s", F.sum("v").over(frame)).select("event_id", "s")
@@ -65,7 +83,8 @@ def test_rolling_equals_window(skewed, block_rows):
     assert mine.select("event_id", "s").exceptAll(theirs).isEmpty()
 
 
-def test_sessions_of_one_hot_user(spark):
+@pytest.mark.parametrize("width", [600, 7200, 10**7])
+def test_sessions_of_one_hot_user(spark, width):
     events = spark.range(2000).select(
         F.col("id").alias("event_id"),
         F.when(F.col("id") % 3 < 2, 1).otherwise(F.col("id") % 7).alias("user_id"),
@@ -73,7 +92,7 @@ def test_sessions_of_one_hot_user(spark):
         F.lit("click").alias("event_type"),
         F.lit(1.0).alias("value"),
     )
-    mine = session_features(events, 3600, chunks=9)
+    mine = session_features(events, 3600, width=width)
     theirs = events.groupBy("user_id", F.session_window("ts", "3600 seconds").alias("w")).agg(
         F.count(F.lit(1)).alias("events"), F.min("ts").alias("session_start")
     )
@@ -90,7 +109,7 @@ def test_cut_scan_against_brute_force(spark):
         F.lit(0).alias("shard"), "*", F.lit(1).cast("bigint").alias("instance_number"),
         F.current_timestamp().alias("ts"),
     )
-    found = {r["block"]: r for r in drift_cut_scan(blocks, 0.002, chunks=3).collect()}
+    found = {r["block"]: r for r in drift_cut_scan(blocks, 0.002, width=7).collect()}
     assert len(found) == 39
     n, s = 40 * 32, sum(c[2] for c in counts)
     for cut_after in range(39):

@@ -309,6 +309,13 @@ def batch_number(chunk: Column, per_batch: int) -> Column:
     return F.when(chunk == 0, 0).when(chunk < doubled, early).otherwise(later).cast("int")
 
 
+def sliced(events: DataFrame, options: DetectorOptions, rows_per_slice: int) -> DataFrame:
+    """:func:`fold_input` of one stream, each ``rows_per_slice`` events in order one ``chunk``."""
+    numbered = instance_number(fold_input(events.withColumn("shard", F.lit(0)), options))
+    chunk = F.floor((F.col("instance_number") - 1) / rows_per_slice).cast("int")
+    return numbered.withColumn("chunk", chunk).drop("instance_number")
+
+
 def mix(
     events: DataFrame,
     options: DetectorOptions,
@@ -325,10 +332,9 @@ def mix(
     spark = events.sparkSession
     run = MixRun(spark, root or scratch_path(spark, "mixing"))
     if not is_written(spark, run.slices_path):
-        numbered = instance_number(fold_input(events.withColumn("shard", F.lit(0)), options))
-        chunk = F.floor((F.col("instance_number") - 1) / rows_per_slice).cast("int")
-        cut = numbered.withColumn("chunk", chunk).withColumn("batch", batch_number(F.col("chunk"), slices_per_batch))
-        cut.drop("instance_number").repartition("chunk").write.mode("overwrite").partitionBy("batch").parquet(run.slices_path)
+        cut = sliced(events, options, rows_per_slice)
+        cut = cut.withColumn("batch", batch_number(F.col("chunk"), slices_per_batch))
+        cut.repartition("chunk").write.mode("overwrite").partitionBy("batch").parquet(run.slices_path)
     if not versions(spark, run.models_path):
         save_model(initial_state(shard_list(spark, 1), options), run.models_path, 0)
     for batch in numbered_folders(spark, run.slices_path, "batch"):

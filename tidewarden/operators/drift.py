@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewarden.operators.metrics import ratio
-from tidewarden.operators.ordered import Running, running, stage_in_order, with_running
+from tidewarden.operators.ordered import Running, running
 
 CUT_BLOCK_ROWS = 32
 
@@ -64,13 +64,13 @@ def error_blocks(errors: DataFrame, block_rows: int = CUT_BLOCK_ROWS) -> DataFra
 
 def drift_cut_scan(blocks: DataFrame, delta: float, **options) -> DataFrame:
     """Every split of a shard's error sequence at a block end, with its cut test."""
-    staged = stage_in_order(blocks, order=("block",), **options)
-    split = with_running(
-        staged,
+    split = running(
+        blocks,
         {"n0": Running("sum", F.col("n")), "s0": Running("sum", F.col("errors"))},
         order=("block",),
-    ).drop("chunk")
-    whole = staged.groupBy("shard").agg(
+        **options,
+    )
+    whole = blocks.groupBy("shard").agg(
         F.sum("n").alias("total"), F.sum("errors").alias("total_errors")
     )
     n1 = F.col("total") - F.col("n0")

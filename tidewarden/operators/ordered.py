@@ -1,31 +1,29 @@
 """Running values over an ordered stream, without one task per stream.
 
-A plain window partitioned by shard sorts a whole shard in one task. Here the rows
-are range-partitioned by (keys, order) into chunks of bounded size; each chunk is
-aggregated, the few chunk totals are accumulated, and every row adds its chunk's
-carried total to a window inside the chunk. The result equals the plain window for
-any number of chunks, so one hot key costs no more than many cold ones.
+A plain window partitioned by shard sorts a whole shard in one task. Here a key's rows
+are cut into chunks by time: buckets of a fixed width, a documented option. The chunks are
+aggregated, the few chunk totals are accumulated, and each chunk gets its carried total
+as a first row, so that one window inside the chunk gives the running value. All rows move
+once, by (keys, chunk). The result equals the plain window for any width, so one hot key
+costs no more than many cold ones; nothing is sampled, counted or written first.
 """
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidewarden.session import scratch_path
-
-ROWS_PER_CHUNK = 1_000_000
+#: Width of a chunk, in seconds where the order starts with a time. It bounds a task's rows to what
+#: one key has in that time; a key has as many chunk totals as its history has such spans.
+CHUNK_SECONDS = 3600
+#: Width of a chunk where the order starts with a number.
+CHUNK_NUMBERS = 1_000_000
 KEYS = ("shard",)
 ORDER = ("ts", "event_id")
-
-_COMBINE = {
-    "sum": lambda a, b: a + b,
-    "max": lambda a, b: F.greatest(a, b),
-    "min": lambda a, b: F.least(a, b),
-}
+_NULLS_FIRST = -(1 << 62)
 
 
 @dataclass(frozen=True)
@@ -42,67 +40,41 @@ class Running:
     start: object = None
 
 
-def chunk_count(df: DataFrame, rows_per_chunk: int) -> int:
-    """Enough chunks to bound their size, and at least one per core."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return max(cores, math.ceil(df.count() / rows_per_chunk))
-
-
-def stage_in_order(
-    df: DataFrame,
-    keys: tuple[str, ...] = KEYS,
-    order: tuple[str, ...] = ORDER,
-    rows_per_chunk: int = ROWS_PER_CHUNK,
-    chunks: int | None = None,
-    partition_by: tuple[str, Column] | None = None,
-    path: str | None = None,
-) -> DataFrame:
-    """Range-partition by (keys, order), number the ranges as ``chunk``, write and re-read.
-
-    The written table pins each row's chunk: the ranges are sampled, so computing them
-    twice (or again after an executor is lost) could move rows between chunks.
-    """
-    chunks = chunks or chunk_count(df, rows_per_chunk)
-    ranged = df.repartitionByRange(chunks, *keys, *order)
-    path = path or scratch_path(df.sparkSession, "ordered")
-    numbered = ranged.withColumn("chunk", F.spark_partition_id())
-    if partition_by:
-        name, value = partition_by
-        numbered.withColumn(name, value).write.mode("overwrite").partitionBy(name).parquet(path)
-    else:
-        numbered.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+def chunked(df: DataFrame, order: tuple[str, ...] = ORDER, width: int | None = None) -> DataFrame:
+    """Add ``chunk``, the bucket of the first order column; rows without a value come first."""
+    first = F.col(order[0])
+    if isinstance(df.schema[order[0]].dataType, (T.TimestampType, T.TimestampNTZType)):
+        first, width = F.unix_micros(first.cast("timestamp")), (width or CHUNK_SECONDS) * 1_000_000
+    bucket = F.floor(first / (width or CHUNK_NUMBERS)).cast("bigint")
+    return df.withColumn("chunk", F.coalesce(bucket, F.lit(_NULLS_FIRST)))
 
 
 def with_running(
-    staged: DataFrame,
+    rows: DataFrame,
     values: dict[str, Running],
     keys: tuple[str, ...] = KEYS,
     order: tuple[str, ...] = ORDER,
 ) -> DataFrame:
-    """Add running values to a table from :func:`stage_in_order`."""
-    spec = {name: (getattr(F, r.how), _COMBINE[r.how], r) for name, r in values.items()}
-    totals = staged.groupBy(*keys, "chunk").agg(
-        *[agg(r.value).alias(name) for name, (agg, _, r) in spec.items()]
-    )
-    before = Window.partitionBy(*keys).orderBy("chunk").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
+    """Add running values to a table from :func:`chunked`. Rows with a null key are kept,
+    as a key of their own."""
+    spec = {name: (getattr(F, r.how), f"_at_{name}", r) for name, r in values.items()}
+    totals = rows.groupBy(*keys, "chunk").agg(*[agg(r.value).alias(at) for agg, at, r in spec.values()])
+    before = Window.partitionBy(*keys).orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
+    starts = [F.lit(0 if r.how == "sum" and r.start is None else r.start) for r in values.values()]
     carried = totals.select(
-        *keys, "chunk", *[agg(name).over(before).alias(f"_carry_{name}") for name, (agg, _, _) in spec.items()]
+        *keys,
+        "chunk",
+        F.lit(False).alias("_row"),
+        *[F.coalesce(agg(at).over(before), start).alias(at) for (agg, at, _), start in zip(spec.values(), starts)],
     )
-    chunk = Window.partitionBy(*keys, "chunk").orderBy(*order)
-    columns = {}
-    for name, (agg, combine, r) in spec.items():
-        start = F.lit(0 if r.how == "sum" and r.start is None else r.start)
-        carry = F.coalesce(F.col(f"_carry_{name}"), start)
-        frame = chunk.rowsBetween(Window.unboundedPreceding, 0 if r.inclusive else -1)
-        here = agg(r.value).over(frame)
-        if r.how == "sum":
-            here = F.coalesce(here, F.lit(0))
-        columns[name] = combine(carry, here)
-    joined = staged.join(carried, [*keys, "chunk"])
-    return joined.withColumns(columns).drop(*[f"_carry_{name}" for name in values])
+    own = rows.withColumns({"_row": F.lit(True), **{at: r.value for _, at, r in spec.values()}})
+    chunk = Window.partitionBy(*keys, "chunk").orderBy("_row", *order)
+    columns = {
+        name: agg(at).over(chunk.rowsBetween(Window.unboundedPreceding, 0 if r.inclusive else -1))
+        for name, (agg, at, r) in spec.items()
+    }
+    both = own.unionByName(carried, allowMissingColumns=True)
+    return both.withColumns(columns).filter("_row").drop("_row", *[at for _, at, _ in spec.values()])
 
 
 def running(
@@ -110,11 +82,9 @@ def running(
     values: dict[str, Running],
     keys: tuple[str, ...] = KEYS,
     order: tuple[str, ...] = ORDER,
-    rows_per_chunk: int = ROWS_PER_CHUNK,
-    chunks: int | None = None,
+    width: int | None = None,
 ) -> DataFrame:
-    staged = stage_in_order(df, keys, order, rows_per_chunk, chunks)
-    return with_running(staged, values, keys, order).drop("chunk")
+    return with_running(chunked(df, order, width), values, keys, order).drop("chunk")
 
 
 def instance_number(df: DataFrame, **options) -> DataFrame:

@@ -2,47 +2,59 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewarden.operators.ordered import Running, stage_in_order, with_running
+from tidewarden.operators.ordered import Running, chunked, running, with_running
 
 
-def _aggregates() -> list:
-    span = F.unix_micros(F.max("ts")) - F.unix_micros(F.min("ts"))
-    count = F.count(F.lit(1))
+def _aggregates(start: str = "ts", end: str = "ts", count: Column | None = None,
+                errors: Column | None = None, value: str = "value") -> list[Column]:
+    """A session's columns, from its events or from parts of sessions."""
+    span = F.unix_micros(F.max(end)) - F.unix_micros(F.min(start))
+    count = F.count(F.lit(1)) if count is None else count
     return [
-        F.min("ts").alias("session_start"),
-        F.max("ts").alias("session_end"),
+        F.min(start).alias("session_start"),
+        F.max(end).alias("session_end"),
         count.alias("events"),
-        F.count_if(F.col("event_type") == "error").alias("errors"),
-        F.sum("value").alias("value_sum"),
+        (F.count_if(F.col("event_type") == "error") if errors is None else errors).alias("errors"),
+        F.sum(value).alias("value_sum"),
         F.when(count > 1, span / (count - 1) / 1000.0).otherwise(0.0).alias("avg_gap_ms"),
         (span / 1e6).alias("duration_s"),
     ]
 
 
-def session_features(events: DataFrame, gap_seconds: int, **options) -> DataFrame:
+def session_features(events: DataFrame, gap_seconds: int, width: int | None = None) -> DataFrame:
     """Sessions of each user, split where the gap reaches ``gap_seconds``.
 
-    Starts are found with the chunked running maximum and numbered with the chunked
-    running count, so even one user holding most rows is spread over many tasks.
+    Events move once, by user and time bucket of ``width`` seconds. Inside a bucket they
+    are summed to parts of sessions, and only parts are put together over buckets, so even
+    one user holding most rows is spread over many tasks.
     """
     keyed = events.select(
         "user_id", F.col("ts").cast("timestamp").alias("ts"), "event_id", "event_type", "value"
     )
-    staged = stage_in_order(keyed, ("user_id",), **options)
+    key = ("user_id",)
     seen = with_running(
-        staged, {"last_ts": Running("max", F.col("ts"), inclusive=False)}, ("user_id",)
+        chunked(keyed, width=width), {"last_ts": Running("max", F.col("ts"), inclusive=False)}, key
     )
     gap = F.unix_micros("ts") - F.unix_micros("last_ts")
     starts = F.col("last_ts").isNull() | (gap >= gap_seconds * 1_000_000)
-    numbered = with_running(
-        seen.withColumn("starts", starts.cast("bigint")),
-        {"session": Running("sum", F.col("starts"))},
-        ("user_id",),
+    bucket = Window.partitionBy(*key, "chunk").orderBy("ts", "event_id")
+    part = F.sum(starts.cast("bigint")).over(bucket.rowsBetween(Window.unboundedPreceding, 0))
+    parts = seen.withColumn("part", part).groupBy("user_id", "chunk", "part").agg(
+        F.min("ts").alias("start"),
+        F.max("ts").alias("end"),
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(F.col("event_type") == "error").alias("wrong"),
+        F.sum("value").alias("value"),
     )
-    return numbered.groupBy("user_id", "session").agg(*_aggregates())
+    opens = (F.col("part") > 0).cast("bigint")  # part 0 goes on with the session before its bucket
+    numbered = running(
+        parts.drop("chunk"), {"session": Running("sum", opens)}, key, ("start", "part"), width
+    )
+    merged = _aggregates("start", "end", F.sum("n"), F.sum("wrong"))
+    return numbered.groupBy("user_id", "session").agg(*merged)
 
 
 def session_features_stream(events: DataFrame, gap: str, watermark: str) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewarden.functions.features import feature_value, feature_vector
-from tidewarden.operators.ordered import Running, stage_in_order, with_running
+from tidewarden.operators.ordered import Running, running
 from tidewarden.schema import FEATURES
 
 
@@ -102,17 +102,16 @@ def running_feature_stats(events: DataFrame, **options) -> DataFrame:
     values = events.select(
         "shard", "ts", "event_id", *[feature_value(name).alias(name) for name in FEATURES]
     )
-    staged = stage_in_order(values, **options)
-    centres = staged.groupBy("shard").agg(
+    centres = values.groupBy("shard").agg(
         *[F.round(F.avg(name)).alias(f"_c_{name}") for name in FEATURES]
     )
-    centred = staged.join(centres, "shard")
+    centred = values.join(centres, "shard")
     sums = {"n": Running("sum", F.lit(1).cast("bigint"))}
     for name in FEATURES:
         shifted = F.col(name) - F.col(f"_c_{name}")
         sums[f"_s1_{name}"] = Running("sum", shifted)
         sums[f"_s2_{name}"] = Running("sum", shifted * shifted)
-    summed = with_running(centred, sums)
+    summed = running(centred, sums, **options)
     columns = []
     for name in FEATURES:
         s1, s2 = F.col(f"_s1_{name}"), F.col(f"_s2_{name}")

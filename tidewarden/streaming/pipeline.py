@@ -6,11 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from tidewarden.learning.exact import detections_of, fold_input
-from tidewarden.learning.mixing import ROWS_PER_SLICE, MixRun, mix_batch
+from tidewarden.learning.exact import detections_of
+from tidewarden.learning.mixing import ROWS_PER_SLICE, MixRun, mix_batch, sliced
 from tidewarden.operators.ensemble import initial_state, shard_list
 from tidewarden.operators.metrics import detection_metrics
-from tidewarden.operators.ordered import stage_in_order
 from tidewarden.schema import DetectorOptions
 from tidewarden.sources.codec import CORRUPT, apply_defaults, decode_events, split_bad_records
 from tidewarden.sources.model_store import append_log, is_written, save_model, versions
@@ -47,12 +46,8 @@ class MixingBatches:
             events = with_event_ids(apply_defaults(good), 1)
             path = f"{self.run.slices_path}/batch={batch}"
             if not is_written(self.run.spark, path):
-                stage_in_order(
-                    fold_input(events, self.options),
-                    keys=(),
-                    rows_per_chunk=self.rows_per_slice,
-                    path=path,
-                )
+                cut = sliced(events, self.options, self.rows_per_slice)
+                cut.write.mode("overwrite").parquet(path)
         finally:
             decoded.unpersist()
         slices = self.run.spark.read.parquet(path)
