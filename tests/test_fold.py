@@ -6,6 +6,7 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tidewarden.learning.adwin import AdaptiveWindow
 from tidewarden.learning.detector import Detector, fold_block
@@ -169,3 +170,28 @@ def test_window_of_blocks_keeps_totals():
     assert window.width == 30_000 and window.estimate == pytest.approx(0.07)
     assert sum(len(row) for row in window.rows) < 50
     assert any([window.add(30.0, 100) for _ in range(40)])
+
+
+def test_resumed_fold_equals_one_fold(spark, traffic, tmp_path):
+    """Detectors saved after each third go on as if never stopped: drift window, zone and counters included."""
+    from tidewarden.learning.exact import detections_of, exact_fold, final_detectors
+    from tidewarden.sources.model_store import load_detectors, save_detectors
+
+    options = DetectorOptions(n_models=3, drift_delta=0.3)
+    whole = detections_of(exact_fold(traffic, options))
+    cuts = traffic.agg(F.percentile_approx("ts", [0.33, 0.66], 10000)).first()[0]
+    parts = (F.col("ts") < cuts[0], (F.col("ts") >= cuts[0]) & (F.col("ts") < cuts[1]), F.col("ts") >= cuts[1])
+    found, start = None, None
+    for version, part in enumerate(parts):
+        exact_fold(traffic.filter(part), options, start).write.parquet(str(tmp_path / f"fold{version}"))
+        folded = spark.read.parquet(str(tmp_path / f"fold{version}"))
+        found = detections_of(folded) if found is None else found.unionByName(detections_of(folded))
+        save_detectors(final_detectors(folded), str(tmp_path / "store"), version)
+        start = load_detectors(spark, str(tmp_path / "store"))
+    columns = ("event_id", "is_bot_pred", "vote", "instance_number", "drift", "warning", "window_length", "in_warning_zone")
+    assert found.count() == traffic.count()
+    assert found.select(*columns).exceptAll(whole.select(*columns)).isEmpty()
+
+    idle = exact_fold(traffic.limit(0), options, start)
+    kept = {r["shard"]: r["detector"] for r in start.collect()}
+    assert {r["shard"]: r["detector"] for r in final_detectors(idle).collect()} == kept

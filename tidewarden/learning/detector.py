@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
 import numpy as np
 
 from tidewarden.learning.adwin import AdaptiveWindow
-from tidewarden.learning.kernel import Model, train_block
+from tidewarden.learning.kernel import Model, model_of_row, row_of_model, train_block
 from tidewarden.schema import MODEL_THRESHOLD, DetectorOptions
 
 BLOCK_ROWS = 2048
@@ -27,6 +28,29 @@ class Detector:
         )
 
 
+def detector_to_json(detector: Detector) -> str:
+    """Text form of a detector; doubles are written so that they read back equal."""
+    return json.dumps(
+        {
+            "models": [row_of_model(0, m, 0, model) for m, model in enumerate(detector.models)],
+            "rows": detector.window.rows,
+            "ticks": detector.window.ticks,
+            "in_warning_zone": detector.in_warning_zone,
+            "checks": detector.checks,
+        }
+    )
+
+
+def detector_from_json(text: str, options: DetectorOptions) -> Detector:
+    kept = json.loads(text)
+    return Detector(
+        [model_of_row(row) for row in kept["models"]],
+        AdaptiveWindow(options.drift_delta, kept["rows"], kept["ticks"]),
+        kept["in_warning_zone"],
+        kept["checks"],
+    )
+
+
 def ensemble_votes(
     scores: np.ndarray, accuracy: np.ndarray | None
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

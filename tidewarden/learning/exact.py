@@ -12,13 +12,19 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewarden.functions.draws import copies_per_model
 from tidewarden.functions.features import feature_value
-from tidewarden.learning.detector import BLOCK_ROWS, Detector, fold_block
+from tidewarden.learning.detector import (
+    BLOCK_ROWS,
+    Detector,
+    detector_from_json,
+    detector_to_json,
+    fold_block,
+)
 from tidewarden.learning.kernel import row_of_model
 from tidewarden.schema import (
     DETECTION_SCHEMA,
@@ -42,6 +48,7 @@ WATCHED_SCHEMA = T.StructType(DETECTION_SCHEMA.fields + _WATCHED)
 FOLD_SCHEMA = T.StructType(
     WATCHED_SCHEMA.fields + [T.StructField("models", T.ArrayType(MODEL_STATE_SCHEMA))]
 )
+EXACT_SCHEMA = T.StructType(FOLD_SCHEMA.fields + [T.StructField("detector", T.StringType())])
 
 
 def copy_columns(options: DetectorOptions) -> list[str]:
@@ -80,13 +87,14 @@ def fold_frame(detector: Detector, frame: pd.DataFrame, options: DetectorOptions
 
 
 def _state_frame(shard: int, detector: Detector) -> pd.DataFrame:
-    empty = {name: [None] for name in FOLD_SCHEMA.fieldNames()}
+    empty = {name: [None] for name in EXACT_SCHEMA.fieldNames()}
     rows = [row_of_model(shard, m, 1, model) for m, model in enumerate(detector.models)]
-    return pd.DataFrame({**empty, "shard": [shard], "models": [rows]})
+    kept = {"models": [rows], "detector": [detector_to_json(detector)]}
+    return pd.DataFrame({**empty, "shard": [shard], **kept})
 
 
-def dealt(rows: DataFrame, group: str) -> DataFrame:
-    """Rows in event order within their group, the numbered groups dealt out in turn.
+def dealt(rows: DataFrame, group: str, *first: Column) -> DataFrame:
+    """Rows in event order within their group (after ``first``), the numbered groups dealt out in turn.
 
     Hashing a few group numbers can put many on one task, and so can merging small
     partitions; here each task gets as many groups as any other. The grouped fold that
@@ -94,31 +102,57 @@ def dealt(rows: DataFrame, group: str) -> DataFrame:
     """
     width = shuffle_width(rows.sparkSession)
     return rows.repartitionById(width, F.col(group)).sortWithinPartitions(
-        group, "ts", "event_id"
+        group, *first, "ts", "event_id"
     )
 
 
-def exact_fold(events: DataFrame, options: DetectorOptions) -> DataFrame:
+def exact_fold(
+    events: DataFrame, options: DetectorOptions, start: DataFrame | None = None
+) -> DataFrame:
     """Detections of every event, then one row per shard with the final models.
 
-    Use :func:`detections_of` and :func:`final_state` on the (written) result.
+    Use :func:`detections_of`, :func:`final_state` and :func:`final_detectors` on the
+    (written) result. ``start`` (shard, detector; one row per shard) holds detectors of an
+    earlier fold to go on from, with drift window, zone and counters; it travels as the first
+    row of its shard. Shards without one start fresh; those without events keep theirs.
     """
-    names = FOLD_SCHEMA.fieldNames()
+    names = EXACT_SCHEMA.fieldNames()
     ship_package(events.sparkSession)
 
     def fold(key: tuple, frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        detector = Detector.fresh(options)
+        detector = None
         for frame in frames:
+            if detector is None and len(frame):
+                kept = frame["detector"].iloc[0] if "detector" in frame else None
+                detector = detector_from_json(kept, options) if kept else Detector.fresh(options)
+                frame = frame.iloc[1:] if kept else frame
             if len(frame):
-                yield fold_frame(detector, frame, options).assign(models=None)[names]
+                folded = fold_frame(detector, frame, options)
+                yield folded.assign(models=None, detector=None)[names]
         yield _state_frame(int(key[0]), detector)[names]
 
-    ordered = dealt(fold_input(events, options), "shard")
-    return ordered.groupBy("shard").applyInPandas(fold, FOLD_SCHEMA)
+    rows = fold_input(events, options)
+    if start is None:
+        ordered = dealt(rows, "shard")
+    else:
+        zeros = [  # no nulls, so that whole numbers stay whole numbers in the fold
+            F.lit(0).cast(field.dataType).alias(field.name)
+            for field in rows.schema
+            if field.name not in ("shard", "ts")
+        ]
+        first = start.filter("detector is not null").select("shard", "detector", *zeros)
+        rows = rows.unionByName(first, allowMissingColumns=True)
+        ordered = dealt(rows, "shard", F.col("detector").isNull())
+    return ordered.groupBy("shard").applyInPandas(fold, EXACT_SCHEMA)
 
 
 def detections_of(folded: DataFrame) -> DataFrame:
-    return folded.filter(F.col("event_id").isNotNull()).drop("models")
+    return folded.filter(F.col("event_id").isNotNull()).drop("models", "detector")
+
+
+def final_detectors(folded: DataFrame) -> DataFrame:
+    """(shard, detector): everything a later fold needs to go on."""
+    return folded.filter(F.col("event_id").isNull()).select("shard", "detector")
 
 
 def final_state(folded: DataFrame) -> DataFrame:

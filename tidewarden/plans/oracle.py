@@ -569,5 +569,13 @@ FINAL: dict[str, str] = {
 }
 
 
+FINAL["a9_resume"] = FINAL["f7_detect"]
+FINAL["d17_learned_report"] = """select shard, round(avg(accuracy) over (partition by shard),6) as avg_accuracy,
+  model_id, n as instances, correct, round(accuracy,6) as accuracy from (
+  select shard, model_id, count(*) filter (where (score>0.7::double)=is_bot) as correct,
+    count(*) filter (where (score>0.7::double)=is_bot)/count(*)::double as accuracy
+  from f_scores group by shard, model_id) join f_last using (shard, model_id)"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {name: _with(sql) for name, sql in FINAL.items()}

@@ -16,7 +16,13 @@ from tidewarden.functions.features import (
     with_features,
     zscores,
 )
-from tidewarden.learning.exact import detections_of, drift_events_of, exact_fold, final_state
+from tidewarden.learning.exact import (
+    detections_of,
+    drift_events_of,
+    exact_fold,
+    final_detectors,
+    final_state,
+)
 from tidewarden.learning.mixing import mix
 from tidewarden.operators import detect as detecting
 from tidewarden.operators import drift, ensemble, metrics, sampling, sessions, statistics
@@ -277,6 +283,32 @@ def a9_model_store(spark, folder):
     return _state_summary(model_store.load_model(spark, path))
 
 
+@query
+def a9_resume(spark, folder):
+    """Detectors learned from the earlier half of the time, saved, loaded and taken on over the later one."""
+    rows = stored_events(spark, folder)
+    at = F.unix_micros("ts")
+    first, last = rows.agg(F.min(at), F.max(at)).first()
+    early = F.coalesce(at < ((first or 0) + (last or 0)) // 2, F.lit(True))
+    path = scratch_path(spark, "detectors")
+    before = written(exact_fold(rows.filter(early), FOLD_OPTIONS), "folded")
+    model_store.save_detectors(final_detectors(before), path, 0)
+    start = model_store.load_detectors(spark, path)
+    after = exact_fold(rows.filter(~early), FOLD_OPTIONS, start)
+    return _detected(detections_of(before).unionByName(detections_of(after)))
+
+
+def _detected(found: DataFrame) -> DataFrame:
+    return found.select(
+        "event_id",
+        "is_bot_pred",
+        "vote",
+        rounded("confidence").alias("confidence"),
+        "bot_votes",
+        "human_votes",
+    )
+
+
 def _state_summary(state: DataFrame) -> DataFrame:
     """A state as plain columns, array values in long form."""
     return state.select(
@@ -676,6 +708,17 @@ def d17_ensemble_report(spark, folder):
     )
 
 
+@query
+def d17_learned_report(spark, folder):
+    """The report on models that the exact fold has learned, with their votes that were right."""
+    folded = exact_fold(events(spark, folder), FOLD_OPTIONS)
+    report = ensemble.ensemble_report(final_state(folded))
+    per_model = report.select("shard", rounded("avg_accuracy").alias("avg_accuracy"), F.explode("models").alias("m"))
+    return per_model.select(
+        "shard", "avg_accuracy", "m.model_id", "m.instances", "m.correct", rounded("m.accuracy").alias("accuracy")
+    )
+
+
 @query
 def a11_metrics_snapshot(spark, folder):
     """The snapshot document, read back from its JSON text."""
@@ -897,15 +940,7 @@ def f6_ensemble_prequential(spark, folder):
 
 @query
 def f7_detect(spark, folder):
-    folded = exact_fold(events(spark, folder), FOLD_OPTIONS)
-    return detections_of(folded).select(
-        "event_id",
-        "is_bot_pred",
-        "vote",
-        rounded("confidence").alias("confidence"),
-        "bot_votes",
-        "human_votes",
-    )
+    return _detected(detections_of(exact_fold(events(spark, folder), FOLD_OPTIONS)))
 
 
 @query

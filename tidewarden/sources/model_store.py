@@ -43,13 +43,27 @@ def versions(spark: SparkSession, path: str) -> list[int]:
     return [v for v in found if is_written(spark, f"{path}/version={v}")]
 
 
+def _newest(spark: SparkSession, path: str) -> int:
+    known = versions(spark, path)
+    if not known:
+        raise FileNotFoundError(f"no model version in {path}")
+    return known[-1]
+
+
+def save_detectors(detectors: DataFrame, path: str, version: int) -> None:
+    """Write one version of whole detectors (shard, detector), as an exact fold ends with them."""
+    detectors.select("shard", "detector").write.mode("overwrite").parquet(f"{path}/version={version}")
+
+
+def load_detectors(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
+    """One version of whole detectors, the newest by default."""
+    version = _newest(spark, path) if version is None else version
+    return spark.read.parquet(f"{path}/version={version}").select("shard", "detector")
+
+
 def load_model(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
     """One version of the state, the newest by default; only its folder is read."""
-    if version is None:
-        known = versions(spark, path)
-        if not known:
-            raise FileNotFoundError(f"no model version in {path}")
-        version = known[-1]
+    version = _newest(spark, path) if version is None else version
     stored = spark.read.parquet(f"{path}/version={version}")
     return stored.withColumn("version", F.lit(version).cast("bigint")).select(*STATE_COLUMNS)
 

@@ -2,44 +2,18 @@
 
 from __future__ import annotations
 
-import json
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from tidewarden.learning.adwin import AdaptiveWindow
-from tidewarden.learning.detector import Detector
+from tidewarden.learning.detector import Detector, detector_from_json, detector_to_json
 from tidewarden.learning.exact import WATCHED_SCHEMA, fold_frame, fold_input
-from tidewarden.learning.kernel import model_of_row, row_of_model
 from tidewarden.schema import DetectorOptions
 from tidewarden.session import ship_package
 
 
-def detector_to_json(detector: Detector) -> str:
-    """Text form of a detector; doubles are written so that they read back equal."""
-    return json.dumps(
-        {
-            "models": [row_of_model(0, m, 0, model) for m, model in enumerate(detector.models)],
-            "rows": detector.window.rows,
-            "ticks": detector.window.ticks,
-            "in_warning_zone": detector.in_warning_zone,
-            "checks": detector.checks,
-        }
-    )
-
-
-def detector_from_json(text: str, options: DetectorOptions) -> Detector:
-    kept = json.loads(text)
-    return Detector(
-        [model_of_row(row) for row in kept["models"]],
-        AdaptiveWindow(options.drift_delta, kept["rows"], kept["ticks"]),
-        kept["in_warning_zone"],
-        kept["checks"],
-    )
-
-
 class ShardDetector(StatefulProcessor):
     """Folds a shard's new events into its detector, in event order per micro-batch."""
 
