@@ -26,6 +26,10 @@ from tidewarden.llm.text import mix64, slices, text_of, utf8, word_hashes, words
 from tidewarden.session import ship_package, written
 
 
+#: Texts are scored this many characters at a time (a longer text by itself), which bounds the arrays of a task.
+SCORED_CHARS = 1 << 19
+
+
 @dataclass(frozen=True)
 class LmOptions:
     """``contexts``: three-byte contexts that the trie holds at most, those with most text
@@ -275,8 +279,11 @@ def score(docs: DataFrame, held_out: Column, options: LmOptions = LmOptions(),
         word, n = counts["word"].to_numpy()[order], counts["n"].to_numpy()[order]
         floor = np.log10(1.0 / (tokens + distinct + 1.0))
         out = []
-        for at in range(0, len(texts), 1000):
-            part = texts.iloc[at : at + 1000]
+        sizes = np.array([len(text) if isinstance(text, str) else 0 for text in texts["text"]])
+        nth = np.cumsum(sizes + 64) // SCORED_CHARS
+        cuts = np.append(np.flatnonzero(np.append(True, np.diff(nth) > 0)), len(texts)) if len(texts) else [0]
+        for at, end in zip(cuts[:-1], cuts[1:]):
+            part = texts.iloc[at:end]
             column = pa.array(part["text"], pa.large_string(), from_pandas=True)
             bits = code_lengths(column, shared.value)
             words = words_of(column, lower=True)
@@ -288,8 +295,8 @@ def score(docs: DataFrame, held_out: Column, options: LmOptions = LmOptions(),
                 count[hit] = n[place[hit]]
             add = lambda x: np.diff(np.concatenate([[0.0], np.cumsum(x)])[words.first])
             sizes = np.diff(words.first)
-            end = np.log10((taught + 1.0) / (tokens + distinct + 1.0))
-            base = add(np.log10(count + 1.0)) + sizes * floor + end
+            last = np.log10((taught + 1.0) / (tokens + distinct + 1.0))
+            base = add(np.log10(count + 1.0)) + sizes * floor + last
             size = pa.compute.fill_null(pa.compute.binary_length(column), 0).to_numpy(zero_copy_only=False)
             out.append(pd.DataFrame({
                 "id": part["id"], "held_out": part["held_out"], "n_tokens": sizes + 1,
