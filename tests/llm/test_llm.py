@@ -185,6 +185,21 @@ def test_jaccard_against_all_pairs(spark, docs, odd, empty, options):
     assert jaccard.similar_documents(empty).count() == 0
 
 
+def test_jaccard_of_a_text_that_many_share(spark):
+    """Texts of a shared part and 19 % of their own, beside a group of 320 copies and near copies of it, each meet the group."""
+    draw = random.Random(10)
+    base = [f"b{draw.randint(0, 10**6)}" for _ in range(120)]
+    rows = []
+    for i in range(320):
+        text = list(base)
+        text[i % 120] = f"c{i}" if i else text[0]
+        rows.append((i, " ".join(text)))
+    rows += [(1000 + i, " ".join([*base, *(f"own{i}x{j}" for j in range(28))])) for i in range(200)]
+    options = jaccard.JaccardOptions(at_least=80)
+    found = jaccard.similar_documents(spark.createDataFrame(rows, "doc_id long, text string"), options).collect()
+    assert len(found) == 520 and {r["component_id"] for r in found} == {0}
+
+
 def test_language(spark, docs, odd, empty):
     held_out = remainder(5) == 0
     model = language.learn(docs.where(~held_out))

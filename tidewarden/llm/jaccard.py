@@ -1,9 +1,9 @@
 """Exact Jaccard join of documents' word shingles with signature trees.
 
 Documents with equal shingle sets are one class. The others meet where they share a key: a
-key is one of the first ``keys`` shingles of a set in an order by hash that puts very frequent
-shingles last. Two sets at the threshold share none of them only if all those shingles fall
-in what the sets don't share: a probability below (1 - J + 0.1) ** keys, 1e-9 for J = 0.8.
+key is one of the ``keys`` shingles of lowest hash of a set, however frequent it is. Two sets
+of similarity J share no key only if ``keys`` shingles that one set has alone come before all
+that they share in a random order: a probability of at most 2 * (1 - J) ** keys, 1e-12 for J = 0.8.
 
 Sets that meet are searched by a signature tree: a node holds the OR of its sets' bitmaps and
 their range of sizes, and two nodes are followed only if the bits that they share allow the
@@ -31,15 +31,14 @@ from tidewarden.session import ship_package, written
 
 @dataclass(frozen=True)
 class JaccardOptions:
-    """Sets link when ``of`` * intersection >= ``at_least`` * union. ``hot``: a shingle that so
-    many documents, or one in ``hot_share``, have among their lowest is put last in the order;
-    ``block``: sets that are compared with each other at once."""
+    """Sets link when ``of`` * intersection >= ``at_least`` * union. ``hot``: a key that so many
+    sets, or one in ``hot_share``, have is counted and its sets dealt into blocks; ``block``:
+    sets that are compared with each other at once."""
 
     shingle: int = 4
     at_least: int = 85
     of: int = 100
     keys: int = 18
-    lowest: int = 64
     hot: int = 256
     hot_share: int = 2000
     block: int = 1024
@@ -273,7 +272,7 @@ def similar_documents(docs: DataFrame, options: JaccardOptions = JaccardOptions(
             sums = [[int((mix64(s ^ np.uint64(salt))).sum(dtype=np.uint64).view(np.int64)) for s in sets] for salt in (0x51ED, 0xA7C3)]
             yield pa.RecordBatch.from_arrays(
                 [part.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(sums[0], pa.int64()), pa.array(sums[1], pa.int64()),
-                 pa.array([s[: options.lowest].tobytes() for s in sets], pa.binary()), pa.array([bitmap(s).tobytes() for s in sets], pa.binary())],
+                 pa.array([s[: options.keys].tobytes() for s in sets], pa.binary()), pa.array([bitmap(s).tobytes() for s in sets], pa.binary())],
                 names=["id", "n", "s", "t", "low", "bits"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
@@ -290,7 +289,7 @@ def similar_documents(docs: DataFrame, options: JaccardOptions = JaccardOptions(
             yield pa.RecordBatch.from_arrays([pa.array(key[some].view(np.int64)), pa.array(n[some].astype(np.int64))], names=["key", "n"])
 
     counted = reps.select("low").mapInArrow(frequent, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-    hot_rows = counted.where(F.col("n") >= max(options.hot, most)).collect()  # lowest * hot_share rows at most, or lowest * docs / hot if fewer
+    hot_rows = counted.where(F.col("n") >= max(options.hot, most)).collect()  # keys * hot_share rows at most, or keys * docs / hot if fewer
     hot_rows.sort(key=lambda r: r["key"])
     hot = spark.sparkContext.broadcast((np.array([r["key"] for r in hot_rows], np.int64), np.array([r["n"] for r in hot_rows], np.int64)))
 
@@ -305,11 +304,8 @@ def similar_documents(docs: DataFrame, options: JaccardOptions = JaccardOptions(
             if len(hot_key) and len(key):
                 at = np.minimum(np.searchsorted(hot_key, key), len(hot_key) - 1)
                 n[hot_key[at] == key] = hot_n[at[hot_key[at] == key]]
-            order = np.lexsort((key.view(np.uint64), n > 0, row))
-            rank = np.arange(len(key)) - np.repeat(np.cumsum(size) - size, size)
-            keep = order[rank < options.keys]
-            blocks = np.maximum(1, -(-n[keep] // options.block))
-            yield pa.RecordBatch.from_arrays([pa.array(key[keep]), batch.column(0).take(pa.array(row[keep])), pa.array(blocks)], names=["key", "rep", "blocks"])
+            blocks = np.maximum(1, -(-n // options.block))
+            yield pa.RecordBatch.from_arrays([pa.array(key), batch.column(0).take(pa.array(row)), pa.array(blocks)], names=["key", "rep", "blocks"])
 
     keys = reps.select("rep", "n", "low").mapInArrow(keyed, "key long, rep long, blocks long")
     routes = written(_routes(keys, "key", "blocks"), "keys")
