@@ -259,6 +259,26 @@ def test_leaks(spark, odd, empty):
     assert decontaminate.leaks(odd, bench).count() == 0 and decontaminate.drop_leaked(empty, bench).count() == 0
 
 
+def test_leaks_at_any_offset():
+    draw = random.Random(11)
+    item = "".join(draw.choice("abcdefghij") for _ in range(390))
+    other = "".join(draw.choice("klmnopqrst ") for _ in range(500))
+    edited = lambda part: part[:40] + "Z" + part[41:80] + part[81:]
+    texts = [other + item[at : at + 120] + other for at in range(271)] + [other + edited(item[at : at + 122]) + other for at in range(0, 268, 7)]
+    texts += [other + item[at : at + 70] + other for at in range(0, 320, 40)]
+    index = decontaminate.build_index([0], [item], decontaminate.LeakOptions())
+    found = collections.defaultdict(list)
+    for t, _, w, start, end, edits in decontaminate.find_leaks(pa.array(texts), index, decontaminate.LeakOptions()):
+        assert edits == min(distance(item[w : w + 120], texts[t][start : end]), edits) and edits <= 8
+        found[t].append(w)
+    assert set(found) == set(range(len(texts) - 8))
+    short = ["yes", "what is red?", "name the ninth planet", ""]
+    index = decontaminate.build_index(short, short, decontaminate.LeakOptions())
+    texts = ["oh Yes, no", "yesterday eyes", "say: What  is red? ", "x name the nineth planet", "name a planet", None, ""]
+    rows = {(t, i, texts[t][s:e], k) for t, i, _, s, e, k in decontaminate.find_leaks(pa.array(texts), index, decontaminate.LeakOptions())}
+    assert rows == {(0, 0, "Yes", 0), (2, 1, "What  is red?", 0), (3, 2, "name the nineth planet", 1)}
+
+
 def test_alignment_is_the_edit_distance():
     draw = random.Random(7)
     for _ in range(100):

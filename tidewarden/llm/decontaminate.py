@@ -1,10 +1,14 @@
 """Benchmark decontamination: q-gram lemma filtering and banded alignment.
 
-Benchmark items are cut into overlapping windows. If a text holds a window with at most k
-edits, both share at least ``m + 1 - q * (k + 1)`` q-grams whose diagonals (position in the
-text less position in the window) lie within k of each other. Shared q-grams are counted in
-overlapping bands of diagonals; bands that reach the bound are verified by an alignment that
-stays inside the band.
+If a text holds a window of ``m`` bytes of a benchmark item, begun anywhere in the item, with at
+most k edits, both share at least ``m + 1 - q * (k + 1)`` q-grams whose diagonals (position in
+the text less position in the item) lie within k of each other. Shared q-grams of all places of
+an item are counted in overlapping bands of diagonals; windows that reach the bound there are
+verified by an alignment that stays inside the band. So every passage of ``window`` bytes is
+found at any offset. A passage gives a row for each window of the ``stride`` steps that it
+holds, or one for its best window if it holds none of them.
+
+Items under ``least`` bytes are searched for whole: of k + 1 pieces one has no edit.
 """
 
 from __future__ import annotations
@@ -24,8 +28,9 @@ from tidewarden.session import ship_package
 
 @dataclass(frozen=True)
 class LeakOptions:
-    """``window``: bytes of an item that count as a passage; one edit is allowed for every
-    ``bytes_per_edit``. ``block_bytes``: benchmark text that one pass holds in memory."""
+    """``window``: bytes of an item that count as a passage, or the whole of a shorter item; one
+    edit is allowed for every ``bytes_per_edit``. ``stride``: steps of the windows that give rows
+    of their own. ``block_bytes``: benchmark text that one pass holds in memory."""
 
     window: int = 120
     stride: int = 60
@@ -65,40 +70,43 @@ def _grams(data: np.ndarray, q: int) -> np.ndarray:
 @dataclass(frozen=True)
 class LeakIndex:
     items: list
-    item_of: np.ndarray
-    begin: np.ndarray  # place of each window in its item, in normalised bytes
-    windows: list[bytes]
+    texts: list[bytes]  # normalised
+    window: np.ndarray  # bytes of an item's windows: all of a short item
     edits: np.ndarray
     bound: np.ndarray
-    codes: np.ndarray  # sorted q-gram codes, repeated
-    window_of: np.ndarray
+    codes: np.ndarray  # sorted q-gram codes of all places of the longer items, repeated
+    item_of: np.ndarray
     place: np.ndarray
     seen: np.ndarray
+    pieces: dict  # bytes of a piece: its sorted codes, the short items and the places in them
 
 
 def build_index(items: list, texts: list[str], options: LeakOptions) -> LeakIndex:
-    item_of, begin, windows = [], [], []
-    for i, text in enumerate(texts):
+    data = []
+    for text in texts:
         raw = np.frombuffer((text or "").encode(), np.uint8)
-        data = normalise(raw, np.array([0, len(raw)]))[0].tobytes().strip(b" ")
-        if len(data) < options.least:
-            continue
-        last = max(0, len(data) - options.window)
-        for at in sorted({*range(0, last, options.stride), last}):
-            item_of.append(i)
-            begin.append(at)
-            windows.append(data[at : at + options.window])
-    m = np.array([len(w) for w in windows], np.int64)
+        data.append(normalise(raw, np.array([0, len(raw)]))[0].tobytes().strip(b" "))
+    size = np.array([len(d) for d in data], np.int64)
+    m = np.minimum(size, options.window)
     edits = m // options.bytes_per_edit
-    codes = [_grams(np.frombuffer(w, np.uint8), options.q) for w in windows]
-    window_of = np.repeat(np.arange(len(windows)), [len(c) for c in codes])
-    place = np.concatenate([np.arange(len(c)) for c in codes] or [np.zeros(0, int)])
-    code = np.concatenate(codes or [np.zeros(0, np.uint64)])
+    grams = [_grams(np.frombuffer(d, np.uint8), options.q) if len(d) >= options.least else np.zeros(0, np.uint64) for d in data]
+    item_of = np.repeat(np.arange(len(data)), [len(g) for g in grams])
+    place = np.concatenate([np.arange(len(g)) for g in grams] or [np.zeros(0, int)])
+    code = np.concatenate(grams or [np.zeros(0, np.uint64)])
     order = np.argsort(code, kind="stable")
     seen = np.zeros(1 << FILTER_BITS, bool)
     seen[code >> np.uint64(64 - FILTER_BITS)] = True
-    return LeakIndex(list(items), np.array(item_of, int), np.array(begin, int), windows, edits,
-                     m + 1 - options.q * (edits + 1), code[order], window_of[order], place[order], seen)
+    short: dict[int, list] = {}
+    for i in np.flatnonzero((size > 0) & (size < options.least)).tolist():  # of k + 1 pieces one has no edit
+        cuts = np.linspace(0, size[i], edits[i] + 2).astype(int)
+        for at, end in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+            piece = data[i][at : min(end, at + 8)]
+            short.setdefault(len(piece), []).append((int.from_bytes(piece, "little"), i, at))
+    pieces = {}
+    for n, found in short.items():
+        found.sort()
+        pieces[n] = (np.array([f[0] for f in found], np.uint64), np.array([f[1] for f in found]), np.array([f[2] for f in found]))
+    return LeakIndex(list(items), data, m, edits, m + 1 - options.q * (edits + 1), code[order], item_of[order], place[order], seen, pieces)
 
 
 def align(window: bytes, region: bytes, low: int, width: int, budget: int) -> tuple[int, int, int] | None:
@@ -133,10 +141,37 @@ def align(window: bytes, region: bytes, low: int, width: int, budget: int) -> tu
     return int(cost[end]), int(origin[end]), int(end + low + len(w))
 
 
+def fewest_edits(windows: np.ndarray, starts: np.ndarray, region: np.ndarray, low: int, width: int, budget: int) -> np.ndarray:
+    """Edits of the best place of every window (one a row, beginning at ``starts`` of its item), above the budget if there is none.
+
+    Diagonals are places in the region less places in the item: low to low + width - 1.
+    """
+    steps, far = np.arange(width), 1 << 20
+    column = starts[:, None] + low + steps
+    cost = np.where((column >= 0) & (column <= len(region)), 0, far)
+    for i in range(windows.shape[1]):
+        column = column + 1
+        inside = (column >= 1) & (column <= len(region))
+        same = region[np.clip(column - 1, 0, len(region) - 1)] != windows[:, i, None]
+        new = np.where(inside, cost + same, far)
+        new[:, :-1] = np.minimum(new[:, :-1], cost[:, 1:] + 1)
+        new[(column < 0) | (column > len(region))] = far
+        cost = np.minimum.accumulate(new - steps, axis=1) + steps
+        cost[(column < 0) | (column > len(region))] = far
+        if cost.min() > budget:
+            break
+    return cost.min(axis=1)
+
+
 def find_leaks(column, index: LeakIndex, options: LeakOptions):
-    """Rows (text number, window, start byte, end byte, edits) for the texts of a slice."""
+    """Rows (text number, item, place in the item, start byte, end byte, edits) for the texts of a slice."""
     raw, offsets = utf8(column)
     data, at, places = normalise(raw, offsets)
+    if not len(data):
+        return
+    originals = lambda t, s, e: (int(places[s]) - int(offsets[t]), int(places[e - 1]) + 1 - int(offsets[t]))
+    for t, item, s, e, edits in _short_leaks(data, at, index):
+        yield (t, item, 0, *originals(t, s, e), edits)
     codes = _grams(data, options.q)
     hits = np.flatnonzero(index.seen[codes >> np.uint64(64 - FILTER_BITS)])
     if not len(hits):
@@ -148,40 +183,104 @@ def find_leaks(column, index: LeakIndex, options: LeakOptions):
     hits, lo, n, text = hits[good], lo[good], (hi - lo)[good], text[good]
     posting = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())
     text, hits = np.repeat(text, n), np.repeat(hits, n)
-    window = index.window_of[posting]
-    step = index.edits[window] + 1
-    diagonal = hits - at[text] - index.place[posting] + options.window
-    rows = np.stack([text, window, diagonal // step], axis=1)
-    cells, count = np.unique(rows, axis=0, return_counts=True)
-    if not len(cells):
+    if not len(hits):
         return
-    after = np.zeros(len(cells), bool)
-    after[:-1] = (cells[1:] == cells[:-1] + [0, 0, 1]).all(axis=1)
+    item, spot = index.item_of[posting], index.place[posting]
+    cell = (hits - at[text] - spot) // (index.edits[item] + 1)
+    order = np.lexsort((spot, cell, item, text))
+    text, item, cell, spot = text[order], item[order], cell[order], spot[order]
+    first = np.flatnonzero(np.append(True, (text[1:] != text[:-1]) | (item[1:] != item[:-1]) | (cell[1:] != cell[:-1])))
+    ends = np.append(first[1:], len(text))
+    after = np.zeros(len(first), bool)
+    a, b = first[:-1], first[1:]
+    after[:-1] = (text[a] == text[b]) & (item[a] == item[b]) & (cell[a] + 1 == cell[b])
+    count = ends - first
     reach = count + np.where(after, np.append(count[1:], 0), 0)
-    before = np.zeros(len(cells), bool)
-    before[1:] = after[:-1]
-    enough = reach >= index.bound[cells[:, 1]]
-    previous = None
-    for (t, w, cell) in cells[enough]:
-        k = int(index.edits[w])
-        lowest = cell * (k + 1) - options.window - k
-        begin, stop = int(at[t]), int(at[t + 1])
-        left = max(0, lowest)
-        region = data[begin + left : min(stop, begin + lowest + 4 * (k + 1) + len(index.windows[w]))].tobytes()
-        exact = region.find(index.windows[w])
-        if exact >= 0:
-            found = (0, exact, exact + len(index.windows[w]))
-        else:
-            found = align(index.windows[w], region, lowest - left, 4 * (k + 1), k)
-        if found is None or found[0] > k:
+    given: dict[tuple, list] = {}
+    for g in np.flatnonzero(reach >= index.bound[item[first]]).tolist():
+        t, i = int(text[first[g]]), int(item[first[g]])
+        m, k, whole = int(index.window[i]), int(index.edits[i]), index.texts[i]
+        mine = np.sort(spot[first[g] : ends[g + after[g]]])
+        starts = np.arange(len(whole) - m + 1)
+        shared = np.searchsorted(mine, starts + m - options.q, "right") - np.searchsorted(mine, starts, "left")
+        starts = starts[shared >= index.bound[i]]
+        if not len(starts):
             continue
-        edits, s, e = found
-        place = (t, w, begin + left + s)
-        if previous is not None and previous[:2] == place[:2] and abs(previous[2] - place[2]) <= k + 1:
-            continue  # the neighbouring band has the same place
-        previous = place
-        base = int(offsets[t])
-        yield int(t), int(w), int(places[place[2]]) - base, int(places[begin + left + e - 1]) + 1 - base, edits
+        lowest, width = int(cell[first[g]]) * (k + 1) - k, 4 * (k + 1)
+        before = given.setdefault((t, i), [])  # (place in the item, start in the texts) of the rows given
+        begin, stop = int(at[t]), int(at[t + 1])
+        last = len(whole) - m
+
+        def look(w: int):
+            """The window at ``w`` of the item in the band: (edits, start, end) in the texts, or None."""
+            left = max(0, lowest + w)
+            region = data[begin + left : min(stop, begin + lowest + w + width + m)].tobytes()
+            window = whole[w : w + m]
+            exact = region.find(window)
+            found = (0, exact, exact + m) if exact >= 0 else align(window, region, lowest + w - left, width, k)
+            return None if found is None or found[0] > k else (found[0], begin + left + found[1], begin + left + found[2])
+
+        def new(w: int, s: int) -> bool:
+            return not any(w == v and abs(s - r) <= k + 1 for v, r in before)
+
+        for w in starts[(starts % options.stride == 0) | (starts == last)].tolist():
+            found = look(w)
+            if found is not None and new(w, found[1]):  # else the neighbouring band has the same place
+                before.append((w, found[1]))
+                yield (t, i, w, *originals(t, found[1], found[2]), found[0])
+        # passages that hold no window of the steps: the best of all windows
+        near = lambda w: any(abs(w - v) < options.stride and abs((r - v) - (begin + lowest + 2 * k)) <= 4 * (k + 1) for v, r in before)
+        starts = np.array([w for w in starts.tolist() if not near(w)], np.int64)
+        source = np.frombuffer(whole, np.uint8)
+        for part in np.split(starts, np.arange(256, len(starts), 256)):
+            if not len(part):
+                continue
+            left = max(0, lowest + int(part[0]))
+            region = data[begin + left : min(stop, begin + lowest + int(part[-1]) + width + m)]
+            if not len(region):
+                continue
+            edits = fewest_edits(source[part[:, None] + np.arange(m)], part, region, lowest - left, width, k)
+            for w in part[np.argsort(edits, kind="stable")][: int((edits <= k).sum())].tolist():
+                if near(w):
+                    continue
+                found = look(w)
+                if found is not None:
+                    before.append((w, found[1]))
+                    yield (t, i, w, *originals(t, found[1], found[2]), found[0])
+
+
+WORD = np.zeros(256, bool)
+WORD[[*b"abcdefghijklmnopqrstuvwxyz0123456789", *range(128, 256)]] = True
+
+
+def _short_leaks(data: np.ndarray, at: np.ndarray, index: LeakIndex):
+    """Places (text, item, start, end, edits) of whole items under ``least`` bytes that stand between words."""
+    if not index.pieces:
+        return
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    loads = np.ndarray((len(data),), "<u8", padded, 0, (1,))
+    given = set()
+    for n, (codes, items, spots) in index.pieces.items():
+        mine = loads & np.uint64((1 << 8 * n) - 1)
+        lo, hi = np.searchsorted(codes, mine, "left"), np.searchsorted(codes, mine, "right")
+        for hit in np.flatnonzero(hi > lo).tolist():
+            t = int(np.searchsorted(at, hit, side="right")) - 1
+            begin, stop = int(at[t]), int(at[t + 1])
+            for p in range(int(lo[hit]), int(hi[hit])):
+                i, guess = int(items[p]), hit - int(spots[p])
+                m, k, whole = int(index.window[i]), int(index.edits[i]), index.texts[i]
+                left = max(begin, guess - k)
+                region = data[left : min(stop, guess + m + k)].tobytes()
+                exact = region.find(whole)
+                found = (0, exact, exact + m) if exact >= 0 else align(whole, region, guess - k - left, 2 * k + 1, k) if k else None
+                if found is None or found[0] > k:
+                    continue
+                s, e = left + found[1], left + found[2]
+                inside = s > begin and WORD[data[s - 1]] and WORD[data[s]] or e < stop and WORD[data[e]] and WORD[data[e - 1]]
+                if inside or any((t, i, s + d) in given for d in range(-k - 1, k + 2)):
+                    continue
+                given.add((t, i, s))
+                yield t, i, s, e, found[0]
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, options: LeakOptions = LeakOptions(),
@@ -191,8 +290,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, options: LeakOptions = LeakOpti
 
     start and end are code points of the document's text; item_start is the window's place in
     the item. Letter case of A-Z and the amount of white space do not count; edits are bytes.
-    Whole texts are searched. A null or empty text has no rows; items that are null or under
-    ``least`` bytes are never found; an empty benchmark gives no rows. Repeated documents and
+    Whole texts are searched. A null or empty text has no rows; null and empty items
+    are never found, those under ``least`` bytes only whole and not inside a word; an empty benchmark gives no rows. Repeated documents and
     items each get their own rows; other columns are not read. A benchmark over
     ``block_bytes`` is searched for in several passes, so memory does not grow with it.
     """
@@ -210,11 +309,11 @@ def leaks(docs: DataFrame, benchmark: DataFrame, options: LeakOptions = LeakOpti
             for part in slices(batches):
                 ids, texts = part.column(0), part.column(1)
                 out = [[] for _ in names + ("item_start", "start", "end", "edits")]
-                for t, w, start, end, edits in find_leaks(texts, index, options):
+                for t, i, w, start, end, edits in find_leaks(texts, index, options):
                     raw = np.frombuffer(texts[t].as_py().encode(), np.uint8)
                     leads = (raw & 0xC0) != 0x80  # first bytes of code points
                     first = int(leads[:start].sum()) - (not leads[start])
-                    values = (ids[t].as_py(), index.items[index.item_of[w]], int(index.begin[w]), first,
+                    values = (ids[t].as_py(), index.items[i], w, first,
                               int(leads[:end].sum()), edits)
                     for column, value in zip(out, values, strict=True):
                         column.append(value)
