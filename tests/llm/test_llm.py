@@ -332,6 +332,24 @@ def test_trie_lengths_are_probabilities():
     assert abs(lm.code_lengths(pa.array(["xban" + "a"]), trie)[0] - lm.code_lengths(pa.array(["xban"]), trie)[0] - 2.0) < 1e-5
 
 
+def test_every_learned_context_counts(spark):
+    """More three-byte contexts than 32,768: scores equal those of the whole trie laid out in memory."""
+    draw = random.Random(12)
+    texts = ["".join(chr(draw.randrange(0x4E00, 0x9FA0)) for _ in range(1500)) for _ in range(24)]
+    codes3, codes4 = collections.Counter(), collections.Counter()
+    for text in texts[:16]:
+        padded = b"\0\0\0" + text.encode()
+        codes4.update(int.from_bytes(padded[k : k + 4], "big") for k in range(len(padded) - 3))
+    for code, n in codes4.items():
+        codes3[code & 0xFFFFFF] += n
+    assert len({code >> 8 for code in codes4}) > 1 << 15
+    split = lambda c: (np.array(sorted(c)), np.array([c[x] for x in sorted(c)]))
+    want = lm.code_lengths(pa.array(texts), lm.lay_out(*split(codes3), *split(codes4)))
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in lm.score(table, F.col("doc_id") >= 16, lm.LmOptions(batch_bytes=30_000)).collect():
+        assert abs(r["score"] / -math.log10(2) - want[r["doc_id"]]) < 1e-4 * want[r["doc_id"]]
+
+
 def test_archive_audit(spark):
     rows = [(i, f"http://x/{i}", f"<p>{i}</p>\r\n\r\nWARC/1.0\r\n" * (i % 5)) for i in range(300)] + [(400, None, None), (None, "u", "h"), (401, "a\r\nb", "x")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("segment", F.lit(1)).withColumn("value", F.lit("v"))

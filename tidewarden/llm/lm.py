@@ -6,8 +6,11 @@ so what moves grows with batches' vocabularies and no table of all words is broa
 
 The byte part is a context trie of depth three. A byte seen after its longest context is
 coded there; else an escape (as likely as the context's number of distinct followers) leads
-to the next shorter context, where the followers already ruled out are excluded. The frozen
-trie is laid out as tables of fixed size, so that scoring is a few look-ups a byte.
+to the next shorter context, where the followers already ruled out are excluded. Counts of
+two-byte strings are shared; strings of four bytes (a three-byte context and its byte) are asked
+for as words are: a batch sends its distinct ones with what it teaches to the share of their last
+two context bytes, which holds all counts that a code length needs, and gets lengths back. All
+learned contexts take part, and none passes through the driver.
 """
 
 from __future__ import annotations
@@ -23,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewarden.llm.text import mix64, slices, text_of, utf8, word_hashes, words_of
-from tidewarden.session import ship_package, written
+from tidewarden.session import ship_package
 
 
 #: Texts are scored this many characters at a time (a longer text by itself), which bounds the arrays of a task.
@@ -32,16 +35,14 @@ SCORED_CHARS = 1 << 19
 
 @dataclass(frozen=True)
 class LmOptions:
-    """``contexts``: three-byte contexts that the trie holds at most, those with most text
-    behind them; ``batch_bytes``: text that one batch of the word part holds, about."""
+    """``batch_bytes``: text that one batch holds, about."""
 
-    contexts: int = 1 << 15
     batch_bytes: int = 24 << 20
 
 
 @dataclass(frozen=True)
 class Trie:
-    """Base-2 code lengths of the frozen trie, escapes and exclusions included.
+    """Base-2 code lengths of a small frozen trie in memory, the plain form that tests compare with.
 
     two[context * 256 + byte] is the length of a byte after a two-byte context and
     three[row, byte] after a three-byte one. slots maps a hashed three-byte context to its
@@ -54,42 +55,81 @@ class Trie:
     three: np.ndarray
 
 
-def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Four-byte strings of the learned texts and their counts, merged over the whole task."""
-    codes, counts = np.zeros(0, np.uint32), np.zeros(0, np.int64)
+def codes_of(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Four-byte strings that end at every byte; the first bytes of a text have zeros before them."""
+    padded = np.concatenate([np.zeros(3, np.uint8), data]).astype(np.uint32)
+    n = len(data)
+    code = (padded[:n] << 24) | (padded[1 : n + 1] << 16) | (padded[2 : n + 2] << 8) | padded[3 : n + 3]
+    for back in (1, 2, 3):
+        at = offsets[:-1] + 3 - back
+        at = at[at < offsets[1:]]
+        code[at] &= np.uint32((1 << (8 * (4 - back))) - 1)
+    return code
+
+
+def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Two-byte strings of the learned texts and their counts, merged over the whole task."""
+    counts = np.zeros(1 << 16, np.int64)
     for part in slices(batches):
-        data, offsets = utf8(part.column(0))
-        padded = np.concatenate([np.zeros(3, np.uint8), data]).astype(np.uint32)
-        n = len(data)
-        code = (padded[:n] << 24) | (padded[1 : n + 1] << 16) | (padded[2 : n + 2] << 8) | padded[3 : n + 3]
-        for back in (1, 2, 3):  # the first bytes of a text have zeros before them
-            at = offsets[:-1] + 3 - back
-            at = at[at < offsets[1:]]
-            code[at] &= np.uint32((1 << (8 * (4 - back))) - 1)
-        found, n = np.unique(code, return_counts=True)
-        codes, where = np.unique(np.concatenate([codes, found]), return_inverse=True)
-        counts = np.bincount(where, weights=np.concatenate([counts, n])).astype(np.int64)
-    if len(codes):
-        yield pa.RecordBatch.from_arrays([pa.array(codes.astype(np.int64)), pa.array(counts)], names=["code", "n"])
+        counts += np.bincount(codes_of(*utf8(part.column(0))) & 0xFFFF, minlength=1 << 16)
+    code = np.flatnonzero(counts)
+    yield pa.RecordBatch.from_arrays([pa.array(code), pa.array(counts[code])], names=["code", "n"])
 
 
 def _log2(x: np.ndarray) -> np.ndarray:
     return np.log2(np.maximum(x, 1e-300))
 
 
-def grow(texts: DataFrame, options: LmOptions = LmOptions(), text_col: str = "text") -> Trie:
-    """The trie of all bytes of all texts. Null texts count nothing; no texts give code lengths of 8."""
-    ship_package(texts.sparkSession)
-    rows = texts.select(F.col(text_col).alias("text")).where("text is not null")
-    seen = rows.mapInArrow(_runs, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
-    seen = written(seen, "trie")
-    # shorter contexts: at most 2^24 strings of three bytes; the longest are held for the largest contexts
-    top = seen.groupBy(F.shiftright("code", 8).alias("context")).agg(F.sum("n").alias("n"), F.count("*").alias("followers"))
-    top = top.orderBy(F.desc("n"), "context").limit(options.contexts)
-    kept = seen.join(top.select("context"), F.shiftright(seen["code"], 8) == top["context"], "left_semi").toPandas()
-    pairs = seen.groupBy(F.col("code").bitwiseAND(0xFFFFFF).alias("code")).agg(F.sum("n").alias("n")).toPandas()
-    kept = kept.sort_values("code")
-    return lay_out(pairs["code"].to_numpy(), pairs["n"].to_numpy(), kept["code"].to_numpy(), kept["n"].to_numpy())
+def pair_counts(texts: DataFrame) -> np.ndarray:
+    """How often each byte follows each byte in the texts: 65,536 counts at most reach the driver."""
+    seen = texts.where("text is not null").mapInArrow(_pairs, "code long, n long").groupBy("code").agg(F.sum("n").alias("n")).toPandas()
+    c2 = np.zeros(1 << 16)
+    c2[seen["code"].to_numpy(np.int64)] = seen["n"].to_numpy(np.float64)
+    return c2.reshape(256, 256)
+
+
+def lengths(code: np.ndarray, n: np.ndarray, c2: np.ndarray) -> np.ndarray:
+    """Base-2 code lengths of distinct, sorted four-byte strings by their counts ``n`` (0: not learned).
+
+    All learned strings that share the last two context bytes of any of them must be among them.
+    """
+    c1 = c2.sum(axis=0)
+    total, kinds = c1.sum(), (c1 > 0).sum()
+    len0 = np.where(c1 > 0, -_log2(c1 / max(total + kinds, 1)), -_log2(kinds / max(total + kinds, 1)) + np.log2(max(256 - kinds, 1)))
+    if not kinds:
+        len0 = np.full(256, 8.0)
+    has2 = c2 > 0
+    t2, d2 = c2.sum(axis=1), has2.sum(axis=1)
+    rest_t, rest_d = total - has2 @ c1, kinds - d2
+    escape2 = np.where(t2 > 0, -_log2(d2 / np.maximum(t2 + d2, 1)), 0.0)
+    below = np.where(c1[None, :] > 0, -_log2(c1[None, :] / np.maximum(rest_t + rest_d, 1)[:, None]),
+                     -_log2(np.maximum(rest_d, 0.5) / np.maximum(rest_t + rest_d, 1))[:, None] + np.log2(max(256 - kinds, 1)))
+    len1 = np.where(has2, -_log2(c2 / np.maximum(t2 + d2, 1)[:, None]), escape2[:, None] + below)
+    len1[t2 == 0] = len0
+    # order 2: strings of three bytes, and sums over their contexts of two
+    code = code.astype(np.int64)
+    code3, of3 = np.unique(code & 0xFFFFFF, return_inverse=True)
+    n3 = np.bincount(of3, weights=n, minlength=len(code3))
+    context2, of2 = np.unique(code3 >> 8, return_inverse=True)
+    mid, last = code3 >> 8 & 255, code3 & 255
+    sum2 = lambda x: np.bincount(of2, weights=x, minlength=len(context2))[of2]
+    t3, d3 = sum2(n3), sum2(n3 > 0)
+    left_t, left_d = t2[mid] - sum2((n3 > 0) * c2[mid, last]), d2[mid] - d3
+    again = np.maximum(left_t + left_d, 1)
+    lower = np.where(has2[mid, last], -_log2(c2[mid, last] / again), len1[mid, last] - escape2[mid] - _log2(np.maximum(left_d, 0.5) / again))
+    escape3 = np.where(t3 > 0, -_log2(d3 / np.maximum(t3 + d3, 1)), 0.0)
+    two = np.where(n3 > 0, -_log2(n3 / np.maximum(t3 + d3, 1)), escape3 + lower)
+    two = np.where(t3 == 0, len1[mid, last], two)
+    # order 3
+    context3, of4 = np.unique(code >> 8, return_inverse=True)
+    sum3 = lambda x: np.bincount(of4, weights=x, minlength=len(context3))[of4]
+    t4, d4 = sum3(n), sum3(n > 0)
+    parent, two = n3[of3], two[of3]
+    left_t, left_d = t3[of3] - sum3((n > 0) * parent), d3[of3] - d4
+    again = np.maximum(left_t + left_d, 1)
+    lower = np.where(parent > 0, -_log2(parent / again), two - escape3[of3] - _log2(np.maximum(left_d, 0.5) / again))
+    three = np.where(n > 0, -_log2(n / np.maximum(t4 + d4, 1)), -_log2(d4 / np.maximum(t4 + d4, 1)) + lower)
+    return np.where(t4 == 0, two, three)
 
 
 def lay_out(code3: np.ndarray, n3: np.ndarray, code4: np.ndarray, n4: np.ndarray) -> Trie:
@@ -192,14 +232,23 @@ def code_lengths(column, trie: Trie) -> np.ndarray:
 
 
 def _vocabulary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Distinct words of a batch of texts with their learned occurrences, once per batch."""
-    held: dict[int, list] = {}
+    """Distinct words (kind 0) and four-byte strings (kind 1) of a batch of texts with their learned occurrences, once per batch."""
+    held: dict[tuple[int, int], list] = {}
 
     def merged(parts) -> tuple[np.ndarray, np.ndarray]:
         words, where = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
         return words, np.bincount(where, weights=np.concatenate([p[1] for p in parts]), minlength=len(words))
 
+    def add(batch, kind, found, n) -> None:
+        pieces = held.setdefault((int(batch), kind), [])
+        pieces.append((found, n))
+        if len(pieces) >= 8:
+            held[int(batch), kind] = [merged(pieces)]
+
     for part in slices(batches):
+        data, offsets = utf8(part.column(1))
+        code, byte_doc = codes_of(data, offsets), np.repeat(np.arange(len(part)), np.diff(offsets))
+        byte_teaches = part.column(2).to_numpy(zero_copy_only=False)[byte_doc]
         words = words_of(part.column(1), lower=True)
         hashes = word_hashes(words)
         doc = text_of(words.first, len(hashes))
@@ -208,40 +257,52 @@ def _vocabulary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in np.unique(of):
             mine = (of == batch)[doc]
             found, where = np.unique(hashes[mine], return_inverse=True)
-            pieces = held.setdefault(int(batch), [])
-            pieces.append((found, np.bincount(where, weights=teaches[mine], minlength=len(found))))
-            if len(pieces) >= 8:
-                held[int(batch)] = [merged(pieces)]
-    for batch, parts in held.items():
+            add(batch, 0, found.view(np.int64), np.bincount(where, weights=teaches[mine], minlength=len(found)))
+            for taught in (True, False):
+                found, n = np.unique(code[(of == batch)[byte_doc] & (byte_teaches == taught)], return_counts=True)
+                add(batch, 1, found.astype(np.int64), n * float(taught))
+    for (batch, kind), parts in held.items():
         words, n = merged(parts)
         for at in range(0, len(words), 1 << 17):
             one = slice(at, at + (1 << 17))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(words[one].view(np.int64)), pa.array(np.full(len(words[one]), batch, np.int32)),
-                 pa.array(n[one].astype(np.int64))], names=["word", "batch", "n"])
-
-
-def _known(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Total counts of the words of a share of all words, sent to the batches that ask."""
-    parts = [(b.column(0).to_numpy(), b.column(1).to_numpy(), b.column(2).to_numpy()) for b in batches]
-    if not parts:
-        return
-    word, batch, n = (np.concatenate(x) for x in zip(*parts, strict=True))
-    order = np.argsort(word, kind="stable")
-    word, batch, n = word[order], batch[order], n[order]
-    first = np.flatnonzero(np.append(True, word[1:] != word[:-1]))
-    total = np.add.reduceat(n, first)
-    known = total > 0
-    sizes = np.diff(np.append(first, len(word)))
-    yield pa.RecordBatch.from_arrays(  # the share's own sums, under batch -1
-        [pa.array([-1, -1], pa.int32()), pa.array([0, 1], pa.int64()), pa.array([int(total.sum()), int(known.sum())], pa.int64())],
-        names=["batch", "word", "n"])
-    keep = np.repeat(known, sizes)
-    batch, word, n = batch[keep], word[keep], np.repeat(total, sizes)[keep]
-    for at in range(0, len(word), 1 << 17):
-        one = slice(at, at + (1 << 17))
-        yield pa.RecordBatch.from_arrays([pa.array(batch[one]), pa.array(word[one]), pa.array(n[one])],
-                                         names=["batch", "word", "n"])
+                [pa.array((words[one] >> 8 & 0xFFFF) if kind else words[one]), pa.array(np.full(len(words[one]), kind, np.int32)),
+                 pa.array(words[one]), pa.array(np.full(len(words[one]), batch, np.int32)), pa.array(n[one].astype(np.int64))],
+                names=["share", "kind", "word", "batch", "n"])
+
+
+def _known(c2: np.ndarray):
+    """Total counts of the words of a share of all words and code lengths of its strings, sent to the batches that ask."""
+    def answer(batch, kind, word, n) -> Iterator[pa.RecordBatch]:
+        for at in range(0, len(word), 1 << 17):
+            one = slice(at, at + (1 << 17))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(batch[one]), pa.array(np.full(len(word[one]), kind, np.int32)), pa.array(word[one]), pa.array(n[one].astype(np.float64))],
+                names=["batch", "kind", "word", "n"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = [[b.column(k).to_numpy() for k in range(1, 5)] for b in batches]
+        if not parts:
+            return
+        kinds, *columns = (np.concatenate(x) for x in zip(*parts, strict=True))
+        for kind in (0, 1):
+            word, batch, n = (x[kinds == kind] for x in columns)
+            if not len(word):
+                continue
+            order = np.argsort(word, kind="stable")
+            word, batch, n = word[order], batch[order], n[order]
+            first = np.flatnonzero(np.append(True, word[1:] != word[:-1]))
+            total = np.add.reduceat(n, first)
+            sizes = np.diff(np.append(first, len(word)))
+            if kind:
+                yield from answer(batch, kind, word, np.repeat(lengths(word[first], total, c2.value), sizes))
+                continue
+            known = total > 0
+            # the share's own sums, under batch -1
+            yield from answer(np.array([-1, -1], np.int32), kind, np.array([0, 1]), np.array([total.sum(), known.sum()]))
+            keep = np.repeat(known, sizes)
+            yield from answer(batch[keep], kind, word[keep], np.repeat(total, sizes)[keep])
+    return run
 
 
 def score(docs: DataFrame, held_out: Column, options: LmOptions = LmOptions(),
@@ -259,24 +320,27 @@ def score(docs: DataFrame, held_out: Column, options: LmOptions = LmOptions(),
     ship_package(spark)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"),
                        F.coalesce(held_out, F.lit(True)).alias("held_out"))
-    trie = grow(rows.where("not held_out").select("text"), options)
-    shared = spark.sparkContext.broadcast(trie)  # 2^24 + contexts * 256 floats at most
-    del trie
+    shared = spark.sparkContext.broadcast(pair_counts(rows.where("not held_out").select("text")))
     sums = rows.agg(F.sum(F.octet_length("text")).alias("size"), F.sum((~F.col("held_out")).cast("int")).alias("taught")).first()
     n_batches = max(1, -(-(sums["size"] or 0) // options.batch_bytes))
     taught = sums["taught"] or 0
     dealt = rows.withColumn("batch", F.pmod(F.xxhash64("id", F.substring("text", 1, 64)), F.lit(n_batches)).cast("int"))
     apart = dealt.select("batch", "text", (~F.col("held_out")).alias("teaches")).repartition(n_batches, "batch")
     asked = apart.mapInArrow(
-        _vocabulary, "word long, batch int, n long")
-    answers = asked.repartition("word").mapInArrow(_known, "batch int, word long, n long").persist(StorageLevel.DISK_ONLY)
-    facts = {r["word"]: r["n"] for r in answers.where("batch = -1").groupBy("word").agg(F.sum("n").alias("n")).collect()}
+        _vocabulary, "share long, kind int, word long, batch int, n long")
+    answers = asked.repartition("kind", "share").mapInArrow(_known(shared), "batch int, kind int, word long, n double").persist(StorageLevel.DISK_ONLY)
+    facts = {r["word"]: int(r["n"]) for r in answers.where("batch = -1").groupBy("word").agg(F.sum("n").alias("n")).collect()}
     tokens, distinct = facts.get(0, 0) + taught, facts.get(1, 0) + (taught > 0)
     kind_of = docs.schema[id_col].dataType
 
     def run(texts: pd.DataFrame, counts: pd.DataFrame) -> pd.DataFrame:
-        order = np.argsort(counts["word"].to_numpy(), kind="stable")
-        word, n = counts["word"].to_numpy()[order], counts["n"].to_numpy()[order]
+        def table(kind: int) -> tuple[np.ndarray, np.ndarray]:
+            mine = np.flatnonzero(counts["kind"].to_numpy() == kind)
+            word = counts["word"].to_numpy()[mine]
+            order = np.argsort(word, kind="stable")
+            return word[order], counts["n"].to_numpy()[mine[order]]
+
+        (word, n), (string, length) = table(0), table(1)
         floor = np.log10(1.0 / (tokens + distinct + 1.0))
         out = []
         sizes = np.array([len(text) if isinstance(text, str) else 0 for text in texts["text"]])
@@ -285,7 +349,9 @@ def score(docs: DataFrame, held_out: Column, options: LmOptions = LmOptions(),
         for at, end in zip(cuts[:-1], cuts[1:]):
             part = texts.iloc[at:end]
             column = pa.array(part["text"], pa.large_string(), from_pandas=True)
-            bits = code_lengths(column, shared.value)
+            data, offsets = utf8(column)
+            sums = np.concatenate([[0.0], np.cumsum(length[np.searchsorted(string, codes_of(data, offsets))] if len(data) else [])])
+            bits = sums[offsets[1:]] - sums[offsets[:-1]]
             words = words_of(column, lower=True)
             hashes = word_hashes(words).view(np.int64)
             count = np.zeros(len(hashes))
