@@ -292,3 +292,10 @@ def test_too_few_detectors_for_a_table_are_refused(spark, monkeypatch):
         assert queries.traffic_options(spark, "/root/testdata/sf0.001").shards == 10
     finally:
         spark.conf.unset(queries.SHARDS_SETTING)
+
+
+def test_only_exact_folds_are_limited_by_rows_of_a_shard(spark, monkeypatch):
+    monkeypatch.setattr(queries, "ROWS_PER_SHARD", 100)
+    assert queries.QUERIES["d1_feature_stats"](spark, "/root/testdata/sf0.001").count() > 0
+    with pytest.raises(ValueError, match=queries.SHARDS_SETTING):
+        queries.QUERIES["f7_detect_with_drift"](spark, "/root/testdata/sf0.001")

@@ -65,7 +65,7 @@ def keyed_events(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def traffic_options(spark: SparkSession, folder: str) -> traffic.TrafficOptions:
-    """Traffic over the detectors that the session sets; a table too large for them is refused.
+    """Traffic for exact folds over the detectors that the session sets; a table too large for them is refused.
 
     Their number never follows the row count by itself: that would deal the events to other
     detectors, and so change every model, as the table grows.
@@ -81,10 +81,16 @@ def traffic_options(spark: SparkSession, folder: str) -> traffic.TrafficOptions:
 
 
 def events(spark: SparkSession, folder: str, options=None) -> DataFrame:
-    options = options or traffic_options(spark, folder)
+    """The traffic at any size, over the detectors that the session sets."""
+    options = options or traffic.TrafficOptions(shards=int(spark.conf.get(SHARDS_SETTING, str(SHARDS))))
     return traffic.labelled_traffic(keyed_events(spark, folder), options)
 
 
+def fold_events(spark: SparkSession, folder: str) -> DataFrame:
+    """The traffic for exact folds, whose shards are limited."""
+    return events(spark, folder, traffic_options(spark, folder))
+
+
 def stored_events(spark: SparkSession, folder: str) -> DataFrame:
     """The traffic as a table, for queries that pass over it more than once."""
     return written(events(spark, folder), "traffic")
@@ -286,7 +292,7 @@ def a9_model_store(spark, folder):
 @query
 def a9_resume(spark, folder):
     """Detectors learned from the earlier half of the time, saved, loaded and taken on over the later one."""
-    rows = stored_events(spark, folder)
+    rows = written(fold_events(spark, folder), "traffic")
     at = F.unix_micros("ts")
     first, last = rows.agg(F.min(at), F.max(at)).first()
     early = F.coalesce(at < ((first or 0) + (last or 0)) // 2, F.lit(True))
@@ -641,7 +647,7 @@ def d11_accuracy(spark, folder):
 @query
 def d12_prequential_accuracy(spark, folder):
     """Test-then-train accuracy of the exact learner, per shard."""
-    folded = exact_fold(events(spark, folder), FOLD_OPTIONS)
+    folded = exact_fold(fold_events(spark, folder), FOLD_OPTIONS)
     found = metrics.ensemble_accuracy(detections_of(folded), "shard")
     return found.withColumn("accuracy", rounded("accuracy"))
 
@@ -711,7 +717,7 @@ def d17_ensemble_report(spark, folder):
 @query
 def d17_learned_report(spark, folder):
     """The report on models that the exact fold has learned, with their votes that were right."""
-    folded = exact_fold(events(spark, folder), FOLD_OPTIONS)
+    folded = exact_fold(fold_events(spark, folder), FOLD_OPTIONS)
     report = ensemble.ensemble_report(final_state(folded))
     per_model = report.select("shard", rounded("avg_accuracy").alias("avg_accuracy"), F.explode("models").alias("m"))
     return per_model.select(
@@ -885,7 +891,7 @@ def f2_learn_rule(spark, folder):
 @query
 def f3_adjusted_weights(spark, folder):
     """Weights of every model after learning from the whole table, one event at a time."""
-    folded = exact_fold(events(spark, folder), FOLD_OPTIONS)
+    folded = exact_fold(fold_events(spark, folder), FOLD_OPTIONS)
     return final_state(folded).select(
         "shard", "model_id", "n", F.posexplode("weights").alias("i", "w")
     ).select(
@@ -913,7 +919,7 @@ def f4_normalise_weights(spark, folder):
 @query
 def f5_train_step(spark, folder):
     """Statistics and rule counts of every model after the exact fold."""
-    folded = exact_fold(events(spark, folder), FOLD_OPTIONS)
+    folded = exact_fold(fold_events(spark, folder), FOLD_OPTIONS)
     return final_state(folded).select(
         "shard",
         "model_id",
@@ -934,25 +940,25 @@ def f5_train_step(spark, folder):
 @query
 def f6_ensemble_prequential(spark, folder):
     """Per model: events seen and votes that were right before training on the event."""
-    folded = exact_fold(events(spark, folder), FOLD_OPTIONS)
+    folded = exact_fold(fold_events(spark, folder), FOLD_OPTIONS)
     return final_state(folded).select("shard", "model_id", "seen", "correct")
 
 
 @query
 def f7_detect(spark, folder):
-    return _detected(detections_of(exact_fold(events(spark, folder), FOLD_OPTIONS)))
+    return _detected(detections_of(exact_fold(fold_events(spark, folder), FOLD_OPTIONS)))
 
 
 @query
 def f7_detect_with_drift(spark, folder):
     """The whole job: exact learning with the drift test and model replacement."""
-    return detections_of(exact_fold(events(spark, folder), DetectorOptions()))
+    return detections_of(exact_fold(fold_events(spark, folder), DetectorOptions()))
 
 
 @query
 def f8_adaptive_drift(spark, folder):
     options = DetectorOptions(drift_delta=0.3)
-    folded = exact_fold(events(spark, folder), options)
+    folded = exact_fold(fold_events(spark, folder), options)
     return drift_events_of(detections_of(folded))
 
 
