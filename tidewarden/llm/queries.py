@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewarden.llm import decontaminate, embedding, jaccard, language, lm, packing, pii, substrings, toxicity, warc
+from tidewarden.llm import (
+    conversations, decontaminate, embedding, jaccard, language, lm, packing, pii, substrings, toxicity, urls, warc, whitening,
+)
 from tidewarden.llm.common import remainder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -91,6 +93,43 @@ def op10_gated_network_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", held_out, "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "worst_word")
 
 
+#: Which addresses net/ and the others of the longest fitting rule decide.
+URL_RULES = (
+    urls.Rule("block", "net", "/"),
+    urls.Rule("allow", "example.net", "/en/"),
+    urls.Rule("block", "example.com", "/de/"),
+    urls.Rule("allow", "org", "/fr/"),
+)
+#: Hosts whose pages make up the list of unwanted URLs.
+LISTED_HOSTS = r"(?:^|\.)(?:spam-farm|casino-win|free-bets|cheap-pills|ads-track)\."
+
+
+@query
+def op11_bloom_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages")
+    host, _ = urls.host_and_path(F.col("url"))
+    listed = pages.where(host.rlike(LISTED_HOSTS)).select(urls.canonical_url(F.col("url")).alias("canonical"))
+    return urls.judge(pages, URL_RULES, listed)
+
+
+@query
+def op12_block_matrix_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whiten(table(spark, folder, "embeddings"))
+
+
+@query
+def op13_generalised_lr_repair(spark: SparkSession, folder: str) -> DataFrame:
+    turns = table(spark, folder, "conversations")
+    found = conversations.repair(conversations.damage(turns))
+    whole = turns.select("conv_id").distinct().alias("c")
+    summary, digest = found.summary.alias("s"), conversations.digests(found.rows).alias("d")
+    joined = whole.join(summary, F.expr("c.conv_id <=> s.conv_id"), "left").join(digest, F.expr("c.conv_id <=> d.conv_id"), "left")
+    zero = lambda name: F.coalesce(f"s.{name}", F.lit(0).cast("bigint")).alias(name)
+    return joined.select(
+        "c.conv_id", *[zero(n) for n in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")], F.coalesce("s.audit", F.lit("")).alias("audit"),
+        F.coalesce("d.repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL for the rows of the queries that SQL can express."""
     words = r"regexp_extract_all({0}, '[^\x20\x09-\x0D]+')"
@@ -145,4 +184,105 @@ def oracle_sql() -> dict[str, str]:
         "op9_merkle_fixity_audit": """
             SELECT page_id, CASE WHEN md5(page_id::VARCHAR) LIKE '00%' THEN 'changed' ELSE 'missing' END AS status
             FROM pages WHERE md5(page_id::VARCHAR) LIKE '00%' OR md5(page_id::VARCHAR) LIKE '01%'""",
+        "op11_bloom_url_filter": _URL_SQL,
+        "op13_generalised_lr_repair": _repair_sql(),
     }
+
+
+_URL_SQL = r"""
+    WITH parts AS (
+        SELECT page_id, url, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+               regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path,
+               list_sort(list_filter(string_split(regexp_extract(coalesce(url, ''), '(?s)^.*?://[^?#]*\?([^#]*)', 1), '&'),
+                                     lambda p: NOT regexp_matches(p, '^(utm_[^=]*|ref|gclid|fbclid)?(=|$)'))) AS query
+        FROM pages),
+    named AS (
+        SELECT *, regexp_replace(regexp_replace(host, '^(www|m)\.', ''), ':(80|443)$', '')
+                  || regexp_replace(regexp_replace(path, '(/index)?\.html?$', ''), '/+$', '')
+                  || CASE WHEN len(query) > 0 THEN '?' || array_to_string(query, '&') ELSE '' END AS canonical,
+               CASE WHEN (host = 'example.com' OR host LIKE '%.example.com') AND path LIKE '/de/%' THEN 'example.com/de/'
+                    WHEN (host = 'example.net' OR host LIKE '%.example.net') AND path LIKE '/en/%' THEN 'example.net/en/'
+                    WHEN (host = 'org' OR host LIKE '%.org') AND path LIKE '/fr/%' THEN 'org/fr/'
+                    WHEN (host = 'net' OR host LIKE '%.net') AND path LIKE '/%' THEN 'net/' END AS rule
+        FROM parts),
+    listed AS (
+        SELECT DISTINCT canonical FROM named
+        WHERE host <> '' AND regexp_matches(host, '(^|\.)(spam-farm|casino-win|free-bets|cheap-pills|ads-track)\.'))
+    SELECT page_id, host, path, rule,
+           CASE WHEN rule IN ('example.net/en/', 'org/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
+                WHEN host <> '' AND l.canonical IS NOT NULL THEN 'block' ELSE 'allow' END AS verdict
+    FROM named n LEFT JOIN listed l ON l.canonical = n.canonical"""
+
+
+def _repair_sql() -> str:
+    """The cheapest edits by a step for each turn over the four tops, each {c: cost, a: audit}."""
+    plus = lambda top, cost, letter: f"{{'c': {top}.c + {cost}, 'a': {top}.a || '{letter}'}}"
+    never = "{'c': 1000000000, 'a': ''}"
+    best = lambda *tops: f"list_min([{', '.join(tops)}])"
+    more = lambda source: f"""
+        SELECT * REPLACE ({best('a', plus('u', 3, 'I'))} AS a) FROM (
+        SELECT * REPLACE ({best('u', plus('o', 3, 'I'), plus('s', 3, 'I'), plus('a', 3, 'I'))} AS u) FROM {source})"""
+
+    def shifted(top: str, role: str) -> list[str]:
+        keep = f"CASE WHEN kind IN ('', 't') AND initial = '{role}' THEN {plus(top, 'extra', 'K')} ELSE {never} END"
+        rerole = f"CASE WHEN kind IN ('', 't') THEN {plus(top, '3 + extra', 'R')} ELSE {never} END"
+        return [keep] if role == "s" else [keep, rerole]
+
+    step = f"""
+        SELECT conv_id, n, {plus('o', 4, 'D')} AS o, {best(plus('s', 4, 'D'), *shifted('o', 's'))} AS s,
+               {best(plus('u', 4, 'D'), *shifted('o', 'u'), *shifted('s', 'u'), *shifted('a', 'u'))} AS u,
+               {best(plus('a', 4, 'D'), *shifted('u', 'a'))} AS a"""
+    return rf"""
+    WITH RECURSIVE src AS (
+        SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+               coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS key FROM conversations),
+    hashed AS (
+        SELECT *, xor(4294967295::BIGINT, list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform(string_split(key, ''),
+                   lambda c: [ord(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+                   lambda acc, x: CASE WHEN x >= 0 THEN xor(acc, x) ELSE xor(acc >> 1, CASE WHEN acc & 1 = 1 THEN 3988292384::BIGINT ELSE 0 END) END)) % 20 AS hit
+        FROM src),
+    damaged AS (
+        SELECT conv_id, turn, CASE WHEN hit = 4 THEN 'user' ELSE role END AS role,
+               CASE hit WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+        FROM hashed, range(2) r(copy) WHERE hit <> 0 AND (copy = 0 OR hit = 3)),
+    placed AS (
+        SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(length(role) || ':' || role || ':' || text)) AS n,
+               left(role, 1) AS initial FROM damaged),
+    judged AS (
+        SELECT *, CASE WHEN NOT regexp_matches(text, '[^ 	-]') THEN 'b'
+                       WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY n) > 1 THEN 'd'
+                       WHEN NOT regexp_matches(text, '[.!?][ 	-]*$') THEN 't' ELSE '' END AS kind,
+               lag(initial) OVER (PARTITION BY conv_id ORDER BY n) AS before
+        FROM placed),
+    turns AS (SELECT *, CASE WHEN kind = 't' THEN 3 ELSE 0 END AS extra FROM judged),
+    counted AS (
+        SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps, count_if(kind = 'b')::BIGINT AS blank,
+               count_if(kind = 'd')::BIGINT AS duplicate, count_if(kind = 't')::BIGINT AS truncated,
+               count_if(before IS NOT NULL AND before || initial NOT IN ('su', 'ua', 'au'))::BIGINT AS illegal, count(*) AS last
+        FROM turns GROUP BY conv_id),
+    tops AS (
+        SELECT DISTINCT conv_id, 0::BIGINT AS n, {{'c': 0, 'a': ''}} AS o, {never} AS s, {never} AS u, {never} AS a FROM turns
+        UNION ALL {step} FROM (
+        SELECT m.conv_id, t.n, kind, initial, extra, o, s, u, a FROM ({more('tops')}) m
+        JOIN turns t ON t.conv_id IS NOT DISTINCT FROM m.conv_id AND t.n = m.n + 1)),
+    ends AS (
+        SELECT m.conv_id, {best('o', 'a')} AS e FROM ({more('tops')}) m
+        JOIN counted c ON c.conv_id IS NOT DISTINCT FROM m.conv_id AND c.last = m.n),
+    letters AS (
+        SELECT conv_id, i, e.a[i] AS edit, len(replace(e.a[1:i], 'I', '')) AS n, len(replace(e.a[1:i], 'D', '')) AS k
+        FROM (SELECT conv_id, e, unnest(range(1, len(e.a) + 1)) AS i FROM ends)),
+    kept AS (
+        SELECT l.*, t.role, t.text, t.initial FROM letters l
+        LEFT JOIN turns t ON t.conv_id IS NOT DISTINCT FROM l.conv_id AND t.n = l.n AND l.edit <> 'I' WHERE edit <> 'D'),
+    opened AS (SELECT *, max(CASE WHEN k = 1 AND edit = 'K' AND initial = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id) AS opener FROM kept),
+    said AS (
+        SELECT conv_id, sha256(string_agg(CASE WHEN edit = 'K' THEN role WHEN (k - opener) % 2 = 1 THEN 'user' ELSE 'assistant' END
+                               || ':' || CASE WHEN edit = 'I' THEN '' ELSE text END, chr(10) ORDER BY i)) AS said
+        FROM opened GROUP BY conv_id)
+    SELECT w.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+           coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(e.c, 0)::BIGINT AS cost, coalesce(e.a, '') AS audit,
+           coalesce(said, sha256('')) AS repaired_sha256
+    FROM (SELECT DISTINCT conv_id FROM conversations) w
+    LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM w.conv_id
+    LEFT JOIN ends x ON x.conv_id IS NOT DISTINCT FROM w.conv_id
+    LEFT JOIN said d ON d.conv_id IS NOT DISTINCT FROM w.conv_id"""
