@@ -1,4 +1,4 @@
-"""Error indicators, warning zones, cut tests and drift history."""
+"""Error indicators, cut tests and summaries of a drift history."""
 
 from __future__ import annotations
 
@@ -29,20 +29,6 @@ def running_error(detections: DataFrame, **options) -> DataFrame:
     return summed.withColumn("error_rate", F.col("errors") / F.col("instance_number"))
 
 
-def warning_zone(errors: DataFrame, warning_level: float) -> DataFrame:
-    """Zone flag, entry and exit per row of :func:`running_error`.
-
-    The row before is known from the sums, so no lag over the stream is needed.
-    """
-    before = F.col("instance_number") - 1
-    rate_before = ratio(F.col("errors") - F.col("error"), before)
-    zone = F.col("error_rate") > warning_level
-    was = rate_before > warning_level
-    return errors.withColumns(
-        {"in_warning_zone": zone, "warning_entered": zone & ~was, "warning_left": ~zone & was}
-    )
-
-
 def cut_bound(n0: Column, n1: Column, mean: Column, delta: float) -> Column:
     """How far the means of two sub-windows may differ under no change (0/1 values)."""
     n = n0 + n1
@@ -92,30 +78,6 @@ def drift_cut_scan(blocks: DataFrame, delta: float, **options) -> DataFrame:
     )
 
 
-def drift_events(cuts: DataFrame) -> DataFrame:
-    """One DRIFT event per shard whose scan has a cut, at its clearest split."""
-    excess = F.abs(F.col("mean0") - F.col("mean1")) - F.col("bound")
-    best = F.struct(excess.alias("excess"), (-F.col("block")).alias("earliest"))
-    row = F.struct("instance_number", "ts", F.col("mean1").alias("error_rate"))
-    return (
-        cuts.filter("cut")
-        .groupBy("shard")
-        .agg(F.max_by(row, best).alias("e"))
-        .select("shard", "e.*", F.lit("DRIFT").alias("type"))
-    )
-
-
-def warning_events(zones: DataFrame) -> DataFrame:
-    return zones.filter("warning_entered").select(
-        "shard", "instance_number", "ts", "error_rate", F.lit("WARNING").alias("type")
-    )
-
-
-def drift_history(zones: DataFrame, cuts: DataFrame) -> DataFrame:
-    """WARNING and DRIFT events together, one row each."""
-    return warning_events(zones).unionByName(drift_events(cuts))
-
-
 def recent_events(history: DataFrame, count: int) -> DataFrame:
     """The last ``count`` events of each shard, oldest first within a shard.
 
@@ -144,10 +106,14 @@ def time_since_drift(detections: DataFrame, history: DataFrame) -> DataFrame:
     return span.join(drifts, "shard", "left").select("shard", since.alias("ms_since_drift"))
 
 
-def drift_summary(zones: DataFrame, history: DataFrame) -> DataFrame:
-    """Checks, warnings, drifts, drift rate, latest error and zone per shard."""
-    latest = F.struct("instance_number", "error_rate", "in_warning_zone")
-    checks = zones.groupBy("shard").agg(
+def drift_summary(watched: DataFrame, history: DataFrame, reset: bool = True) -> DataFrame:
+    """Checks, warnings, drifts, drift rate, latest error, window and zone per shard.
+
+    ``watched`` is what :func:`tidewarden.operators.windows.watch` gives. With ``reset`` a drift at the last
+    row leaves an empty window.
+    """
+    latest = F.struct("instance_number", "error_rate", "window_length", "in_warning_zone", "drift")
+    checks = watched.groupBy("shard").agg(
         F.count(F.lit(1)).alias("checks"), F.max(latest).alias("last")
     )
     counts = history.groupBy("shard").agg(
@@ -155,13 +121,14 @@ def drift_summary(zones: DataFrame, history: DataFrame) -> DataFrame:
         F.count_if(F.col("type") == "DRIFT").alias("drifts"),
     )
     drifts = F.coalesce("drifts", F.lit(0))
+    emptied = F.col("last.drift") & F.lit(reset)
     return checks.join(counts, "shard", "left").select(
         "shard",
         "checks",
         F.coalesce("warnings", F.lit(0)).alias("warnings"),
         drifts.alias("drifts"),
         ratio(drifts, F.col("checks")).alias("drift_rate"),
-        F.col("last.error_rate").alias("current_error_rate"),
-        F.col("last.instance_number").alias("window_length"),
+        F.when(emptied, 0.0).otherwise(F.col("last.error_rate")).alias("current_error_rate"),
+        F.when(emptied, 0).otherwise(F.col("last.window_length")).alias("window_length"),
         F.col("last.in_warning_zone").alias("in_warning_zone"),
     )

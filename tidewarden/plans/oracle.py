@@ -17,8 +17,10 @@ from tidewarden.plans.queries import (
     ROLLING,
     SESSION_GAP_SECONDS,
     SHARDS,
+    SHIFT_SPANS,
     WALK_EPOCHS,
 )
+from tidewarden.plans.window_sql import histogram_rows, watched_rows, window_steps, windows
 from tidewarden.schema import FEATURES
 from tidewarden.sources.traffic import BOT_AGENTS, HUMAN_AGENTS
 
@@ -246,10 +248,6 @@ STEPS: dict[str, str] = {
         row_number() over w as rn,
         cast(sum(case when is_bot_pred<>is_bot then 1 else 0 end) over w as bigint) as errors
       from det window w as (partition by shard order by ts, event_id))""",
-    "zones": f"""select *, error_rate>{OPTIONS.warning_level}::double as in_warning_zone,
-      error_rate>{OPTIONS.warning_level}::double and not before>{OPTIONS.warning_level}::double as warning_entered,
-      not error_rate>{OPTIONS.warning_level}::double and before>{OPTIONS.warning_level}::double as warning_left
-      from errors""",
     "blocks": """select shard, (instance_number-1)//32 as block, count(*) as n, sum(error) as errors,
       max(instance_number) as instance_number, max(ts) as ts from errors group by all""",
     "splits": """select *, cast(sum(n) over w as bigint) as n0, cast(sum(errors) over w as bigint) as s0,
@@ -261,11 +259,34 @@ STEPS: dict[str, str] = {
       select shard, block, instance_number, ts, n0, cast(total-n0 as bigint) as n1,
         s0/n0::double as mean0, (total_errors-s0)/(total-n0)::double as mean1,
         total_errors/total::double as mu from splits where total>n0))""",
-    "drifts": """select shard, instance_number, ts, error_rate, 'DRIFT' as type from (
-      select *, mean1 as error_rate, row_number() over (partition by shard
-        order by abs(mean0-mean1)-bound desc, block) as rank from cuts where cut) where rank=1""",
-    "history": """select shard, instance_number, ts, error_rate, 'WARNING' as type from zones
-      where warning_entered union all select * from drifts""",
+    "shifted": f"""select * replace (
+      case when ((epoch_us(ts)-t0)*{_list(SHIFT_SPANS)}[shard%{len(SHIFT_SPANS)}+1]//(t1-t0+1))%2=1
+        then not is_bot else is_bot end as is_bot)
+      from det, (select epoch_us(min(ts)) as t0, epoch_us(max(ts)) as t1 from det)""",
+    "w_errors": """select event_id, shard, ts, error, rn as instance_number, errors, (rn-1)//32 as block from (
+      select *, cast(case when is_bot_pred<>is_bot then 1 else 0 end as bigint) as error,
+        row_number() over w as rn,
+        cast(sum(case when is_bot_pred<>is_bot then 1 else 0 end) over w as bigint) as errors
+      from shifted window w as (partition by shard order by ts, event_id))""",
+    "w_blocks": """select shard, block, count(*) as n, cast(sum(error) as bigint) as s,
+      max(instance_number) as block_end, min(errors-error) as errors_before from w_errors group by all""",
+    "w_steps": window_steps("w_steps", reset=True),
+    "w_kept_steps": window_steps("w_kept_steps", reset=False),
+    "w_windows": windows("w_steps"),
+    "w_kept_windows": windows("w_kept_steps"),
+    "w_final": """select * from w_steps where not test and not drift
+      qualify pos=max(pos) over (partition by shard)""",
+    "watched": watched_rows("w_windows"),
+    "kept_watched": watched_rows("w_kept_windows"),
+    "history": """select shard, instance_number, ts, error_rate, case when drift then 'DRIFT' else 'WARNING' end as type
+      from watched where drift or warning_entered""",
+    "drift_state": """select w.*, coalesce(warnings,0) as warnings, coalesce(drifts,0) as drifts from (
+      select shard, count(*) as checks,
+        arg_max(case when drift then 0 else error_rate end, instance_number) as current_error_rate,
+        arg_max(case when drift then 0 else window_length end, instance_number) as window_length,
+        arg_max(in_warning_zone, instance_number) as in_warning_zone from watched group by shard) w
+      left join (select shard, count(*) filter (where type='WARNING') as warnings,
+        count(*) filter (where type='DRIFT') as drifts from history group by shard) h using (shard)""",
     "wire": """select *, event_id%97 as kind from traffic""",
     "decoded": f"""select * replace (
       case when kind=5 then null else ts end as ts,
@@ -326,7 +347,7 @@ STEPS: dict[str, str] = {
         sum(case when score>0.7::double then 1 else -1 end)>0 as vote,
         avg(abs(score-0.5)*2) as confidence from f_scores group by event_id, shard, is_bot)""",
 }
-_RECURSIVE = {"walk", "f_weights"}
+_RECURSIVE = {"walk", "f_weights", "w_steps", "w_kept_steps"}
 
 
 def _needs(sql: str) -> list[str]:
@@ -489,22 +510,19 @@ FINAL: dict[str, str] = {
     "round(count(*)*1000.0/(epoch_us(max(ts))//1000-epoch_us(min(ts))//1000)::double,9) as events_per_second from traffic group by shard",
     "d15_bad_record_rate": "select count(*) as records, count(*) filter (where kind in (0,1,2,3)) as errors, "
     "round(count(*) filter (where kind in (0,1,2,3))/count(*)::double,6) as error_rate from wire",
-    "d16_drift_summary": """select z.shard, checks, coalesce(warnings,0) as warnings, coalesce(drifts,0) as drifts,
-      round(coalesce(drifts,0)/checks::double,6) as drift_rate, round(current_error_rate,6) as current_error_rate,
-      checks as window_length, in_warning_zone from (
-      select shard, count(*) as checks, arg_max(error_rate, instance_number) as current_error_rate,
-        arg_max(in_warning_zone, instance_number) as in_warning_zone from zones group by shard) z
-      left join (select shard, count(*) filter (where type='WARNING') as warnings,
-        count(*) filter (where type='DRIFT') as drifts from history group by shard) h using (shard)""",
+    "d16_drift_summary": """select shard, checks, warnings, drifts, round(drifts/checks::double,6) as drift_rate,
+      round(current_error_rate,6) as current_error_rate, window_length, in_warning_zone from drift_state""",
     "d17_ensemble_report": "select shard, model_id, n as instances, cast(rules as bigint) as depth, "
     "cast(rules*100+336 as double) as bytes from sized",
-    "a11_metrics_snapshot": f"""select detections, tp, tn, fp, fn, {_RATE_COLUMNS}, checks, warnings, drifts, bots,
-      round(bots*100.0/detections::double,6) as bot_percent, round(detections*1000.0/span::double,9) as events_per_second from (
+    "a11_metrics_snapshot": f"""select detections, tp, tn, fp, fn, {_RATE_COLUMNS}, checks, warnings, drifts,
+      round(drifts/checks::double,6) as drift_rate, round(current_error_rate,6) as current_error_rate, window_length, in_warning_zone,
+      bots, round(bots*100.0/detections::double,6) as bot_percent, round(detections*1000.0/span::double,9) as events_per_second from (
       select *, {_RATES} from (select count(*) as detections, {_CELL_SUMS.format(over='')},
-        count(*) as checks, count(*) filter (where is_bot_pred) as bots,
-        epoch_us(max(ts))//1000-epoch_us(min(ts))//1000 as span,
-        (select count(*) from history where type='WARNING') as warnings,
-        (select count(*) from history where type='DRIFT') as drifts from det))""",
+        count(*) filter (where is_bot_pred) as bots,
+        epoch_us(max(ts))//1000-epoch_us(min(ts))//1000 as span from shifted),
+      (select cast(sum(checks) as bigint) as checks, cast(sum(warnings) as bigint) as warnings, cast(sum(drifts) as bigint) as drifts,
+        sum(current_error_rate*window_length)/sum(window_length) as current_error_rate, cast(sum(window_length) as bigint) as window_length,
+        count(*) filter (where in_warning_zone) as in_warning_zone from drift_state))""",
     "e1_instance_number": "select event_id, shard, row_number() over (partition by shard order by ts, event_id) as instance_number from traffic",
     "e2_running_feature_stats": "select event_id, row_number() over w as n, "
     + ", ".join(
@@ -522,15 +540,18 @@ FINAL: dict[str, str] = {
     "e5_rule_samples": "select shard, cast(model_id as bigint) as model_id, rule_number, event_id from samples",
     "e6_rule_buffer": "select shard, cast(model_id as bigint) as model_id, rule_number, event_id from "
     "(select s.*, top from samples s join newest using (shard, model_id)) where rule_number>top-5",
-    "e7_error_indicator": "select event_id, error, instance_number, round(error_rate,6) as error_rate from errors",
-    "e8_warning_zone": "select event_id, in_warning_zone, warning_entered, warning_left from zones",
+    "e7_error_indicator": "select event_id, error, instance_number, round(error_rate,6) as error_rate, window_length, drift from watched",
+    "e8_warning_zone": "select event_id, in_warning_zone, warning_entered, warning_left from watched",
+    "e8_detection_only": "select event_id, round(error_rate,6) as error_rate, window_length, drift, in_warning_zone, "
+    "warning_entered, warning_left from kept_watched",
+    "f8_window_histogram": f"select * from ({histogram_rows('w_final')})",
     "e9_recent_drifts": "select shard, instance_number, type, round(error_rate,6) as error_rate from (select *, row_number() over "
     "(partition by shard order by instance_number desc, type desc) as rank from history) where rank<=3",
     "e10_retrain_flag": "select shard, type='DRIFT' as should_retrain from (select *, row_number() over "
     "(partition by shard order by instance_number desc, type desc) as rank from history) where rank=1",
     "e11_time_since_drift": """select shard, epoch_us(as_of)//1000-epoch_us(coalesce(d.ts,first))//1000 as ms_since_drift from (
-      select shard, min(ts) as first, max(ts) as as_of from det group by shard)
-      left join (select shard, max(ts) as ts from drifts group by shard) d using (shard)""",
+      select shard, min(ts) as first, max(ts) as as_of from shifted group by shard)
+      left join (select shard, max(ts) as ts from history where type='DRIFT' group by shard) d using (shard)""",
     "e12_rolling_metrics": f"""select event_id, instance_number, tp, tn, fp, fn, {_RATE_COLUMNS} from (
       select *, {_RATES} from (select event_id,
       row_number() over (partition by shard order by ts, event_id) as instance_number,

@@ -25,7 +25,7 @@ from tidewarden.learning.exact import (
 )
 from tidewarden.learning.mixing import mix
 from tidewarden.operators import detect as detecting
-from tidewarden.operators import drift, ensemble, metrics, sampling, sessions, statistics
+from tidewarden.operators import drift, ensemble, metrics, sampling, sessions, statistics, windows
 from tidewarden.operators.ordered import instance_number
 from tidewarden.operators.report import metrics_snapshot
 from tidewarden.schema import FEATURES, RULE_CONFIDENCE, DetectorOptions
@@ -41,6 +41,10 @@ SHARDS_SETTING = "spark.tidewarden.shards"
 #: An exact fold runs a shard in one task, so a shard may not hold many more rows than this.
 ROWS_PER_SHARD = 1_000_000
 PERIOD = 100
+#: Spans of time after which the labels of a shard turn round, by shard number.
+SHIFT_SPANS = (1, 2, 4)
+#: Blocks of errors after which a window's histogram is written and handed on.
+SEGMENT_BLOCKS = 64
 ROLLING = 100
 DELTA = OPTIONS.drift_delta
 WALK_EPOCHS = 4
@@ -684,19 +688,30 @@ def d15_bad_record_rate(spark, folder):
     return found.withColumn("error_rate", rounded("error_rate"))
 
 
+def shifted(found: DataFrame) -> DataFrame:
+    """Detections whose labels turn round: never, once, or three times over the time of the table, by shard."""
+    at = F.unix_micros("ts")
+    first, last = found.agg(F.min(at), F.max(at)).first()
+    spans = F.element_at(F.array(*[F.lit(s) for s in SHIFT_SPANS]), F.col("shard") % len(SHIFT_SPANS) + 1)
+    span = F.floor((at - (first or 0)) * spans / ((last or 0) - (first or 0) + 1))
+    return found.withColumn("is_bot", F.when(span % 2 == 1, ~F.col("is_bot")).otherwise(F.col("is_bot")))
+
+
+def shifted_detections(spark: SparkSession, folder: str) -> DataFrame:
+    return written(shifted(stored_detections(spark, folder)), "shifted")
+
+
 def _watched(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Detections, zone rows and drift history of the snapshot's detections."""
-    found = stored_detections(spark, folder)
-    errors = written(drift.running_error(found), "errors")
-    zones = drift.warning_zone(errors, OPTIONS.warning_level)
-    cuts = drift.drift_cut_scan(written(drift.error_blocks(errors), "blocks"), DELTA)
-    return found, zones, written(drift.drift_history(zones, cuts), "history")
+    """Detections under turning labels, the same under their adaptive window, and the drift history."""
+    found = shifted_detections(spark, folder)
+    watched = written(windows.watch(found, DELTA, OPTIONS.warning_level), "watched")
+    return found, watched, written(windows.watched_history(watched), "history")
 
 
 @query
 def d16_drift_summary(spark, folder):
-    _, zones, history = _watched(spark, folder)
-    found = drift.drift_summary(zones, history)
+    _, watched, history = _watched(spark, folder)
+    found = drift.drift_summary(watched, history)
     return found.withColumns(
         {
             "drift_rate": rounded("drift_rate"),
@@ -728,12 +743,13 @@ def d17_learned_report(spark, folder):
 @query
 def a11_metrics_snapshot(spark, folder):
     """The snapshot document, read back from its JSON text."""
-    found, zones, history = _watched(spark, folder)
-    document = metrics_snapshot(found, drift.drift_summary(zones, history))
+    found, watched, history = _watched(spark, folder)
+    document = metrics_snapshot(found, drift.drift_summary(watched, history))
     schema = (
         "detector struct<detections:bigint,tp:bigint,tn:bigint,fp:bigint,fn:bigint,"
         "accuracy:double,precision:double,recall:double,f1:double,"
-        "drift:struct<checks:bigint,warnings:bigint,drifts:bigint>>,"
+        "drift:struct<checks:bigint,warnings:bigint,drifts:bigint,drift_rate:double,"
+        "current_error_rate:double,window_length:bigint,in_warning_zone:bigint>>,"
         "processor struct<events:bigint,bots:bigint,bot_percent:double,events_per_second:double>"
     )
     parsed = document.select(F.from_json("document", schema).alias("d"))
@@ -744,6 +760,10 @@ def a11_metrics_snapshot(spark, folder):
         F.col("drift.checks").alias("checks"),
         F.col("drift.warnings").alias("warnings"),
         F.col("drift.drifts").alias("drifts"),
+        rounded("drift.drift_rate").alias("drift_rate"),
+        rounded("drift.current_error_rate").alias("current_error_rate"),
+        F.col("drift.window_length").alias("window_length"),
+        F.col("drift.in_warning_zone").alias("in_warning_zone"),
         "bots",
         rounded("bot_percent").alias("bot_percent"),
         rounded("events_per_second", 9).alias("events_per_second"),
@@ -805,18 +825,36 @@ def e6_rule_buffer(spark, folder):
 
 @query
 def e7_error_indicator(spark, folder):
-    found = drift.running_error(stored_detections(spark, folder))
-    return found.select(
-        "event_id", "error", "instance_number", rounded("error_rate").alias("error_rate")
+    _, watched, _ = _watched(spark, folder)
+    return watched.select(
+        "event_id", "error", "instance_number", rounded("error_rate").alias("error_rate"), "window_length", "drift"
     )
 
 
 @query
 def e8_warning_zone(spark, folder):
-    zones = drift.warning_zone(
-        drift.running_error(stored_detections(spark, folder)), OPTIONS.warning_level
+    _, watched, _ = _watched(spark, folder)
+    return watched.select("event_id", "in_warning_zone", "warning_entered", "warning_left")
+
+
+@query
+def e8_detection_only(spark, folder):
+    """Zones where a drift is noticed but not answered: the window is cut and goes on."""
+    found = shifted_detections(spark, folder)
+    watched = windows.watch(found, DELTA, OPTIONS.warning_level, reset=False)
+    return watched.select(
+        "event_id", rounded("error_rate").alias("error_rate"), "window_length", "drift", "in_warning_zone",
+        "warning_entered", "warning_left",
     )
-    return zones.select("event_id", "in_warning_zone", "warning_entered", "warning_left")
+
+
+@query
+def f8_window_histogram(spark, folder):
+    """Buckets of every shard's window at the end, folded span by span."""
+    errors = written(drift.running_error(shifted_detections(spark, folder)), "errors")
+    _, final = windows.windows_in_segments(windows.error_sums(errors), DELTA, segment_blocks=SEGMENT_BLOCKS)
+    found = windows.histogram(final)
+    return found.select("shard", F.col("level").cast("bigint").alias("level"), F.col("place").cast("bigint").alias("place"), "n", "errors")
 
 
 @query
