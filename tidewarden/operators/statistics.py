@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewarden.functions.features import feature_value, feature_vector
 from tidewarden.operators.ordered import Running, running
 from tidewarden.schema import FEATURES
+from tidewarden.session import ship_package
 
 
 def feature_stats(events: DataFrame, *by: str) -> DataFrame:
@@ -35,36 +40,40 @@ def _as_arrays(per_feature: DataFrame, by: tuple[str, ...], names: tuple[str, ..
     )
 
 
+_MOMENTS = "shard int, model_id int, n bigint, mean array<double>, m2 array<double>"
+
+
+def _batch_moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(n, mean, m2) per (shard, model) of every batch, deviations taken around the batch's own mean."""
+    for batch in batches:
+        shards = batch.column(0).to_numpy(zero_copy_only=False)
+        copies = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(len(batch), -1).astype(float)
+        x = np.stack([batch.column(i).to_numpy(zero_copy_only=False) for i in range(2, batch.num_columns)], axis=1)
+        rows = []
+        for shard in np.unique(shards):
+            own = shards == shard
+            k, values = copies[own].T, x[own]
+            n = k.sum(axis=1)
+            centre = values.mean(axis=0)
+            shift = (k @ (values - centre)) / np.maximum(n, 1)[:, None]
+            m2 = k @ (values - centre) ** 2 - n[:, None] * shift**2
+            rows += [(int(shard), m, int(n[m]), centre + shift[m], np.maximum(m2[m], 0.0)) for m in range(len(n)) if n[m]]
+        if rows:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(column, kind) for column, kind in zip(zip(*rows), (pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.float64()), pa.list_(pa.float64())))],
+                ["shard", "model_id", "n", "mean", "m2"],
+            )
+
+
 def weighted_feature_moments(copied: DataFrame) -> DataFrame:
     """(n, mean, m2) per (shard, model), each event counted ``copies[model]`` times.
 
-    Deviations are taken around the shard's mean, so no digits are lost.
+    Every Arrow batch is reduced to one row a shard and model where it is read; only those
+    are shuffled, and merged exactly.
     """
-    centres = feature_stats(copied, "shard").select("shard", F.col("mean").alias("centre"))
-    values = copied.select("shard", "copies", feature_vector().alias("features"))
-    deviations = F.zip_with("features", "centre", lambda x, c: x - c)
-    per_model = (
-        values.join(centres, "shard")
-        .select("shard", "centre", deviations.alias("d"), F.posexplode("copies").alias("model_id", "k"))
-        .filter(F.col("k") > 0)
-    )
-    by_model = per_model.select(
-        "shard", "model_id", "k", F.posexplode(F.arrays_zip("d", "centre")).alias("i", "v")
-    ).select("shard", "model_id", "k", "i", F.col("v.d").alias("d"), F.col("v.centre").alias("c"))
-    n, s1 = F.col("n"), F.col("s1")
-    per_feature = (
-        by_model.groupBy("shard", "model_id", "i")
-        .agg(
-            F.sum(F.col("k").cast("bigint")).alias("n"),
-            F.first("c").alias("c"),
-            F.sum(F.col("k") * F.col("d")).alias("s1"),
-            F.sum(F.col("k") * F.col("d") * F.col("d")).alias("s2"),
-        )
-        .withColumns(
-            {"mean": F.col("c") + s1 / n, "m2": F.greatest(F.col("s2") - s1 * s1 / n, F.lit(0.0))}
-        )
-    )
-    return _as_arrays(per_feature, ("shard", "model_id"), ("mean", "m2"))
+    ship_package(copied.sparkSession)
+    flat = copied.select("shard", "copies", *[feature_value(name).alias(name) for name in FEATURES])
+    return merge_feature_stats(flat.mapInArrow(_batch_moments, _MOMENTS), "shard", "model_id")
 
 
 def merge_feature_stats(parts: DataFrame, *by: str) -> DataFrame:
