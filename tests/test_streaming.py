@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import json
+
+import pytest
 from pyspark.sql import functions as F
 
-from tidewarden.learning.exact import detections_of, exact_fold
+from tidewarden.learning.exact import detections_of, exact_fold, final_detectors
 from tidewarden.learning.mixing import MixRun
 from tidewarden.operators.metrics import metric_evolution
 from tidewarden.operators.sessions import session_features, session_features_stream
@@ -14,10 +17,10 @@ from tidewarden.sources.model_store import read_log
 from tidewarden.sources.streams import (
     kafka_source_options,
     read_event_stream,
-    with_event_ids,
     write_event_stream,
 )
-from tidewarden.streaming.exact import exact_stream
+from tidewarden.streaming.batches import ExactBatches, ExactRun, exact_batches
+from tidewarden.streaming.exact import exact_stream, stream_detectors
 from tidewarden.streaming.pipeline import (
     MixingBatches,
     bounded_run,
@@ -53,8 +56,8 @@ def test_exact_stream_equals_batch(spark, traffic, tmp_path):
     assert sum(c["events"] for c in counts if c) == 1000
     streamed = spark.read.parquet(str(tmp_path / "out"))
 
-    wire = traffic.withColumn("ts", F.timestamp_millis(F.unix_millis("ts")))
-    batch = detections_of(exact_fold(with_event_ids(wire, 2), OPTIONS))
+    wire, _ = decoded_stream(spark.read.text(str(tmp_path / "in")), 2)
+    batch = detections_of(exact_fold(wire, OPTIONS))
     assert streamed.count() == 1000
     columns = ("event_id", "is_bot_pred", "vote", "bot_votes", "drift", "warning", "window_length")
     assert streamed.select(*columns).exceptAll(batch.select(*columns)).isEmpty()
@@ -79,6 +82,66 @@ def test_exact_stream_keeps_state_over_batches_and_restarts(spark, keyed, tmp_pa
     assert streamed.select(*columns).exceptAll(batch.select(*columns)).isEmpty()
 
 
+def test_stream_starts_from_saved_detectors_and_leaves_its_own(spark, keyed, tmp_path):
+    """Fold, stream, stream again after a restart: together one fold, also in the state that is left."""
+    from tidewarden.sources.traffic import TrafficOptions, labelled_traffic
+
+    ordered = labelled_traffic(keyed, TrafficOptions(shards=3))
+    before = exact_fold(ordered.filter("event_id < 300"), OPTIONS).cache()
+    start = final_detectors(before)
+    for part in range(2):
+        later = ordered.filter(F.col("event_id").between(300 + part * 350, 649 + part * 350))
+        later.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        stream = spark.readStream.schema(ordered.schema).parquet(str(tmp_path / "in"))
+        writer = write_detections(exact_stream(stream, OPTIONS, start), str(tmp_path / "out"), str(tmp_path / "cp"))
+        writer.trigger(availableNow=True).start().awaitTermination(120)
+    whole = exact_fold(ordered, OPTIONS).cache()
+    columns = ("event_id", "is_bot_pred", "bot_votes", "drift", "window_length", "instance_number")
+    found = detections_of(before).select(*columns).unionByName(spark.read.parquet(str(tmp_path / "out")).select(*columns))
+    assert found.count() == 1000 and found.exceptAll(detections_of(whole).select(*columns)).isEmpty()
+    kept, plain = ({r["shard"]: json.loads(r["detector"]) for r in d.collect()} for d in (stream_detectors(spark, str(tmp_path / "cp")), final_detectors(whole)))
+    assert set(kept) == set(plain) == {0, 1, 2}
+    for shard, one in kept.items():
+        models, others = one.pop("models"), plain[shard].pop("models")
+        assert one == plain[shard]  # window, zone and counters
+        for a, b in zip(models, others, strict=True):
+            assert a.pop("rules") == b.pop("rules")
+            for name in ("mean", "m2", "weights"):  # sums of other blocks of rows, so other last digits
+                assert a.pop(name) == pytest.approx(b.pop(name), rel=1e-9)
+            assert a == b
+
+
+def test_exact_batches_run_again_and_replayed(spark, traffic, tmp_path):
+    """A batch run twice, and a replay of records without a time, give the same ids and results."""
+    untimed = F.regexp_replace("value", '"timestamp":[0-9]+,', "")
+    records = encode_events(traffic, "event_id").withColumn("value", F.when(F.col("event_id") % 10 == 0, untimed).otherwise(F.col("value")))
+    parts = [records.filter(F.col("event_id") % 2 == k).select("value") for k in range(2)]
+    runs = [ExactRun(spark, str(tmp_path / f"run{k}")) for k in range(2)]
+    for run, batches in zip(runs, ([0, 1], [0, 0, 1, 0, 1])):
+        handler = ExactBatches(run, OPTIONS, shards=2)
+        for batch in batches:
+            handler(parts[batch], batch)
+        handler(parts[0].limit(0), 2)
+        assert {r["batch"]: (r["records"], r["rejected"], r["detections"]) for r in run.batches().collect()} == {0: (500, 0, 500), 1: (500, 0, 500)}
+    columns = ("event_id", "shard", "is_bot", "batch")
+    first, second = (run.detections().select(*columns) for run in runs)
+    assert first.count() == 1000 and first.exceptAll(second).isEmpty()
+    assert runs[0].detectors().count() == 2
+
+
+def test_exact_batches_report_rejects(spark, tmp_path):
+    bad = ['{"sessionId":', "null", '{"sessionId":"y"}', '{"sessionId":"z","httpVersion":"HTTP/2"}', '{"sessionId":"z","httpVersion":"HTTP/2"}']
+    for k, line in enumerate(bad):
+        spark.createDataFrame([(line,)], "value string").coalesce(1).write.mode("append").text(str(tmp_path / "in"))
+    run = ExactRun(spark, str(tmp_path / "run"))
+    records = read_event_stream(spark, "text", str(tmp_path / "in"), maxFilesPerTrigger="2")
+    writer = exact_batches(records, ExactBatches(run, OPTIONS, shards=1), str(tmp_path / "cp"))
+    writer.trigger(availableNow=True).start().awaitTermination(120)
+    counts = {r["batch"]: (r["records"], r["rejected"], r["detections"]) for r in run.batches().collect()}
+    assert counts == {0: (2, 2, None), 1: (2, 1, 1), 2: (1, 0, 1)}
+    assert {r["reason"] for r in run.rejected().collect()} == {"unparsable", "null_event", "missing_http_version"}
+
+
 def test_mixing_stream_counts_every_good_record(spark, traffic, tmp_path):
     bad = ['{"sessionId":', "null", '{"sessionId":"x","errorRate":"zz","httpVersion":"HTTP/2"}',
            '{"sessionId":"y"}']
@@ -153,5 +216,11 @@ def test_metric_evolution_on_a_stream(spark, traffic, tmp_path):
     assert spark.table("evolution").exceptAll(batch).isEmpty()
 
 
-def test_admission_limit():
+def test_admission_limit(spark, tmp_path):
+    for k in range(3):
+        spark.range(1).selectExpr("'x' as value").write.mode("append").text(str(tmp_path / "in"))
+    stream = read_event_stream(spark, "text", str(tmp_path / "in"), maxFilesPerTrigger="1")
+    query = stream.writeStream.format("noop").option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
+    query.awaitTermination(60)
+    assert [p["numInputRows"] for p in query.recentProgress if p["numInputRows"]] == [1, 1, 1]
     assert kafka_source_options("h:9092", "t")["maxOffsetsPerTrigger"] == "15000"

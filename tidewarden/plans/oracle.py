@@ -18,6 +18,7 @@ from tidewarden.plans.queries import (
     SESSION_GAP_SECONDS,
     SHARDS,
     SHIFT_SPANS,
+    STREAM_SPANS,
     WALK_EPOCHS,
 )
 from tidewarden.plans.window_sql import histogram_rows, watched_rows, window_steps, windows
@@ -590,7 +591,13 @@ FINAL: dict[str, str] = {
 }
 
 
-FINAL["a9_resume"] = FINAL["f7_detect"]
+for _name in ("a9_resume", "a7_stream_batches", "h4_stream_from_saved"):
+    FINAL[_name] = FINAL["f7_detect"]
+FINAL["a9_stream_detectors"] = FINAL["f3_adjusted_weights"]
+FINAL["a4_stream_outcomes"] = f"""select cast((epoch_us(ts)-t0)*{STREAM_SPANS}//(t1-t0+1) as bigint) as batch, count(*) as records,
+  count(*) filter (where kind not in (0,1,2,3)) as good, count(*) filter (where kind=1) as null_event,
+  count(*) filter (where kind in (0,2)) as unparsable, count(*) filter (where kind=3) as missing_http_version
+  from wire, (select epoch_us(min(ts)) as t0, epoch_us(max(ts)) as t1 from events) group by 1"""
 FINAL["d17_learned_report"] = """select shard, round(avg(accuracy) over (partition by shard),6) as avg_accuracy,
   model_id, n as instances, correct, round(accuracy,6) as accuracy from (
   select shard, model_id, count(*) filter (where (score>0.7::double)=is_bot) as correct,

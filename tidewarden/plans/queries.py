@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +18,7 @@ from tidewarden.functions.features import (
     zscores,
 )
 from tidewarden.learning.exact import (
+    WATCHED_SCHEMA,
     detections_of,
     drift_events_of,
     exact_fold,
@@ -29,9 +31,13 @@ from tidewarden.operators import drift, ensemble, metrics, sampling, sessions, s
 from tidewarden.operators.ordered import instance_number
 from tidewarden.operators.report import metrics_snapshot
 from tidewarden.schema import FEATURES, RULE_CONFIDENCE, DetectorOptions
-from tidewarden.session import scratch_path, written
+from tidewarden.session import ROCKSDB_PROVIDER, scratch_path, written
 from tidewarden.sources import codec, model_store, traffic
+from tidewarden.sources.streams import read_event_stream
 from tidewarden.sources.tables import read_table, spread
+from tidewarden.streaming.batches import ExactBatches, ExactRun, exact_batches
+from tidewarden.streaming.exact import exact_stream, stream_detectors
+from tidewarden.streaming.pipeline import decoded_stream, write_detections
 
 OPTIONS = DetectorOptions(n_models=5, threshold=0.6)
 FOLD_OPTIONS = DetectorOptions(n_models=3, threshold=0.6, drift_enabled=False)
@@ -196,9 +202,9 @@ def g4_session_features(spark, folder):
 # Decoding and encoding
 
 
-def wire_records(spark: SparkSession, folder: str) -> DataFrame:
+def wire_records(spark: SparkSession, folder: str, *keep: str) -> DataFrame:
     """JSON text of every event, some of it damaged by the rule of ``event_id % 97``."""
-    text = codec.encode_events(events(spark, folder), "event_id")
+    text = codec.encode_events(events(spark, folder), "event_id", *keep)
     kind = F.col("event_id") % 97
     value = F.col("value")
     damaged = (
@@ -212,7 +218,7 @@ def wire_records(spark: SparkSession, folder: str) -> DataFrame:
         .when(kind == 7, F.regexp_replace(value, "^\\{", '{"surplus":[1,2],'))
         .otherwise(value)
     )
-    return text.select("event_id", damaged.alias("value"))
+    return text.select("event_id", *keep, damaged.alias("value"))
 
 
 def decoded_records(spark: SparkSession, folder: str) -> DataFrame:
@@ -308,6 +314,145 @@ def a9_resume(spark, folder):
     return _detected(detections_of(before).unionByName(detections_of(after)))
 
 
+#: Spans of time a registered stream reads one after the other, and the files of each.
+STREAM_SPANS = 4
+STREAM_FILES = 4
+
+
+def span_of(rows: DataFrame, spans: int) -> Column:
+    """The number of the span of time, of equally long ones, that a row of the table is in."""
+    at = F.unix_micros("ts")
+    first, last = rows.agg(F.min(at), F.max(at)).first()
+    return F.floor((at - (first or 0)) * spans / ((last or 0) - (first or 0) + 1)).cast("bigint")
+
+
+def _arrivals(rows: DataFrame, label: str) -> str:
+    """A folder of text files (value), span after span, each shard's records of a span in one file.
+
+    Files are read in the order of their writing, so every shard's records arrive in order for any
+    limit on the files of a batch.
+    """
+    path = scratch_path(rows.sparkSession, label)
+    for span in range(STREAM_SPANS):
+        own = rows.filter(F.col("span") == span).repartitionById(STREAM_FILES, F.col("shard") % STREAM_FILES)
+        own.select("value").write.mode("append").text(path)
+    return path
+
+
+def _wire_id() -> Column:
+    return F.col("metadata")["event_id"].cast("bigint")
+
+
+def _numbered_records(spark: SparkSession, folder: str) -> DataFrame:
+    """(shard, span, value): every event as its JSON record, with its number in the metadata."""
+    rows = written(fold_events(spark, folder), "traffic")
+    rows = rows.withColumn("metadata", F.create_map(F.lit("event_id"), F.col("event_id").cast("string")))
+    rows = rows.withColumn("span", span_of(rows, STREAM_SPANS))
+    return codec.encode_events(rows, "shard", "span", "ts")
+
+
+def _shards(spark: SparkSession) -> int:
+    return int(spark.conf.get(SHARDS_SETTING, str(SHARDS)))
+
+
+def _finish(writer) -> None:
+    """Run a stream over all that is there, batch by batch, and wait for its end."""
+    query = writer.trigger(availableNow=True).start()
+    query.awaitTermination()
+    if query.exception():
+        raise query.exception()
+
+
+@contextmanager
+def _keyed_state(spark: SparkSession):
+    """The state store that keyed detectors need, for the streams started inside."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, ROCKSDB_PROVIDER)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before) if before else spark.conf.unset(name)
+
+
+@query
+def a7_stream_batches(spark, folder):
+    """The exact job end to end over a stream of JSON records, several batches long."""
+    path = _arrivals(_numbered_records(spark, folder), "arrivals")
+    records = read_event_stream(spark, "text", path, maxFilesPerTrigger=str(STREAM_FILES))
+    run = ExactRun(spark, scratch_path(spark, "exact-run"))
+    handler = ExactBatches(run, FOLD_OPTIONS, _shards(spark), _wire_id)
+    _finish(exact_batches(records, handler, f"{run.root}/checkpoint"))
+    return _detected(run.detections())
+
+
+@query
+def a4_stream_outcomes(spark, folder):
+    """Records of every batch of a stream, some of them damaged: read, good, and rejected by reason."""
+    rows = written(wire_records(spark, folder, "shard", "ts"), "wire")
+    path = _arrivals(rows.withColumn("span", span_of(rows, STREAM_SPANS)), "arrivals")
+    records = read_event_stream(spark, "text", path, maxFilesPerTrigger=str(STREAM_FILES))
+    run = ExactRun(spark, scratch_path(spark, "exact-run"))
+    _finish(exact_batches(records, ExactBatches(run, FOLD_OPTIONS, _shards(spark)), f"{run.root}/checkpoint"))
+    reasons = ("null_event", "unparsable", "missing_http_version")
+    by_reason = run.rejected().groupBy("batch").agg(*[F.count_if(F.col("reason") == r).alias(r) for r in reasons])
+    counted = run.batches().join(by_reason, "batch", "left")
+    return counted.select(
+        F.col("batch").cast("bigint").alias("batch"), "records", (F.col("records") - F.col("rejected")).alias("good"),
+        *[F.coalesce(F.col(r), F.lit(0)).alias(r) for r in reasons],
+    )
+
+
+def _half_and_half(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, str]:
+    """(detections of the earlier half of the time, records of the later one, where its detectors are saved)."""
+    rows = _numbered_records(spark, folder)
+    early = F.col("span") < STREAM_SPANS // 2
+    records = written(rows.withColumn("early", early), "records")
+    first, _ = decoded_stream(records.filter("early").select("value"), _shards(spark), _wire_id())
+    folded = written(exact_fold(first, FOLD_OPTIONS), "folded")
+    path = scratch_path(spark, "detectors")
+    model_store.save_detectors(final_detectors(folded), path, 0)
+    return detections_of(folded), records.filter("not early"), path
+
+
+def _exact_stream_over(spark: SparkSession, records: DataFrame, start: DataFrame | None = None) -> tuple[str, str]:
+    """(folder of detections, checkpoint) of a keyed stream over the records."""
+    path = _arrivals(records, "arrivals")
+    stream = read_event_stream(spark, "text", path, maxFilesPerTrigger=str(STREAM_FILES))
+    events, _ = decoded_stream(stream, _shards(spark), _wire_id())
+    out, checkpoint = scratch_path(spark, "streamed"), scratch_path(spark, "checkpoint")
+    with _keyed_state(spark):
+        _finish(write_detections(exact_stream(events, FOLD_OPTIONS, start), out, checkpoint))
+    return out, checkpoint
+
+
+@query
+def h4_stream_from_saved(spark, folder):
+    """A batch fold over the earlier half of the time, and a stream over the later one that starts
+    from the detectors the fold saved."""
+    before, records, path = _half_and_half(spark, folder)
+    out, _ = _exact_stream_over(spark, records, model_store.load_detectors(spark, path))
+    after = spark.read.schema(WATCHED_SCHEMA).parquet(out)
+    return _detected(before.select(*after.columns).unionByName(after))
+
+
+@query
+def a9_stream_detectors(spark, folder):
+    """Weights of the detectors that a stopped stream left in its checkpoint, saved and loaded."""
+    _, checkpoint = _exact_stream_over(spark, _numbered_records(spark, folder))
+    path = scratch_path(spark, "detectors")
+    with _keyed_state(spark):
+        model_store.save_detectors(stream_detectors(spark, checkpoint), path, 1)
+    state = model_store.models_of(model_store.load_detectors(spark, path))
+    return _weights(state)
+
+
+def _weights(state: DataFrame) -> DataFrame:
+    return state.select("shard", "model_id", "n", F.posexplode("weights").alias("i", "w")).select(
+        "shard", "model_id", "n", F.col("i").cast("bigint").alias("feature_index"), rounded("w").alias("weight")
+    )
+
+
 def _detected(found: DataFrame) -> DataFrame:
     return found.select(
         "event_id",
@@ -929,16 +1074,7 @@ def f2_learn_rule(spark, folder):
 @query
 def f3_adjusted_weights(spark, folder):
     """Weights of every model after learning from the whole table, one event at a time."""
-    folded = exact_fold(fold_events(spark, folder), FOLD_OPTIONS)
-    return final_state(folded).select(
-        "shard", "model_id", "n", F.posexplode("weights").alias("i", "w")
-    ).select(
-        "shard",
-        "model_id",
-        "n",
-        F.col("i").cast("bigint").alias("feature_index"),
-        rounded("w").alias("weight"),
-    )
+    return _weights(final_state(exact_fold(fold_events(spark, folder), FOLD_OPTIONS)))
 
 
 @query

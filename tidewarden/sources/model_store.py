@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewarden.schema import MODEL_STATE_SCHEMA
 
@@ -43,11 +44,20 @@ def versions(spark: SparkSession, path: str) -> list[int]:
     return [v for v in found if is_written(spark, f"{path}/version={v}")]
 
 
+def newest_version(spark: SparkSession, path: str, below: int | None = None) -> int | None:
+    """The newest version whose write has completed (older than ``below``, if given), looked for from
+    the newest down, so that a long history costs one listing."""
+    for version in reversed(numbered_folders(spark, path, "version")):
+        if (below is None or version < below) and is_written(spark, f"{path}/version={version}"):
+            return version
+    return None
+
+
 def _newest(spark: SparkSession, path: str) -> int:
-    known = versions(spark, path)
-    if not known:
+    found = newest_version(spark, path)
+    if found is None:
         raise FileNotFoundError(f"no model version in {path}")
-    return known[-1]
+    return found
 
 
 def save_detectors(detectors: DataFrame, path: str, version: int) -> None:
@@ -61,6 +71,14 @@ def load_detectors(spark: SparkSession, path: str, version: int | None = None) -
     return spark.read.parquet(f"{path}/version={version}").select("shard", "detector")
 
 
+def models_of(detectors: DataFrame, version: int = 0) -> DataFrame:
+    """The models inside whole detectors, as a ``model_state`` table."""
+    kept = F.from_json("detector", T.StructType([T.StructField("models", T.ArrayType(MODEL_STATE_SCHEMA))]))
+    models = detectors.select("shard", F.inline(kept["models"]).alias(*[f"_{c}" for c in STATE_COLUMNS]))
+    named = models.select("shard", *[F.col(f"_{c}").alias(c) for c in STATE_COLUMNS if c != "shard"])
+    return named.withColumn("version", F.lit(version).cast("bigint")).select(*STATE_COLUMNS)
+
+
 def load_model(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
     """One version of the state, the newest by default; only its folder is read."""
     version = _newest(spark, path) if version is None else version

@@ -19,6 +19,7 @@ PRODUCER_SETTINGS = {
 }
 RECORDS_PER_SECOND = 1000
 TRIGGER_SECONDS = 5
+FILES_PER_TRIGGER = 64
 
 
 def kafka_source_options(servers: str, topic: str, partitions: int = 3) -> dict[str, str]:
@@ -37,14 +38,16 @@ def read_event_stream(
     """A streaming frame with a JSON ``value`` column.
 
     ``kind`` is ``kafka`` (``location`` lists the servers) or ``text`` (``location`` is a
-    folder of files with one record per line; ``maxFilesPerTrigger`` limits a batch).
+    folder of files with one record per line). A batch is limited either way: by offsets, or by
+    ``maxFilesPerTrigger`` files (:data:`FILES_PER_TRIGGER` unless set).
     """
     reader = spark.readStream.format(kind)
     if kind == "kafka":
         settings = {**kafka_source_options(location, topic), **options}
         return reader.options(**settings).load().select(F.col("value").cast("string"))
     if kind == "text":
-        return reader.options(**options).load(location).select("value")
+        settings = {"maxFilesPerTrigger": str(FILES_PER_TRIGGER), **options}
+        return reader.options(**settings).load(location).select("value")
     raise ValueError(f"unknown stream kind {kind!r}")
 
 
@@ -66,9 +69,16 @@ def publish_events(records: DataFrame, servers: str, topic: str) -> None:
     records.write.format("kafka").options(**settings).save()
 
 
-def with_event_ids(events: DataFrame, shards: int) -> DataFrame:
-    """Add the id and the shard an event from the wire is learned under."""
-    event_id: Column = F.xxhash64("session_id", "ts")
-    return events.withColumn("event_id", event_id).withColumn(
-        "shard", shard_of("event_id", shards)
-    )
+def with_record_ids(records: DataFrame, value: str = "value") -> DataFrame:
+    """Add ``record_id``, a hash of the record's own text: the same in every replay."""
+    return records.withColumn("record_id", F.xxhash64(value))
+
+
+def with_event_ids(events: DataFrame, shards: int, event_id: Column | None = None) -> DataFrame:
+    """Add the id and the shard an event from the wire is learned under.
+
+    The id is ``event_id`` where one is given and not null, else ``record_id`` (see
+    :func:`with_record_ids`), which no clock enters: records without a time keep their id in a replay.
+    """
+    own = F.col("record_id") if event_id is None else F.coalesce(event_id, F.col("record_id"))
+    return events.withColumn("event_id", own).withColumn("shard", shard_of("event_id", shards))

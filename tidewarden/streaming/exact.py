@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tidewarden.learning.detector import Detector, detector_from_json, detector_to_json
@@ -23,6 +24,9 @@ class ShardDetector(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.kept = handle.getValueState("detector", "detector string")
 
+    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
+        self.kept.update((initialState["detector"].iloc[0],))
+
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         # One shard's share of one micro-batch; the trigger's admission limit bounds it.
         frames = [frame for frame in rows if len(frame)]
@@ -41,13 +45,17 @@ class ShardDetector(StatefulProcessor):
         pass
 
 
-def exact_stream(events: DataFrame, options: DetectorOptions) -> DataFrame:
+def exact_stream(
+    events: DataFrame, options: DetectorOptions, start: DataFrame | None = None
+) -> DataFrame:
     """Detections of a stream of events with features, id, shard and label.
 
     State is one detector per shard in the state store, so it survives restarts from the
-    query's checkpoint. Needs the RocksDB state store provider.
+    query's checkpoint. ``start`` (shard, detector; see ``load_detectors``) is what the first run
+    begins with; a restart goes on from its checkpoint. Needs the RocksDB state store provider.
     """
     ship_package(events.sparkSession)
+    kept = None if start is None else start.select("shard", "detector").groupBy("shard")
     return (
         fold_input(events, options)
         .groupBy("shard")
@@ -56,6 +64,16 @@ def exact_stream(events: DataFrame, options: DetectorOptions) -> DataFrame:
             outputStructType=WATCHED_SCHEMA,
             outputMode="Append",
             timeMode="None",
+            initialState=kept,
         )
     )
 
+
+def stream_detectors(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """(shard, detector) as the last finished batch of a stopped :func:`exact_stream` left them.
+
+    Read from the state store of its checkpoint, so nothing has to be kept beside it; save them
+    with ``save_detectors`` to start another stream or a batch fold.
+    """
+    state = spark.read.format("statestore").option("stateVarName", "detector").load(checkpoint)
+    return state.select(F.col("key.shard").alias("shard"), F.col("value.detector").alias("detector"))

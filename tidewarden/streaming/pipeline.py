@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
@@ -13,13 +13,15 @@ from tidewarden.operators.metrics import detection_metrics
 from tidewarden.schema import DetectorOptions
 from tidewarden.sources.codec import CORRUPT, apply_defaults, decode_events, split_bad_records
 from tidewarden.sources.model_store import append_log, is_written, save_model, versions
-from tidewarden.sources.streams import TRIGGER_SECONDS, with_event_ids
+from tidewarden.sources.streams import TRIGGER_SECONDS, with_event_ids, with_record_ids
 
 
-def decoded_stream(records: DataFrame, shards: int) -> tuple[DataFrame, DataFrame]:
+def decoded_stream(
+    records: DataFrame, shards: int, event_id: Column | None = None
+) -> tuple[DataFrame, DataFrame]:
     """(events ready for detection, rejected records) of a ``value`` stream."""
-    good, rejected = split_bad_records(decode_events(records))
-    return with_event_ids(apply_defaults(good), shards), rejected.select("reason", CORRUPT)
+    good, rejected = split_bad_records(decode_events(with_record_ids(records)))
+    return with_event_ids(apply_defaults(good), shards, event_id), rejected.select("reason", CORRUPT)
 
 
 class MixingBatches:
@@ -39,7 +41,7 @@ class MixingBatches:
     def __call__(self, records: DataFrame, batch: int) -> None:
         if records.isEmpty():
             return
-        decoded = decode_events(records).persist()  # read three times below
+        decoded = decode_events(with_record_ids(records)).persist()  # read three times below
         try:
             good, rejected = split_bad_records(decoded)
             append_log(rejected.select("reason", CORRUPT), f"{self.run.root}/rejected", batch)
