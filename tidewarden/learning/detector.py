@@ -72,10 +72,18 @@ def ensemble_votes(
     return vote, confidence, bot_votes
 
 
-def _watch(detector: Detector, errors: np.ndarray, out: dict, at: int, options) -> int | None:
-    """Feed errors from ``at`` on; stop at the first drift and return its position."""
+def _watch(
+    detector: Detector, errors: np.ndarray, out: dict, at: int, options, watched: np.ndarray | None
+) -> int | None:
+    """Feed errors from ``at`` on; stop at the first drift and return its position.
+
+    Rows that ``watched`` leaves out are not observed and change nothing.
+    """
     window = detector.window
     for i in range(at, len(errors)):
+        if watched is not None and not watched[i]:
+            out["instance_number"][i] = detector.checks
+            continue
         detector.checks += 1
         drift = window.add(float(errors[i]))
         rate = window.estimate
@@ -96,10 +104,13 @@ def _watch(detector: Detector, errors: np.ndarray, out: dict, at: int, options)
 
 
 def fold_block(
-    detector: Detector, x: np.ndarray, is_bot: np.ndarray, copies: np.ndarray, options: DetectorOptions
+    detector: Detector, x: np.ndarray, is_bot: np.ndarray, copies: np.ndarray, options: DetectorOptions,
+    threshold: np.ndarray | None = None, drift_on: np.ndarray | None = None,
 ) -> dict[str, np.ndarray]:
     """Detect and learn over a block, in order; updates ``detector`` and returns columns.
 
+    ``threshold`` and ``drift_on`` hold, row by row, instead of the options' own.
+
     The models learn independently of each other, so each is run over the whole block.
     A drift replaces one model, and only that one is run again from the next event on.
     """
@@ -130,10 +141,10 @@ def fold_block(
     while True:
         accuracy = correct / np.maximum(seen, 1) if options.vote == "weighted" else None
         vote, confidence, bot_votes = ensemble_votes(scores, accuracy)
-        flagged = vote & (confidence >= options.threshold)
-        if not options.drift_enabled:
+        flagged = vote & (confidence >= (options.threshold if threshold is None else threshold))
+        if not (options.drift_enabled if drift_on is None else drift_on.any()):
             break
-        drift = _watch(detector, flagged != is_bot, out, at, options)
+        drift = _watch(detector, flagged != is_bot, out, at, options, drift_on)
         if drift is None:
             break
         at = drift + 1

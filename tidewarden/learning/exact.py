@@ -26,6 +26,7 @@ from tidewarden.learning.detector import (
     fold_block,
 )
 from tidewarden.learning.kernel import row_of_model
+from tidewarden.operators.control import CONTROL_COLUMNS
 from tidewarden.schema import (
     DETECTION_SCHEMA,
     FEATURES,
@@ -34,6 +35,7 @@ from tidewarden.schema import (
     DetectorOptions,
 )
 from tidewarden.session import ship_package, shuffle_width
+from tidewarden.sources.model_store import is_written
 
 FEATURE_COLUMNS = [f"f{i}" for i in range(N_FEATURES)]
 _WATCHED = [
@@ -56,13 +58,17 @@ def copy_columns(options: DetectorOptions) -> list[str]:
 
 
 def fold_input(events: DataFrame, options: DetectorOptions) -> DataFrame:
-    """Flat numeric columns: they reach the fold as Arrow buffers, not as objects."""
+    """Flat numeric columns: they reach the fold as Arrow buffers, not as objects.
+
+    Columns of :mod:`tidewarden.operators.control` go along where the events have them.
+    """
     flat = events.select(
         "shard",
         "ts",
         "event_id",
         *[feature_value(f).alias(c) for f, c in zip(FEATURES, FEATURE_COLUMNS)],
         "is_bot",
+        *[c for c in CONTROL_COLUMNS if c in events.columns],
         copies_per_model("event_id", options.n_models, options.seed).alias("_copies"),
     )
     copies = [F.col("_copies")[m].alias(c) for m, c in enumerate(copy_columns(options))]
@@ -75,10 +81,12 @@ def fold_frame(detector: Detector, frame: pd.DataFrame, options: DetectorOptions
     x = frame[FEATURE_COLUMNS].to_numpy(float)
     is_bot = frame["is_bot"].to_numpy(bool)
     copies = frame[copy_columns(options)].to_numpy()
+    control = {c: frame[c].to_numpy() for c in CONTROL_COLUMNS if c in frame}
     for at in range(0, len(frame), BLOCK_ROWS):
         rows = slice(at, at + BLOCK_ROWS)
+        obeyed = {c: values[rows] for c, values in control.items()}
         parts.append(
-            pd.DataFrame(fold_block(detector, x[rows], is_bot[rows], copies[rows], options))
+            pd.DataFrame(fold_block(detector, x[rows], is_bot[rows], copies[rows], options, **obeyed))
         )
     folded = pd.concat(parts, ignore_index=True)
     for name in ("event_id", "shard", "ts", "is_bot"):
@@ -146,6 +154,34 @@ def exact_fold(
     return ordered.groupBy("shard").applyInPandas(fold, EXACT_SCHEMA)
 
 
+def exact_fold_in_segments(
+    events: DataFrame, options: DetectorOptions, seconds: int, path: str, start: DataFrame | None = None
+) -> DataFrame:
+    """:func:`exact_fold` time segment by time segment, the detectors written between them.
+
+    A segment holds ``seconds`` of event time (events without a time come first). Each is written
+    under ``path`` before the next one starts, and one that is already written is not folded
+    again, so a stopped run goes on where it was, a lost executor repeats one segment at
+    most, and no task runs longer than a segment takes. The result is that of one fold.
+    ``events`` are read once for each segment, by their time: store them sorted or partitioned by it.
+    """
+    spark = events.sparkSession
+    segment = F.coalesce(F.floor(F.unix_micros("ts") / (seconds * 1_000_000)), F.lit(-(1 << 62)))
+    found = [r["segment"] for r in events.select(segment.alias("segment")).distinct().orderBy("segment").collect()]
+    parts: list[DataFrame] = []
+    for number in found:
+        place = f"{path}/segment={number}"
+        if not is_written(spark, place):
+            exact_fold(events.filter(segment == number), options, start).write.mode("overwrite").parquet(place)
+        folded = spark.read.schema(EXACT_SCHEMA).parquet(place)
+        start = final_detectors(folded)
+        parts.append(folded)
+    if not parts:
+        return exact_fold(events, options, start)
+    whole = spark.read.schema(EXACT_SCHEMA).parquet(*[f"{path}/segment={n}" for n in found])
+    return whole.filter(F.col("event_id").isNotNull()).unionByName(parts[-1].filter(F.col("event_id").isNull()))
+
+
 def detections_of(folded: DataFrame) -> DataFrame:
     return folded.filter(F.col("event_id").isNotNull()).drop("models", "detector")
 

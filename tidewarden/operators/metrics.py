@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewarden.operators.ordered import Running, rolling_sums, running
+from tidewarden.operators.ordered import Running, as_of, rolling_sums, running
+from tidewarden.schema import DetectorOptions
 
 CELLS = ("tp", "tn", "fp", "fn")
 
@@ -146,6 +147,19 @@ def periodic_metrics(detections: DataFrame, every: int, **options) -> DataFrame:
     )
 
 
+def metrics_in_force(
+    detections: DataFrame, probes: DataFrame, options: DetectorOptions, **as_of_options
+) -> DataFrame:
+    """Each probe (shard, ts, ...) with the metrics that stand at its time.
+
+    They are those of the last detection whose number is a multiple of ``options.update_frequency``;
+    before the first such one all are null.
+    """
+    facts = periodic_metrics(detections, options.update_frequency)
+    measured = ("instance_number", *CELLS, "precision", "recall", "f1", "accuracy")
+    return as_of(probes, facts, measured, "instance_number", **as_of_options)
+
+
 def rolling_metrics(detections: DataFrame, size: int, **options) -> DataFrame:
     """Metrics over the last ``size`` detections of each shard."""
     flags = cell_flags(F.col("is_bot_pred"), F.col("is_bot"))

@@ -92,6 +92,30 @@ def instance_number(df: DataFrame, **options) -> DataFrame:
     return running(df, {"instance_number": Running("sum", F.lit(1).cast("bigint"))}, **options)
 
 
+def as_of(
+    probes: DataFrame,
+    facts: DataFrame,
+    values: tuple[str, ...],
+    tie: str,
+    keys: tuple[str, ...] = KEYS,
+    order: str = "ts",
+    width: int | None = None,
+) -> DataFrame:
+    """Each probe with the ``values`` of the newest fact of its key at or before its ``order``.
+
+    Of facts at the same time the one with the highest ``tie`` counts. Facts and probes run
+    through one ordered stream, and the last fact is carried from chunk to chunk as a running
+    value: there is no range join, and a key with most of the rows is cut like any other. Probes
+    without an earlier fact get nulls; a probe without a time has no fact.
+    """
+    fact = F.struct(F.col(order).alias("_at"), F.col(tie).alias("_tie"), *values)
+    told = facts.filter(F.col(order).isNotNull()).select(*keys, order, F.lit(False).alias("_probe"), fact.alias("_fact"))
+    asked = probes.withColumns({"_probe": F.lit(True), "_fact": F.lit(None).cast(told.schema["_fact"].dataType)})
+    both = chunked(asked.unionByName(told, allowMissingColumns=True), (order,), width)
+    carried = with_running(both, {"_last": Running("max", F.col("_fact"))}, keys, (order, "_probe"))
+    return carried.filter("_probe").select(*probes.columns, *[F.col("_last")[v].alias(v) for v in values])
+
+
 def rolling_sums(
     numbered: DataFrame,
     values: dict[str, Column],

@@ -10,10 +10,12 @@ import re
 
 from tidewarden.functions.draws import POISSON_CUTS
 from tidewarden.plans.queries import (
+    CONTROL_THRESHOLDS,
     DELTA,
     FOLD_OPTIONS,
     OPTIONS,
     PERIOD,
+    PROBE_MINUTES,
     ROLLING,
     SESSION_GAP_SECONDS,
     SHARDS,
@@ -591,9 +593,20 @@ FINAL: dict[str, str] = {
 }
 
 
-for _name in ("a9_resume", "a7_stream_batches", "h4_stream_from_saved"):
+for _name in ("a9_resume", "a7_stream_batches", "h4_stream_from_saved", "f7_detect_in_segments"):
     FINAL[_name] = FINAL["f7_detect"]
 FINAL["a9_stream_detectors"] = FINAL["f3_adjusted_weights"]
+FINAL["e4_metrics_in_force"] = f"""select p.event_id, instance_number, tp, tn, fp, fn, precision, recall, f1, accuracy from det p asof left join (
+  select *, {_RATE_COLUMNS} from (select *, {_RATES} from (select shard, ts, row_number() over w as instance_number,
+  {_CELL_SUMS.format(over=' over w')} from det
+  window w as (partition by shard order by ts, event_id rows unbounded preceding))
+  where instance_number%{PERIOD}=0)) f on p.shard=f.shard and p.ts+interval {PROBE_MINUTES} minutes>=f.ts"""
+FINAL["f13_options_in_force"] = f"""select event_id, vote and confidence>=case when epoch_us(ts)>=t0+2*((t1-t0)//3) then {CONTROL_THRESHOLDS[1]}::double
+    when epoch_us(ts)>=t0+(t1-t0)//3 then {CONTROL_THRESHOLDS[0]}::double else {FOLD_OPTIONS.threshold}::double end as is_bot_pred,
+  vote, round(confidence,6) as confidence, bot_votes, human_votes from f_det join events using (event_id),
+  (select epoch_us(min(ts)) as t0, epoch_us(max(ts)) as t1 from events)"""
+FINAL["a2_variant_metadata"] = """select event_id, user_id, event_type, round(value,4) as value,
+  cast(json_extract_string(props, '$.k') as bigint) as k, true as typed from events"""
 FINAL["a4_stream_outcomes"] = f"""select cast((epoch_us(ts)-t0)*{STREAM_SPANS}//(t1-t0+1) as bigint) as batch, count(*) as records,
   count(*) filter (where kind not in (0,1,2,3)) as good, count(*) filter (where kind=1) as null_event,
   count(*) filter (where kind in (0,2)) as unparsable, count(*) filter (where kind=3) as missing_http_version

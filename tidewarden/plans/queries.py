@@ -22,12 +22,13 @@ from tidewarden.learning.exact import (
     detections_of,
     drift_events_of,
     exact_fold,
+    exact_fold_in_segments,
     final_detectors,
     final_state,
 )
 from tidewarden.learning.mixing import mix
 from tidewarden.operators import detect as detecting
-from tidewarden.operators import drift, ensemble, metrics, sampling, sessions, statistics, windows
+from tidewarden.operators import control, drift, ensemble, metrics, sampling, sessions, statistics, windows
 from tidewarden.operators.ordered import instance_number
 from tidewarden.operators.report import metrics_snapshot
 from tidewarden.schema import FEATURES, RULE_CONFIDENCE, DetectorOptions
@@ -47,6 +48,12 @@ SHARDS_SETTING = "spark.tidewarden.shards"
 #: An exact fold runs a shard in one task, so a shard may not hold many more rows than this.
 ROWS_PER_SHARD = 1_000_000
 PERIOD = 100
+#: How long after an event the metrics in force are asked for.
+PROBE_MINUTES = 30
+#: Thresholds that a control table sets, at equal spans of time.
+CONTROL_THRESHOLDS = (0.9, 0.3)
+#: Spans of time of the segmented fold.
+SEGMENTS = 5
 #: Spans of time after which the labels of a shard turn round, by shard number.
 SHIFT_SPANS = (1, 2, 4)
 #: Blocks of errors after which a window's histogram is written and handed on.
@@ -950,6 +957,72 @@ def e4_periodic_metrics(spark, folder):
     return found.select("shard", "instance_number", "event_id", *metrics.CELLS, *_rates())
 
 
+@query
+def e4_metrics_in_force(spark, folder):
+    """The metrics that stand half an hour after each event, from the last multiple of the update frequency."""
+    found = stored_detections(spark, folder)
+    later = F.col("ts") + F.expr(f"interval {PROBE_MINUTES} minutes")
+    probes = found.select("shard", "event_id", later.alias("ts"))
+    standing = metrics.metrics_in_force(found, probes, OPTIONS.with_(update_frequency=PERIOD))
+    return standing.select("event_id", "instance_number", *metrics.CELLS, *_rates())
+
+
+@query
+def f13_options_in_force(spark, folder):
+    """The exact fold under a control table: the threshold changes at a third and at two thirds of the time."""
+    rows = written(fold_events(spark, folder), "traffic")
+    at = F.unix_micros("ts")
+    first, last = rows.agg(F.min(at), F.max(at)).first()
+    third = ((last or 0) - (first or 0)) // 3
+    changes = [((first or 0) + (k + 1) * third, t) for k, t in enumerate(CONTROL_THRESHOLDS)]
+    versions = spark.createDataFrame(changes, "at bigint, threshold double").select(
+        F.timestamp_micros("at").alias("valid_from"), "threshold", F.lit(None).cast("boolean").alias("drift_on")
+    )
+    return _detected(detections_of(exact_fold(control.with_control(rows, versions, FOLD_OPTIONS), FOLD_OPTIONS)))
+
+
+@query
+def f7_detect_in_segments(spark, folder):
+    """The exact fold in spans of time, with the detectors written between them."""
+    rows = written(fold_events(spark, folder), "traffic")
+    at = F.unix_micros("ts")
+    first, last = rows.agg(F.min(at), F.max(at)).first()
+    seconds = max(1, ((last or 0) - (first or 0)) // (SEGMENTS * 1_000_000))
+    folded = exact_fold_in_segments(rows, FOLD_OPTIONS, seconds, scratch_path(spark, "segments"))
+    return _detected(detections_of(folded))
+
+
+@query
+def a2_variant_metadata(spark, folder):
+    """The given columns of every event as nested metadata: encoded, decoded, encoded and decoded again,
+    and read by path."""
+    raw = read_table(spark, folder, "events")
+    own = raw.select(
+        "event_id",
+        F.to_variant_object(
+            F.struct(
+                F.struct("user_id", F.array("event_type", F.col("value").cast("string")).alias("tags")).alias("who"),
+                F.col("value").cast("decimal(18,2)").alias("value"),
+                F.parse_json(F.coalesce("props", F.lit("null"))).alias("props"),
+            )
+        ).alias("metadata"),
+    )
+    rows = events(spark, folder).join(own, "event_id")
+    text = codec.encode_events(rows, "event_id")
+    for _ in range(2):
+        decoded = codec.apply_defaults(codec.decode_events(text, any_metadata=True).filter(F.col(codec.CORRUPT).isNull()))
+        text = codec.encode_events(decoded, "event_id")
+    get = lambda path, kind: F.variant_get("metadata", path, kind)
+    return decoded.select(
+        "event_id",
+        get("$.who.user_id", "bigint").alias("user_id"),
+        get("$.who.tags[0]", "string").alias("event_type"),
+        rounded(get("$.value", "double"), 4).alias("value"),
+        get("$.props.k", "bigint").alias("k"),
+        F.schema_of_variant("metadata").contains("props: OBJECT<k: BIGINT>").alias("typed"),
+    )
+
+
 @query
 def e5_rule_samples(spark, folder):
     samples = sampling.rule_samples(_numbered(spark, folder), OPTIONS)

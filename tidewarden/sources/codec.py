@@ -9,17 +9,26 @@ from pyspark.sql import types as T
 from tidewarden.schema import FEATURE_TYPES, WIRE_SCHEMA, WIRE_TO_COLUMN
 
 CORRUPT = "_corrupt"
-_DECODE_SCHEMA = T.StructType(WIRE_SCHEMA.fields + [T.StructField(CORRUPT, T.StringType())])
 _CASED = {"columnNameOfCorruptRecord": CORRUPT}
 
 
-def decode_events(records: DataFrame, value: str = "value") -> DataFrame:
+def _decode_schema(any_metadata: bool) -> T.StructType:
+    wire = [
+        T.StructField(f.name, T.VariantType()) if any_metadata and f.name == "metadata" else f
+        for f in WIRE_SCHEMA.fields
+    ]
+    return T.StructType([*wire, T.StructField(CORRUPT, T.StringType())])
+
+
+def decode_events(records: DataFrame, value: str = "value", any_metadata: bool = False) -> DataFrame:
     """Parse the JSON text; unknown fields are ignored, other columns are kept.
 
-    Text that does not parse, or a field of the wrong type, is left in ``_corrupt``.
+    Text that does not parse, or a field of the wrong type, is left in ``_corrupt``. ``metadata`` is
+    a map of texts, or with ``any_metadata`` a variant: any JSON, with its numbers and nesting,
+    read by path (``variant_get``) and encoded again as it was.
     """
     kept = [c for c in records.columns if c != value]
-    event = F.from_json(F.col(value), _DECODE_SCHEMA, _CASED)
+    event = F.from_json(F.col(value), _decode_schema(any_metadata), _CASED)
     # Inlined from an array of one, so that the text is parsed once per row: plain field
     # accesses would each be rewritten into a parse of their own.
     parsed = records.select(*kept, value, F.inline(F.array(event)))
@@ -40,8 +49,11 @@ def apply_defaults(decoded: DataFrame, ingest_time: Column | None = None) -> Dat
         "ts": F.coalesce(F.timestamp_millis("ts"), ingest_time),
         "is_bot": F.coalesce("is_bot", F.lit(False)),
         "confidence": F.coalesce("confidence", F.lit(0.0)),
-        "metadata": F.coalesce("metadata", F.create_map().cast("map<string,string>")),
     }
+    if isinstance(decoded.schema["metadata"].dataType, T.VariantType):
+        defaults["metadata"] = F.coalesce("metadata", F.parse_json(F.lit("{}")))
+    else:
+        defaults["metadata"] = F.coalesce("metadata", F.create_map().cast("map<string,string>"))
     for name, kind in FEATURE_TYPES.items():
         if name != "http_version":
             defaults[name] = F.coalesce(F.col(name), F.lit(0).cast(kind))
