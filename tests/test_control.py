@@ -46,7 +46,7 @@ def test_metrics_stand_until_the_next_multiple(spark):
     found = spark.createDataFrame(rows, "shard int, ts timestamp, event_id long, is_bot_pred boolean, is_bot boolean")
     standing = metrics.metrics_in_force(found, found.select("shard", "ts", "event_id"), OPTIONS.with_(update_frequency=10))
     by_id = {r["event_id"]: r for r in standing.collect()}
-    assert by_id[8]["instance_number"] is None and by_id[8]["precision"] is None
+    assert by_id[8]["instance_number"] == 0 and by_id[8]["precision"] == 0.0
     assert {by_id[i]["instance_number"] for i in range(9, 19)} == {10} and by_id[24]["instance_number"] == 20
     assert by_id[12]["tp"] == sum(p and b for _, _, _, p, b in rows[:10])
 

@@ -153,11 +153,12 @@ def metrics_in_force(
     """Each probe (shard, ts, ...) with the metrics that stand at its time.
 
     They are those of the last detection whose number is a multiple of ``options.update_frequency``;
-    before the first such one all are null.
+    before the first such one all are 0, as a detector starts.
     """
     facts = periodic_metrics(detections, options.update_frequency)
     measured = ("instance_number", *CELLS, "precision", "recall", "f1", "accuracy")
-    return as_of(probes, facts, measured, "instance_number", **as_of_options)
+    found = as_of(probes, facts, measured, "instance_number", **as_of_options)
+    return found.withColumns({m: F.coalesce(F.col(m), F.lit(0).cast(found.schema[m].dataType)) for m in measured})
 
 
 def rolling_metrics(detections: DataFrame, size: int, **options) -> DataFrame:

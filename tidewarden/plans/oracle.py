@@ -596,7 +596,7 @@ FINAL: dict[str, str] = {
 for _name in ("a9_resume", "a7_stream_batches", "h4_stream_from_saved", "f7_detect_in_segments"):
     FINAL[_name] = FINAL["f7_detect"]
 FINAL["a9_stream_detectors"] = FINAL["f3_adjusted_weights"]
-FINAL["e4_metrics_in_force"] = f"""select p.event_id, instance_number, tp, tn, fp, fn, precision, recall, f1, accuracy from det p asof left join (
+FINAL["e4_metrics_in_force"] = f"""select p.event_id, {", ".join(f"coalesce({c},0) as {c}" for c in ("instance_number", "tp", "tn", "fp", "fn", "precision", "recall", "f1", "accuracy"))} from det p asof left join (
   select *, {_RATE_COLUMNS} from (select *, {_RATES} from (select shard, ts, row_number() over w as instance_number,
   {_CELL_SUMS.format(over=' over w')} from det
   window w as (partition by shard order by ts, event_id rows unbounded preceding))
