@@ -190,7 +190,7 @@ def test_session_stream_equals_batch(spark, tmp_path):
     raw.filter("event_id < 500").coalesce(1).write.parquet(str(tmp_path / "in"))
     raw.filter("event_id >= 500").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
     stream = spark.readStream.schema(raw.schema).parquet(str(tmp_path / "in"))
-    sessions = session_features_stream(stream, "8 hours", "30 days")
+    sessions = session_features_stream(stream, 8 * 3600, "30 days")
     query = (
         sessions.writeStream.format("memory").queryName("sessions").outputMode("complete")
         .trigger(availableNow=True).option("checkpointLocation", str(tmp_path / "cp")).start()

@@ -350,7 +350,29 @@ STEPS: dict[str, str] = {
         sum(case when score>0.7::double then 1 else -1 end)>0 as vote,
         avg(abs(score-0.5)*2) as confidence from f_scores group by event_id, shard, is_bot)""",
 }
-_RECURSIVE = {"walk", "f_weights", "w_steps", "w_kept_steps"}
+# Sessions of the given events as traffic, and the steps of exact learning over them.
+STEPS["s_cut"] = f"""select *, sum(fresh) over (partition by user_id order by ts, event_id) as session from (
+  select *, case when lag(ts) over w is null or epoch_us(ts)-epoch_us(lag(ts) over w)>={SESSION_GAP_SECONDS * 1_000_000}
+    then 1 else 0 end as fresh from events window w as (partition by user_id order by ts, event_id))"""
+STEPS["s_sums"] = """select user_id, min(event_id) as event_id, max(ts) as ts, count(*) as n, epoch_us(max(ts))-epoch_us(min(ts)) as span,
+  sum(cast(value as decimal(18,2)))::double as total, count(props) as with_props,
+  count(*) filter (where event_type='view') as views, count(*) filter (where event_type='click') as clicks,
+  count(*) filter (where event_type='signup') as signups, count(*) filter (where event_type='error') as wrong,
+  count(*) filter (where event_type='purchase') as bought, max(cast(json_extract_string(props, '$.k') as bigint)) as k
+  from s_cut group by user_id, session"""
+STEPS["s_traffic"] = f"""select event_id, cast(floor({_u('shard')}*{SHARDS}) as int) as shard, ts, bought>0 as is_bot,
+  cast(n as int) as requests_per_second, total/n as avg_response_time,
+  (views>0)::int+(clicks>0)::int+(signups>0)::int+(wrong>0)::int as unique_endpoints,
+  clicks/n as click_rate, views/n as scroll_depth, cast(span//1000000 as int) as session_duration,
+  views::double as page_views_per_session, cast(wrong as int) as error_rate,
+  case when n>1 then span/(n-1)/1000.0::double else 0 end as time_between_requests, cast(with_props as int) as distinct_headers,
+  clicks>0 as javascript_enabled, signups>0 as cookies_enabled, 0 as screen_resolution,
+  case when k>=50 then 'HTTP/2' else 'HTTP/1.1' end as http_version from s_sums"""
+_LEARNING = ("vec", *(name for name in STEPS if name.startswith("f_")))
+for _name in _LEARNING:
+    _sql = STEPS[_name].replace("from traffic", "from s_traffic")
+    STEPS[f"s_{_name}"] = re.sub(rf"\b({'|'.join(_LEARNING)})\b", r"s_\1", _sql)
+_RECURSIVE = {"s_f_weights", "walk", "f_weights", "w_steps", "w_kept_steps"}
 
 
 def _needs(sql: str) -> list[str]:
@@ -607,6 +629,11 @@ FINAL["f13_options_in_force"] = f"""select event_id, vote and confidence>=case w
   (select epoch_us(min(ts)) as t0, epoch_us(max(ts)) as t1 from events)"""
 FINAL["a2_variant_metadata"] = """select event_id, user_id, event_type, round(value,4) as value,
   cast(json_extract_string(props, '$.k') as bigint) as k, true as typed from events"""
+FINAL["g4_session_vectors"] = "select event_id, shard, is_bot, " + ", ".join(f"round(x[{i + 1}],6) as f{i:02d}" for i in range(14)) + " from s_vec"
+FINAL["f7_detect_sessions"] = FINAL["f7_detect"].replace("f_det", "s_f_det")
+FINAL["f3_session_weights"] = FINAL["f3_adjusted_weights"].replace("f_last", "s_f_last")
+FINAL["f7_session_stream"] = FINAL["f7_detect_sessions"] + f""" join (select event_id as closed from s_traffic
+  where epoch_us(ts)+{SESSION_GAP_SECONDS * 1_000_000}<=(select epoch_us(max(ts)) from events)) on closed=event_id"""
 FINAL["a4_stream_outcomes"] = f"""select cast((epoch_us(ts)-t0)*{STREAM_SPANS}//(t1-t0+1) as bigint) as batch, count(*) as records,
   count(*) filter (where kind not in (0,1,2,3)) as good, count(*) filter (where kind=1) as null_event,
   count(*) filter (where kind in (0,2)) as unparsable, count(*) filter (where kind=3) as missing_http_version

@@ -206,6 +206,52 @@ def g4_session_features(spark, folder):
     )
 
 
+def session_events(spark: SparkSession, folder: str) -> DataFrame:
+    """The given events as sessions with the detector's features and a label."""
+    raw = read_table(spark, folder, "events")
+    return sessions.session_traffic(raw, SESSION_GAP_SECONDS, _shards(spark))
+
+
+@query
+def g4_session_vectors(spark, folder):
+    found = with_features(session_events(spark, folder))
+    return found.select(
+        "event_id", "shard", "is_bot", *[rounded(F.col("features")[i]).alias(f"f{i:02d}") for i in range(len(FEATURES))]
+    )
+
+
+@query
+def f7_detect_sessions(spark, folder):
+    """The exact fold over the sessions of the given events."""
+    return _detected(detections_of(exact_fold(session_events(spark, folder), FOLD_OPTIONS)))
+
+
+@query
+def f3_session_weights(spark, folder):
+    """Weights learned from the sessions of the given events."""
+    return _weights(final_state(exact_fold(session_events(spark, folder), FOLD_OPTIONS)))
+
+
+@query
+def f7_session_stream(spark, folder):
+    """Sessions cut from a stream of the given events, and detected by the keyed detectors behind them.
+
+    A session is detected once the watermark has passed it, so those still open at the end are not.
+    """
+    raw = written(read_table(spark, folder, "events").withColumn("ts", F.col("ts").cast("timestamp")), "given")
+    raw = raw.withColumn("span", span_of(raw, STREAM_SPANS))
+    path = scratch_path(spark, "arrivals")
+    for span in range(STREAM_SPANS):
+        own = raw.filter(F.col("span") == span).drop("span")
+        own.coalesce(STREAM_FILES).write.mode("append").parquet(path)
+    stream = spark.readStream.schema(raw.drop("span").schema).option("maxFilesPerTrigger", str(STREAM_FILES)).parquet(path)
+    rows = sessions.session_traffic_stream(stream, SESSION_GAP_SECONDS, "0 seconds", _shards(spark))
+    out, checkpoint = scratch_path(spark, "streamed"), scratch_path(spark, "checkpoint")
+    with _keyed_state(spark):
+        _finish(write_detections(exact_stream(rows, FOLD_OPTIONS), out, checkpoint))
+    return _detected(spark.read.schema(WATCHED_SCHEMA).parquet(out))
+
+
 # Decoding and encoding
 
 

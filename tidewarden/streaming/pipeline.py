@@ -9,13 +9,17 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from tidewarden.learning.exact import detections_of
 from tidewarden.learning.mixing import ROWS_PER_SLICE, MixRun, mix_batch, sliced
 from tidewarden.operators.ensemble import initial_state, shard_list
-from tidewarden.operators.metrics import detection_metrics
+from tidewarden.operators.metrics import cell_flags, detection_metrics
 from tidewarden.schema import DetectorOptions
 from tidewarden.sources.codec import CORRUPT, apply_defaults, decode_events, split_bad_records
 from tidewarden.sources.model_store import append_log, is_written, save_model, versions
 from tidewarden.sources.streams import TRIGGER_SECONDS, with_event_ids, with_record_ids
 
 
+#: Name under which a stream's detections are counted.
+OBSERVED = "detections"
+
+
 def decoded_stream(
     records: DataFrame, shards: int, event_id: Column | None = None
 ) -> tuple[DataFrame, DataFrame]:
@@ -79,14 +83,16 @@ def write_detections(detections: DataFrame, path: str, checkpoint: str) -> DataS
     )
 
 
-def observed(detections: DataFrame, name: str = "detections") -> DataFrame:
-    """Attach per-batch counts, reported to streaming query listeners."""
+def observed(detections: DataFrame, name: str = OBSERVED) -> DataFrame:
+    """Attach per-batch counts, reported to streaming query listeners (see :mod:`tidewarden.streaming.live`)."""
     right = F.col("is_bot_pred") == F.col("is_bot")
+    cells = cell_flags(F.col("is_bot_pred"), F.col("is_bot"))
     return detections.observe(
         name,
         F.count(F.lit(1)).alias("events"),
         F.count_if("is_bot_pred").alias("bots"),
         F.count_if(right).alias("correct"),
+        *[F.coalesce(F.sum(flag), F.lit(0)).alias(cell) for cell, flag in cells.items()],
     )
 
 
