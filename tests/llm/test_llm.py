@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import collections
+import hashlib
 import itertools
 import math
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -79,6 +81,19 @@ def test_packing_places_every_id(spark, odd, docs):
         assert len(room) <= math.ceil(sum(r["length"] for r in rows) / 2048) + 1
 
 
+def test_added_tokens_get_their_own_ids(spark):
+    """A text that spells an added token is encoded as the named tokenizer does it."""
+    from public_tokenizers import path
+    from tokenizers import Tokenizer
+
+    whole = Tokenizer.from_file(path("byte_bpe_50k.json"))
+    token = next(iter(whole.get_added_tokens_decoder().values())).content
+    texts = [f"a {token} b", token, f"{token}{token}", f"  {token}\n\n", f"x{token[:-1]}", f"naïve {token} 漢字"]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in packing.cut(table).collect():
+        assert r["ids"] == np.array(whole.encode(texts[r["id"]], add_special_tokens=False).ids + [0], "<u4").tobytes()
+
+
 def test_fullest_combination_is_the_best():
     draw = random.Random(1)
     for _ in range(200):
@@ -429,3 +444,48 @@ def test_pipeline(spark, odd, tmp_path):
     assert len(names) == 5 and {20, 24, 25} <= set(kept) and not {21, 22, 23, 26, 1, 2, 3, 4} & set(kept)
     assert kept[24].endswith("[EMAIL]")
     assert {r["doc_id"] for r in corpus_pipeline.run(spark, str(tmp_path)).collect()} == set(kept)
+
+
+def test_damaged_copy_of_any_first_character(spark, tmp_path):
+    """Pages that begin with a byte-order mark or a letter of several bytes are damaged like others."""
+    names = [i for i in range(4000) if hashlib.md5(str(i).encode()).hexdigest()[:2] in ("00", "01")][:12]
+    starts = ["\ufeff<html>", "ü", "漢字", "🙂", "", "plain"]
+    rows = [(i, f"http://h/{i}", starts[k % len(starts)] + " rest\nof it") for k, i in enumerate(names)] + [(-5, None, "kept")]
+    found = {r["record_id"]: r["status"] for r in warc.drill(spark.createDataFrame(rows, "page_id long, url string, html string")).where("status <> 'moved'").collect()}
+    plain = {f"<urn:page:{i}>": "changed" if hashlib.md5(str(i).encode()).hexdigest()[:2] == "00" else "missing" for i in names}
+    assert found == plain and set(plain.values()) == {"changed", "missing"}
+
+
+def test_a_document_of_eight_languages():
+    """As many languages as are learned may take part in one text."""
+    alphabet = "abcdefghijklmnopqrstuvwxyz"
+    names = [f"l{k}" for k in range(8)]
+    draw = random.Random(3)
+    own = {n: ["".join(draw.choices(alphabet[3 * k : 3 * k + 3], k=6)) for _ in range(40)] for k, n in enumerate(names)}
+    counts = np.zeros((8, 1 << language.BUCKET_BITS))
+    for k, n in enumerate(names):
+        for at in language._buckets(np.frombuffer((" " + " ".join(own[n] * 5) + " ").encode(), np.uint8)):
+            counts[k, at] += 1
+    log_p = np.log((counts + 1e-3) / (counts + 1e-3).sum(axis=1, keepdims=True)).astype(np.float32)
+    text = " ".join(w for n in names for w in own[n])
+    shares = language.mixtures(pa.array([text, " ".join(own["l2"])]), language.LanguageModel(names, log_p), language.LanguageOptions())
+    assert (shares[0] > 0.05).all() and (shares[1] > 0).sum() == 1
+
+
+def test_address_finders_equal_their_patterns():
+    """The linear finders give the leftmost matches of the patterns that define them."""
+    draw = random.Random(1)
+    parts = ["a", "b1", "7", "255", "256", ".", ".", "@", " ", "-", "+", " at ", "[at]", " dot ", "(dot)", "é", "\n", "(at)"]
+    spelt = re.compile(r"[A-Za-z0-9._%+-]+ ?" + pii.SPELT_DOMAIN.pattern)
+    for _ in range(5000):
+        text = "".join(draw.choices(parts, k=draw.randint(1, 22)))
+        assert list(pii.emails(text)) == [m.span() for m in pii.EMAIL.finditer(text)]
+        assert list(pii.addresses(text)) == [m.span() for m in pii.IP.finditer(text) if all(int(p) <= 255 for p in m[0].split("."))]
+        assert list(pii.spelt(text)) == [m.span() for m in spelt.finditer(text)]
+
+
+def test_long_texts_take_linear_time():
+    start = time.time()
+    for text in ("1" * 1_000_000, "a" * 1_000_000 + "@x.de", "a@b.cd " * 40_000):
+        pii.find_spans(text, pii.Field({}, 21))
+    assert time.time() - start < 10

@@ -170,11 +170,12 @@ def damaged_copy(spark: SparkSession, path: str, copy: str) -> None:
                 for name, at, length, _ in parse(content):
                     mark = hashlib.md5(name.removeprefix("<urn:page:").removesuffix(">").encode()).hexdigest()[:2]
                     part = content[at : at + length - 1]  # the writer adds the last line feed
-                    if mark == "00":
-                        body = HEAD.match(part).end()
-                        part = part[:body] + b"~" + part[body + 1 :]
+                    text = part.decode()
+                    if mark == "00":  # the first character of the payload, at the same number of bytes
+                        body = len(HEAD.match(part)[0].decode())
+                        text = text[:body] + "~" * max(1, len(text[body : body + 1].encode())) + text[body + 1 :]
                     if mark != "01" or name == "<urn:page:null>":
-                        values.append(part.decode())
+                        values.append(text)
                 yield pd.DataFrame({"segment": segment, "n": range(len(values)), "value": values})
 
     ship_package(spark)
