@@ -41,7 +41,8 @@ class Encoder(dict):
     """Token ids of texts as unsigned little-endian 32-bit bytes.
 
     A byte-level BPE never joins across the place before a lone space, nor across a lone
-    line break, so texts are cut there and each part's ids are kept for the next time.
+    line break, so texts are cut there and each part's ids are kept for the next time. Texts
+    that hold one of the vocabulary's added tokens get its id, as the tokenizer gives it.
     """
 
     def __init__(self, options: PackOptions) -> None:
@@ -54,7 +55,7 @@ class Encoder(dict):
         super().__init__()
         place = (lambda e: options.tokenizer + e) if "/" in options.tokenizer else (lambda e: public_tokenizers.path(options.tokenizer + e))
         self.whole = Tokenizer.from_file(place(".json"))
-        self.whole.encode_special_tokens = True
+        self.added = [token.content for token in self.whole.get_added_tokens_decoder().values()]
         with open(place(".tiktoken"), "rb") as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self.part = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
@@ -67,7 +68,7 @@ class Encoder(dict):
     def ids(self, text: str | None) -> bytes:
         if not text:
             return b""
-        if ODD.search(text):
+        if ODD.search(text) or any(token in text for token in self.added):
             return np.asarray(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         if any(pair in text for pair in ("  ", " \n", "\n ", "\n\n", "\t", "\r")):
             return np.asarray(self.part.encode_ordinary(text), "<u4").tobytes()
