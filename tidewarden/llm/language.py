@@ -29,7 +29,6 @@ class LanguageOptions:
     """``sample_docs``: about so many labelled documents of each language are learned from."""
 
     sample_docs: int = 3000
-    sample_chars: int = 20_000
     chunk_words: int = 8
     rounds: int = 12
     add: float = 0.5
@@ -71,7 +70,7 @@ def learn(labelled: DataFrame, options: LanguageOptions = LanguageOptions(),
     """Trigram likelihoods of each language of ``labelled``.
 
     The rows learned from are a bounded sample: per language about ``sample_docs``
-    documents chosen by a hash of the id, each up to ``sample_chars`` characters. Rows with
+    documents chosen by a hash of the id, with their whole texts. Rows with
     a null id, text or language teach nothing. Languages are the label's values, at most
     ``max_languages`` (more raise ValueError). No labelled rows give a model without
     languages, which predicts ``und``.
@@ -91,7 +90,7 @@ def learn(labelled: DataFrame, options: LanguageOptions = LanguageOptions(),
     share = {r["lang"]: options.sample_docs / r["count"] for r in sizes}
     draw = (F.xxhash64("id", F.lit(5)) % 1_000_000 + 1_000_000) % 1_000_000
     limit = F.coalesce(*[F.when(F.col("lang") == n, F.lit(share[n] * 1e6)) for n in names])
-    sample = rows.where(draw < limit).select("lang", F.substring("text", 1, options.sample_chars).alias("text"))
+    sample = rows.where(draw < limit).select("lang", "text")
     counted = sample.mapInPandas(_count, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     found = counted.toPandas()  # languages x buckets at most
     counts = np.zeros((len(names), 1 << BUCKET_BITS))
@@ -153,7 +152,7 @@ def mixtures(column, model: LanguageModel, options: LanguageOptions) -> np.ndarr
     best, fit = _fit(chunks, first, allowed, 0)
     live = np.arange(len(full))
     penalty = 0.5 * np.log(np.maximum(n_chunks, 2)) + 1.0
-    for k in range(1, min(n_langs, 6)):
+    for k in range(1, n_langs):
         live = live[wide[live, ranked[live, k]] > 1e-3]
         if not len(live):
             break
