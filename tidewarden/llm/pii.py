@@ -8,6 +8,8 @@ on base spans of a bounded sample of documents and on rewritten forms of those s
 
 from __future__ import annotations
 
+import bisect
+import itertools
 import math
 import random
 import re
@@ -27,15 +29,19 @@ KINDS = ("email", "ip", "card", "phone")
 # The base patterns.
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+#: The same, found from their signs outwards: what follows an @, and numbers joined by points.
+LOCAL = re.compile(r"[A-Za-z0-9._%+-]+")
+DOMAIN = re.compile(r"@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+)*")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 DIGIT = re.compile(r"[0-9]")
 
 #: Stretches in which a number may stand, and addresses that are spelt out.
 NUMBER_REGION = re.compile(r"[+(]{0,2}[0-9](?:[ ().+\-\[\]]{0,3}[0-9])+")
-SPELT_REGION = re.compile(
-    r"[A-Za-z0-9._%+-]+ ?(?:\[at\]|\(at\)|\{at\}| at ) ?[A-Za-z0-9-]+"
-    r"(?: ?(?:\.|\[dot\]|\(dot\)|\{dot\}| dot ) ?[A-Za-z0-9-]+)+")
+SPELT_AT = re.compile(r"\[at\]|\(at\)|\{at\}| at ")
+SPELT_DOMAIN = re.compile(
+    r"(?:\[at\]|\(at\)|\{at\}| at ) ?[A-Za-z0-9-]+(?: ?(?:\.|\[dot\]|\(dot\)|\{dot\}| dot ) ?[A-Za-z0-9-]+)+")
 TOKEN = re.compile(r"[0-9]+|[A-Za-z]+|.", re.S)
 SIGN = re.compile(r"\[at\]|\(at\)|\{at\}|\bat\b")
 SPELT_DOT = re.compile(r"\[dot\]|\(dot\)|\{dot\}|\bdot\b")
@@ -53,12 +59,76 @@ def luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
+def _before(text: str, low: int, end: int) -> int:
+    """Where the characters of a local part that stand right before ``end`` begin, not below ``low``."""
+    found = LOCAL.match(text[low:end][::-1])
+    return end - found.end() if found else end
+
+
+def emails(text: str) -> Iterator[tuple[int, int]]:
+    """Spans of :data:`EMAIL`, leftmost and not overlapping, in time linear in the text."""
+    low = 0
+    at = text.find("@")
+    while at >= 0:
+        start, domain = _before(text, low, at), DOMAIN.match(text, at)
+        low = at + 1  # no local part reaches over an @
+        if start < at and domain:
+            low = domain.end()
+            yield start, low
+        at = text.find("@", low)
+
+
+def addresses(text: str) -> Iterator[tuple[int, int]]:
+    """Spans of :data:`IP`: of numbers joined by points every four, from the left."""
+    for run in DOTTED.finditer(text):
+        at = run.start()
+        parts = run[0].split(".")
+        for k in range(0, len(parts) - 3, 4):
+            four = parts[k : k + 4]
+            end = at + sum(map(len, four)) + 3
+            if all(int(p[-4:]) <= 255 and len(p.lstrip("0")) <= 3 for p in four):
+                yield at, end
+            at = end + 1
+
+
+def spelt(text: str) -> Iterator[tuple[int, int]]:
+    """Addresses that are spelt out, leftmost and not overlapping."""
+    low = 0
+    sign = SPELT_AT.search(text)
+    while sign:
+        end = sign.start()
+        if end > low and text[end - 1] == " ":
+            end -= 1
+        start, domain = _before(text, low, end), SPELT_DOMAIN.match(text, sign.start())
+        after = sign.start() + 1
+        if start < end and domain:
+            low = after = domain.end()
+            yield start, low
+        sign = SPELT_AT.search(text, after)
+
+
+class Overlaps:
+    """Which stretches meet a set of spans, by their starts and the furthest end so far."""
+
+    def __init__(self, spans: list[tuple[int, int, int]]):
+        ordered = sorted((s, e) for _, s, e in spans)
+        self.starts = [s for s, _ in ordered]
+        self.ends = list(itertools.accumulate((e for _, e in ordered), max))
+
+    def covers(self, start: int, end: int) -> bool:
+        k = bisect.bisect_right(self.starts, start)
+        return k > 0 and self.ends[k - 1] >= end
+
+    def meets(self, start: int, end: int) -> bool:
+        k = bisect.bisect_left(self.starts, end)
+        return k > 0 and self.ends[k - 1] > start
+
+
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(kind, start, end) by kind and start, in code points."""
-    found = [(0, *m.span()) for m in EMAIL.finditer(text)] if "@" in text else []
+    found = [(0, *span) for span in emails(text)]
     if DIGIT.search(text):
-        found += [(1, *m.span()) for m in IP.finditer(text)
-                  if all(int(p[-4:]) <= 255 and len(p.lstrip("0")) <= 3 for p in m[0].split("."))]
+        found += [(1, *span) for span in addresses(text)]
         for m in CARD.finditer(text):
             if m.end() - m.start() >= 13:
                 digits = m[0].replace(" ", "").replace("-", "")
@@ -91,8 +161,8 @@ class Field:
 
 def regions(text: str) -> list[tuple[int, int]]:
     """Disjoint stretches of a text that the field reads."""
-    spelt = "at)" in text or "at]" in text or "at}" in text or (" at " in text and " dot " in text)
-    found = [m.span() for m in SPELT_REGION.finditer(text)] if spelt else []
+    signs = "at)" in text or "at]" in text or "at}" in text or (" at " in text and " dot " in text)
+    found = list(spelt(text)) if signs else []
     if DIGIT.search(text):
         found += [m.span() for m in NUMBER_REGION.finditer(text) if m.end() - m.start() >= 7]
     found.sort()
@@ -170,7 +240,7 @@ def lattice(text: str, start: int, end: int, longest: int):
             if n > MOST_DIGITS and group != "word":
                 break
             for kind in range(4) if n >= 4 or group == "word" or SIGN.search(segment) else ():
-                found = segment_features(kind, segment, text[max(start, s - 3) : s], text[tokens[j - 1][1] :][:1])
+                found = segment_features(kind, segment, text[max(start, s - 3) : s], text[tokens[j - 1][1] : tokens[j - 1][1] + 1])
                 if found:
                     segments.append((i, j, kind, found))
     return tokens, segments
@@ -313,12 +383,12 @@ def find_spans(text: str | None, model: Field) -> tuple[list, list]:
     if not text:
         return [], []
     base = base_spans(text)
-    added = []
+    added, known = [], Overlaps(base)
     for s, e in regions(text):
-        if any(x <= s and e <= y for _, x, y in base):
+        if known.covers(s, e):
             continue
         for kind, x, y in decode(model, text, s, e):
-            if not any(x < end and start < y for _, start, end in base):
+            if not known.meets(x, y):
                 added.append((kind, x, y))
     return base, added
 
