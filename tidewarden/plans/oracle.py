@@ -78,36 +78,37 @@ _FEATURE_SQL = {
     for name in FEATURES
 } | {"http_version": "case when http_version='HTTP/2' then 1.0::double else 0.0::double end"}
 
+# The range of every feature, of humans and of bots.
 _HUMAN = {
-    "requests_per_second": "floor(u1*5)+1",
-    "avg_response_time": "u2*200+100",
-    "unique_endpoints": "floor(u3*10)+3",
-    "click_rate": "u4*0.35::double+0.6::double",
-    "scroll_depth": "u5*0.5::double+0.4::double",
-    "session_duration": "floor(u6*600)+60",
-    "page_views_per_session": "u7*7+3",
-    "error_rate": "floor(u8*3)",
-    "time_between_requests": "u9*5000+1000",
-    "distinct_headers": "floor(u10*5)+10",
+    "requests_per_second": "1+floor(5*u1)",
+    "avg_response_time": "100+200*u2",
+    "unique_endpoints": "3+floor(10*u3)",
+    "click_rate": "0.6::double+0.35::double*u4",
+    "scroll_depth": "0.4::double+0.5::double*u5",
+    "session_duration": "60+floor(600*u6)",
+    "page_views_per_session": "3+7*u7",
+    "error_rate": "floor(3*u8)",
+    "time_between_requests": "1000+5000*u9",
+    "distinct_headers": "10+floor(5*u10)",
     "javascript_enabled": "u11>0.05::double",
     "cookies_enabled": "u12>0.1::double",
-    "screen_resolution": "floor(u13*1000)+1920",
+    "screen_resolution": "1920+floor(1000*u13)",
     "http_version": "case when u14>0.3::double then 'HTTP/2' else 'HTTP/1.1' end",
 }
 _BOT = {
-    "requests_per_second": "floor((floor(u1*40)+10)*(1-s*0.5::double))",
-    "avg_response_time": "u2*50+10",
-    "unique_endpoints": "floor(u3*30)+5",
-    "click_rate": "s*0.5::double+0.1::double",
-    "scroll_depth": "s*0.4::double",
-    "session_duration": "floor(u6*(floor(s*400)+100))+10",
-    "page_views_per_session": "u7*40+10",
-    "error_rate": "floor(u8*10)+5",
-    "time_between_requests": "(u9*200+50)*(s*2+1)",
-    "distinct_headers": "floor(u10*5)+3",
+    "requests_per_second": "floor((10+floor(40*u1))*(1-0.5::double*s))",
+    "avg_response_time": "10+50*u2",
+    "unique_endpoints": "5+floor(30*u3)",
+    "click_rate": "0.1::double+0.5::double*s",
+    "scroll_depth": "0.4::double*s",
+    "session_duration": "10+floor(u6*(100+floor(400*s)))",
+    "page_views_per_session": "10+40*u7",
+    "error_rate": "5+floor(10*u8)",
+    "time_between_requests": "(50+200*u9)*(1+2*s)",
+    "distinct_headers": "3+floor(5*u10)",
     "javascript_enabled": "u11<s",
-    "cookies_enabled": "u12<s*0.8::double",
-    "screen_resolution": "floor(u13*500)+1024",
+    "cookies_enabled": "u12<0.8::double*s",
+    "screen_resolution": "1024+floor(500*u13)",
     "http_version": "'HTTP/1.1'",
 }
 
@@ -137,7 +138,7 @@ def _plain_traffic(draws: str) -> str:
 
 
 def _noisy(plain: str) -> str:
-    z = "((u15-0.5)*0.2::double+1)"
+    z = "(1+0.2::double*(u15-0.5))"
     return f"""select * replace (
       avg_response_time*{z} as avg_response_time,
       greatest(0,least(1,click_rate*{z})) as click_rate,

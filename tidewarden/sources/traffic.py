@@ -101,30 +101,22 @@ def _drawn_values(s: Column) -> dict[str, tuple[Column, Column]]:
     """(human, bot) value per feature before noise; ``s`` is the sophistication."""
     u = {i: _u(i) for i in range(1, 17)}
     floor = F.floor
+    # The range of every feature, of humans and of bots.
     return {
-        "requests_per_second": (
-            floor(u[1] * 5) + 1,
-            floor((floor(u[1] * 40) + 10) * (1 - s * 0.5)),
-        ),
-        "avg_response_time": (u[2] * 200 + 100, u[2] * 50 + 10),
-        "unique_endpoints": (floor(u[3] * 10) + 3, floor(u[3] * 30) + 5),
-        "click_rate": (u[4] * 0.35 + 0.6, s * 0.5 + 0.1),
-        "scroll_depth": (u[5] * 0.5 + 0.4, s * 0.4),
-        "session_duration": (
-            floor(u[6] * 600) + 60,
-            floor(u[6] * (floor(s * 400) + 100)) + 10,
-        ),
-        "page_views_per_session": (u[7] * 7 + 3, u[7] * 40 + 10),
-        "error_rate": (floor(u[8] * 3), floor(u[8] * 10) + 5),
-        "time_between_requests": (u[9] * 5000 + 1000, (u[9] * 200 + 50) * (s * 2 + 1)),
-        "distinct_headers": (floor(u[10] * 5) + 10, floor(u[10] * 5) + 3),
+        "requests_per_second": (1 + floor(5 * u[1]), floor((10 + floor(40 * u[1])) * (1 - 0.5 * s))),
+        "avg_response_time": (100 + 200 * u[2], 10 + 50 * u[2]),
+        "unique_endpoints": (3 + floor(10 * u[3]), 5 + floor(30 * u[3])),
+        "click_rate": (0.6 + 0.35 * u[4], 0.1 + 0.5 * s),
+        "scroll_depth": (0.4 + 0.5 * u[5], 0.4 * s),
+        "session_duration": (60 + floor(600 * u[6]), 10 + floor(u[6] * (100 + floor(400 * s)))),
+        "page_views_per_session": (3 + 7 * u[7], 10 + 40 * u[7]),
+        "error_rate": (floor(3 * u[8]), 5 + floor(10 * u[8])),
+        "time_between_requests": (1000 + 5000 * u[9], (50 + 200 * u[9]) * (1 + 2 * s)),
+        "distinct_headers": (10 + floor(5 * u[10]), 3 + floor(5 * u[10])),
         "javascript_enabled": (u[11] > 0.05, u[11] < s),
-        "cookies_enabled": (u[12] > 0.1, u[12] < s * 0.8),
-        "screen_resolution": (floor(u[13] * 1000) + 1920, floor(u[13] * 500) + 1024),
-        "http_version": (
-            F.when(u[14] > 0.3, "HTTP/2").otherwise("HTTP/1.1"),
-            F.lit("HTTP/1.1"),
-        ),
+        "cookies_enabled": (u[12] > 0.1, u[12] < 0.8 * s),
+        "screen_resolution": (1920 + floor(1000 * u[13]), 1024 + floor(500 * u[13])),
+        "http_version": (F.when(u[14] > 0.3, "HTTP/2").otherwise("HTTP/1.1"), F.lit("HTTP/1.1")),
     }
 
 
@@ -132,9 +124,9 @@ def add_noise(events: DataFrame, noise: Column) -> DataFrame:
     """One factor within ±10 % on three columns; the two rates stay in [0, 1]."""
     return events.withColumns(
         {
-            "avg_response_time": F.col("avg_response_time") * (noise + 1),
-            "click_rate": clamp(F.col("click_rate") * (noise + 1), 0.0, 1.0),
-            "scroll_depth": clamp(F.col("scroll_depth") * (noise + 1), 0.0, 1.0),
+            "avg_response_time": F.col("avg_response_time") * (1 + noise),
+            "click_rate": clamp(F.col("click_rate") * (1 + noise), 0.0, 1.0),
+            "scroll_depth": clamp(F.col("scroll_depth") * (1 + noise), 0.0, 1.0),
         }
     )
 
