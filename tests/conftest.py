@@ -5,10 +5,10 @@ from pathlib import Path
 
 import pytest
 
-sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
+sys.path[:0] = [str(Path(__file__).resolve().parents[1]), str(Path(__file__).resolve().parent)]
 
 from tidewarden.session import build_session  # noqa: E402
-from tidewarden.sources.traffic import TrafficOptions, labelled_traffic  # noqa: E402
+from derived_traffic import TrafficOptions, labelled_traffic  # noqa: E402
 
 FOLDER = "/root/testdata/sf0.001"
 

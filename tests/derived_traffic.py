@@ -1,20 +1,14 @@
-"""Labelled traffic derived from any keyed, timed table.
-
-Every value is a draw from the row's key, so the projection is distributed,
-repeatable and needs no shuffle.
-"""
+"""Labelled test traffic drawn from the keys of a timed table, with the ranges of FIXTURES.md, section 5."""
 
 from __future__ import annotations
 
-import hashlib
-import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewarden.functions.draws import shard_of, uniform, uniforms
-from tidewarden.functions.scoring import clamp
+from tidewarden.functions.draws import shard_of, uniforms
+from tidewarden.operators.augment import add_noise, noise_factor
 from tidewarden.schema import FEATURE_TYPES, FEATURES
 
 # User agents per class.
@@ -44,7 +38,6 @@ class TrafficOptions:
     start: str = "2024-01-01 00:00:00"
     phase_seconds: int | None = 864_000
     shards: int = 8
-    ratio_walk_epochs: int = 0
 
 
 def epoch(options: TrafficOptions) -> Column:
@@ -60,34 +53,6 @@ def phase(options: TrafficOptions) -> Column:
     return (epoch(options) % PHASES).cast("int")
 
 
-def _key_draw(text: str) -> float:
-    return int(hashlib.md5(text.encode()).hexdigest()[:8], 16) / 4294967296.0
-
-
-def walked_ratios(options: TrafficOptions) -> list[float]:
-    """Bot ratio per epoch: at each change, with chance 0.3, a step within ±0.1."""
-    ratios = [options.bot_ratio]
-    for e in range(1, options.ratio_walk_epochs):
-        ratio = ratios[-1]
-        if _key_draw(f"{e}:walk") < 0.3:
-            ratio = max(0.1, min(0.7, ratio + (_key_draw(f"{e}:step") - 0.5) * 0.2))
-        ratios.append(ratio)
-    return ratios
-
-
-def bot_ratio(options: TrafficOptions) -> Column:
-    """The ratio in force; without a walk the clamped base ratio."""
-    if not options.ratio_walk_epochs:
-        return F.lit(max(0.0, min(1.0, options.bot_ratio)))
-    ratios = walked_ratios(options)
-    last = F.least(epoch(options), F.lit(len(ratios) - 1)).cast("int")
-    return F.element_at(F.array(*[F.lit(r) for r in ratios]), last + 1)
-
-
-def noise_factor() -> Column:
-    return (uniform("event_id", "15") - 0.5) * 0.2
-
-
 def _pick(values: tuple[str, ...], u: Column) -> Column:
     index = F.floor(u * len(values)).cast("int") + 1
     return F.element_at(F.array(*[F.lit(v) for v in values]), index)
@@ -103,16 +68,16 @@ def _drawn_values(s: Column) -> dict[str, tuple[Column, Column]]:
     floor = F.floor
     # The range of every feature, of humans and of bots.
     return {
-        "requests_per_second": (1 + floor(5 * u[1]), floor((10 + floor(40 * u[1])) * (1 - 0.5 * s))),
+        "requests_per_second": (floor(5 * u[1]) + 1, floor((10 + floor(40 * u[1])) * (1 - 0.5 * s))),
         "avg_response_time": (100 + 200 * u[2], 10 + 50 * u[2]),
-        "unique_endpoints": (3 + floor(10 * u[3]), 5 + floor(30 * u[3])),
+        "unique_endpoints": (floor(10 * u[3]) + 3, floor(30 * u[3]) + 5),
         "click_rate": (0.6 + 0.35 * u[4], 0.1 + 0.5 * s),
         "scroll_depth": (0.4 + 0.5 * u[5], 0.4 * s),
         "session_duration": (60 + floor(600 * u[6]), 10 + floor(u[6] * (100 + floor(400 * s)))),
         "page_views_per_session": (3 + 7 * u[7], 10 + 40 * u[7]),
-        "error_rate": (floor(3 * u[8]), 5 + floor(10 * u[8])),
+        "error_rate": (floor(3 * u[8]), floor(10 * u[8]) + 5),
         "time_between_requests": (1000 + 5000 * u[9], (50 + 200 * u[9]) * (1 + 2 * s)),
-        "distinct_headers": (10 + floor(5 * u[10]), 3 + floor(5 * u[10])),
+        "distinct_headers": (floor(5 * u[10]) + 10, floor(5 * u[10]) + 3),
         "javascript_enabled": (u[11] > 0.05, u[11] < s),
         "cookies_enabled": (u[12] > 0.1, u[12] < 0.8 * s),
         "screen_resolution": (1920 + floor(1000 * u[13]), 1024 + floor(500 * u[13])),
@@ -120,17 +85,6 @@ def _drawn_values(s: Column) -> dict[str, tuple[Column, Column]]:
     }
 
 
-def add_noise(events: DataFrame, noise: Column) -> DataFrame:
-    """One factor within ±10 % on three columns; the two rates stay in [0, 1]."""
-    return events.withColumns(
-        {
-            "avg_response_time": F.col("avg_response_time") * (1 + noise),
-            "click_rate": clamp(F.col("click_rate") * (1 + noise), 0.0, 1.0),
-            "scroll_depth": clamp(F.col("scroll_depth") * (1 + noise), 0.0, 1.0),
-        }
-    )
-
-
 def traffic_without_noise(
     keyed: DataFrame, options: TrafficOptions = TrafficOptions()
 ) -> DataFrame:
@@ -138,9 +92,9 @@ def traffic_without_noise(
         "event_id",
         F.col("ts").cast("timestamp").alias("ts"),
         uniforms("event_id", DRAWS).alias("u"),
-    ).withColumns({"phase": phase(options), "bot_ratio": bot_ratio(options)})
+    ).withColumns({"phase": phase(options)})
     classed = draws.withColumns(
-        {"is_bot": _u(0) < F.col("bot_ratio"), "sophistication": F.col("phase") * PHASE_STEP}
+        {"is_bot": _u(0) < options.bot_ratio, "sophistication": F.col("phase") * PHASE_STEP}
     )
     bot = F.col("is_bot")
     values = _drawn_values(F.col("sophistication"))
@@ -171,8 +125,3 @@ def labelled_traffic(
 ) -> DataFrame:
     """Labelled events for every row of a table with ``event_id`` and ``ts``."""
     return add_noise(traffic_without_noise(keyed, options), noise_factor())
-
-
-def shards_for(rows: int, rows_per_shard: int, at_least: int = 8) -> int:
-    """Detectors needed so that none holds much more than ``rows_per_shard`` rows."""
-    return max(at_least, math.ceil(rows / rows_per_shard))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
+from derived_traffic import TrafficOptions, labelled_traffic
 from tidewarden.functions import display, scoring
 from tidewarden.functions.features import normalise_weights, with_features, zscore
 from tidewarden.learning.exact import (
@@ -12,15 +13,15 @@ from tidewarden.learning.exact import (
     drift_events_of,
     exact_fold,
     final_state,
+    shards_for,
 )
 from tidewarden.learning.mixing import batch_number, batch_starts, mix
 from tidewarden.operators import detect as detecting
-from tidewarden.operators import ensemble, metrics, sampling
+from tidewarden.operators import augment, ensemble, metrics, sampling
 from tidewarden.operators.statistics import feature_stats, merge_feature_stats
 from tidewarden.plans import queries
 from tidewarden.schema import DetectorOptions
 from tidewarden.sources.model_store import load_model, save_model, versions
-from tidewarden.sources.traffic import TrafficOptions, labelled_traffic, shards_for, walked_ratios
 
 OPTIONS = DetectorOptions(n_models=5, threshold=0.6, update_frequency=100)
 STEADY = TrafficOptions(shards=1, phase_seconds=None)
@@ -265,9 +266,16 @@ def test_shards_grow_with_the_data():
     assert shards_for(10, 1000) == 8 and shards_for(1_000_000, 1000) == 1000
 
 
-def test_ratio_walk_is_bounded():
-    ratios = walked_ratios(TrafficOptions(ratio_walk_epochs=200))
-    assert len(ratios) == 200 and all(0.1 <= r <= 0.7 for r in ratios) and len(set(ratios)) > 10
+def test_noise_keeps_rates_and_nulls(spark):
+    rows = spark.createDataFrame([(i, 100.0, 1.0, None) for i in range(500)], "event_id long, avg_response_time double, click_rate double, scroll_depth double")
+    found = augment.add_noise(rows, augment.noise_factor()).collect()
+    assert all(90 <= r["avg_response_time"] < 110 and 0.9 <= r["click_rate"] <= 1 and r["scroll_depth"] is None for r in found)
+    assert len({r["avg_response_time"] for r in found}) > 400
+
+
+def test_periods_count_from_the_epoch(spark):
+    rows = spark.sql("select * from values (timestamp '1969-12-31 23:59:59'), (timestamp '1970-01-01 00:00:09'), (timestamp '1970-01-01 00:00:10'), (null) t(ts)")
+    assert [r[0] for r in rows.select(augment.period("ts", 10)).collect()] == [-1, 0, 1, None]
 
 
 @pytest.mark.parametrize("engine", ["native", "arrow"])
@@ -286,10 +294,10 @@ def test_shards_without_models_are_scored_neutral(spark, traffic, engine):
 def test_too_few_detectors_for_a_table_are_refused(spark, monkeypatch):
     monkeypatch.setattr(queries, "ROWS_PER_SHARD", 100)
     with pytest.raises(ValueError, match=queries.SHARDS_SETTING):
-        queries.traffic_options(spark, "/root/testdata/sf0.001")
+        queries.fold_shards(spark, "/root/testdata/sf0.001")
     spark.conf.set(queries.SHARDS_SETTING, "10")
     try:
-        assert queries.traffic_options(spark, "/root/testdata/sf0.001").shards == 10
+        assert queries.fold_shards(spark, "/root/testdata/sf0.001") == 10
     finally:
         spark.conf.unset(queries.SHARDS_SETTING)
 

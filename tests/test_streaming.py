@@ -64,7 +64,7 @@ def test_exact_stream_equals_batch(spark, traffic, tmp_path):
 
 
 def test_exact_stream_keeps_state_over_batches_and_restarts(spark, keyed, tmp_path):
-    from tidewarden.sources.traffic import TrafficOptions, labelled_traffic
+    from derived_traffic import TrafficOptions, labelled_traffic
 
     ordered = labelled_traffic(keyed, TrafficOptions(shards=2))
     for part in range(2):
@@ -84,7 +84,7 @@ def test_exact_stream_keeps_state_over_batches_and_restarts(spark, keyed, tmp_pa
 
 def test_stream_starts_from_saved_detectors_and_leaves_its_own(spark, keyed, tmp_path):
     """Fold, stream, stream again after a restart: together one fold, also in the state that is left."""
-    from tidewarden.sources.traffic import TrafficOptions, labelled_traffic
+    from derived_traffic import TrafficOptions, labelled_traffic
 
     ordered = labelled_traffic(keyed, TrafficOptions(shards=3))
     before = exact_fold(ordered.filter("event_id < 300"), OPTIONS).cache()

@@ -3,12 +3,13 @@
 The fold streams its group in Arrow batches and keeps one detector in memory, so a
 group's size never has to fit in a task. Its running time does grow with the group:
 shards are an even hash split, and their number has to grow with the data
-(:func:`tidewarden.sources.traffic.shards_for`). One global model over any amount of
+(:func:`shards_for`). One global model over any amount of
 data is what :mod:`tidewarden.learning.mixing` is for.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import pandas as pd
@@ -53,6 +54,11 @@ FOLD_SCHEMA = T.StructType(
 EXACT_SCHEMA = T.StructType(FOLD_SCHEMA.fields + [T.StructField("detector", T.StringType())])
 
 
+def shards_for(rows: int, rows_per_shard: int, at_least: int = 8) -> int:
+    """Detectors needed so that none holds much more than ``rows_per_shard`` rows."""
+    return max(at_least, math.ceil(rows / rows_per_shard))
+
+
 def copy_columns(options: DetectorOptions) -> list[str]:
     return [f"k{m}" for m in range(options.n_models)]
 

@@ -16,16 +16,15 @@ from tidewarden.plans.queries import (
     OPTIONS,
     PERIOD,
     PROBE_MINUTES,
+    PERIOD_SECONDS,
     ROLLING,
     SESSION_GAP_SECONDS,
     SHARDS,
     SHIFT_SPANS,
     STREAM_SPANS,
-    WALK_EPOCHS,
 )
 from tidewarden.plans.window_sql import histogram_rows, watched_rows, window_steps, windows
 from tidewarden.schema import FEATURES
-from tidewarden.sources.traffic import BOT_AGENTS, HUMAN_AGENTS
 
 DOUBLES = (
     "avg_response_time",
@@ -78,81 +77,6 @@ _FEATURE_SQL = {
     for name in FEATURES
 } | {"http_version": "case when http_version='HTTP/2' then 1.0::double else 0.0::double end"}
 
-# The range of every feature, of humans and of bots.
-_HUMAN = {
-    "requests_per_second": "1+floor(5*u1)",
-    "avg_response_time": "100+200*u2",
-    "unique_endpoints": "3+floor(10*u3)",
-    "click_rate": "0.6::double+0.35::double*u4",
-    "scroll_depth": "0.4::double+0.5::double*u5",
-    "session_duration": "60+floor(600*u6)",
-    "page_views_per_session": "3+7*u7",
-    "error_rate": "floor(3*u8)",
-    "time_between_requests": "1000+5000*u9",
-    "distinct_headers": "10+floor(5*u10)",
-    "javascript_enabled": "u11>0.05::double",
-    "cookies_enabled": "u12>0.1::double",
-    "screen_resolution": "1920+floor(1000*u13)",
-    "http_version": "case when u14>0.3::double then 'HTTP/2' else 'HTTP/1.1' end",
-}
-_BOT = {
-    "requests_per_second": "floor((10+floor(40*u1))*(1-0.5::double*s))",
-    "avg_response_time": "10+50*u2",
-    "unique_endpoints": "5+floor(30*u3)",
-    "click_rate": "0.1::double+0.5::double*s",
-    "scroll_depth": "0.4::double*s",
-    "session_duration": "10+floor(u6*(100+floor(400*s)))",
-    "page_views_per_session": "10+40*u7",
-    "error_rate": "5+floor(10*u8)",
-    "time_between_requests": "(50+200*u9)*(1+2*s)",
-    "distinct_headers": "3+floor(5*u10)",
-    "javascript_enabled": "u11<s",
-    "cookies_enabled": "u12<0.8::double*s",
-    "screen_resolution": "1024+floor(500*u13)",
-    "http_version": "'HTTP/1.1'",
-}
-
-
-def _sql_type(name: str) -> str:
-    if name in DOUBLES:
-        return "double"
-    if name in FLAGS:
-        return "boolean"
-    return "varchar" if name == "http_version" else "integer"
-
-
-def _plain_traffic(draws: str) -> str:
-    agents = (
-        f"case when is_bot then {_list(BOT_AGENTS)}[cast(floor(u16*5) as int)+1] "
-        f"else {_list(HUMAN_AGENTS)}[cast(floor(u16*4) as int)+1] end"
-    )
-    features = ",\n".join(
-        f"cast(case when is_bot then {_BOT[n]} else {_HUMAN[n]} end as {_sql_type(n)}) as {n}"
-        for n in FEATURES
-    )
-    octets = "||'.'||".join(f"cast(cast(floor(u{i}*256) as int) as varchar)" for i in range(17, 21))
-    return f"""select event_id, cast(floor({_u('shard')}*{SHARDS}) as int) as shard, ts, phase,
-      md5(cast(event_id as varchar)) as session_id, {octets} as ip_address,
-      {agents} as user_agent, {features}, is_bot, u15, epoch, ratio
-      from (select *, u0<ratio as is_bot, phase*0.2::double as s from {draws})"""
-
-
-def _noisy(plain: str) -> str:
-    z = "(1+0.2::double*(u15-0.5))"
-    return f"""select * replace (
-      avg_response_time*{z} as avg_response_time,
-      greatest(0,least(1,click_rate*{z})) as click_rate,
-      greatest(0,least(1,scroll_depth*{z})) as scroll_depth) from {plain}"""
-
-
-_DRAWS = ", ".join(f"{_u(str(i))} as u{i}" for i in range(21))
-_EPOCH = "greatest(0, floor((epoch_us(ts)-epoch_us(timestamp '2024-01-01'))/864000000000.0))"
-
-
-def _walk(what: str) -> str:
-    return f"(cast('0x'||substr(md5(concat(cast(e+1 as varchar),':{what}')),1,8) as bigint)/4294967296.0)"
-
-
 def _poisson(u: str) -> str:
     cases = " ".join(f"when {u}<{cut!r}::double then {k}" for k, cut in enumerate(POISSON_CUTS))
     return f"case {cases} else {len(POISSON_CUTS)} end"
@@ -186,18 +110,25 @@ _G = OPTIONS.grace_period
 
 # name -> SQL; a step may use any other step by name.
 STEPS: dict[str, str] = {
-    "draws": f"select event_id, ts, {_DRAWS}, {_EPOCH} as epoch, "
-    f"cast({_EPOCH} as bigint)%3 as phase, 0.3::double as ratio from events",
-    "plain": _plain_traffic("draws"),
-    "noisy": _noisy("plain"),
-    "traffic": "select * exclude (u15, epoch, ratio) from noisy",
-    "walk": f"""select 0 as e, 0.3::double as ratio union all
-      select e+1, case when {_walk('walk')}<0.3::double
-        then greatest(0.1::double,least(0.7::double,ratio+({_walk('step')}-0.5)*0.2::double))
-        else ratio end from walk where e+1<{WALK_EPOCHS}""",
-    "walked_draws": f"select d.* exclude (ratio), w.ratio from draws d join walk w "
-    f"on w.e=least(d.epoch,{WALK_EPOCHS - 1})",
-    "walked": _noisy("(" + _plain_traffic("walked_draws") + ")"),
+    # Sessions of the given events as traffic.
+    "cut": f"""select *, sum(fresh) over (partition by user_id order by ts, event_id) as session from (
+      select *, case when lag(ts) over w is null or epoch_us(ts)-epoch_us(lag(ts) over w)>={SESSION_GAP_SECONDS * 1_000_000}
+        then 1 else 0 end as fresh from events window w as (partition by user_id order by ts, event_id))""",
+    "sums": """select user_id, min(event_id) as event_id, max(ts) as ts, count(*) as n, epoch_us(max(ts))-epoch_us(min(ts)) as span,
+      sum(cast(value as decimal(18,2)))::double as total, count(props) as with_props,
+      count(*) filter (where event_type='view') as views, count(*) filter (where event_type='click') as clicks,
+      count(*) filter (where event_type='signup') as signups, count(*) filter (where event_type='error') as wrong,
+      count(*) filter (where event_type='purchase') as bought, max(cast(json_extract_string(props, '$.k') as bigint)) as k
+      from cut group by user_id, session""",
+    "traffic": f"""select event_id, cast(floor({_u('shard')}*{SHARDS}) as int) as shard, ts, concat_ws(':', cast(user_id as varchar), cast(event_id as varchar)) as session_id,
+      null::varchar as ip_address, null::varchar as user_agent, bought>0 as is_bot,
+      cast(n as int) as requests_per_second, total/n as avg_response_time,
+      (views>0)::int+(clicks>0)::int+(signups>0)::int+(wrong>0)::int as unique_endpoints,
+      clicks/n as click_rate, views/n as scroll_depth, cast(span//1000000 as int) as session_duration,
+      views::double as page_views_per_session, cast(wrong as int) as error_rate,
+      case when n>1 then span/(n-1)/1000.0::double else 0 end as time_between_requests, cast(with_props as int) as distinct_headers,
+      clicks>0 as javascript_enabled, signups>0 as cookies_enabled, 0 as screen_resolution,
+      case when k>=50 then 'HTTP/2' else 'HTTP/1.1' end as http_version from sums""",
     "vec": f"select event_id, shard, ts, is_bot, {_vector(_FEATURE_SQL)} as x from traffic",
     "long": "select event_id, shard, ts, is_bot, i-1 as i, x[i] as v from vec, range(1,15) t(i)",
     "stats": "select shard, i, count(*) as n, avg(v) as mean, coalesce(stddev_samp(v),0) as sd "
@@ -351,29 +282,7 @@ STEPS: dict[str, str] = {
         sum(case when score>0.7::double then 1 else -1 end)>0 as vote,
         avg(abs(score-0.5)*2) as confidence from f_scores group by event_id, shard, is_bot)""",
 }
-# Sessions of the given events as traffic, and the steps of exact learning over them.
-STEPS["s_cut"] = f"""select *, sum(fresh) over (partition by user_id order by ts, event_id) as session from (
-  select *, case when lag(ts) over w is null or epoch_us(ts)-epoch_us(lag(ts) over w)>={SESSION_GAP_SECONDS * 1_000_000}
-    then 1 else 0 end as fresh from events window w as (partition by user_id order by ts, event_id))"""
-STEPS["s_sums"] = """select user_id, min(event_id) as event_id, max(ts) as ts, count(*) as n, epoch_us(max(ts))-epoch_us(min(ts)) as span,
-  sum(cast(value as decimal(18,2)))::double as total, count(props) as with_props,
-  count(*) filter (where event_type='view') as views, count(*) filter (where event_type='click') as clicks,
-  count(*) filter (where event_type='signup') as signups, count(*) filter (where event_type='error') as wrong,
-  count(*) filter (where event_type='purchase') as bought, max(cast(json_extract_string(props, '$.k') as bigint)) as k
-  from s_cut group by user_id, session"""
-STEPS["s_traffic"] = f"""select event_id, cast(floor({_u('shard')}*{SHARDS}) as int) as shard, ts, bought>0 as is_bot,
-  cast(n as int) as requests_per_second, total/n as avg_response_time,
-  (views>0)::int+(clicks>0)::int+(signups>0)::int+(wrong>0)::int as unique_endpoints,
-  clicks/n as click_rate, views/n as scroll_depth, cast(span//1000000 as int) as session_duration,
-  views::double as page_views_per_session, cast(wrong as int) as error_rate,
-  case when n>1 then span/(n-1)/1000.0::double else 0 end as time_between_requests, cast(with_props as int) as distinct_headers,
-  clicks>0 as javascript_enabled, signups>0 as cookies_enabled, 0 as screen_resolution,
-  case when k>=50 then 'HTTP/2' else 'HTTP/1.1' end as http_version from s_sums"""
-_LEARNING = ("vec", *(name for name in STEPS if name.startswith("f_")))
-for _name in _LEARNING:
-    _sql = STEPS[_name].replace("from traffic", "from s_traffic")
-    STEPS[f"s_{_name}"] = re.sub(rf"\b({'|'.join(_LEARNING)})\b", r"s_\1", _sql)
-_RECURSIVE = {"s_f_weights", "walk", "f_weights", "w_steps", "w_kept_steps"}
+_RECURSIVE = {"f_weights", "w_steps", "w_kept_steps"}
 
 
 def _needs(sql: str) -> list[str]:
@@ -402,7 +311,7 @@ def _summary(mean: str, m2: str, w: str, version: int, n: str, rules: str, sourc
     return (
         f"select shard, model_id, cast({version} as bigint) as version, cast({n} as bigint) as n, "
         f"cast({rules} as bigint) as rules, i-1 as feature_index, round({mean},6) as mean, "
-        f"round(sqrt({m2}),6) as root_m2, round({w},6) as weight from {source}, range(1,15) t(i)"
+        f"round(sqrt({m2}),3) as root_m2, round({w},6) as weight from {source}, range(1,15) t(i)"
     )
 
 
@@ -434,15 +343,16 @@ def _zeroed(name: str) -> str:
 
 
 FINAL: dict[str, str] = {
-    "g1_labelled_traffic": "select * replace ("
-    + ", ".join(f"round({d},6) as {d}" for d in DOUBLES)
-    + ", cast(phase as int) as phase) from traffic",
-    "g2_multiplicative_noise": f"select event_id, {_r('(u15-0.5)*0.2::double', 'noise')}, "
-    f"{_r('avg_response_time', 'avg_response_time')}, {_r('click_rate', 'click_rate')}, "
-    f"{_r('scroll_depth', 'scroll_depth')} from noisy",
-    "g3_drift_phases": "select cast(epoch as bigint) as epoch, cast(phase as int) as phase, "
-    "round(ratio,6) as ratio, count(*) as events, count(*) filter (where is_bot) as bots, "
-    "round(avg(requests_per_second) filter (where is_bot),6) as bot_rps from walked group by epoch, phase, ratio",
+    "g1_labelled_traffic": "select * exclude (ip_address, user_agent) replace ("
+    + ", ".join(f"round({d},6) as {d}" for d in DOUBLES) + ") from traffic",
+    "g2_multiplicative_noise": f"""select event_id, {_r('0.2::double*(u-0.5)', 'noise')},
+      {_r('avg_response_time*(1+0.2::double*(u-0.5))', 'avg_response_time')},
+      {_r('greatest(0,least(1,click_rate*(1+0.2::double*(u-0.5))))', 'click_rate')},
+      {_r('greatest(0,least(1,scroll_depth*(1+0.2::double*(u-0.5))))', 'scroll_depth')}
+      from (select *, {_u('15')} as u from traffic)""",
+    "g3_drift_phases": f"""select epoch, cast(epoch%3 as int) as phase, round(avg(is_bot::int),6) as ratio, count(*) as events,
+      count(*) filter (where is_bot) as bots, round(avg(requests_per_second) filter (where is_bot),6) as bot_rps
+      from (select *, epoch_us(ts)//{PERIOD_SECONDS * 1_000_000} as epoch from traffic) group by epoch""",
     "g4_session_features": f"""select user_id, min(ts) as session_start, max(ts) as session_end,
       count(*) as events, count(*) filter (where event_type='error') as errors,
       round(sum(value),4) as value_sum,
@@ -491,7 +401,7 @@ FINAL: dict[str, str] = {
     "printf('%.2f%%',r*100) as recall, round(greatest(0,least(100,f*100)),6) as f1_bar from shard_rates",
     "b13_model_size": "select shard, model_id, cast(rules*100+336 as double) as bytes from sized",
     "b14_event_summary": "select t.event_id, printf('TrafficEvent{session=%s, ip=%s, rps=%d, isBot=%s, confidence=%.2f}',"
-    "session_id, ip_address, requests_per_second, cast(t.is_bot as varchar), confidence) as summary "
+    "session_id, coalesce(ip_address,'null'), requests_per_second, cast(t.is_bot as varchar), confidence) as summary "
     "from traffic t join det using (event_id)",
     "c1_detection_threshold": "select event_id, vote, round(confidence,6) as confidence, is_bot_pred from det",
     "c1_untrained_shards": f"""select event_id, case when shard%2=0 then bot_votes else 0 end as bot_votes,
@@ -552,8 +462,8 @@ FINAL: dict[str, str] = {
     "e1_instance_number": "select event_id, shard, row_number() over (partition by shard order by ts, event_id) as instance_number from traffic",
     "e2_running_feature_stats": "select event_id, row_number() over w as n, "
     + ", ".join(
-        f"round(avg(x[{i + 1}]) over w,3) as mean_{FEATURES[i]}, "
-        f"round(coalesce(stddev_samp(x[{i + 1}]) over w,0),3) as sd_{FEATURES[i]}"
+        f"round(avg(x[{i + 1}]) over w+1e-7::double,3) as mean_{FEATURES[i]}, "
+        f"round(coalesce(stddev_samp(x[{i + 1}]) over w,0)+1e-7::double,3) as sd_{FEATURES[i]}"
         for i in (0, 1, 5, 8, 10)
     )
     + " from vec window w as (partition by shard order by ts, event_id rows unbounded preceding)",
@@ -626,19 +536,19 @@ FINAL["e4_metrics_in_force"] = f"""select p.event_id, {", ".join(f"coalesce({c},
   where instance_number%{PERIOD}=0)) f on p.shard=f.shard and p.ts+interval {PROBE_MINUTES} minutes>=f.ts"""
 FINAL["f13_options_in_force"] = f"""select event_id, vote and confidence>=case when epoch_us(ts)>=t0+2*((t1-t0)//3) then {CONTROL_THRESHOLDS[1]}::double
     when epoch_us(ts)>=t0+(t1-t0)//3 then {CONTROL_THRESHOLDS[0]}::double else {FOLD_OPTIONS.threshold}::double end as is_bot_pred,
-  vote, round(confidence,6) as confidence, bot_votes, human_votes from f_det join events using (event_id),
-  (select epoch_us(min(ts)) as t0, epoch_us(max(ts)) as t1 from events)"""
+  vote, round(confidence,6) as confidence, bot_votes, human_votes from f_det join (select event_id, ts from traffic) using (event_id),
+  (select epoch_us(min(ts)) as t0, epoch_us(max(ts)) as t1 from traffic)"""
 FINAL["a2_variant_metadata"] = """select event_id, user_id, event_type, round(value,4) as value,
   cast(json_extract_string(props, '$.k') as bigint) as k, true as typed from events"""
-FINAL["g4_session_vectors"] = "select event_id, shard, is_bot, " + ", ".join(f"round(x[{i + 1}],6) as f{i:02d}" for i in range(14)) + " from s_vec"
-FINAL["f7_detect_sessions"] = FINAL["f7_detect"].replace("f_det", "s_f_det")
-FINAL["f3_session_weights"] = FINAL["f3_adjusted_weights"].replace("f_last", "s_f_last")
-FINAL["f7_session_stream"] = FINAL["f7_detect_sessions"] + f""" join (select event_id as closed from s_traffic
+FINAL["g4_session_vectors"] = "select event_id, shard, is_bot, " + ", ".join(f"round(x[{i + 1}],6) as f{i:02d}" for i in range(14)) + " from vec"
+FINAL["f7_detect_sessions"] = FINAL["f7_detect"]
+FINAL["f3_session_weights"] = FINAL["f3_adjusted_weights"]
+FINAL["f7_session_stream"] = FINAL["f7_detect_sessions"] + f""" join (select event_id as closed from traffic
   where epoch_us(ts)+{SESSION_GAP_SECONDS * 1_000_000}<=(select epoch_us(max(ts)) from events)) on closed=event_id"""
 FINAL["a4_stream_outcomes"] = f"""select cast((epoch_us(ts)-t0)*{STREAM_SPANS}//(t1-t0+1) as bigint) as batch, count(*) as records,
   count(*) filter (where kind not in (0,1,2,3)) as good, count(*) filter (where kind=1) as null_event,
   count(*) filter (where kind in (0,2)) as unparsable, count(*) filter (where kind=3) as missing_http_version
-  from wire, (select epoch_us(min(ts)) as t0, epoch_us(max(ts)) as t1 from events) group by 1"""
+  from wire, (select epoch_us(min(ts)) as t0, epoch_us(max(ts)) as t1 from wire) group by 1"""
 FINAL["d17_learned_report"] = """select shard, round(avg(accuracy) over (partition by shard),6) as avg_accuracy,
   model_id, n as instances, correct, round(accuracy,6) as accuracy from (
   select shard, model_id, count(*) filter (where (score>0.7::double)=is_bot) as correct,

@@ -25,17 +25,18 @@ from tidewarden.learning.exact import (
     exact_fold_in_segments,
     final_detectors,
     final_state,
+    shards_for,
 )
 from tidewarden.learning.mixing import mix
 from tidewarden.operators import detect as detecting
-from tidewarden.operators import control, drift, ensemble, metrics, sampling, sessions, statistics, windows
+from tidewarden.operators import augment, control, drift, ensemble, metrics, sampling, sessions, statistics, windows
 from tidewarden.operators.ordered import instance_number
 from tidewarden.operators.report import metrics_snapshot
 from tidewarden.schema import FEATURES, RULE_CONFIDENCE, DetectorOptions
 from tidewarden.session import ROCKSDB_PROVIDER, scratch_path, written
-from tidewarden.sources import codec, model_store, traffic
+from tidewarden.sources import codec, model_store
 from tidewarden.sources.streams import read_event_stream
-from tidewarden.sources.tables import read_table, spread
+from tidewarden.sources.tables import read_table
 from tidewarden.streaming.batches import ExactBatches, ExactRun, exact_batches
 from tidewarden.streaming.exact import exact_stream, stream_detectors
 from tidewarden.streaming.pipeline import decoded_stream, write_detections
@@ -60,7 +61,8 @@ SHIFT_SPANS = (1, 2, 4)
 SEGMENT_BLOCKS = 64
 ROLLING = 100
 DELTA = OPTIONS.drift_delta
-WALK_EPOCHS = 4
+#: Length of a period of behaviour.
+PERIOD_SECONDS = 10 * 86_400
 SESSION_GAP_SECONDS = 8 * 3600
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -77,35 +79,35 @@ def rounded(column: Column | str, digits: int = 6) -> Column:
     return F.round(column, digits)
 
 
-def keyed_events(spark: SparkSession, folder: str) -> DataFrame:
-    return spread(read_table(spark, folder, "events").select("event_id", "ts"))
+def given_sessions(spark: SparkSession, folder: str, shards: int) -> DataFrame:
+    """The given events as labelled sessions, dealt to that many detectors."""
+    return sessions.session_traffic(read_table(spark, folder, "events"), SESSION_GAP_SECONDS, shards)
 
 
-def traffic_options(spark: SparkSession, folder: str) -> traffic.TrafficOptions:
-    """Traffic for exact folds over the detectors that the session sets; a table too large for them is refused.
+def fold_shards(spark: SparkSession, folder: str) -> int:
+    """Detectors for exact folds, as the session sets them; a table too large for them is refused.
 
     Their number never follows the row count by itself: that would deal the events to other
     detectors, and so change every model, as the table grows.
     """
-    shards = int(spark.conf.get(SHARDS_SETTING, str(SHARDS)))
+    shards = _shards(spark)
     rows = read_table(spark, folder, "events").count()
-    if traffic.shards_for(rows, ROWS_PER_SHARD, shards) > shards:
+    if shards_for(rows, ROWS_PER_SHARD, shards) > shards:
         raise ValueError(
             f"{rows} events are too many for {shards} detectors of {ROWS_PER_SHARD} events: "
             f"set {SHARDS_SETTING} and train anew"
         )
-    return traffic.TrafficOptions(shards=shards)
+    return shards
 
 
-def events(spark: SparkSession, folder: str, options=None) -> DataFrame:
+def events(spark: SparkSession, folder: str) -> DataFrame:
     """The traffic at any size, over the detectors that the session sets."""
-    options = options or traffic.TrafficOptions(shards=int(spark.conf.get(SHARDS_SETTING, str(SHARDS))))
-    return traffic.labelled_traffic(keyed_events(spark, folder), options)
+    return given_sessions(spark, folder, _shards(spark))
 
 
 def fold_events(spark: SparkSession, folder: str) -> DataFrame:
     """The traffic for exact folds, whose shards are limited."""
-    return events(spark, folder, traffic_options(spark, folder))
+    return given_sessions(spark, folder, fold_shards(spark, folder))
 
 
 def stored_events(spark: SparkSession, folder: str) -> DataFrame:
@@ -146,11 +148,12 @@ def _rates() -> list[Column]:
     return [rounded(name).alias(name) for name in ("precision", "recall", "f1", "accuracy")]
 
 
-# Derived traffic
+# Labelled traffic
 
 
 @query
 def g1_labelled_traffic(spark, folder):
+    """The sessions of the given events with their label."""
     doubles = {
         "avg_response_time",
         "click_rate",
@@ -158,7 +161,7 @@ def g1_labelled_traffic(spark, folder):
         "page_views_per_session",
         "time_between_requests",
     }
-    labelled = events(spark, folder)
+    labelled = events(spark, folder).drop("ip_address", "user_agent")
     return labelled.select(
         *[rounded(c).alias(c) if c in doubles else F.col(c) for c in labelled.columns]
     )
@@ -166,24 +169,21 @@ def g1_labelled_traffic(spark, folder):
 
 @query
 def g2_multiplicative_noise(spark, folder):
-    plain = traffic.traffic_without_noise(keyed_events(spark, folder))
-    noisy = traffic.add_noise(plain, traffic.noise_factor())
+    """The given sessions with noise on three of their values."""
+    noisy = augment.add_noise(events(spark, folder), augment.noise_factor())
     return noisy.select(
         "event_id",
-        rounded(traffic.noise_factor()).alias("noise"),
-        *[rounded(c).alias(c) for c in ("avg_response_time", "click_rate", "scroll_depth")],
+        rounded(augment.noise_factor()).alias("noise"),
+        *[rounded(c).alias(c) for c in augment.NOISY],
     )
 
 
 @query
 def g3_drift_phases(spark, folder):
-    options = traffic.TrafficOptions(ratio_walk_epochs=WALK_EPOCHS)
-    labelled = events(spark, folder, options)
-    return labelled.groupBy(
-        traffic.epoch(options).cast("bigint").alias("epoch"),
-        "phase",
-        rounded(traffic.bot_ratio(options)).alias("ratio"),
-    ).agg(
+    """How the share of labelled sessions and their size change from period to period."""
+    timed = events(spark, folder).withColumn("epoch", augment.period("ts", PERIOD_SECONDS))
+    return timed.groupBy("epoch", (F.col("epoch") % augment.PHASES).cast("int").alias("phase")).agg(
+        rounded(F.avg(F.col("is_bot").cast("int"))).alias("ratio"),
         F.count(F.lit(1)).alias("events"),
         F.count_if("is_bot").alias("bots"),
         rounded(F.avg(F.when(F.col("is_bot"), F.col("requests_per_second")))).alias("bot_rps"),
@@ -206,15 +206,9 @@ def g4_session_features(spark, folder):
     )
 
 
-def session_events(spark: SparkSession, folder: str) -> DataFrame:
-    """The given events as sessions with the detector's features and a label."""
-    raw = read_table(spark, folder, "events")
-    return sessions.session_traffic(raw, SESSION_GAP_SECONDS, _shards(spark))
-
-
 @query
 def g4_session_vectors(spark, folder):
-    found = with_features(session_events(spark, folder))
+    found = with_features(events(spark, folder))
     return found.select(
         "event_id", "shard", "is_bot", *[rounded(F.col("features")[i]).alias(f"f{i:02d}") for i in range(len(FEATURES))]
     )
@@ -223,13 +217,13 @@ def g4_session_vectors(spark, folder):
 @query
 def f7_detect_sessions(spark, folder):
     """The exact fold over the sessions of the given events."""
-    return _detected(detections_of(exact_fold(session_events(spark, folder), FOLD_OPTIONS)))
+    return _detected(detections_of(exact_fold(fold_events(spark, folder), FOLD_OPTIONS)))
 
 
 @query
 def f3_session_weights(spark, folder):
     """Weights learned from the sessions of the given events."""
-    return _weights(final_state(exact_fold(session_events(spark, folder), FOLD_OPTIONS)))
+    return _weights(final_state(exact_fold(fold_events(spark, folder), FOLD_OPTIONS)))
 
 
 @query
@@ -534,7 +528,7 @@ def _state_summary(state: DataFrame) -> DataFrame:
         "rules",
         F.col("i").cast("bigint").alias("feature_index"),
         rounded(F.col("v.mean")).alias("mean"),
-        rounded(F.sqrt(F.col("v.m2"))).alias("root_m2"),
+        rounded(F.sqrt(F.col("v.m2")), 3).alias("root_m2"),
         rounded(F.col("v.weights")).alias("weight"),
     )
 
@@ -755,8 +749,9 @@ def d1_feature_stats(spark, folder):
 
 @query
 def d1_merge_feature_stats(spark, folder):
-    """Statistics per behaviour phase merged into statistics per shard."""
-    parts = statistics.feature_stats(events(spark, folder), "shard", "phase")
+    """Statistics per day merged into statistics per shard."""
+    daily = events(spark, folder).withColumn("day", F.date_trunc("day", "ts"))
+    parts = statistics.feature_stats(daily, "shard", "day")
     m2 = F.transform("sd", lambda s: s * s * (F.col("n") - 1))
     merged = statistics.merge_feature_stats(parts.withColumn("m2", m2), "shard")
     sd = standard_deviations(F.col("m2"), F.col("n"))
@@ -982,7 +977,8 @@ def e2_running_feature_stats(spark, folder):
     found = statistics.running_feature_stats(stored_events(spark, folder))
     pick = (0, 1, 5, 8, 10)
     columns = [f"{kind}_{FEATURES[i]}" for i in pick for kind in ("mean", "sd")]
-    return found.select("event_id", "n", *[rounded(c, 3).alias(c) for c in columns])
+    # values given to the cent have means half-way between two roundings, so the half is set apart
+    return found.select("event_id", "n", *[rounded(F.col(c) + 1e-7, 3).alias(c) for c in columns])
 
 
 def _numbered(spark: SparkSession, folder: str) -> DataFrame:
@@ -1053,7 +1049,8 @@ def a2_variant_metadata(spark, folder):
             )
         ).alias("metadata"),
     )
-    rows = events(spark, folder).join(own, "event_id")
+    each = sessions.session_traffic(raw, 0, _shards(spark))  # without a gap every event is a session
+    rows = each.join(own, "event_id")
     text = codec.encode_events(rows, "event_id")
     for _ in range(2):
         decoded = codec.apply_defaults(codec.decode_events(text, any_metadata=True).filter(F.col(codec.CORRUPT).isNull()))
@@ -1170,7 +1167,7 @@ def a10_drift_history(spark, folder):
 
 @query
 def f1_poisson_copies(spark, folder):
-    keyed = keyed_events(spark, folder)
+    keyed = events(spark, folder)
     copies = copies_per_model("event_id", OPTIONS.n_models, OPTIONS.seed)
     return keyed.select("event_id", F.posexplode(copies).alias("m", "k")).select(
         "event_id", F.col("m").cast("bigint").alias("model_id"), F.col("k").cast("bigint").alias("copies")
@@ -1258,7 +1255,7 @@ def f8_adaptive_drift(spark, folder):
 @query
 def f7_detect_mixing(spark, folder):
     """One global detector learned in parallel slices, batch by batch."""
-    return mix(stored_events(spark, folder), DetectorOptions(), rows_per_slice=5_000).detections()
+    return mix(stored_events(spark, folder), DetectorOptions(), rows_per_slice=1_000).detections()
 
 
 @query
