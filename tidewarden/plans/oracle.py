@@ -51,6 +51,10 @@ def _r(expression: str, name: str, digits: int = 6) -> str:
     return f"round({expression},{digits}) as {name}"
 
 
+def _settled(x: str, name: str) -> str:
+    return f"case when abs({x})>=1e6 then round({x},1) when abs({x})>=1e3 then round({x},3) else round({x},6) end as {name}"
+
+
 _RATES = """
   case when tp+fp>0 then tp/(tp+fp)::double else 0 end as p,
   case when tp+fn>0 then tp/(tp+fn)::double else 0 end as r,
@@ -310,8 +314,8 @@ def _with(sql: str) -> str:
 def _summary(mean: str, m2: str, w: str, version: int, n: str, rules: str, source: str) -> str:
     return (
         f"select shard, model_id, cast({version} as bigint) as version, cast({n} as bigint) as n, "
-        f"cast({rules} as bigint) as rules, i-1 as feature_index, round({mean},6) as mean, "
-        f"round(sqrt({m2}),3) as root_m2, round({w},6) as weight from {source}, range(1,15) t(i)"
+        f"cast({rules} as bigint) as rules, i-1 as feature_index, {_settled(mean, 'mean')}, "
+        f"{_settled(f'sqrt({m2})', 'root_m2')}, round({w},6) as weight from {source}, range(1,15) t(i)"
     )
 
 
@@ -411,8 +415,8 @@ FINAL: dict[str, str] = {
     "c3_skip_null_event": "select event_id from wire where kind<>1",
     "c4_labelled_only": "select event_id, is_bot from decoded where is_bot is not null",
     "c5_rule_gate": f"select shard, model_id, rule_number*{_G} as seq, is_bot as outcome from rules where model_id%2=0",
-    "d1_feature_stats": "select shard, n, i as feature_index, round(mean,6) as mean, round(sd,6) as sd from stats",
-    "d1_merge_feature_stats": "select shard, n, i as feature_index, round(mean,6) as mean, round(sd,6) as sd from stats",
+    "d1_feature_stats": f"select shard, n, i as feature_index, {_settled('mean', 'mean')}, {_settled('sd', 'sd')} from stats",
+    "d1_merge_feature_stats": f"select shard, n, i as feature_index, {_settled('mean', 'mean')}, {_settled('sd', 'sd')} from stats",
     "d2_majority_vote": "select event_id, bot_votes, human_votes, vote from det",
     "d3_mean_confidence": "select event_id, round(confidence,6) as confidence from det",
     "d4_weighted_vote": f"""select event_id, vote, round(confidence,6) as confidence,
@@ -504,7 +508,7 @@ FINAL: dict[str, str] = {
     "f4_normalise_weights": "select event_id, i-1 as feature_index, round(case when event_id%50=0 then 0 "
     "else x[i]/list_sum(x) end,6) as w from vec, range(1,15) t(i)",
     "f5_train_step": f"""select l.shard, l.model_id, n, least({FOLD_OPTIONS.max_rules}, (n-1)//{_G}+1) as rules, i as feature_index,
-      round(mean,6) as mean, round(sd,6) as sd from f_long l join (
+      {_settled('mean', 'mean')}, {_settled('sd', 'sd')} from f_long l join (
       select shard, model_id, max(c)+1 as n from f_steps group by all) t
       on t.shard=l.shard and t.model_id=l.model_id and l.c=t.n-1""",
     "f6_ensemble_prequential": "select shard, model_id, count(*) as seen, "

@@ -79,6 +79,12 @@ def rounded(column: Column | str, digits: int = 6) -> Column:
     return F.round(column, digits)
 
 
+def settled(column: Column) -> Column:
+    """Rounded to the digits that a sum over many rows settles in any order: fewer for large values."""
+    size = F.abs(column)
+    return F.when(size >= 1e6, F.round(column, 1)).when(size >= 1e3, F.round(column, 3)).otherwise(F.round(column, 6))
+
+
 def given_sessions(spark: SparkSession, folder: str, shards: int) -> DataFrame:
     """The given events as labelled sessions, dealt to that many detectors."""
     return sessions.session_traffic(read_table(spark, folder, "events"), SESSION_GAP_SECONDS, shards)
@@ -527,8 +533,8 @@ def _state_summary(state: DataFrame) -> DataFrame:
         "n",
         "rules",
         F.col("i").cast("bigint").alias("feature_index"),
-        rounded(F.col("v.mean")).alias("mean"),
-        rounded(F.sqrt(F.col("v.m2")), 3).alias("root_m2"),
+        settled(F.col("v.mean")).alias("mean"),
+        settled(F.sqrt(F.col("v.m2"))).alias("root_m2"),
         rounded(F.col("v.weights")).alias("weight"),
     )
 
@@ -742,8 +748,8 @@ def d1_feature_stats(spark, folder):
         "shard",
         "n",
         F.col("i").cast("bigint").alias("feature_index"),
-        rounded(F.col("v.mean")).alias("mean"),
-        rounded(F.col("v.sd")).alias("sd"),
+        settled(F.col("v.mean")).alias("mean"),
+        settled(F.col("v.sd")).alias("sd"),
     )
 
 
@@ -761,8 +767,8 @@ def d1_merge_feature_stats(spark, folder):
         "shard",
         "n",
         F.col("i").cast("bigint").alias("feature_index"),
-        rounded(F.col("v.mean")).alias("mean"),
-        rounded(F.col("v.sd")).alias("sd"),
+        settled(F.col("v.mean")).alias("mean"),
+        settled(F.col("v.sd")).alias("sd"),
     )
 
 
@@ -1222,8 +1228,8 @@ def f5_train_step(spark, folder):
         "n",
         "rules",
         F.col("i").cast("bigint").alias("feature_index"),
-        rounded(F.col("v.mean")).alias("mean"),
-        rounded(F.sqrt(F.col("v.m2") / (F.col("n") - 1))).alias("sd"),
+        settled(F.col("v.mean")).alias("mean"),
+        settled(F.sqrt(F.col("v.m2") / (F.col("n") - 1))).alias("sd"),
     )
 
 
