@@ -3,8 +3,10 @@
 If a text holds a window of ``m`` bytes of a benchmark item, begun anywhere in the item, with at
 most k edits, both share at least ``m + 1 - q * (k + 1)`` q-grams whose diagonals (position in
 the text less position in the item) lie within k of each other. Shared q-grams of all places of
-an item are counted in overlapping bands of diagonals; windows that reach the bound there are
-verified by an alignment that stays inside the band. So every passage of ``window`` bytes is
+an item are counted in overlapping bands of diagonals. A phrase that many items and documents
+share reaches that bound alone, so windows that do are put to the lemma once more, with the
+window cut into pieces of four bytes: each edit spoils one piece at most, so all but k stand in
+the band. What holds both is verified by an alignment inside the band. So every passage of ``window`` bytes is
 found at any offset. A passage gives a row for each window of the ``stride`` steps that it
 holds, or one for its best window if it holds none of them.
 
@@ -41,6 +43,8 @@ class LeakOptions:
 
 
 FILTER_BITS = 22
+#: Bytes of the disjoint pieces of a window; shared q-grams that are sorted at once.
+PIECE, POSTINGS = 4, 1 << 22
 
 
 def normalise(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -78,6 +82,8 @@ class LeakIndex:
     item_of: np.ndarray
     place: np.ndarray
     seen: np.ndarray
+    whole: np.ndarray  # bytes of all items, and where each begins
+    begins: np.ndarray
     pieces: dict  # bytes of a piece: its sorted codes, the short items and the places in them
 
 
@@ -106,7 +112,8 @@ def build_index(items: list, texts: list[str], options: LeakOptions) -> LeakInde
     for n, found in short.items():
         found.sort()
         pieces[n] = (np.array([f[0] for f in found], np.uint64), np.array([f[1] for f in found]), np.array([f[2] for f in found]))
-    return LeakIndex(list(items), data, m, edits, m + 1 - options.q * (edits + 1), code[order], item_of[order], place[order], seen, pieces)
+    return LeakIndex(list(items), data, m, edits, m + 1 - options.q * (edits + 1), code[order], item_of[order], place[order], seen,
+                     np.frombuffer(b"".join(data), np.uint8), np.cumsum(np.append(0, size)), pieces)
 
 
 def align(window: bytes, region: bytes, low: int, width: int, budget: int) -> tuple[int, int, int] | None:
@@ -181,32 +188,111 @@ def find_leaks(column, index: LeakIndex, options: LeakOptions):
     text = np.searchsorted(at, hits, side="right") - 1
     good = (hi > lo) & (hits + options.q <= at[text + 1])
     hits, lo, n, text = hits[good], lo[good], (hi - lo)[good], text[good]
-    posting = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())
-    text, hits = np.repeat(text, n), np.repeat(hits, n)
     if not len(hits):
         return
+    part = np.cumsum(n) // POSTINGS
+    cuts = np.flatnonzero((part[1:] != part[:-1]) & (text[1:] != text[:-1])) + 1  # between texts
+    given: dict[tuple, list] = {}
+    for cut in np.split(np.arange(len(hits)), cuts):
+        yield from _long_leaks(data, at, originals, hits[cut], text[cut], lo[cut], n[cut], index, options, given)
+
+
+def _loads(data: np.ndarray) -> np.ndarray:
+    """The PIECE bytes from every place as a number."""
+    return np.ascontiguousarray(np.ndarray((max(len(data) - PIECE + 1, 0),), "<u4", np.ascontiguousarray(data), 0, (1,)))
+
+
+def candidates(data: np.ndarray, at: np.ndarray, hits: np.ndarray, text: np.ndarray, lo: np.ndarray, n: np.ndarray,
+               index: LeakIndex, options: LeakOptions) -> Iterator[tuple[int, int, int, np.ndarray]]:
+    """(text, item, cell, starts of windows): what both counts leave of the shared q-grams, by text, item and cell.
+
+    A cell is k + 1 diagonals; a band is a cell and the next.
+    """
+    posting = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())
+    text, hits = np.repeat(text, n), np.repeat(hits, n)
     item, spot = index.item_of[posting], index.place[posting]
     cell = (hits - at[text] - spot) // (index.edits[item] + 1)
-    order = np.lexsort((spot, cell, item, text))
-    text, item, cell, spot = text[order], item[order], cell[order], spot[order]
+    first_text, lowest = int(text[0]), int(cell.min())
+    sizes = len(index.items), int(cell.max()) - lowest + 1, int(spot.max()) + 1
+    if (int(text[-1]) - first_text + 1) * sizes[0] * sizes[1] * sizes[2] < 1 << 62:  # one number a row is sorted fastest
+        key = np.sort((((text - first_text) * sizes[0] + item) * sizes[1] + cell - lowest) * sizes[2] + spot)
+        key, spot = np.divmod(key, sizes[2])
+        band, cell = np.divmod(key, sizes[1])
+        text, item = np.divmod(band, sizes[0])
+        text, cell = text + first_text, cell + lowest
+    else:
+        order = np.lexsort((spot, cell, item, text))
+        text, item, cell, spot = text[order], item[order], cell[order], spot[order]
     first = np.flatnonzero(np.append(True, (text[1:] != text[:-1]) | (item[1:] != item[:-1]) | (cell[1:] != cell[:-1])))
-    ends = np.append(first[1:], len(text))
     after = np.zeros(len(first), bool)
     a, b = first[:-1], first[1:]
     after[:-1] = (text[a] == text[b]) & (item[a] == item[b]) & (cell[a] + 1 == cell[b])
-    count = ends - first
+    count = np.diff(np.append(first, len(text)))
     reach = count + np.where(after, np.append(count[1:], 0), 0)
-    given: dict[tuple, list] = {}
-    for g in np.flatnonzero(reach >= index.bound[item[first]]).tolist():
-        t, i = int(text[first[g]]), int(item[first[g]])
+    some = reach >= index.bound[item[first]]
+    first, reach = first[some], reach[some]
+    if not len(first):
+        return
+    text, item, cell = text[first], item[first], cell[first]
+    # windows with enough shared q-grams: from the last of ``bound`` consecutive ones back to the first
+    group = np.repeat(np.arange(len(first)), reach)
+    mine = spot[np.repeat(first - (np.cumsum(reach) - reach), reach) + np.arange(reach.sum())]
+    mine = mine[np.lexsort((mine, group))]
+    other = np.arange(len(mine)) + (index.bound[item] - 1)[group]
+    inside = other < np.cumsum(reach)[group]
+    mine, last, group = mine[inside], mine[other[inside]], group[inside]
+    size = np.diff(index.begins)[item]
+    begin = np.maximum(last - (index.window[item] - options.q)[group], 0)
+    end = np.minimum(mine, (size - index.window[item])[group])
+    inside = begin <= end
+    begin, end, group = begin[inside], end[inside], group[inside]
+    follows = np.append(False, group[1:] == group[:-1])[: len(group)]
+    begin = np.maximum(begin, np.where(follows, np.append(0, end[:-1])[: len(end)] + 1, 0))
+    length = np.maximum(end - begin + 1, 0)
+    group = np.repeat(group, length)
+    start = np.repeat(begin - (np.cumsum(length) - length), length) + np.arange(length.sum())
+    if not len(start):
+        return
+    kept = np.zeros(len(start), bool)
+    source, target = _loads(index.whole), _loads(data)
+    for m in np.unique(index.window[item[group]]).tolist():
+        rows = np.flatnonzero(index.window[item[group]] == m)
+        for low in range(0, len(rows), 1 << 16):
+            mine = rows[low : low + (1 << 16)]
+            kept[mine] = _pieces_stand(source, target, index, at, text[group[mine]], item[group[mine]], cell[group[mine]], start[mine], m)
+    group, start = group[kept], start[kept]
+    heads = np.flatnonzero(np.append(True, group[1:] != group[:-1])[: len(group)])
+    for g, starts in zip(group[heads].tolist(), np.split(start, heads[1:]), strict=True) if len(heads) else ():
+        yield int(text[g]), int(item[g]), int(cell[g]), starts
+
+
+def _pieces_stand(source: np.ndarray, target: np.ndarray, index: LeakIndex, at: np.ndarray, text: np.ndarray, item: np.ndarray,
+                  cell: np.ndarray, start: np.ndarray, m: int) -> np.ndarray:
+    """Whether all but k of a window's disjoint pieces stand on diagonals from the cell before to the cell after."""
+    k = int(index.edits[item[0]])
+    alive, missed = np.arange(len(start)), np.zeros(len(start), np.int64)
+    begin, stop = at[text], at[text + 1] - PIECE
+    here = index.begins[item] + start
+    there = begin + start + (cell - 1) * (k + 1)
+    steps = np.arange(3 * (k + 1))
+    for j in range(0, m - PIECE + 1, PIECE):
+        place = (there[alive] + j)[:, None] + steps
+        same = target[np.clip(place, 0, len(target) - 1)] == source[here[alive] + j][:, None]
+        same &= (place >= begin[alive][:, None]) & (place <= stop[alive][:, None])
+        missed[alive] += ~same.any(axis=1)
+        if j % (4 * PIECE) == 0:
+            alive = alive[missed[alive] <= k]
+            if not len(alive):
+                break
+    return missed <= k
+
+
+def _long_leaks(data: np.ndarray, at: np.ndarray, originals, hits: np.ndarray, text: np.ndarray, lo: np.ndarray, n: np.ndarray,
+                index: LeakIndex, options: LeakOptions, given: dict[tuple, list]):
+    """Rows of :func:`find_leaks` from the shared q-grams of some texts."""
+    for t, i, cell, starts in candidates(data, at, hits, text, lo, n, index, options):
         m, k, whole = int(index.window[i]), int(index.edits[i]), index.texts[i]
-        mine = np.sort(spot[first[g] : ends[g + after[g]]])
-        starts = np.arange(len(whole) - m + 1)
-        shared = np.searchsorted(mine, starts + m - options.q, "right") - np.searchsorted(mine, starts, "left")
-        starts = starts[shared >= index.bound[i]]
-        if not len(starts):
-            continue
-        lowest, width = int(cell[first[g]]) * (k + 1) - k, 4 * (k + 1)
+        lowest, width = cell * (k + 1) - k, 4 * (k + 1)
         before = given.setdefault((t, i), [])  # (place in the item, start in the texts) of the rows given
         begin, stop = int(at[t]), int(at[t + 1])
         last = len(whole) - m
