@@ -168,6 +168,33 @@ def test_substrings_against_brute_force(spark, docs, odd, empty):
     assert substrings.remove_repeats(empty).count() == 0
 
 
+def test_substrings_of_repeated_rows(spark):
+    """Copies of a row are one document; texts of one id are told apart; cost follows the number of copies."""
+    draw = random.Random(8)
+    made = lambda n: " ".join(f"w{draw.randint(0, 300)}" for _ in range(n))
+    first, second, third = made(500), made(500), made(60)
+    mixed = " ".join(second.split()[100:140] + third.split() + first.split()[200:260])
+    rows = [(1, first), (3, mixed), (None, third), (None, third), (None, second)]
+
+    def run(copies: int) -> tuple[float, list]:
+        copied = spark.range(copies).select(F.lit(2).cast("long").alias("doc_id"), F.lit(first + " " + second).alias("text"))
+        table = spark.createDataFrame(rows, "doc_id long, text string").union(copied).repartition(8)
+        begin = time.monotonic()
+        out = substrings.remove_repeats(table, substrings.SubstringOptions(flush=20_000)).drop("factors").collect()
+        return time.monotonic() - begin, out
+
+    want = substrings.brute_force([(1, first), (2, first + " " + second), (3, mixed)], 20)
+    few, _ = run(200)
+    many, found = run(2000)
+    assert many < 10 * few + 5
+    assert len(found) == 2005
+    for r in found:
+        if r["doc_id"] is not None:
+            assert (r["n_words"], r["n_removed"], hashlib.sha256(r["kept"].encode()).hexdigest()) == want[r["doc_id"]]
+        else:  # all words stand earlier, under 2 and 3
+            assert r["n_removed"] == r["n_words"]
+
+
 @pytest.mark.parametrize("options", [jaccard.JaccardOptions(), jaccard.JaccardOptions(hot=4, block=8, leaf=4, shingle=3, at_least=80)])
 def test_jaccard_against_all_pairs(spark, docs, odd, empty, options):
     draw = random.Random(5)
@@ -294,6 +321,60 @@ def test_leaks_at_any_offset():
     assert rows == {(0, 0, "Yes", 0), (2, 1, "What  is red?", 0), (3, 2, "name the nineth planet", 1)}
 
 
+def test_leaks_against_all_windows():
+    """A text leaks an item if any window of the item is somewhere in it with at most k edits."""
+    draw = random.Random(23)
+    options = decontaminate.LeakOptions(window=40, q=8, bytes_per_edit=20, least=20)
+    items = ["".join(draw.choice("abcd ") for _ in range(90)).strip() + "." for _ in range(6)]
+    index = decontaminate.build_index(list(range(6)), items, options)
+
+    def spoilt(text: str, n: int) -> str:
+        out = list(text)
+        for _ in range(n):
+            at = draw.randrange(len(out))
+            out[at : at + draw.randint(0, 1)] = draw.choice(["", "x", "yz"])
+        return "".join(out)
+
+    texts = []
+    for _ in range(120):
+        item = draw.choice(items)
+        begin = draw.randint(0, 45)
+        part = spoilt(item[begin : begin + draw.randint(35, 60)], draw.randint(0, 5))
+        texts.append("".join(draw.choice("efgh ") for _ in range(30)) + part + "".join(draw.choice("efgh ") for _ in range(30)))
+
+    def leaks(text: bytes, item: bytes) -> bool:
+        windows = np.array([list(item[w : w + 40]) for w in range(len(item) - 39)])
+        cost = np.zeros((len(windows), len(text) + 1), np.int64)
+        steps = np.arange(len(text) + 1)
+        letters_ = np.frombuffer(text, np.uint8)
+        for i in range(40):
+            new = cost + 1
+            new[:, 1:] = np.minimum(new[:, 1:], cost[:, :-1] + (letters_ != windows[:, i, None]))
+            cost = np.minimum.accumulate(new - steps, axis=1) + steps
+        return bool((cost.min(axis=1) <= 2).any())
+
+    found = {(t, i) for t, i, *_ in decontaminate.find_leaks(pa.array(texts), index, options)}
+    plain = [re.sub(r"\s+", " ", t.lower()).encode() for t in texts]
+    want = {(t, i) for t in range(len(texts)) for i in range(6) if leaks(plain[t], index.texts[i])}
+    assert found == want and 20 < len(want) < 110
+
+
+def test_leaks_of_a_template():
+    """A phrase that all items and texts have is no leak, and costs no alignment."""
+    draw = random.Random(29)
+    made = lambda n: " ".join("".join(draw.choice("abcdefghij") for _ in range(draw.randint(2, 8))) for _ in range(n))
+    phrase = "which of the following statements about "
+    items = [phrase + made(40) for _ in range(500)]
+    texts = [made(30) + " " + phrase + made(40) for _ in range(500)]
+    for t in range(0, 500, 50):
+        texts[t] += items[t][30:160]
+    index = decontaminate.build_index(list(range(500)), items, decontaminate.LeakOptions())
+    begin = time.process_time()
+    found = {(t, i) for t, i, *_ in decontaminate.find_leaks(pa.array(texts), index, decontaminate.LeakOptions())}
+    assert time.process_time() - begin < 10
+    assert found == {(t, t) for t in range(0, 500, 50)}
+
+
 def test_alignment_is_the_edit_distance():
     draw = random.Random(7)
     for _ in range(100):

@@ -9,7 +9,8 @@ window continues the same reference; at its end, the windows across the boundary
 own references. The words of all factors are the duplicate spans.
 
 A frequent anchor or window never gathers: each task first settles its own occurrences and
-passes on one row for each anchor (or window) that it has seen.
+passes on one row for each anchor (or window) that it has seen. Repeated rows are one document:
+what a task has of them is one row, so copies of a row cost their number, not its square.
 """
 
 from __future__ import annotations
@@ -28,9 +29,8 @@ from tidewarden.session import ship_package
 
 STEP = 0x9E6C63D0676A9A99
 BACK = pow(STEP, -1, 2**64)
-#: A place: 27 bits that tell rows of one id apart, 28 of the word's number, and how far
-#: before it the first and the last window of an anchor start, 4 bits each.
-TELL, PLACE = 36, 8
+#: A place: the word's number, and how far before it the first and the last window of an anchor start, 4 bits each.
+PLACE = 8
 LAST_ID = 2**63 - 1
 ONE, MANY, CHECK, COPY = 0, 1, 2, 3
 
@@ -78,52 +78,67 @@ def anchors(hashes: np.ndarray, first: np.ndarray, options: SubstringOptions) ->
     return runs[word], mix64(context ^ mix64(shape + np.uint64(77))), word, s, e
 
 
-def settle(keys: list[np.ndarray], id_: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(order, number of the first row of each class, whether the row starts one), by keys, id and place."""
-    order = np.lexsort((place, id_, *keys[::-1]))
-    new = np.zeros(len(order), bool)
-    new[:1] = True
+def settle(keys: list[np.ndarray], id_: np.ndarray, tell: np.ndarray, place: np.ndarray,
+           last: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(rows in order, number of the first row of each class, whether the row starts one), by keys, id, tell and place.
+
+    Of rows equal in all of these only one stays, the one with the lowest ``last``.
+    """
+    order = np.lexsort(([] if last is None else [last]) + [place, tell, id_, *keys[::-1]])
+    new, other = (np.append(True, np.zeros(max(len(order) - 1, 0), bool))[: len(order)] for _ in range(2))
     for key in keys:
         sorted_ = key[order]
         new[1:] |= sorted_[1:] != sorted_[:-1]
-    first = np.flatnonzero(new)[np.cumsum(new) - 1] if len(order) else order
-    return order, first, new
+    other |= new
+    for column in (id_, tell, place):
+        sorted_ = column[order]
+        other[1:] |= sorted_[1:] != sorted_[:-1]
+    order, new = order[other], new[other]
+    return order, np.flatnonzero(new)[np.cumsum(new) - 1] if len(order) else order, new
+
+
+def distinct_marks(columns: list[np.ndarray]) -> list[np.ndarray]:
+    """Marks (kind, id, tell, place, ref_id, ref_place), of those of one kind and place the one with the smallest reference."""
+    order = np.lexsort(columns[::-1])
+    columns = [c[order] for c in columns]
+    keep = np.append(True, np.any([c[1:] != c[:-1] for c in columns[:4]], axis=0))
+    return [c[keep] for c in columns]
 
 
 def _batch(names: list[str], columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c.view(np.int64) if c.dtype == np.uint64 else c) for c in columns], names=names)
 
 
-def _spread(id_: np.ndarray, place: np.ndarray) -> np.ndarray:
+def _spread(id_: np.ndarray, tell: np.ndarray, place: np.ndarray) -> np.ndarray:
     """Routes of rows that are settled already, so that a frequent anchor's share no task."""
-    return mix64(id_.astype(np.uint64) ^ mix64(place.astype(np.uint64)))
+    return mix64(id_.astype(np.uint64) ^ mix64(tell.view(np.uint64) ^ mix64(place.astype(np.uint64))))
 
 
-ANCHOR = ["kind", "route", "context", "id", "place", "ref_id", "ref_place"]
-ANCHOR_TYPE = "kind int, route long, context long, id long, place long, ref_id long, ref_place long"
-MARK_TYPE = "kind int, id long, place long, ref_id long, ref_place long"
+ANCHOR = ["kind", "route", "context", "id", "tell", "place", "ref_id", "ref_place"]
+ANCHOR_TYPE = "kind int, route long, context long, id long, tell long, place long, ref_id long, ref_place long"
+MARK = ["kind", "id", "tell", "place", "ref_id", "ref_place"]
+MARK_TYPE = "kind int, id long, tell long, place long, ref_id long, ref_place long"
 
 
 def _index(options: SubstringOptions):
     """Anchors of the texts (id, tell, text), settled within the task."""
     def out(parts):
-        key, context, id_, place = (np.concatenate(x) for x in zip(*parts, strict=True))
+        key, context, id_, tell, place = (np.concatenate(x) for x in zip(*parts, strict=True))
         if not len(key):
             return
-        order, first, new = settle([key, context], id_, place)
-        key, context, id_, place = key[order], context[order], id_[order], place[order]
-        copy = ~new & ((id_ != id_[first]) | (place != place[first]))
+        order, first, new = settle([key, context], id_, tell, place)
+        key, context, id_, tell, place = key[order], context[order], id_[order], tell[order], place[order]
         heads = np.flatnonzero(new)
         head_new = np.append(True, key[heads][1:] != key[heads][:-1])
         group = np.cumsum(head_new) - 1
         several = np.bincount(group)[group] > 1
-        kinds = [(ONE, heads[~several], False), (MANY, heads[several & head_new], False), (CHECK, heads[several], False), (COPY, np.flatnonzero(copy), True)]
+        kinds = [(ONE, heads[~several], False), (MANY, heads[several & head_new], False), (CHECK, heads[several], False), (COPY, np.flatnonzero(~new), True)]
         for kind, rows, refer in kinds:
             if len(rows):
                 ref = first[rows]
                 zero = np.zeros(len(rows), np.int64)
-                route = key[rows] if kind < CHECK else _spread(id_[rows], place[rows])
-                yield _batch(ANCHOR, [np.full(len(rows), kind, np.int32), route, context[rows], id_[rows], place[rows],
+                route = key[rows] if kind < CHECK else _spread(id_[rows], tell[rows], place[rows])
+                yield _batch(ANCHOR, [np.full(len(rows), kind, np.int32), route, context[rows], id_[rows], tell[rows], place[rows],
                                       id_[ref] if refer else zero, place[ref] if refer else zero])
 
     def run(batches) -> Iterator[pa.RecordBatch]:
@@ -134,8 +149,8 @@ def _index(options: SubstringOptions):
             key, context, word, s, e = anchors(hashes, words.first, options)
             text = np.searchsorted(words.first, word, "right") - 1
             id_, tell = part.column(0).to_numpy()[text], part.column(1).to_numpy()[text]
-            place = tell << TELL | (word - words.first[text]) << PLACE | (word - s) << 4 | (word - e)
-            parts.append((key, context, id_, place))
+            place = (word - words.first[text]) << PLACE | (word - s) << 4 | (word - e)
+            parts.append((key, context, id_, tell, place))
             held += len(key)
             if held >= options.flush:
                 yield from out(parts)
@@ -145,32 +160,42 @@ def _index(options: SubstringOptions):
     return run
 
 
-def _shared(batches) -> Iterator[pa.RecordBatch]:
-    """Marks (kind, id, place, ref_id, ref_place) from all rows of a share of the anchors."""
-    names = ["kind", "id", "place", "ref_id", "ref_place"]
-    parts = []
-    for batch in batches:
-        kind = batch.column(0).to_numpy()
-        done = kind >= CHECK
-        if done.any():
-            yield _batch(names, [kind[done], *(batch.column(c).to_numpy()[done] for c in range(3, 7))])
-        if not done.all():
-            parts.append([batch.column(c).to_numpy()[~done] for c in range(5)])
-    if not parts:
-        return
-    kind, key, context, id_, place = (np.concatenate(x) for x in zip(*parts, strict=True))
-    order, first, new = settle([key, context], id_, place)
-    kind, key, context, id_, place = (x[order] for x in (kind, key, context, id_, place))
-    key_new = np.append(True, key[1:] != key[:-1])
-    group = np.cumsum(key_new) - 1
-    mixed = (np.bincount(group, new) > 1) | (np.bincount(group, kind == MANY) > 0)
-    alone = np.bincount(group) == 1
-    copy = (kind == ONE) & ~new & ((id_ != id_[first]) | (place != place[first]))
-    check = (kind == ONE) & new & mixed[group] & ~alone[group]
-    for value, rows in ((COPY, np.flatnonzero(copy)), (CHECK, np.flatnonzero(check))):
-        if len(rows):
-            ref = first[rows]
-            yield _batch(names, [np.full(len(rows), value, np.int32), id_[rows], place[rows], id_[ref], place[ref]])
+def _pass_on(held: list, least: int) -> Iterator[pa.RecordBatch]:
+    """Empties ``held`` (settled marks) once it has ``least`` rows."""
+    if held and sum(len(x[0]) for x in held) >= least:
+        yield _batch(MARK, distinct_marks([np.concatenate(x) for x in zip(*held, strict=True)]))
+        held.clear()
+
+
+def _shared(options: SubstringOptions):
+    """Marks (kind, id, tell, place, ref_id, ref_place) from all rows of a share of the anchors."""
+    def run(batches) -> Iterator[pa.RecordBatch]:
+        parts, held = [], []
+        for batch in batches:
+            kind = batch.column(0).to_numpy()
+            done = kind >= CHECK
+            if done.any():
+                held.append([kind[done], *(batch.column(c).to_numpy()[done] for c in range(3, 8))])
+                yield from _pass_on(held, options.flush)
+            if not done.all():
+                parts.append([batch.column(c).to_numpy()[~done] for c in range(6)])
+        yield from _pass_on(held, 1)
+        if not parts:
+            return
+        kind, key, context, id_, tell, place = (np.concatenate(x) for x in zip(*parts, strict=True))
+        order, first, new = settle([key, context], id_, tell, place, -kind)
+        kind, key, context, id_, tell, place = (x[order] for x in (kind, key, context, id_, tell, place))
+        key_new = np.append(True, key[1:] != key[:-1])
+        group = np.cumsum(key_new) - 1
+        mixed = (np.bincount(group, new) > 1) | (np.bincount(group, kind == MANY) > 0)
+        alone = np.bincount(group) == 1
+        copy = (kind == ONE) & ~new
+        check = (kind == ONE) & new & mixed[group] & ~alone[group]
+        for value, rows in ((COPY, np.flatnonzero(copy)), (CHECK, np.flatnonzero(check))):
+            if len(rows):
+                ref = first[rows]
+                yield _batch(MARK, [np.full(len(rows), value, np.int32), id_[rows], tell[rows], place[rows], id_[ref], place[ref]])
+    return run
 
 
 def _ranges(marks, kind: int) -> tuple[np.ndarray, ...]:
@@ -179,29 +204,27 @@ def _ranges(marks, kind: int) -> tuple[np.ndarray, ...]:
     place = np.array([m["place"] for m in rows], np.int64)
     ref = np.array([m["ref_id"] for m in rows], np.int64)
     ref_place = np.array([m["ref_place"] for m in rows], np.int64)
-    word, before, after = place >> PLACE & (1 << 28) - 1, place >> 4 & 15, place & 15
+    word, before, after = place >> PLACE, place >> 4 & 15, place & 15
     n = before - after + 1
     back = np.repeat(before, n) - (np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n))
-    return np.repeat(word, n) - back, np.repeat(ref, n), np.repeat(ref_place >> PLACE & (1 << 28) - 1, n) - back
+    return np.repeat(word, n) - back, np.repeat(ref, n), np.repeat(ref_place >> PLACE, n) - back
 
 
-WINDOW = ["known", "route", "second", "id", "place", "ref_id", "ref_place"]
-WINDOW_TYPE = "known int, route long, second long, id long, place long, ref_id long, ref_place long"
+WINDOW = ["known", "route", "second", "id", "tell", "place", "ref_id", "ref_place"]
+WINDOW_TYPE = "known int, route long, second long, id long, tell long, place long, ref_id long, ref_place long"
 
 
 def _windows(options: SubstringOptions):
     """Hashes of the windows to look up, of rows (id, tell, text, marks), settled within the task."""
     def out(parts):
-        one, two, id_, place = (np.concatenate(x) for x in zip(*parts, strict=True))
-        order, first, new = settle([one, two], id_, place)
-        one, two, id_, place = one[order], two[order], id_[order], place[order]
-        copy = np.flatnonzero(~new & ((id_ != id_[first]) | (place != place[first])))
-        heads = np.flatnonzero(new)
-        for known, rows in ((0, heads), (1, copy)):
+        one, two, id_, tell, place = (np.concatenate(x) for x in zip(*parts, strict=True))
+        order, first, new = settle([one, two], id_, tell, place)
+        one, two, id_, tell, place = (x[order] for x in (one, two, id_, tell, place))
+        for known, rows in ((0, np.flatnonzero(new)), (1, np.flatnonzero(~new))):
             if len(rows):
                 ref = first[rows]
-                route = _spread(id_[rows], place[rows]) if known else one[rows]
-                yield _batch(WINDOW, [np.full(len(rows), known, np.int32), route, two[rows], id_[rows], place[rows], id_[ref], place[ref]])
+                route = _spread(id_[rows], tell[rows], place[rows]) if known else one[rows]
+                yield _batch(WINDOW, [np.full(len(rows), known, np.int32), route, two[rows], id_[rows], tell[rows], place[rows], id_[ref], place[ref]])
 
     def run(batches) -> Iterator[pa.RecordBatch]:
         parts, held = [], 0
@@ -218,7 +241,7 @@ def _windows(options: SubstringOptions):
                 start = np.unique(_ranges(marks[i], CHECK)[0])
                 at = words.first[k] + start
                 id_, tell = part.column(0)[k].as_py(), part.column(1)[k].as_py()
-                parts.append((one[at], two[at], np.full(len(at), id_), tell << TELL | start << PLACE))
+                parts.append((one[at], two[at], np.full(len(at), id_), np.full(len(at), tell), start << PLACE))
                 held += len(at)
             if held >= options.flush:
                 yield from out(parts)
@@ -228,26 +251,28 @@ def _windows(options: SubstringOptions):
     return run
 
 
-def _repeated(batches) -> Iterator[pa.RecordBatch]:
+def _repeated(options: SubstringOptions):
     """Marks of the windows that have an earlier equal one, from all rows of a share of the windows."""
-    names = ["kind", "id", "place", "ref_id", "ref_place"]
-    parts = []
-    for batch in batches:
-        known = batch.column(0).to_numpy() == 1
-        if known.any():
-            n = int(known.sum())
-            yield _batch(names, [np.full(n, COPY, np.int32), *(batch.column(c).to_numpy()[known] for c in range(3, 7))])
-        if not known.all():
-            parts.append([batch.column(c).to_numpy()[~known] for c in range(1, 5)])
-    if not parts:
-        return
-    one, two, id_, place = (np.concatenate(x) for x in zip(*parts, strict=True))
-    order, first, new = settle([one, two], id_, place)
-    id_, place = id_[order], place[order]
-    rows = np.flatnonzero(~new & ((id_ != id_[first]) | (place != place[first])))
-    if len(rows):
-        ref = first[rows]
-        yield _batch(names, [np.full(len(rows), COPY, np.int32), id_[rows], place[rows], id_[ref], place[ref]])
+    def run(batches) -> Iterator[pa.RecordBatch]:
+        parts, held = [], []
+        for batch in batches:
+            known = batch.column(0).to_numpy() == 1
+            if known.any():
+                held.append([np.full(int(known.sum()), COPY, np.int32), *(batch.column(c).to_numpy()[known] for c in range(3, 8))])
+                yield from _pass_on(held, options.flush)
+            if not known.all():
+                parts.append([batch.column(c).to_numpy()[~known] for c in range(1, 6)])
+        yield from _pass_on(held, 1)
+        if not parts:
+            return
+        one, two, id_, tell, place = (np.concatenate(x) for x in zip(*parts, strict=True))
+        order, first, new = settle([one, two], id_, tell, place)
+        id_, tell, place = id_[order], tell[order], place[order]
+        rows = np.flatnonzero(~new)
+        if len(rows):
+            ref = first[rows]
+            yield _batch(MARK, [np.full(len(rows), COPY, np.int32), id_[rows], tell[rows], place[rows], id_[ref], place[ref]])
+    return run
 
 
 def parse(n_words: int, start: np.ndarray, ref: np.ndarray, ref_start: np.ndarray, window: int) -> list[tuple[int, int, int, int]]:
@@ -317,20 +342,19 @@ def remove_repeats(docs: DataFrame, options: SubstringOptions = SubstringOptions
         raise ValueError("window - run must be under 16")
     spark = docs.sparkSession
     ship_package(spark)
-    tell = F.xxhash64("text").bitwiseAND((1 << 27) - 1).alias("tell")
+    tell = F.xxhash64("text").alias("tell")
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)).alias("id"), F.col(text_col).alias("text")).select("id", tell, "text")
     mark = F.struct("kind", "place", "ref_id", "ref_place")
-    tell_of = F.shiftright("place", TELL).alias("tell")
 
     def by_text(found: DataFrame, name: str) -> DataFrame:
-        return found.groupBy("id", tell_of).agg(F.collect_list(mark).alias(name))
+        return found.groupBy("id", "tell").agg(F.collect_list(mark).alias(name))
 
     index = rows.mapInArrow(_index(options), ANCHOR_TYPE)
-    marks = by_text(index.repartition("route").mapInArrow(_shared, MARK_TYPE), "marks")
+    marks = by_text(index.repartition("route").mapInArrow(_shared(options), MARK_TYPE), "marks")
     # the text's rows are shuffled once: both uses below have the same plan up to here
     marked = rows.join(marks.hint("merge"), ["id", "tell"], "left").select("id", "tell", "text", "marks")
     looked = marked.mapInArrow(_windows(options), WINDOW_TYPE)
-    more = by_text(looked.repartition("route").mapInArrow(_repeated, MARK_TYPE), "more")
+    more = by_text(looked.repartition("route").mapInArrow(_repeated(options), MARK_TYPE), "more")
     found = marked.join(more.hint("merge"), ["id", "tell"], "left").select("id", "tell", "text", "marks", "more")
     out = found.mapInArrow(_finish(options), f"id long, n_words long, n_removed long, kept string, factors {FACTOR}")
     return out.withColumnRenamed("id", id_col)
