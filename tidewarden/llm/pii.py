@@ -142,9 +142,11 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 @dataclass(frozen=True)
 class FieldOptions:
-    """``sample_docs``: documents with base spans that the field is trained on, about."""
+    """``sample_docs``: documents with base spans that the field is trained on, about, whole ones
+    of up to ``sample_chars`` characters (longer ones are not drawn)."""
 
     sample_docs: int = 600
+    sample_chars: int = 20_000
     longest: int = 21
     rounds: int = 4
     rate: float = 0.3
@@ -325,13 +327,13 @@ def _rewritten(kind: int, span: str, draw: random.Random) -> list[tuple[str, boo
 def train(docs: DataFrame, options: FieldOptions = FieldOptions(), id_col: str = "doc_id",
           text_col: str = "text") -> Field:
     """A field trained on documents with digits or address signs: about ``sample_docs`` of
-    them, drawn by a hash of the id. Null ids or texts teach nothing; without such documents
-    the field has no weights and adds no spans."""
+    them, drawn by a hash of the id, of repeated ids one row. Null ids or texts teach nothing;
+    without such documents the field has no weights and adds no spans."""
     rows = docs.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text"))
-    seen = rows.where("id is not null").where(F.col("text").rlike("@|[0-9]{3}"))
+    seen = rows.where("id is not null").where(F.length("text") <= options.sample_chars).where(F.col("text").rlike("@|[0-9]{3}"))
     share = options.sample_docs / max(seen.count(), 1)
     drawn = seen.where(F.pmod(F.xxhash64("id", F.lit(6)), F.lit(1_000_000)) < share * 1e6)
-    sample = drawn.select("id", F.substring("text", 1, 20_000).alias("text"))
+    sample = drawn.groupBy("id").agg(F.min(F.struct(F.xxhash64("text"), "text"))["text"].alias("text"))
     draw = random.Random(options.seed)
     lessons: dict[str, tuple] = {}
 
