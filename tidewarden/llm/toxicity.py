@@ -27,11 +27,11 @@ SLICE = 2 << 20
 @dataclass(frozen=True)
 class ToxicityOptions:
     """``sample_toxic``, ``sample_clean``: about so many labelled documents are learned from,
-    each up to ``sample_chars`` characters."""
+    whole ones of up to ``sample_chars`` characters (longer ones teach nothing)."""
 
     sample_toxic: int = 700
     sample_clean: int = 2800
-    sample_chars: int = 10_000
+    sample_chars: int = 20_000
     window: int = 16
     stride: int = 8
     hidden: int = 8
@@ -264,8 +264,8 @@ def train(docs: DataFrame, labels: DataFrame, options: ToxicityOptions = Toxicit
           text_col: str = "text", label_col: str = "toxic") -> Weights:
     """A network trained on a bounded sample of the labels (id, label), drawn by a hash of the id.
 
-    Label 1 is toxic, any other is not; of several labels of an id the highest counts. Null
-    ids, labels or texts teach nothing. The sample is drawn from the labels alone, and only
+    Label 1 is toxic, any other is not; of several labels of an id the highest counts, of
+    several texts the one with the lowest hash. Null ids, labels or texts teach nothing. The sample is drawn from the labels alone, and only
     its few ids go to the documents, so no text moves but the sample's. Without both labels
     the score is a constant.
     """
@@ -275,10 +275,11 @@ def train(docs: DataFrame, labels: DataFrame, options: ToxicityOptions = Toxicit
     draw = F.pmod(F.xxhash64("id", F.lit(11)), F.lit(1_000_000))
     limits = {label: 1e6 * n / sizes.get(label, 1) for label, n in ((0, options.sample_clean), (1, options.sample_toxic))}
     drawn = marks.where(draw < F.when(F.col("toxic") == 1, F.lit(limits[1])).otherwise(F.lit(limits[0]))).collect()
-    rows = docs.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text")).where("text is not null")
+    rows = docs.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text")).where(F.length("text") <= options.sample_chars)
     few = docs.sparkSession.createDataFrame(drawn, "id string, toxic int")  # about sample_toxic + sample_clean rows
     sample = rows.join(F.broadcast(few), "id")
-    found = sample.select("id", F.substring("text", 1, options.sample_chars).alias("text"), "toxic").toPandas().sort_values(["id", "toxic", "text"])
+    one = sample.groupBy("id", "toxic").agg(F.min(F.struct(F.xxhash64("text"), "text"))["text"].alias("text"))
+    found = one.toPandas().sort_values(["id", "toxic", "text"])
     got = found["toxic"].value_counts()
     weight = sizes.get(0, 1) / max(got.get(0, 1), 1) / (sizes.get(1, 1) / max(got.get(1, 1), 1))
     return fit(list(found["text"]), found["toxic"].to_numpy().astype(np.int64), options, weight)
