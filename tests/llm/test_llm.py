@@ -227,6 +227,28 @@ def test_jaccard_against_all_pairs(spark, docs, odd, empty, options):
     assert jaccard.similar_documents(empty).count() == 0
 
 
+def test_sets_of_a_template_are_compared_in_bulk():
+    """A block of sets that share most of their shingles, few of which link."""
+    draw = np.random.default_rng(5)
+    common = draw.integers(0, 2**62, 240).astype(np.uint64)
+    sets = [np.unique(np.concatenate([common, draw.integers(0, 2**62, 60).astype(np.uint64)])) for _ in range(512)]
+    for k in range(0, 512, 64):
+        sets[k + 1] = np.unique(np.concatenate([sets[k][:-10], draw.integers(0, 2**62, 10).astype(np.uint64)]))
+    sets[400] = sets[401] = sets[3][:-2]
+    options = jaccard.JaccardOptions()
+    begin = time.process_time()
+    got = embedding.roots(len(sets), *jaccard.verify(sets, np.zeros(512, np.int64), options))
+    assert time.process_time() - begin < 4
+    pairs = [(i, j) for i in range(512) for j in range(i) if 100 * (n := len(np.intersect1d(sets[i], sets[j], True))) >= 85 * (len(sets[i]) + len(sets[j]) - n)]
+    want = embedding.roots(512, np.array([p[0] for p in pairs]), np.array([p[1] for p in pairs]))
+    assert (got == want).all() and 9 <= len(pairs) < 100
+    side = np.arange(512) % 2
+    across = [p for p in pairs if side[p[0]] != side[p[1]]]
+    got = embedding.roots(512, *jaccard.verify(sets, side, options))
+    want = embedding.roots(512, np.array([p[0] for p in across]), np.array([p[1] for p in across]))
+    assert (got == want).all()
+
+
 def test_jaccard_of_a_text_that_many_share(spark):
     """Texts of a shared part and 19 % of their own, beside a group of 320 copies and near copies of it, each meet the group."""
     draw = random.Random(10)

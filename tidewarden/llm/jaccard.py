@@ -177,6 +177,34 @@ def meet(bits: list[bytes], size: np.ndarray, side: np.ndarray, options: Jaccard
     return both[0], both[1]
 
 
+class Overlap:
+    """Sizes of the intersections of a group's sets, counted for 32 sets at once."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        known, code = np.unique(np.concatenate(sets), return_inverse=True)
+        self.codes = np.split(code, np.cumsum([len(s) for s in sets])[:-1])
+        self.marks = np.zeros(len(known), np.uint32)  # bit c: the c-th set of the other side has this shingle
+
+    def pairs(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """Shingles that set i[n] shares with set j[n]."""
+        left, of_left = np.unique(i, return_inverse=True)
+        right, of_right = np.unique(j, return_inverse=True)
+        out = np.zeros(len(i), np.int64)
+        bits = np.arange(32, dtype=np.uint32)
+        for at in range(0, len(right), 32):
+            some = right[at : at + 32].tolist()
+            for c, r in enumerate(some):
+                self.marks[self.codes[r]] |= np.uint32(1 << c)
+            mine = np.flatnonzero((of_right >= at) & (of_right < at + 32))
+            counts = np.zeros((len(left), 32), np.int64)
+            for row in np.unique(of_left[mine]).tolist():
+                counts[row] = (self.marks[self.codes[left[row]]][:, None] >> bits & np.uint32(1)).sum(axis=0)
+            out[mine] = counts[of_left[mine], of_right[mine] - at]
+            for r in some:
+                self.marks[self.codes[r]] = 0
+        return out
+
+
 def verify(sets: list[np.ndarray], side: np.ndarray, options: JaccardOptions) -> tuple[np.ndarray, np.ndarray]:
     """Links of a group, enough to hold its components: pairs already joined are passed over."""
     size = np.array([len(s) for s in sets])
@@ -202,17 +230,18 @@ def verify(sets: list[np.ndarray], side: np.ndarray, options: JaccardOptions) ->
         first = root(int(rows_a[x.rows[0]]))
         return all(root(int(r)) == first for r in rows_a[x.rows]) and all(root(int(r)) == first for r in rows_b[y.rows])
 
+    overlap = Overlap(sets)
     for p, q in candidates(a, b, whole[rows_a], whole[rows_b], size[rows_a], size[rows_b], options, settled):
-        for i, j in zip(rows_a[p].tolist(), rows_b[q].tolist(), strict=True):
-            x, y = root(i), root(j)
-            if x == y:
-                continue
-            small, large = (sets[i], sets[j]) if size[i] <= size[j] else (sets[j], sets[i])
-            at = np.minimum(np.searchsorted(large, small), len(large) - 1)
-            shared = int((large[at] == small).sum())
-            if options.of * shared >= options.at_least * (int(size[i] + size[j]) - shared):
-                parent[max(x, y)] = min(x, y)
-                links.append((i, j))
+        i, j = rows_a[p], rows_b[q]
+        apart = np.array([root(x) != root(y) for x, y in zip(i.tolist(), j.tolist(), strict=True)], bool)
+        i, j = i[apart], j[apart]
+        shared = overlap.pairs(i, j)
+        linked = options.of * shared >= options.at_least * (size[i] + size[j] - shared)
+        for x, y in zip(i[linked].tolist(), j[linked].tolist(), strict=True):
+            first, second = root(x), root(y)
+            if first != second:
+                parent[max(first, second)] = min(first, second)
+                links.append((x, y))
     pairs = np.array(links, np.int64).reshape(-1, 2)
     return pairs[:, 0], pairs[:, 1]
 
