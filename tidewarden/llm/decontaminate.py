@@ -254,37 +254,54 @@ def candidates(data: np.ndarray, at: np.ndarray, hits: np.ndarray, text: np.ndar
     if not len(start):
         return
     kept = np.zeros(len(start), bool)
-    source, target = _loads(index.whole), _loads(data)
-    for m in np.unique(index.window[item[group]]).tolist():
-        rows = np.flatnonzero(index.window[item[group]] == m)
-        for low in range(0, len(rows), 1 << 16):
-            mine = rows[low : low + (1 << 16)]
-            kept[mine] = _pieces_stand(source, target, index, at, text[group[mine]], item[group[mine]], cell[group[mine]], start[mine], m)
+    pieces = _Pieces(_loads(index.whole), _loads(data), index, at, text, item, cell)
+    many, size = np.bincount(group)[group] > 8, index.window[item[group]]
+    for m in np.unique(size).tolist():
+        for rows, stand in ((np.flatnonzero((size == m) & ~many), pieces.one_by_one), (np.flatnonzero((size == m) & many), pieces.at_once)):
+            for low in range(0, len(rows), 1 << 16):
+                part = rows[low : low + (1 << 16)]
+                kept[part] = stand(group[part], start[part], m)
     group, start = group[kept], start[kept]
     heads = np.flatnonzero(np.append(True, group[1:] != group[:-1])[: len(group)])
     for g, starts in zip(group[heads].tolist(), np.split(start, heads[1:]), strict=True) if len(heads) else ():
         yield int(text[g]), int(item[g]), int(cell[g]), starts
 
 
-def _pieces_stand(source: np.ndarray, target: np.ndarray, index: LeakIndex, at: np.ndarray, text: np.ndarray, item: np.ndarray,
-                  cell: np.ndarray, start: np.ndarray, m: int) -> np.ndarray:
-    """Whether all but k of a window's disjoint pieces stand on diagonals from the cell before to the cell after."""
-    k = int(index.edits[item[0]])
-    alive, missed = np.arange(len(start)), np.zeros(len(start), np.int64)
-    begin, stop = at[text], at[text + 1] - PIECE
-    here = index.begins[item] + start
-    there = begin + start + (cell - 1) * (k + 1)
-    steps = np.arange(3 * (k + 1))
-    for j in range(0, m - PIECE + 1, PIECE):
-        place = (there[alive] + j)[:, None] + steps
-        same = target[np.clip(place, 0, len(target) - 1)] == source[here[alive] + j][:, None]
-        same &= (place >= begin[alive][:, None]) & (place <= stop[alive][:, None])
-        missed[alive] += ~same.any(axis=1)
-        if j % (4 * PIECE) == 0:
-            alive = alive[missed[alive] <= k]
-            if not len(alive):
-                break
-    return missed <= k
+class _Pieces:
+    """Which windows have all but k of their disjoint pieces on diagonals from the cell before theirs to the cell after."""
+
+    def __init__(self, source: np.ndarray, target: np.ndarray, index: LeakIndex, at: np.ndarray, text: np.ndarray, item: np.ndarray, cell: np.ndarray):
+        self.source, self.target, self.edits = source, target, index.edits[item]
+        self.here, self.begin, self.stop = index.begins[item], at[text], at[text + 1] - PIECE
+        self.there = self.begin + (cell - 1) * (self.edits + 1)
+
+    def stand(self, group: np.ndarray, spot: np.ndarray, k: int) -> np.ndarray:
+        """Whether the pieces at these places of the groups' items stand on any of the diagonals."""
+        out = np.zeros(len(group), bool)
+        for low in range(0, len(group), 1 << 16):
+            g, p = group[low : low + (1 << 16)], spot[low : low + (1 << 16)]
+            place = (self.there[g] + p)[:, None] + np.arange(3 * (k + 1))
+            same = self.target[np.clip(place, 0, len(self.target) - 1)] == self.source[self.here[g] + p][:, None]
+            same &= (place >= self.begin[g][:, None]) & (place <= self.stop[g][:, None])
+            out[low : low + (1 << 16)] = same.any(axis=1)
+        return out
+
+    def one_by_one(self, group: np.ndarray, start: np.ndarray, m: int) -> np.ndarray:
+        """For groups of few windows: piece by piece, until more than k are missing."""
+        k, missed, alive = int(self.edits[group[0]]), np.zeros(len(start), np.int64), np.arange(len(start))
+        for j in range(0, m - PIECE + 1, PIECE):
+            missed[alive] += ~self.stand(group[alive], start[alive] + j, k)
+            if j % (4 * PIECE) == 0:
+                alive = alive[missed[alive] <= k]
+        return missed <= k
+
+    def at_once(self, group: np.ndarray, start: np.ndarray, m: int) -> np.ndarray:
+        """For groups of many windows, which have most pieces in common: each place once."""
+        k, steps = int(self.edits[group[0]]), np.arange(0, m - PIECE + 1, PIECE)
+        width = int(start.max()) + m
+        places, which = np.unique((group * width + start)[:, None] + steps, return_inverse=True)
+        found = self.stand(places // width, places % width, k)
+        return (~found[which.reshape(len(group), len(steps))]).sum(axis=1) <= k
 
 
 def _long_leaks(data: np.ndarray, at: np.ndarray, originals, hits: np.ndarray, text: np.ndarray, lo: np.ndarray, n: np.ndarray,
