@@ -195,6 +195,43 @@ def test_mixing_is_repeatable(keyed, tmp_path):
         assert row["c"] == sum(s <= row["id"] for s in batch_starts(40, 3)) - 1
 
 
+def test_mixing_costs_about_one_job_a_batch(keyed, tmp_path):
+    spark = keyed.sparkSession
+    events = labelled_traffic(keyed, TrafficOptions(shards=1))
+    jobs = {}
+    for limit in (300, 900):
+        spark.sparkContext.setJobGroup(f"mix{limit}", "mixing")
+        some = events.filter(F.col("event_id") < limit)
+        run = mix(some, DetectorOptions(n_models=2), root=str(tmp_path / str(limit)), rows_per_slice=30, slices_per_batch=1)
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        assert run.detections().count() == some.count() and run.control().count() == some.count() // 30
+        jobs[limit] = len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"mix{limit}"))
+    assert jobs[900] - jobs[300] < 3 * 20
+
+
+def test_mixing_goes_on_after_its_last_write(keyed, tmp_path, monkeypatch):
+    from tidewarden.learning import mixing
+
+    events = labelled_traffic(keyed, TrafficOptions(shards=1)).filter("event_id < 400")
+    options, sizes = DetectorOptions(n_models=2), {"rows_per_slice": 40, "slices_per_batch": 2}
+    whole = mix(events, options, root=str(tmp_path / "whole"), **sizes)
+    monkeypatch.setattr(mixing, "BATCHES_PER_WRITE", 2)
+    done, kept = [], mixing.mix_batches
+
+    def stopped(*args):
+        if len(done) == 1:
+            raise RuntimeError("stopped")
+        done.append(kept(*args))
+
+    monkeypatch.setattr(mixing, "mix_batches", stopped)
+    with pytest.raises(RuntimeError, match="stopped"):
+        mix(events, options, root=str(tmp_path / "parts"), **sizes)
+    monkeypatch.setattr(mixing, "mix_batches", kept)
+    parts = mix(events, options, root=str(tmp_path / "parts"), **sizes)
+    for read in (mixing.MixRun.detections, mixing.MixRun.control, mixing.MixRun.state):
+        assert sorted(map(str, read(parts).collect())) == sorted(map(str, read(whole).collect()))
+
+
 def test_batch_starts():
     assert batch_starts(20, 8) == [0, 1, 2, 4, 8, 16]
     assert batch_starts(1, 8) == [0]

@@ -107,14 +107,15 @@ def _state_frame(shard: int, detector: Detector) -> pd.DataFrame:
     return pd.DataFrame({**empty, "shard": [shard], **kept})
 
 
-def dealt(rows: DataFrame, group: str, *first: Column) -> DataFrame:
+def dealt(rows: DataFrame, group: str, *first: Column, width: int | None = None) -> DataFrame:
     """Rows in event order within their group (after ``first``), the numbered groups dealt out in turn.
 
     Hashing a few group numbers can put many on one task, and so can merging small
     partitions; here each task gets as many groups as any other. The grouped fold that
-    follows needs no shuffle or sort of its own.
+    follows needs no shuffle or sort of its own. ``width`` is the number of tasks, where fewer groups than
+    the session's partitions are known.
     """
-    width = shuffle_width(rows.sparkSession)
+    width = width or shuffle_width(rows.sparkSession)
     return rows.repartitionById(width, F.col(group)).sortWithinPartitions(
         group, *first, "ts", "event_id"
     )

@@ -82,9 +82,14 @@ def frozen_scores(model: Model, x: np.ndarray) -> np.ndarray:
 
 def moved_weights(weights: np.ndarray, x: np.ndarray, is_bot: bool) -> np.ndarray:
     """Weights after one mistake: up for a missed bot, down for a false alarm."""
-    step = np.abs(x * weights) * LEARNING_RATE
-    moved = np.clip(weights + step if is_bot else weights - step, 0.0, 1.0)
-    total = moved.sum()
+    # plain ufuncs in place: this runs once a mistake, where the call overhead is most of its time
+    step = x * weights
+    np.abs(step, out=step)
+    step *= LEARNING_RATE
+    moved = np.add(weights, step, out=step) if is_bot else np.subtract(weights, step, out=step)
+    np.maximum(moved, 0.0, out=moved)
+    np.minimum(moved, 1.0, out=moved)
+    total = np.add.reduce(moved)
     return moved / total if total > 0 else moved
 
 
@@ -133,17 +138,24 @@ def train_block(
     ruled = matched(rows, states)
     first_rule = begins.min() if len(rules) else total + 1
     neutral = (n[:-1] == 0) | (states < first_rule)
+    # A score is given + share * linear, which is what blend() and the neutral score come to.
+    share = np.where(neutral, 0.0, np.where(ruled, 1 - RULE_SHARE, 1.0))
+    given = np.where(neutral, NEUTRAL_SCORE, np.where(ruled, RULE_SHARE * RULE_CONFIDENCE, 0.0))
+    bots = trained_bot.tolist()
     weights, changes, kept = model.weights, [0], [model.weights]
     at, span = 0, 16
     while at < total:
         part = slice(at, at + span)
-        score = np.where(neutral[part], NEUTRAL_SCORE, blend(ruled[part], z[part] @ weights))
-        wrong = np.flatnonzero((score > MODEL_THRESHOLD) != trained_bot[part])
-        if not len(wrong):
+        score = z[part] @ weights
+        score *= share[part]
+        score += given[part]
+        wrong = (score > MODEL_THRESHOLD) != trained_bot[part]
+        first = int(wrong.argmax())
+        if not wrong[first]:
             at, span = at + span, span * 2
             continue
-        at, span = at + int(wrong[0]), 16
-        weights = moved_weights(weights, trained_x[at], bool(trained_bot[at]))
+        at, span = at + first, 16
+        weights = moved_weights(weights, trained_x[at], bots[at])
         at += 1
         changes.append(at)
         kept.append(weights)

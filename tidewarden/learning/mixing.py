@@ -12,6 +12,7 @@ of its batch learn, weights are averages, and drift is answered between batches.
 
 from __future__ import annotations
 
+import functools
 import json
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -34,23 +35,26 @@ from tidewarden.learning.exact import (
     fold_input,
 )
 from tidewarden.learning.kernel import Model, model_of_row, row_of_model
-from tidewarden.operators.ensemble import initial_state, replace_worst, shard_list
+from tidewarden.operators.ensemble import initial_state, shard_list
 from tidewarden.operators.ordered import instance_number
 from tidewarden.schema import MODEL_STATE_SCHEMA, N_FEATURES, DetectorOptions
 from tidewarden.session import scratch_path, ship_package
 from tidewarden.sources.model_store import (
-    append_log,
     is_written,
     load_model,
+    newest_version,
     numbered_folders,
     read_log,
     save_model,
-    versions,
 )
 
 ROWS_PER_SLICE = 100_000
 SLICES_PER_BATCH = 8
-_SLICE_SCHEMA = T.StructType(FOLD_SCHEMA.fields + [T.StructField("chunk", T.IntegerType())])
+#: Batches whose detections and models are written together; a stopped run goes on after the last of them.
+BATCHES_PER_WRITE = 16
+_SLICE = [("chunk", T.IntegerType()), ("n", T.LongType()), ("errors", T.LongType())]
+_SLICE_SCHEMA = T.StructType(FOLD_SCHEMA.fields + [T.StructField(name, kind) for name, kind in _SLICE])
+_CONTROL = "batch int, instance_number bigint, ts bigint, error_rate double, drift boolean, window string"
 
 
 @dataclass(frozen=True)
@@ -77,7 +81,7 @@ class MixRun:
         return f"{self.root}/control"
 
     def detections(self) -> DataFrame:
-        return detections_of(read_log(self.spark, self.folds_path)).drop("chunk", "batch")
+        return detections_of(read_log(self.spark, self.folds_path)).drop("batch", *[name for name, _ in _SLICE])
 
     def state(self) -> DataFrame:
         return load_model(self.spark, self.models_path)
@@ -112,7 +116,8 @@ def fold_slices(
     totals: list[int],
     options: DetectorOptions,
 ) -> DataFrame:
-    """Fold each slice (``chunk``) from ``models``; detections, then its own models.
+    """Fold each slice (``chunk``) from ``models``; detections, then one row with its own models,
+    its events (``n``), their errors and its latest time.
 
     ``starts[chunk][m]`` counts the batch's training copies before the slice, so that
     rules are taken at the same training indices as by one sequential model. From the
@@ -140,7 +145,7 @@ def fold_slices(
         detector = Detector(begun, AdaptiveWindow(options.drift_delta))
         shape = (len(common), N_FEATURES)
         sums = {"n": np.zeros(len(common)), "s1": np.zeros(shape), "s2": np.zeros(shape)}
-        centre = None
+        centre, rows, errors, ended = None, 0, 0, []
         for frame in frames:
             if not len(frame):
                 continue
@@ -150,7 +155,10 @@ def fold_slices(
             sums["s1"] += copies.T @ (x - centre)
             sums["s2"] += copies.T @ (x - centre) ** 2
             folded = fold_frame(detector, frame, quiet)
-            yield folded.assign(models=None, chunk=chunk)[names]
+            rows += len(folded)
+            errors += int(((folded["is_bot_pred"] != folded["is_bot"]) & folded["is_bot"].notna()).sum())
+            ended.append(folded["ts"].max())
+            yield folded.assign(models=None, chunk=chunk, n=None, errors=None)[names]
         if centre is None:
             return
         _own_moments(detector.models, centre, sums)
@@ -158,11 +166,12 @@ def fold_slices(
             new = model.rule_seq >= seq
             model.rules, model.rule_bot = model.rules[new], model.rule_bot[new]
             model.rule_seq = model.rule_seq[new]
-        rows = [row_of_model(0, m, 0, model) for m, model in enumerate(detector.models)]
+        own = [row_of_model(0, m, 0, model) for m, model in enumerate(detector.models)]
         empty = {name: [None] for name in names}
-        yield pd.DataFrame({**empty, "chunk": [chunk], "models": [rows]})[names]
+        told = {"chunk": [chunk], "models": [own], "n": [rows], "errors": [errors], "ts": pd.Series(ended).max()}
+        yield pd.DataFrame({**empty, **told})[names]
 
-    return dealt(slices, "chunk").groupBy("chunk").applyInPandas(fold, _SLICE_SCHEMA)
+    return dealt(slices, "chunk", width=len(starts)).groupBy("chunk").applyInPandas(fold, _SLICE_SCHEMA)
 
 
 def mixed_model(model: Model, parts: list[Model], options: DetectorOptions) -> Model:
@@ -198,41 +207,43 @@ def mixed_model(model: Model, parts: list[Model], options: DetectorOptions) -> M
     )
 
 
-def combine(models: list[Model], slices: DataFrame, options: DetectorOptions) -> DataFrame:
-    """The next state, one group per model; a group has one row per slice of the batch."""
-    shared = slices.sparkSession.sparkContext.broadcast(models)
+def mixed_models(models: list[Model], parts: list[list[Model]], options: DetectorOptions) -> list[Model]:
+    """The next common models, as a table would keep them; ``parts`` holds each slice's own, in slice order."""
+    following = [mixed_model(m, [own[i] for own in parts], options) for i, m in enumerate(models)]
+    return _kept(following)
 
-    def mixed(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        model_id = int(key[0])
-        parts = [model_of_row(row) for row in rows.to_dict("records")]
-        following = mixed_model(shared.value[model_id], parts, options)
-        return pd.DataFrame([row_of_model(0, model_id, 0, following)])
 
-    return slices.groupBy("model_id").applyInPandas(mixed, MODEL_STATE_SCHEMA)
+def _kept(models: list[Model]) -> list[Model]:
+    return [model_of_row(row_of_model(0, m, 0, model)) for m, model in enumerate(models)]
+
+
+def _without_worst(models: list[Model], vote: str) -> list[Model]:
+    """A fresh model in place of the worst one; see :func:`tidewarden.operators.ensemble.replace_worst`."""
+    accuracy = [m.correct / m.seen if vote == "weighted" and m.seen else 0.0 for m in models]
+    worst = accuracy.index(min(accuracy))
+    return [Model() if m == worst else model for m, model in enumerate(models)]
 
 
 def _slice_starts(
     slices: DataFrame, options: DetectorOptions
-) -> tuple[dict[int, list[int]], list[int]]:
-    """Training copies per model before each slice, and in the whole batch.
+) -> dict[int, tuple[dict[int, list[int]], list[int]]]:
+    """By batch: training copies per model before each slice, and in the whole batch.
 
-    One row per slice of the batch reaches the driver.
+    One row per slice of the given batches reaches the driver.
     """
     names = copy_columns(options)
-    rows = slices.groupBy("chunk").agg(*[F.sum(c).alias(c) for c in names]).orderBy("chunk")
-    starts, before = {}, [0] * len(names)
-    for row in rows.collect():
-        starts[row["chunk"]] = list(before)
-        before = [b + row[c] for b, c in zip(before, names)]
-    return starts, before
-
-
-def _last_window(run: MixRun, batch: int, options: DetectorOptions) -> tuple[AdaptiveWindow, int]:
-    """The drift window and event count after the last batch before this one."""
-    known = [v for v in versions(run.spark, run.models_path) if 0 < v <= batch]
-    row = None
-    if known:
-        row = run.spark.read.parquet(f"{run.control_path}/batch={known[-1] - 1}").first()
+    rows = slices.groupBy("batch", "chunk").agg(*[F.sum(c).alias(c) for c in names]).collect()
+    found: dict[int, tuple[dict[int, list[int]], list[int]]] = {}
+    for row in sorted(rows, key=lambda r: (r["batch"], r["chunk"])):
+        starts, before = found.get(row["batch"], ({}, [0] * len(names)))
+        starts[row["chunk"]] = before
+        found[row["batch"]] = (starts, [b + row[c] for b, c in zip(before, names)])
+    return found
+
+
+def _last_window(run: MixRun, version: int, options: DetectorOptions) -> tuple[AdaptiveWindow, int]:
+    """The drift window and event count that a model version was left with."""
+    row = run.spark.read.parquet(f"{run.control_path}/batch={version - 1}").first() if version else None
     if row is None:
         return AdaptiveWindow(options.drift_delta), 0
     kept = json.loads(row["window"])
@@ -240,51 +251,64 @@ def _last_window(run: MixRun, batch: int, options: DetectorOptions) -> tuple[Ada
 
 
 def mix_batch(run: MixRun, slices: DataFrame, batch: int, options: DetectorOptions) -> None:
-    """Detect and learn over one batch of sliced :func:`fold_input` rows.
+    """Detect and learn over one batch of sliced :func:`fold_input` rows."""
+    mix_batches(run, slices.withColumn("batch", F.lit(batch)), options)
+
 
-    Reads the newest model version up to ``batch`` (batches without rows leave gaps) and
-    writes version ``batch + 1``; every write replaces what an earlier attempt at the
-    same batch left behind.
+def mix_batches(run: MixRun, slices: DataFrame, options: DetectorOptions) -> None:
+    """Detect and learn over some consecutive batches (``batch``) of sliced :func:`fold_input` rows.
+
+    Reads the newest model version up to the first batch (batches without rows leave gaps) and
+    writes version ``batch + 1`` of the last one; every write replaces what an earlier attempt at
+    the same batches left behind. A batch costs one job: its slices are folded and kept, and what
+    they learned comes to the driver, a row for each slice. Detections are written for all
+    batches together.
     """
     spark = run.spark
-    version = [v for v in versions(spark, run.models_path) if v <= batch][-1]
+    known = _slice_starts(slices, options)
+    version = newest_version(spark, run.models_path, below=min(known) + 1)
     state = load_model(spark, run.models_path, version)
     models = [model_of_row(row) for row in state.orderBy("model_id").collect()]  # n_models rows
-    folded = fold_slices(slices, models, *_slice_starts(slices, options), options)
-    append_log(folded, run.folds_path, batch)
-    stored = spark.read.schema(_SLICE_SCHEMA).parquet(f"{run.folds_path}/batch={batch}")
-    own = stored.filter(F.col("event_id").isNull()).select(F.inline("models"))
-    following = combine(models, own, options)
-
-    window, instance = _last_window(run, batch, options)
-    wrong = (F.col("is_bot_pred") != F.col("is_bot")).cast("bigint")
-    blocks = (
-        detections_of(stored)
-        .groupBy("chunk")
-        .agg(F.count(F.lit(1)).alias("n"), F.sum(wrong).alias("errors"), F.max(F.unix_micros("ts")).alias("ts"))
-        .orderBy("chunk")
-        .collect()  # one row per slice
-    )
-    drift = False
-    for block in blocks:
-        drift |= window.add(float(block["errors"]), block["n"])
-    instance += sum(block["n"] for block in blocks)
-    rate = window.estimate
-    drift = drift and options.drift_enabled
-    if drift:
-        following = replace_worst(following, shard_list(spark, 1), options.vote)
-        window = AdaptiveWindow(options.drift_delta)
-    ended = max(block["ts"] for block in blocks)
-    kept = json.dumps({"rows": window.rows, "ticks": window.ticks})
-    control = spark.range(0, 1, 1, 1).select(
-        F.lit(instance).cast("bigint").alias("instance_number"),
-        F.timestamp_micros(F.lit(ended)).alias("ts"),
-        F.lit(rate).alias("error_rate"),
-        F.lit(drift).alias("drift"),
-        F.lit(kept).alias("window"),
-    )
-    append_log(control, run.control_path, batch)
-    save_model(following, run.models_path, batch + 1)  # marks the batch as finished
+    window, instance = _last_window(run, version, options)
+    folds: list[DataFrame] = []
+    control = []
+    try:
+        for batch, (starts, totals) in sorted(known.items()):
+            own = slices.filter(F.col("batch") == batch).drop("batch")
+            folded = fold_slices(own, models, starts, totals, options).persist()
+            folds.append(folded.withColumn("batch", F.lit(batch)))
+            blocks = folded.filter(F.col("event_id").isNull()).select(
+                "chunk", "models", "n", "errors", F.unix_micros("ts").alias("ts")
+            )
+            blocks = sorted(blocks.collect(), key=lambda r: r["chunk"])  # one row per slice
+            parts = [[model_of_row(row) for row in block["models"]] for block in blocks]
+            models = mixed_models(models, parts, options)
+            drift = False
+            for block in blocks:
+                drift |= window.add(float(block["errors"]), block["n"])
+            instance += sum(block["n"] for block in blocks)
+            rate = window.estimate
+            drift = drift and options.drift_enabled
+            if drift:
+                models = _without_worst(models, options.vote)
+                window = AdaptiveWindow(options.drift_delta)
+            ended = max((block["ts"] for block in blocks if block["ts"] is not None), default=None)
+            kept = json.dumps({"rows": window.rows, "ticks": window.ticks})
+            control.append((batch, instance, ended, rate, drift, kept))
+        _log_batches(functools.reduce(DataFrame.unionByName, folds), run.folds_path)
+    finally:
+        for folded in folds:
+            folded.unpersist()
+    told = spark.createDataFrame(control, _CONTROL).coalesce(1).withColumn("ts", F.timestamp_micros("ts"))
+    _log_batches(told, run.control_path)
+    rows = [row_of_model(0, m, 0, model) for m, model in enumerate(models)]
+    following = spark.createDataFrame(rows, MODEL_STATE_SCHEMA).coalesce(1)
+    save_model(following, run.models_path, max(known) + 1)  # marks them as finished
+
+
+def _log_batches(rows: DataFrame, path: str) -> None:
+    """:func:`append_log` of several batches, each under its own number."""
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(path)
 
 
 def batch_starts(chunks: int, per_batch: int) -> list[int]:
@@ -335,10 +359,14 @@ def mix(
         cut = sliced(events, options, rows_per_slice)
         cut = cut.withColumn("batch", batch_number(F.col("chunk"), slices_per_batch))
         cut.repartition("chunk").write.mode("overwrite").partitionBy("batch").parquet(run.slices_path)
-    if not versions(spark, run.models_path):
+    if newest_version(spark, run.models_path) is None:
         save_model(initial_state(shard_list(spark, 1), options), run.models_path, 0)
-    for batch in numbered_folders(spark, run.slices_path, "batch"):
-        if batch >= versions(spark, run.models_path)[-1]:
-            part = spark.read.parquet(f"{run.slices_path}/batch={batch}")
-            mix_batch(run, part, batch, options)
+    done = newest_version(spark, run.models_path)
+    left = [batch for batch in numbered_folders(spark, run.slices_path, "batch") if batch >= done]
+    if left:
+        schema = spark.read.parquet(f"{run.slices_path}/batch={left[0]}").schema.add("batch", T.IntegerType())
+    for at in range(0, len(left), BATCHES_PER_WRITE):
+        paths = [f"{run.slices_path}/batch={batch}" for batch in left[at : at + BATCHES_PER_WRITE]]
+        part = spark.read.schema(schema).option("basePath", run.slices_path).parquet(*paths)
+        mix_batches(run, part, options)
     return run
