@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidewarden.learning.adwin import AdaptiveWindow
 from tidewarden.operators import drift, windows
+from tidewarden.sources.model_store import numbered_folders
 
 DELTA, LEVEL, BLOCK = 0.002, 0.05, 32
 START = dt.datetime(2024, 1, 1)
@@ -97,6 +98,24 @@ def test_histograms_are_handed_on(spark, sums, tmp_path):
         assert sorted(map(tuple, windows.histogram(final).collect())) == buckets
 
 
+def test_many_spans_are_written_together(spark, sums, tmp_path, monkeypatch):
+    """Few writes for many spans, and the histogram at the end of each of them."""
+    path = str(tmp_path / "spans")
+    blocks, final = windows.windows_in_segments(sums, DELTA, 1, path=path)
+    assert numbered_folders(spark, path, "span") == [39]
+    assert blocks.count() == sums.count()
+    state = spark.read.schema(windows._FOLD).parquet(f"{path}/span=39")
+    for span in (0, 2, 13, 30):
+        plain = windows.final_windows(windows.fold_windows(sums.filter(F.col("block") <= span), DELTA))
+        kept = windows.final_windows(state.filter(F.col("span") == span))
+        assert sorted(map(str, kept.collect())) == sorted(map(str, plain.collect()))
+    monkeypatch.setattr(windows, "SPANS_PER_WRITE", 16)
+    again, last = windows.windows_in_segments(sums, DELTA, 1, path=str(tmp_path / "more"))
+    assert numbered_folders(spark, str(tmp_path / "more"), "span") == [15, 31, 39]
+    assert sorted(map(str, last.collect())) == sorted(map(str, final.collect()))
+    assert sorted(map(str, again.collect())) == sorted(map(str, blocks.collect()))
+
+
 def test_nothing_to_watch(spark, detections):
     none = detections.limit(0)
     assert windows.watch(none, DELTA, LEVEL).isEmpty()

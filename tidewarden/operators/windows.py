@@ -22,16 +22,18 @@ from tidewarden.learning.adwin import AdaptiveWindow
 from tidewarden.operators.drift import CUT_BLOCK_ROWS, running_error
 from tidewarden.operators.metrics import ratio
 from tidewarden.session import scratch_path, ship_package, shuffle_width, written
-from tidewarden.sources.model_store import is_written
+from tidewarden.sources.model_store import is_written, numbered_folders
 
 _BUCKETS = "array<struct<level:int,place:int,n:bigint,errors:bigint>>"
 _FOLD = (
     "shard int, block bigint, n bigint, errors bigint, instance_number bigint, ts timestamp, errors_before bigint, "
     "width_before bigint, window_errors_before bigint, drift_before boolean, width bigint, window_errors bigint, drift boolean, "
-    f"ticks bigint, after_drift boolean, buckets {_BUCKETS}"
+    f"ticks bigint, after_drift boolean, span bigint, buckets {_BUCKETS}"
 )
 _NAMES = [field.split()[0] for field in _FOLD.split(", ")]
 _STATE = ("shard", "block", "ticks", "after_drift", "buckets")
+#: Spans that are folded and written together; a stopped run goes on after the last of them.
+SPANS_PER_WRITE = 64
 
 
 def error_sums(errors: DataFrame, block_rows: int = CUT_BLOCK_ROWS) -> DataFrame:
@@ -47,40 +49,58 @@ def error_sums(errors: DataFrame, block_rows: int = CUT_BLOCK_ROWS) -> DataFrame
 
 
 def fold_windows(
-    sums: DataFrame, delta: float, reset: bool = True, start: DataFrame | None = None
+    sums: DataFrame, delta: float, reset: bool = True, start: DataFrame | None = None,
+    spans: tuple[int, int, int] | None = None,
 ) -> DataFrame:
     """One row a block with the window before and after it, then one row a shard with its histogram.
 
+    ``spans`` (blocks of a span, first and last span of ``sums``) gives a shard's histogram at the end of
+    every ``span``, not of the last one only.
+
     Use :func:`block_windows` and :func:`final_windows` on the (written) result. ``start`` is what
     :func:`final_windows` gave for an earlier part of the history; shards without one start empty,
     shards without new blocks keep theirs.
     """
     names = _NAMES
+    size, first_span, last_span = spans or (0, 0, 0)
     ship_package(sums.sparkSession)
 
     def fold(key: tuple, frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        window, after_drift, block = AdaptiveWindow(delta), False, -1
+        window, after_drift, block, span = AdaptiveWindow(delta), False, -1, None
+
+        def state() -> pd.DataFrame:
+            buckets = [
+                {"level": level, "place": place, "n": int(n), "errors": int(s)}
+                for level, row in enumerate(window.rows) for place, (n, s) in enumerate(row)
+            ]
+            kept = {"shard": int(key[0]), "block": block, "ticks": window.ticks, "after_drift": after_drift, "span": span, "buckets": buckets}
+            return pd.DataFrame([dict.fromkeys(names) | kept], columns=names)
+
         for frame in frames:
             rows = []
             for row in frame.to_dict("records"):
                 if row["buckets"] is not None:
                     window, after_drift = _window_of(row, delta), bool(row["after_drift"])
-                    block = int(row["block"])
+                    block, span = int(row["block"]), first_span
                     continue
+                here = int(row["block"]) // size if size else 0
+                span = here if span is None else span
+                if span < here and rows:
+                    yield pd.DataFrame(rows, columns=names)
+                    rows = []
+                while span < here:
+                    yield state()
+                    span += 1
                 before = (window.width, int(window.total), after_drift)
                 drift = window.add(float(row["errors"]), int(row["n"]))
-                rows.append((*(row[c] for c in names[:7]), *before, window.width, int(window.total), drift, None, None, None))
+                rows.append((*(row[c] for c in names[:7]), *before, window.width, int(window.total), drift, None, None, None, None))
                 if drift and reset:
                     window = AdaptiveWindow(delta)
                 after_drift, block = drift, int(row["block"])
             if rows:
                 yield pd.DataFrame(rows, columns=names)
-        buckets = [
-            {"level": level, "place": place, "n": int(n), "errors": int(s)}
-            for level, row in enumerate(window.rows) for place, (n, s) in enumerate(row)
-        ]
-        state = dict.fromkeys(names) | {"shard": int(key[0]), "block": block, "ticks": window.ticks, "after_drift": after_drift, "buckets": buckets}
-        yield pd.DataFrame([state], columns=names)
+        for span in range(first_span if span is None else span, last_span + 1):
+            yield state()
 
     kept = F.lit(None).cast(_BUCKETS)
     rows = sums.select("*", F.lit(0).cast("bigint").alias("ticks"), F.lit(False).alias("after_drift"), kept.alias("buckets"))
@@ -104,7 +124,7 @@ def _window_of(row: dict, delta: float) -> AdaptiveWindow:
 
 
 def block_windows(folded: DataFrame) -> DataFrame:
-    return folded.filter("buckets is null").drop(*_STATE[2:])
+    return folded.filter("buckets is null").drop(*_STATE[2:], "span")
 
 
 def final_windows(folded: DataFrame) -> DataFrame:
@@ -122,22 +142,27 @@ def windows_in_segments(
 ) -> tuple[DataFrame, DataFrame]:
     """(block windows, final windows) of a history folded span by span of ``segment_blocks`` blocks.
 
-    Each span's rows and histograms are written before the next is read, and a span that is already
-    written under ``path`` is not folded again: a run that was stopped goes on there.
+    Spans are folded one after the other, :data:`SPANS_PER_WRITE` in one job, which writes their rows and the
+    histograms at the end of each under ``path``, in a folder named by its last span. Spans that are already
+    written there are not folded again: a run that was stopped goes on after them.
     """
     spark = sums.sparkSession
     path = path or scratch_path(spark, "windows")
+    sums = written(sums.sort("block"), "sums")  # read for each group of spans, by its blocks
     last = sums.agg(F.max("block")).first()[0]
-    spans = 0 if last is None else last // segment_blocks + 1
-    start = None
-    for span in range(max(spans, 1)):
-        place = f"{path}/span={span}"
-        if not is_written(spark, place):
-            own = sums.filter(F.floor(F.col("block") / segment_blocks) == span)
-            fold_windows(own, delta, reset, start).write.mode("overwrite").parquet(place)
-        start = final_windows(spark.read.schema(_FOLD).parquet(place))
-    rows = spark.read.schema(_FOLD).option("basePath", path).parquet(*[f"{path}/span={s}" for s in range(max(spans, 1))])
-    return block_windows(rows.select(*_NAMES)), start
+    end = 0 if last is None else last // segment_blocks
+    done = [span for span in numbered_folders(spark, path, "span") if is_written(spark, f"{path}/span={span}")]
+    read = lambda spans: spark.read.schema(_FOLD).parquet(*[f"{path}/span={span}" for span in spans])
+    while not done or done[-1] < end:
+        first = done[-1] + 1 if done else 0
+        until = min(first + SPANS_PER_WRITE - 1, end)
+        own = sums.filter(F.col("block").between(first * segment_blocks, (until + 1) * segment_blocks - 1))
+        start = final_windows(read(done[-1:]).filter(F.col("span") == done[-1])) if done else None
+        folded = fold_windows(own, delta, reset, start, (segment_blocks, first, until))
+        folded.write.mode("overwrite").parquet(f"{path}/span={until}")
+        done.append(until)
+    rows = read(done).filter(F.coalesce("span", F.floor(F.col("block") / segment_blocks)) <= end)
+    return block_windows(rows), final_windows(rows.filter(F.col("span") == end))
 
 
 def watched_errors(
