@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidewarden.learning.exact import detections_of, exact_fold, final_detectors
 from tidewarden.learning.mixing import MixRun
+from tidewarden.plans import queries
 from tidewarden.operators.metrics import metric_evolution
 from tidewarden.operators.sessions import session_features, session_features_stream
 from tidewarden.schema import DetectorOptions
@@ -224,3 +225,17 @@ def test_admission_limit(spark, tmp_path):
     query.awaitTermination(60)
     assert [p["numInputRows"] for p in query.recentProgress if p["numInputRows"]] == [1, 1, 1]
     assert kafka_source_options("h:9092", "t")["maxOffsetsPerTrigger"] == "15000"
+
+
+def test_keyed_streams_have_few_state_stores(spark, monkeypatch):
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    try:
+        for given, shards, width in ((600, 8, 48), (600, 36, 144), (20, 8, 20)):
+            spark.conf.set(name, str(given))
+            monkeypatch.setattr(queries, "_shards", lambda spark, shards=shards: shards)
+            with queries._keyed_state(spark):
+                assert int(spark.conf.get(name)) == width
+            assert int(spark.conf.get(name)) == given
+    finally:
+        spark.conf.set(name, before)

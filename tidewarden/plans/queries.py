@@ -33,7 +33,7 @@ from tidewarden.operators import augment, control, drift, ensemble, metrics, sam
 from tidewarden.operators.ordered import instance_number
 from tidewarden.operators.report import metrics_snapshot
 from tidewarden.schema import FEATURES, RULE_CONFIDENCE, DetectorOptions
-from tidewarden.session import ROCKSDB_PROVIDER, scratch_path, written
+from tidewarden.session import ROCKSDB_PROVIDER, scratch_path, shuffle_width, written
 from tidewarden.sources import codec, model_store
 from tidewarden.sources.streams import read_event_stream
 from tidewarden.sources.tables import read_table
@@ -416,16 +416,27 @@ def _finish(writer) -> None:
         raise query.exception()
 
 
+#: Partitions of a keyed stream, at most (more where there are many detectors). Every batch opens and commits
+#: a state store for each, so a session's partitions, set for the size of its tables, would be paid in every batch.
+KEYED_PARTITIONS = 48
+
+
 @contextmanager
 def _keyed_state(spark: SparkSession):
-    """The state store that keyed detectors need, for the streams started inside."""
-    name = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(name, None)
-    spark.conf.set(name, ROCKSDB_PROVIDER)
+    """The state store that keyed detectors need and its number of partitions, for the streams started inside."""
+    width = min(shuffle_width(spark), max(KEYED_PARTITIONS, 4 * _shards(spark)))
+    settings = {
+        "spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER,
+        "spark.sql.shuffle.partitions": str(width),
+    }
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
     try:
         yield
     finally:
-        spark.conf.set(name, before) if before else spark.conf.unset(name)
+        for name, value in before.items():
+            spark.conf.set(name, value) if value else spark.conf.unset(name)
 
 
 @query
