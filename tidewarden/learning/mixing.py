@@ -260,7 +260,7 @@ def mix_batches(run: MixRun, slices: DataFrame, options: DetectorOptions) -> Non
 
     Reads the newest model version up to the first batch (batches without rows leave gaps) and
     writes version ``batch + 1`` of the last one; every write replaces what an earlier attempt at
-    the same batches left behind. A batch costs one job: its slices are folded and kept, and what
+    the same batches left behind. A batch costs one query: its slices are folded and kept, and what
     they learned comes to the driver, a row for each slice. Detections are written for all
     batches together.
     """
