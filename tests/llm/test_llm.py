@@ -9,6 +9,8 @@ import math
 import random
 import re
 import time
+import tracemalloc
+import types
 import zlib
 
 import numpy as np
@@ -468,6 +470,77 @@ def test_every_learned_context_counts(spark):
         assert abs(r["score"] / -math.log10(2) - want[r["doc_id"]]) < 1e-4 * want[r["doc_id"]]
 
 
+def asks(texts):
+    """What a task of the vocabulary reads: one batch of texts, of which every seventh teaches nothing."""
+    return pa.RecordBatch.from_arrays([pa.array([3] * len(texts), pa.int32()), pa.array(texts), pa.array([i % 7 != 2 for i in range(len(texts))])], names=["batch", "text", "teaches"])
+
+
+def test_arrays_of_a_task_stay_small_beside_its_text():
+    """A batch of 8 MB in one piece: what is built to find its words and strings is a few bytes for each of a slice, not of the batch."""
+    draw = random.Random(5)
+    vocabulary = ["".join(draw.choices("etaoinshrdlu", k=draw.randint(2, 9))) for _ in range(4000)]
+    batch = asks([" ".join(draw.choices(vocabulary, k=2000)) for _ in range(600)])
+    assert batch.nbytes > 7 << 20
+    tracemalloc.start()
+    try:
+        n = sum(len(found) for found in lm._vocabulary(iter([batch])))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert n > 4000 and peak < 60 << 20
+
+
+def test_language_model_steps_in_parts(monkeypatch):
+    """Asking when much is held, and lengths of some shares at a time, give the same sums and lengths."""
+    draw = random.Random(8)
+    texts = [None, "", *(" ".join("".join(draw.choices("abcdeé", k=3)) for _ in range(80)) for _ in range(60))]
+    batch = asks(texts)
+    want = collections.Counter()
+    for i, text in enumerate(texts):
+        padded = b"\0\0\0" + (text or "").encode()
+        for k in range(len(padded) - 3):
+            want[int.from_bytes(padded[k : k + 4], "big")] += i % 7 != 2
+    c2 = np.zeros((256, 256))
+    for code, n in want.items():
+        c2[code >> 8 & 255, code & 255] += n
+    codes = np.array(sorted(want))
+    whole = dict(zip(codes.tolist(), lm.lengths(codes, np.array([want[c] for c in codes]), c2)))
+    for held, shared, piece in ((1 << 22, 1 << 16, 1 << 19), (500, 20, 2000)):
+        for name, value in (("HELD", held), ("SHARED", shared), ("SLICE", piece)):
+            monkeypatch.setattr(lm, name, value)
+        found, asked = collections.Counter(), 0
+        for part in lm._vocabulary(iter([batch])):
+            assert set(part["batch"].to_pylist()) == {3}
+            for kind, word, n in zip(*(part[name].to_pylist() for name in ("kind", "word", "n"))):
+                found[word] += n if kind else 0
+                asked += kind
+        assert {c: found[c] for c in want} == dict(want) and (asked > len(want)) == (held == 500)
+        rows = sorted((c >> 8 & 0xFFFF, c, n) for c, n in want.items())
+        parts = [pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*rows[k : k + 50])], names=["share", "word", "n"]) for k in range(0, len(rows), 50)]
+        out = [*lm._lengths(types.SimpleNamespace(value=c2))(iter(parts))]
+        assert (len(out) > 1) == (shared == 20)
+        got = {w: x for part in out for w, x in zip(part["word"].to_pylist(), part["n"].to_pylist())}
+        assert got.keys() == whole.keys() and all(abs(got[w] - whole[w]) < 1e-9 for w in whole)
+
+
+def test_copies_of_one_row_are_not_loaded_together(spark):
+    """Copies of one id and text go to one task; they are scored as they come, so no group of rows is held for them."""
+    texts = [(1, "the same words again")] * 400 + [(None, None), (2, "other words"), (None, "the same words again")]
+    table = spark.createDataFrame(texts, "doc_id long, text string")
+    found = lm.score(table, F.col("doc_id") == 2, lm.LmOptions(batch_bytes=1000))
+    assert "CoGroups" not in found._jdf.queryExecution().toString()
+    rows = found.collect()
+    assert len(rows) == len(texts) and len({round(r["score"], 9) for r in rows if r["doc_id"] == 1}) == 1
+    assert {(r["doc_id"], r["n_tokens"], r["n_known"], r["train_tokens"]) for r in rows} == {(1, 5, 5, 2000), (2, 3, 2, 2000), (None, 1, 1, 2000), (None, 5, 5, 2000)}
+
+
+def test_texts_that_begin_alike_are_dealt_apart(spark):
+    """Without ids, texts that share a long beginning still go to many tasks."""
+    texts = [(None, "the same long beginning of every text, a template of a site " * 3 + f"and then {i}") for i in range(60)]
+    found = lm.score(spark.createDataFrame(texts, "doc_id long, text string"), F.lit(False), lm.LmOptions(batch_bytes=1000))
+    assert found.count() == 60 and found.select(F.spark_partition_id()).distinct().count() > 3
+
+
 def test_archive_audit(spark):
     rows = [(i, f"http://x/{i}", f"<p>{i}</p>\r\n\r\nWARC/1.0\r\n" * (i % 5)) for i in range(300)] + [(400, None, None), (None, "u", "h"), (401, "a\r\nb", "x")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("segment", F.lit(1)).withColumn("value", F.lit("v"))

@@ -2,14 +2,16 @@
 
 The word part needs the corpus count of every word of every text. Texts are dealt into
 batches; a batch asks for each of its distinct words once, and gets a table of counts back,
-so what moves grows with batches' vocabularies and no table of all words is broadcast.
+so what moves grows with batches' vocabularies and no table of all words is broadcast. What
+is asked for is summed by word and joined with what the batches ask, and a batch's texts are
+read after its answers, a slice at a time: a task holds a batch's table and one slice of text.
 
 The byte part is a context trie of depth three. A byte seen after its longest context is
 coded there; else an escape (as likely as the context's number of distinct followers) leads
 to the next shorter context, where the followers already ruled out are excluded. Counts of
 two-byte strings are shared; strings of four bytes (a three-byte context and its byte) are asked
-for as words are: a batch sends its distinct ones with what it teaches to the share of their last
-two context bytes, which holds all counts that a code length needs, and gets lengths back. All
+for as words are. Their sums go to the share of their last two context bytes (65,536 strings at
+most), which holds all counts that a code length needs, and a batch gets lengths back. All
 learned contexts take part, and none passes through the driver.
 """
 
@@ -19,18 +21,19 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark import StorageLevel
+from pyspark import Broadcast, StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewarden.llm.text import mix64, slices, text_of, utf8, word_hashes, words_of
+from tidewarden.llm.text import mix64, slices, utf8, word_hashes, words_of
 from tidewarden.session import ship_package
 
 
-#: Texts are scored this many characters at a time (a longer text by itself), which bounds the arrays of a task.
-SCORED_CHARS = 1 << 19
+#: Bytes of text read or scored at a time (a longer text by itself), which bounds the arrays of a task.
+SLICE = 1 << 19
+#: Distinct words and strings that a task holds before it asks for them, and strings whose lengths are found at once.
+HELD, SHARED = 1 << 22, 1 << 16
 
 
 @dataclass(frozen=True)
@@ -70,7 +73,7 @@ def codes_of(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Two-byte strings of the learned texts and their counts, merged over the whole task."""
     counts = np.zeros(1 << 16, np.int64)
-    for part in slices(batches):
+    for part in slices(batches, limit=SLICE):
         counts += np.bincount(codes_of(*utf8(part.column(0))) & 0xFFFF, minlength=1 << 16)
     code = np.flatnonzero(counts)
     yield pa.RecordBatch.from_arrays([pa.array(code), pa.array(counts[code])], names=["code", "n"])
@@ -231,77 +234,128 @@ def code_lengths(column, trie: Trie) -> np.ndarray:
     return sums[offsets[1:]] - sums[offsets[:-1]]
 
 
+def _merged(parts: list) -> tuple[np.ndarray, np.ndarray]:
+    words, where = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+    return words, np.bincount(where, weights=np.concatenate([p[1] for p in parts]), minlength=len(words))
+
+
 def _vocabulary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Distinct words (kind 0) and four-byte strings (kind 1) of a batch of texts with their learned occurrences, once per batch."""
-    held: dict[tuple[int, int], list] = {}
+    """Distinct words (kind 0) and four-byte strings (kind 1) of a batch of texts with their learned occurrences.
 
-    def merged(parts) -> tuple[np.ndarray, np.ndarray]:
-        words, where = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
-        return words, np.bincount(where, weights=np.concatenate([p[1] for p in parts]), minlength=len(words))
+    Once per batch, but for batches of more than ``HELD`` of them, which ask for some again.
+    """
+    held: dict[tuple[int, int], list] = {}
+    added: dict[tuple[int, int], int] = {}
 
     def add(batch, kind, found, n) -> None:
-        pieces = held.setdefault((int(batch), kind), [])
+        key = int(batch), kind
+        pieces = held.setdefault(key, [])
         pieces.append((found, n))
-        if len(pieces) >= 8:
-            held[int(batch), kind] = [merged(pieces)]
-
-    for part in slices(batches):
+        added[key] = added.get(key, 0) + len(found)
+        if added[key] > max(2 * len(pieces[0][0]), 1 << 16):
+            held[key], added[key] = [_merged(pieces)], 0
+
+    def asked() -> Iterator[pa.RecordBatch]:
+        for (batch, kind), parts in held.items():
+            words, n = _merged(parts)
+            for at in range(0, len(words), 1 << 16):
+                one = slice(at, at + (1 << 16))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(words[one]), kind, np.int32)), pa.array(words[one].astype(np.int64)),
+                     pa.array(np.full(len(words[one]), batch, np.int32)), pa.array(n[one].astype(np.int64))],
+                    names=["kind", "word", "batch", "n"])
+        held.clear()
+        added.clear()
+
+    for part in slices(batches, limit=SLICE):
         data, offsets = utf8(part.column(1))
-        code, byte_doc = codes_of(data, offsets), np.repeat(np.arange(len(part)), np.diff(offsets))
-        byte_teaches = part.column(2).to_numpy(zero_copy_only=False)[byte_doc]
+        code = codes_of(data, offsets)
         words = words_of(part.column(1), lower=True)
-        hashes = word_hashes(words)
-        doc = text_of(words.first, len(hashes))
-        teaches = part.column(2).to_numpy(zero_copy_only=False)[doc]
-        of = part.column(0).to_numpy(zero_copy_only=False)
+        hashes = word_hashes(words).view(np.int64)
+        of, teaches = (part.column(k).to_numpy(zero_copy_only=False) for k in (0, 2))
         for batch in np.unique(of):
-            mine = (of == batch)[doc]
-            found, where = np.unique(hashes[mine], return_inverse=True)
-            add(batch, 0, found.view(np.int64), np.bincount(where, weights=teaches[mine], minlength=len(found)))
             for taught in (True, False):
-                found, n = np.unique(code[(of == batch)[byte_doc] & (byte_teaches == taught)], return_counts=True)
-                add(batch, 1, found.astype(np.int64), n * float(taught))
-    for (batch, kind), parts in held.items():
-        words, n = merged(parts)
-        for at in range(0, len(words), 1 << 17):
-            one = slice(at, at + (1 << 17))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array((words[one] >> 8 & 0xFFFF) if kind else words[one]), pa.array(np.full(len(words[one]), kind, np.int32)),
-                 pa.array(words[one]), pa.array(np.full(len(words[one]), batch, np.int32)), pa.array(n[one].astype(np.int64))],
-                names=["share", "kind", "word", "batch", "n"])
-
-
-def _known(c2: np.ndarray):
-    """Total counts of the words of a share of all words and code lengths of its strings, sent to the batches that ask."""
-    def answer(batch, kind, word, n) -> Iterator[pa.RecordBatch]:
-        for at in range(0, len(word), 1 << 17):
-            one = slice(at, at + (1 << 17))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(batch[one]), pa.array(np.full(len(word[one]), kind, np.int32)), pa.array(word[one]), pa.array(n[one].astype(np.float64))],
-                names=["batch", "kind", "word", "n"])
+                mine = (of == batch) & (teaches == taught)
+                for kind, found, each in ((0, hashes, np.diff(words.first)), (1, code, np.diff(offsets))):
+                    found, n = np.unique(found[np.repeat(mine, each)], return_counts=True)
+                    add(batch, kind, found, n * float(taught))
+        if sum(len(x) for parts in held.values() for x, _ in parts) > HELD:
+            yield from asked()
+    yield from asked()
+
+
+def _lengths(c2: Broadcast):
+    """Code lengths of the strings of whole shares, which come in order."""
+    def answer(word: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        order = np.argsort(word)
+        word = word[order]
+        return pa.RecordBatch.from_arrays([pa.array(word), pa.array(lengths(word, n[order], c2.value))], names=["word", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = [[b.column(k).to_numpy() for k in range(1, 5)] for b in batches]
-        if not parts:
-            return
-        kinds, *columns = (np.concatenate(x) for x in zip(*parts, strict=True))
-        for kind in (0, 1):
-            word, batch, n = (x[kinds == kind] for x in columns)
-            if not len(word):
-                continue
-            order = np.argsort(word, kind="stable")
-            word, batch, n = word[order], batch[order], n[order]
-            first = np.flatnonzero(np.append(True, word[1:] != word[:-1]))
-            total = np.add.reduceat(n, first)
-            sizes = np.diff(np.append(first, len(word)))
-            if kind:
-                yield from answer(batch, kind, word, np.repeat(lengths(word[first], total, c2.value), sizes))
-                continue
-            known = total > 0
-            # the share's own sums, under batch -1
-            yield from answer(np.array([-1, -1], np.int32), kind, np.array([0, 1]), np.array([total.sum(), known.sum()]))
-            keep = np.repeat(known, sizes)
-            yield from answer(batch[keep], kind, word[keep], np.repeat(total, sizes)[keep])
+        share, word, n = (np.zeros(0, np.int64) for _ in range(3))
+        for batch in batches:
+            share, word, n = (np.concatenate([x, batch.column(k).to_numpy()]) for k, x in enumerate((share, word, n)))
+            whole = int(np.searchsorted(share, share[-1])) if len(share) else 0
+            if whole and len(share) > SHARED:
+                yield answer(word[:whole], n[:whole])
+                share, word, n = share[whole:], word[whole:], n[whole:]
+        if len(word):
+            yield answer(word, n)
+    return run
+
+
+def _scores(tokens: int, distinct: int, taught: int):
+    """Scores of the texts (side 2) of batches; before them come a batch's counts of words (side 0) and lengths of strings (side 1)."""
+    floor = np.log10(1.0 / (tokens + distinct + 1.0))
+    last = np.log10((taught + 1.0) / (tokens + distinct + 1.0))
+
+    def table(pieces: list, kind) -> tuple[np.ndarray, np.ndarray]:
+        if not pieces:
+            return np.zeros(0, kind), np.zeros(0)
+        word, n = (np.concatenate(x) for x in zip(*pieces))
+        order = np.argsort(word, kind="stable")
+        return word[order], n[order]
+
+    def scored(part: pa.RecordBatch, word, n, string, length) -> pa.RecordBatch:
+        column = part.column(6)
+        data, offsets = utf8(column)
+        sums = np.concatenate([[0.0], np.cumsum(length[np.searchsorted(string, codes_of(data, offsets))] if len(data) else [])])
+        bits = sums[offsets[1:]] - sums[offsets[:-1]]
+        words = words_of(column, lower=True)
+        hashes = word_hashes(words).view(np.int64)
+        count = np.zeros(len(hashes))
+        if len(word):
+            place = np.minimum(np.searchsorted(word, hashes), len(word) - 1)
+            hit = word[place] == hashes
+            count[hit] = n[place[hit]]
+        add = lambda x: np.diff(np.concatenate([[0.0], np.cumsum(x)])[words.first])
+        sizes = np.diff(words.first)
+        base = add(np.log10(count + 1.0)) + sizes * floor + last
+        found = {
+            "id": part.column(4), "held_out": part.column(5), "n_tokens": (sizes + 1).astype(np.int64),
+            "n_known": (add(count > 0) + (taught > 0)).astype(np.int64), "train_tokens": np.full(len(part), tokens, np.int64),
+            "base_score": base, "score": -bits * np.log10(2.0), "bits_per_byte": bits / np.maximum(np.diff(offsets), 1)}
+        return pa.RecordBatch.from_arrays([x if isinstance(x, pa.Array) else pa.array(x) for x in found.values()], names=list(found))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, tables, pieces = None, None, ([], [])
+        for batch in batches:
+            of, side = (batch.column(k).to_numpy() for k in (0, 1))
+            cuts = [0, *(np.flatnonzero((np.diff(of) != 0) | (np.diff(side) != 0)) + 1), len(of)]
+            for at, end in zip(cuts[:-1], cuts[1:]):
+                if at == end:
+                    continue
+                if of[at] != current:
+                    current, tables, pieces = of[at], None, ([], [])
+                part = batch.slice(at, end - at)
+                if side[at] < 2:
+                    word = part.column(2).to_numpy()
+                    pieces[side[at]].append((word.astype(np.uint32 if side[at] else np.int64), part.column(3).to_numpy().copy()))
+                    continue
+                if tables is None:
+                    tables, pieces = (*table(pieces[0], np.int64), *table(pieces[1], np.uint32)), ([], [])
+                for some in slices([part], limit=SLICE):
+                    yield scored(some, *tables)
     return run
 
 
@@ -324,55 +378,24 @@ def score(docs: DataFrame, held_out: Column, options: LmOptions = LmOptions(),
     sums = rows.agg(F.sum(F.octet_length("text")).alias("size"), F.sum((~F.col("held_out")).cast("int")).alias("taught")).first()
     n_batches = max(1, -(-(sums["size"] or 0) // options.batch_bytes))
     taught = sums["taught"] or 0
-    dealt = rows.withColumn("batch", F.pmod(F.xxhash64("id", F.substring("text", 1, 64)), F.lit(n_batches)).cast("int"))
-    apart = dealt.select("batch", "text", (~F.col("held_out")).alias("teaches")).repartition(n_batches, "batch")
-    asked = apart.mapInArrow(
-        _vocabulary, "share long, kind int, word long, batch int, n long")
-    answers = asked.repartition("kind", "share").mapInArrow(_known(shared), "batch int, kind int, word long, n double").persist(StorageLevel.DISK_ONLY)
-    facts = {r["word"]: int(r["n"]) for r in answers.where("batch = -1").groupBy("word").agg(F.sum("n").alias("n")).collect()}
-    tokens, distinct = facts.get(0, 0) + taught, facts.get(1, 0) + (taught > 0)
+    dealt = rows.withColumn("batch", F.pmod(F.xxhash64("id", "text"), F.lit(n_batches)).cast("int"))
+    apart = dealt.select("batch", "text", (~F.col("held_out")).alias("teaches")).repartitionById(n_batches, "batch")
+    asked = apart.mapInArrow(_vocabulary, "kind int, word long, batch int, n long").repartition(
+        2 * n_batches, "kind", "word").persist(StorageLevel.DISK_ONLY)
+    totals = asked.groupBy("kind", "word").agg(F.sum("n").alias("n"))
+    known = totals.where("kind = 0 and n > 0")
+    facts = known.agg(F.sum("n").alias("tokens"), F.count("n").alias("kinds")).first()
+    tokens, distinct = (facts["tokens"] or 0) + taught, facts["kinds"] + (taught > 0)
+    strings = totals.where("kind = 1").select(F.shiftright("word", 8).bitwiseAND(0xFFFF).alias("share"), "word", "n")
+    strings = strings.repartition("share").sortWithinPartitions("share").mapInArrow(_lengths(shared), "word long, n double")
+    answers = known.select("kind", "word", F.col("n").cast("double").alias("n")).unionByName(strings.withColumn("kind", F.lit(1)))
+    answered = asked.select("kind", "word", "batch").join(answers, ["kind", "word"])
     kind_of = docs.schema[id_col].dataType
-
-    def run(texts: pd.DataFrame, counts: pd.DataFrame) -> pd.DataFrame:
-        def table(kind: int) -> tuple[np.ndarray, np.ndarray]:
-            mine = np.flatnonzero(counts["kind"].to_numpy() == kind)
-            word = counts["word"].to_numpy()[mine]
-            order = np.argsort(word, kind="stable")
-            return word[order], counts["n"].to_numpy()[mine[order]]
-
-        (word, n), (string, length) = table(0), table(1)
-        floor = np.log10(1.0 / (tokens + distinct + 1.0))
-        out = []
-        sizes = np.array([len(text) if isinstance(text, str) else 0 for text in texts["text"]])
-        nth = np.cumsum(sizes + 64) // SCORED_CHARS
-        cuts = np.append(np.flatnonzero(np.append(True, np.diff(nth) > 0)), len(texts)) if len(texts) else [0]
-        for at, end in zip(cuts[:-1], cuts[1:]):
-            part = texts.iloc[at:end]
-            column = pa.array(part["text"], pa.large_string(), from_pandas=True)
-            data, offsets = utf8(column)
-            sums = np.concatenate([[0.0], np.cumsum(length[np.searchsorted(string, codes_of(data, offsets))] if len(data) else [])])
-            bits = sums[offsets[1:]] - sums[offsets[:-1]]
-            words = words_of(column, lower=True)
-            hashes = word_hashes(words).view(np.int64)
-            count = np.zeros(len(hashes))
-            if len(word):
-                place = np.minimum(np.searchsorted(word, hashes), len(word) - 1)
-                hit = word[place] == hashes
-                count[hit] = n[place[hit]]
-            add = lambda x: np.diff(np.concatenate([[0.0], np.cumsum(x)])[words.first])
-            sizes = np.diff(words.first)
-            last = np.log10((taught + 1.0) / (tokens + distinct + 1.0))
-            base = add(np.log10(count + 1.0)) + sizes * floor + last
-            size = pa.compute.fill_null(pa.compute.binary_length(column), 0).to_numpy(zero_copy_only=False)
-            out.append(pd.DataFrame({
-                "id": part["id"], "held_out": part["held_out"], "n_tokens": sizes + 1,
-                "n_known": (add(count > 0) + (taught > 0)).astype(np.int64), "train_tokens": tokens,
-                "base_score": base, "score": -bits * np.log10(2.0), "bits_per_byte": bits / np.maximum(size, 1)}))
-        return pd.concat(out) if out else pd.DataFrame(
-            columns=["id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte"])
-
-    answered = answers.where("batch >= 0")
-    scored = dealt.select("batch", "id", "text", "held_out").groupBy("batch").cogroup(answered.groupBy("batch")).applyInPandas(
-        run, f"id {kind_of.simpleString()}, held_out boolean, n_tokens long, n_known long, train_tokens long, "
-             "base_score double, score double, bits_per_byte double")
+    nothing = lambda name, kind: F.lit(None).cast(kind).alias(name)
+    both = answered.select("batch", F.col("kind").alias("side"), "word", "n", nothing("id", kind_of), nothing("held_out", "boolean"), nothing("text", "string")).unionByName(
+        dealt.select("batch", F.lit(2).alias("side"), nothing("word", "long"), nothing("n", "double"), "id", "held_out", "text"))
+    scored = both.repartitionById(n_batches, "batch").sortWithinPartitions("batch", "side").mapInArrow(
+        _scores(tokens, distinct, taught),
+        f"id {kind_of.simpleString()}, held_out boolean, n_tokens long, n_known long, train_tokens long, "
+        "base_score double, score double, bits_per_byte double")
     return scored.withColumnRenamed("id", id_col)
