@@ -209,6 +209,49 @@ def test_mixing_costs_few_jobs_a_batch(keyed, tmp_path):
     assert jobs[900] - jobs[300] < 5 * 20  # every stage that adaptive execution starts is a job
 
 
+def test_a_batch_of_mixing_is_one_job(keyed, tmp_path):
+    spark = keyed.sparkSession
+    events = labelled_traffic(keyed, TrafficOptions(shards=1)).filter("event_id < 630")
+    jobs = {}
+    for size in (30, 210):  # 21 batches of one slice, or 3
+        spark.sparkContext.setJobGroup(f"size{size}", "mixing")
+        run = mix(events, DetectorOptions(n_models=2), root=str(tmp_path / str(size)), rows_per_slice=size, slices_per_batch=1)
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        assert run.detections().count() == 630 and run.control().count() == 630 // size
+        jobs[size] = len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"size{size}"))
+    assert jobs[30] - jobs[210] <= 18 + 2  # listing files may cost a job
+
+
+def test_mixing_does_not_depend_on_how_rows_arrive(keyed, tmp_path):
+    spark = keyed.sparkSession
+    events = labelled_traffic(keyed, TrafficOptions(shards=1))
+    found, setting = [], "spark.sql.execution.arrow.maxRecordsPerBatch"
+    usual = spark.conf.get(setting)
+    try:
+        for rows in (usual, "7"):
+            spark.conf.set(setting, rows)
+            run = mix(events, DetectorOptions(n_models=3), root=str(tmp_path / rows), rows_per_slice=90, slices_per_batch=4)
+            found.append([sorted(map(str, table.collect())) for table in (run.detections(), run.control(), run.state())])
+    finally:
+        spark.conf.set(setting, usual)
+    assert len(found[0][0]) == 1000 and found[0] == found[1]
+
+
+def test_blocks_are_whole_and_in_order():
+    import pandas as pd
+    from tidewarden.learning.mixing import BLOCK_ROWS, _blocks
+
+    sizes = {(0, 0): 3, (0, 1): 2 * BLOCK_ROWS, (1, 0): BLOCK_ROWS + 1, (1, 2): 5}
+    rows = pd.DataFrame([(*key, i) for key, size in sizes.items() for i in range(size)], columns=["batch", "chunk", "i"])
+    for step in (1000, 4999, len(rows)):
+        frames = [rows.iloc[at : at + step] for at in range(0, len(rows), step)]
+        found = [(key, block["i"].tolist()) for key, block in _blocks([rows.iloc[:0], *frames], ["batch", "chunk"])]
+        assert [key for key, _ in found] == [(0, 0), (0, 1), (0, 1), (1, 0), (1, 0), (1, 2)]
+        assert [len(i) for _, i in found] == [3, BLOCK_ROWS, BLOCK_ROWS, BLOCK_ROWS, 1, 5]
+        for key, size in sizes.items():
+            assert sum((i for k, i in found if k == key), []) == list(range(size))
+
+
 def test_mixing_goes_on_after_its_last_write(keyed, tmp_path, monkeypatch):
     from tidewarden.learning import mixing
 

@@ -8,28 +8,32 @@ and the drift test sees one block of errors per slice
 
 Against the exact fold three things differ: a slice does not see what the other slices
 of its batch learn, weights are averages, and drift is answered between batches.
+
+Batches follow one another by their meaning, so what a batch costs beside its folds decides how
+long a run takes. The slices of many batches are therefore sorted and packed by one query, each to a partition
+that stays with the executors. A batch is then one job over its own partitions, without a plan or a shuffle.
 """
 
 from __future__ import annotations
 
-import functools
 import json
-from collections.abc import Iterator
+import pickle
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark import RDD, StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewarden.learning.adwin import AdaptiveWindow
-from tidewarden.learning.detector import Detector
+from tidewarden.learning.detector import BLOCK_ROWS, Detector
 from tidewarden.learning.exact import (
     FEATURE_COLUMNS,
-    FOLD_SCHEMA,
+    WATCHED_SCHEMA,
     copy_columns,
-    dealt,
     detections_of,
     fold_frame,
     fold_input,
@@ -50,10 +54,15 @@ from tidewarden.sources.model_store import (
 
 ROWS_PER_SLICE = 100_000
 SLICES_PER_BATCH = 8
-#: Batches whose detections and models are written together; a stopped run goes on after the last of them.
-BATCHES_PER_WRITE = 16
-_SLICE = [("chunk", T.IntegerType()), ("n", T.LongType()), ("errors", T.LongType())]
-_SLICE_SCHEMA = T.StructType(FOLD_SCHEMA.fields + [T.StructField(name, kind) for name, kind in _SLICE])
+#: Batches whose detections and models are written together, and events in them (or one batch);
+#: a stopped run goes on after the last of them.
+BATCHES_PER_WRITE = 64
+ROWS_PER_WRITE = 4_000_000
+#: Events of a batch that a task writes.
+ROWS_PER_TASK = 50_000
+_FOLDS_SCHEMA = T.StructType(WATCHED_SCHEMA.fields + [T.StructField("batch", T.IntegerType())])
+#: Columns that folds written by earlier versions have beside detections, in rows without an event.
+_EARLIER = ("models", "chunk", "n", "errors")
 _CONTROL = "batch int, instance_number bigint, ts bigint, error_rate double, drift boolean, window string"
 
 
@@ -81,7 +90,7 @@ class MixRun:
         return f"{self.root}/control"
 
     def detections(self) -> DataFrame:
-        return detections_of(read_log(self.spark, self.folds_path)).drop("batch", *[name for name, _ in _SLICE])
+        return detections_of(read_log(self.spark, self.folds_path)).drop("batch", *_EARLIER)
 
     def state(self) -> DataFrame:
         return load_model(self.spark, self.models_path)
@@ -109,69 +118,175 @@ def _own_moments(models: list[Model], centre: np.ndarray, sums: dict) -> None:
         model.m2 = np.maximum(s2 - s1 * s1 / max(n, 1), 0.0)
 
 
-def fold_slices(
-    slices: DataFrame,
-    models: list[Model],
-    starts: dict[int, list[int]],
-    totals: list[int],
-    options: DetectorOptions,
-) -> DataFrame:
-    """Fold each slice (``chunk``) from ``models``; detections, then one row with its own models,
-    its events (``n``), their errors and its latest time.
+@dataclass
+class _Learned:
+    """What a slice tells of itself at the end of its batch: its own models, its events and their errors."""
 
-    ``starts[chunk][m]`` counts the batch's training copies before the slice, so that
-    rules are taken at the same training indices as by one sequential model. From the
-    batch's ``totals`` a slice knows which of its rules newer ones will displace, so all
-    slices together return at most ``max_rules`` per model.
+    chunk: int
+    models: list[Model]
+    n: int
+    errors: int
+
+
+class _SliceFold:
+    """The fold of one slice, block by block, from the models that all slices of its batch start with.
+
+    ``offsets`` counts, for each model, the batch's training copies before the slice.
     """
-    spark = slices.sparkSession
-    ship_package(spark)
-    grace = options.grace_period
-    oldest_kept = [
-        max(m.clock, ((m.clock + total - 1) // grace - options.max_rules + 1) * grace)
-        for m, total in zip(models, totals)
-    ]
-    shared = spark.sparkContext.broadcast((models, starts, oldest_kept))
-    quiet = options.with_(drift_enabled=False)
-    names = _SLICE_SCHEMA.fieldNames()
 
-    def fold(key: tuple, frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        chunk = int(key[0])
-        common, offsets, oldest = shared.value
+    def __init__(self, common: list[Model], offsets: list[int], options: DetectorOptions):
         begun = [
             Model(**{**vars(m), "clock": m.clock + offset, "correct": 0, "seen": 0})
-            for m, offset in zip(common, offsets[chunk])
+            for m, offset in zip(common, offsets)
         ]
-        detector = Detector(begun, AdaptiveWindow(options.drift_delta))
+        self.detector = Detector(begun, AdaptiveWindow(options.drift_delta))
+        self.options = options.with_(drift_enabled=False)
         shape = (len(common), N_FEATURES)
-        sums = {"n": np.zeros(len(common)), "s1": np.zeros(shape), "s2": np.zeros(shape)}
-        centre, rows, errors, ended = None, 0, 0, []
-        for frame in frames:
-            if not len(frame):
-                continue
-            x, copies = frame[FEATURE_COLUMNS].to_numpy(float), frame[copy_columns(options)].to_numpy()
-            centre = x[0] if centre is None else centre
-            sums["n"] += copies.sum(axis=0)
-            sums["s1"] += copies.T @ (x - centre)
-            sums["s2"] += copies.T @ (x - centre) ** 2
-            folded = fold_frame(detector, frame, quiet)
-            rows += len(folded)
-            errors += int(((folded["is_bot_pred"] != folded["is_bot"]) & folded["is_bot"].notna()).sum())
-            ended.append(folded["ts"].max())
-            yield folded.assign(models=None, chunk=chunk, n=None, errors=None)[names]
-        if centre is None:
-            return
-        _own_moments(detector.models, centre, sums)
-        for model, seq in zip(detector.models, oldest):
+        self.sums = {"n": np.zeros(len(common)), "s1": np.zeros(shape), "s2": np.zeros(shape)}
+        self.centre, self.rows, self.errors = None, 0, 0
+
+    def fold(self, frame: pd.DataFrame) -> pd.DataFrame:
+        """Detections of the slice's next block."""
+        x, copies = frame[FEATURE_COLUMNS].to_numpy(float), frame[copy_columns(self.options)].to_numpy()
+        self.centre = x[0] if self.centre is None else self.centre
+        self.sums["n"] += copies.sum(axis=0)
+        self.sums["s1"] += copies.T @ (x - self.centre)
+        self.sums["s2"] += copies.T @ (x - self.centre) ** 2
+        folded = fold_frame(self.detector, frame, self.options)
+        self.rows += len(folded)
+        self.errors += int(((folded["is_bot_pred"] != folded["is_bot"]) & folded["is_bot"].notna()).sum())
+        return folded
+
+    def learned(self, chunk: int, oldest: list[int]) -> _Learned:
+        """What the slice learned; of its rules those from ``oldest`` on, by model."""
+        _own_moments(self.detector.models, self.centre, self.sums)
+        for model, seq in zip(self.detector.models, oldest):
             new = model.rule_seq >= seq
             model.rules, model.rule_bot = model.rules[new], model.rule_bot[new]
             model.rule_seq = model.rule_seq[new]
-        own = [row_of_model(0, m, 0, model) for m, model in enumerate(detector.models)]
-        empty = {name: [None] for name in names}
-        told = {"chunk": [chunk], "models": [own], "n": [rows], "errors": [errors], "ts": pd.Series(ended).max()}
-        yield pd.DataFrame({**empty, **told})[names]
+        return _Learned(chunk, self.detector.models, self.rows, self.errors)
+
+
+def _oldest_kept(models: list[Model], totals: list[int], options: DetectorOptions) -> list[int]:
+    """By model, the first of a batch's rules that no newer one of the batch will displace."""
+    grace = options.grace_period
+    return [
+        max(m.clock, ((m.clock + total - 1) // grace - options.max_rules + 1) * grace)
+        for m, total in zip(models, totals)
+    ]
+
+
+def _blocks(frames: Iterable[pd.DataFrame], names: list[str]) -> Iterator[tuple[tuple, pd.DataFrame]]:
+    """Ordered rows as blocks of :data:`BLOCK_ROWS` rows, each with its group (``names``), the last of a group shorter.
+
+    However the rows arrive, a group is cut in the same places, so its fold gives the same to the last digit.
+    """
+    key, held, size = None, [], 0
+
+    def rest() -> Iterator[tuple[tuple, pd.DataFrame]]:
+        if size:
+            yield key, pd.concat(held, ignore_index=True)
+
+    for frame in frames:
+        if not len(frame):
+            continue
+        marks = frame[names].to_numpy()
+        cuts = (np.flatnonzero((marks[1:] != marks[:-1]).any(axis=1)) + 1).tolist()
+        for at, end in zip([0, *cuts], [*cuts, len(frame)]):
+            group = tuple(int(mark) for mark in marks[at])
+            if group != key:
+                yield from rest()
+                key, held, size = group, [], 0
+            while at < end:
+                step = min(end - at, BLOCK_ROWS - size)
+                held.append(frame.iloc[at : at + step])
+                at, size = at + step, size + step
+                if size == BLOCK_ROWS:
+                    yield from rest()
+                    held, size = [], 0
+    yield from rest()
+
+
+@dataclass
+class _Batch:
+    """A batch's slices (``chunk``): for each, the batch's training copies per model before it; all
+    such copies; the latest time in microseconds."""
+
+    number: int
+    starts: dict[int, list[int]]
+    totals: list[int]
+    ended: int | None
+
+
+def _known_batches(slices: DataFrame, options: DetectorOptions) -> list[_Batch]:
+    """The given batches in order. One row per slice reaches the driver."""
+    names = copy_columns(options)
+    counted = slices.groupBy("batch", "chunk").agg(
+        F.max(F.unix_micros("ts")).alias("ended"), *[F.sum(c).alias(c) for c in names]
+    )
+    found: dict[int, _Batch] = {}
+    for row in sorted(counted.collect(), key=lambda r: (r["batch"], r["chunk"])):
+        batch = found.setdefault(row["batch"], _Batch(row["batch"], {}, [0] * len(names), None))
+        batch.starts[row["chunk"]] = batch.totals
+        batch.totals = [before + row[c] for before, c in zip(batch.totals, names)]
+        batch.ended = max((t for t in (batch.ended, row["ended"]) if t is not None), default=None)
+    return list(found.values())
+
+
+def packed_slices(slices: DataFrame, known: list[_Batch]) -> tuple[DataFrame, dict[int, list[int]]]:
+    """Sorted blocks of the slices (``batch``, ``chunk``), one slice to a partition, and each batch's partitions.
+
+    Rows are sorted and packed in as many tasks as there are cores; only blocks are dealt to the many partitions.
+    """
+    spark = slices.sparkSession
+    ship_package(spark)
+    firsts, partitions, width = [], {}, 0
+    for batch in known:
+        lowest, highest = min(batch.starts), max(batch.starts)
+        firsts += [F.lit(batch.number), F.lit(width - lowest)]
+        partitions[batch.number] = [width + chunk - lowest for chunk in sorted(batch.starts)]
+        width += highest - lowest + 1
+    number = (F.element_at(F.create_map(*firsts), F.col("batch")) + F.col("chunk")).cast("int")
+
+    def pack(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for place, ((batch, chunk), block) in enumerate(_blocks(frames, ["batch", "chunk"])):
+            yield pd.DataFrame({"batch": [batch], "chunk": [chunk], "place": [place], "block": [pickle.dumps(block)]})
+
+    tasks = min(width, spark.sparkContext.defaultParallelism)
+    ordered = slices.repartitionById(tasks, number).sortWithinPartitions("batch", "chunk", "ts", "event_id")
+    blocks = ordered.mapInPandas(pack, "batch int, chunk int, place bigint, block binary")
+    dealt = blocks.repartitionById(width, number).sortWithinPartitions("place")
+    return dealt.select("chunk", "block"), partitions
+
+
+def _some_partitions(rdd: RDD, numbers: list[int]) -> RDD:
+    """Partitions of an RDD by their numbers; a job over them starts no task for the others."""
+    jvm = rdd.ctx._jvm
+    wanted = jvm.org.apache.spark.api.python.PythonUtils.toSeq(numbers).toSet()  # a set is a function to booleans
+    some = jvm.org.apache.spark.rdd.PartitionPruningRDD.create(rdd._jrdd.rdd(), wanted)
+    return RDD(some.toJavaRDD(), rdd.ctx, rdd._jrdd_deserializer)
+
+
+def fold_slices(packed: RDD, models: list[Model], batch: _Batch, options: DetectorOptions) -> RDD:
+    """Fold each slice of a batch from ``models``: (None, detections of a block) for all its blocks,
+    then (what it learned, None).
+
+    Rules are taken at the same training indices as by one sequential model. From the
+    batch's totals a slice knows which of its rules newer ones will displace, so all
+    slices together return at most ``max_rules`` per model.
+    """
+    starts, oldest, number = batch.starts, _oldest_kept(models, batch.totals, options), batch.number
+    names = _FOLDS_SCHEMA.fieldNames()
 
-    return dealt(slices, "chunk", width=len(starts)).groupBy("chunk").applyInPandas(fold, _SLICE_SCHEMA)
+    def fold(rows: Iterator) -> Iterator[tuple]:
+        part = chunk = None
+        for chunk, block in rows:
+            part = part or _SliceFold(models, starts[chunk], options)
+            yield None, pickle.dumps(part.fold(pickle.loads(block)).assign(batch=number)[names])
+        if part:
+            yield part.learned(chunk, oldest), None
+
+    return packed.mapPartitions(fold)
 
 
 def mixed_model(model: Model, parts: list[Model], options: DetectorOptions) -> Model:
@@ -224,23 +339,6 @@ def _without_worst(models: list[Model], vote: str) -> list[Model]:
     return [Model() if m == worst else model for m, model in enumerate(models)]
 
 
-def _slice_starts(
-    slices: DataFrame, options: DetectorOptions
-) -> dict[int, tuple[dict[int, list[int]], list[int]]]:
-    """By batch: training copies per model before each slice, and in the whole batch.
-
-    One row per slice of the given batches reaches the driver.
-    """
-    names = copy_columns(options)
-    rows = slices.groupBy("batch", "chunk").agg(*[F.sum(c).alias(c) for c in names]).collect()
-    found: dict[int, tuple[dict[int, list[int]], list[int]]] = {}
-    for row in sorted(rows, key=lambda r: (r["batch"], r["chunk"])):
-        starts, before = found.get(row["batch"], ({}, [0] * len(names)))
-        starts[row["chunk"]] = before
-        found[row["batch"]] = (starts, [b + row[c] for b, c in zip(before, names)])
-    return found
-
-
 def _last_window(run: MixRun, version: int, options: DetectorOptions) -> tuple[AdaptiveWindow, int]:
     """The drift window and event count that a model version was left with."""
     row = run.spark.read.parquet(f"{run.control_path}/batch={version - 1}").first() if version else None
@@ -260,50 +358,65 @@ def mix_batches(run: MixRun, slices: DataFrame, options: DetectorOptions) -> Non
 
     Reads the newest model version up to the first batch (batches without rows leave gaps) and
     writes version ``batch + 1`` of the last one; every write replaces what an earlier attempt at
-    the same batches left behind. A batch costs one query: its slices are folded and kept, and what
-    they learned comes to the driver, a row for each slice. Detections are written for all
+    the same batches left behind. A batch costs one job: its slices are folded and kept, and what
+    they learned comes to the driver, an element for each slice. Detections are written for all
     batches together.
     """
     spark = run.spark
-    known = _slice_starts(slices, options)
-    version = newest_version(spark, run.models_path, below=min(known) + 1)
+    known = _known_batches(slices, options)
+    version = newest_version(spark, run.models_path, below=known[0].number + 1)
     state = load_model(spark, run.models_path, version)
     models = [model_of_row(row) for row in state.orderBy("model_id").collect()]  # n_models rows
     window, instance = _last_window(run, version, options)
-    folds: list[DataFrame] = []
+    blocks, partitions = packed_slices(slices, known)
+    blocks.persist(StorageLevel.MEMORY_AND_DISK)
+    folds: list[RDD] = []
+    written: list[RDD] = []
     control = []
     try:
-        for batch, (starts, totals) in sorted(known.items()):
-            own = slices.filter(F.col("batch") == batch).drop("batch")
-            folded = fold_slices(own, models, starts, totals, options).persist()
-            folds.append(folded.withColumn("batch", F.lit(batch)))
-            blocks = folded.filter(F.col("event_id").isNull()).select(
-                "chunk", "models", "n", "errors", F.unix_micros("ts").alias("ts")
-            )
-            blocks = sorted(blocks.collect(), key=lambda r: r["chunk"])  # one row per slice
-            parts = [[model_of_row(row) for row in block["models"]] for block in blocks]
-            models = mixed_models(models, parts, options)
+        packed = blocks.rdd
+        for batch in known:
+            own = _some_partitions(packed, partitions[batch.number])
+            folds.append(fold_slices(own, models, batch, options).persist(StorageLevel.MEMORY_AND_DISK))
+            learned = folds[-1].filter(lambda pair: pair[0] is not None).keys().collect()  # one for each slice
+            learned.sort(key=lambda part: part.chunk)
+            models = mixed_models(models, [part.models for part in learned], options)
             drift = False
-            for block in blocks:
-                drift |= window.add(float(block["errors"]), block["n"])
-            instance += sum(block["n"] for block in blocks)
+            for part in learned:
+                drift |= window.add(float(part.errors), part.n)
+            rows = sum(part.n for part in learned)
+            written.append(folds[-1].coalesce(max(1, rows // ROWS_PER_TASK)))
+            instance += rows
             rate = window.estimate
             drift = drift and options.drift_enabled
             if drift:
                 models = _without_worst(models, options.vote)
                 window = AdaptiveWindow(options.drift_delta)
-            ended = max((block["ts"] for block in blocks if block["ts"] is not None), default=None)
             kept = json.dumps({"rows": window.rows, "ticks": window.ticks})
-            control.append((batch, instance, ended, rate, drift, kept))
-        _log_batches(functools.reduce(DataFrame.unionByName, folds), run.folds_path)
+            control.append((batch.number, instance, batch.ended, rate, drift, kept))
+        _log_batches(_detections_of_folds(spark, written), run.folds_path)
     finally:
         for folded in folds:
             folded.unpersist()
+        blocks.unpersist()
     told = spark.createDataFrame(control, _CONTROL).coalesce(1).withColumn("ts", F.timestamp_micros("ts"))
     _log_batches(told, run.control_path)
     rows = [row_of_model(0, m, 0, model) for m, model in enumerate(models)]
     following = spark.createDataFrame(rows, MODEL_STATE_SCHEMA).coalesce(1)
-    save_model(following, run.models_path, max(known) + 1)  # marks them as finished
+    save_model(following, run.models_path, known[-1].number + 1)  # marks them as finished
+
+
+def _detections_of_folds(spark: SparkSession, folds: list[RDD]) -> DataFrame:
+    """The detections that several results of :func:`fold_slices` hold."""
+    blocks = spark.sparkContext.union(folds).values().filter(lambda block: block is not None)
+
+    def unpack(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for block in frame["block"]:
+                yield pickle.loads(block)
+
+    packed = spark.createDataFrame(blocks.map(lambda block: (block,)), "block binary", verifySchema=False)
+    return packed.mapInPandas(unpack, _FOLDS_SCHEMA)
 
 
 def _log_batches(rows: DataFrame, path: str) -> None:
@@ -362,11 +475,12 @@ def mix(
     if newest_version(spark, run.models_path) is None:
         save_model(initial_state(shard_list(spark, 1), options), run.models_path, 0)
     done = newest_version(spark, run.models_path)
+    per_write = max(1, min(BATCHES_PER_WRITE, ROWS_PER_WRITE // (rows_per_slice * slices_per_batch)))
     left = [batch for batch in numbered_folders(spark, run.slices_path, "batch") if batch >= done]
     if left:
         schema = spark.read.parquet(f"{run.slices_path}/batch={left[0]}").schema.add("batch", T.IntegerType())
-    for at in range(0, len(left), BATCHES_PER_WRITE):
-        paths = [f"{run.slices_path}/batch={batch}" for batch in left[at : at + BATCHES_PER_WRITE]]
+    for at in range(0, len(left), per_write):
+        paths = [f"{run.slices_path}/batch={batch}" for batch in left[at : at + per_write]]
         part = spark.read.schema(schema).option("basePath", run.slices_path).parquet(*paths)
         mix_batches(run, part, options)
     return run
