@@ -8,7 +8,7 @@ from dataclasses import dataclass
 import numpy as np
 
 from tidewarden.learning.adwin import AdaptiveWindow
-from tidewarden.learning.kernel import Model, model_of_row, row_of_model, train_block
+from tidewarden.learning.kernel import Model, distinct_values, model_of_row, row_of_model, train_block
 from tidewarden.schema import MODEL_THRESHOLD, DetectorOptions
 
 BLOCK_ROWS = 2048
@@ -121,7 +121,8 @@ def fold_block(
 
     def run(m: int, model: Model, start: int) -> None:
         part = slice(start, None)
-        scores[part, m], trained = train_block(model, x[part], is_bot[part], copies[part, m], options)
+        known = distinct if start == 0 else None
+        scores[part, m], trained = train_block(model, x[part], is_bot[part], copies[part, m], options, known)
         right = (scores[part, m] > MODEL_THRESHOLD) == is_bot[part]
         seen[part, m] = model.seen + np.arange(rows - start)
         correct[part, m] = model.correct + np.cumsum(right) - right
@@ -129,6 +130,7 @@ def fold_block(
         trained.correct = model.correct + int(right.sum())
         detector.models[m] = trained
 
+    distinct = distinct_values(x)
     for m in range(n_models):
         run(m, detector.models[m], 0)
     out = {

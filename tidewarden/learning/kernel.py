@@ -51,18 +51,31 @@ def zscores(x: np.ndarray, mean: np.ndarray, sd: np.ndarray) -> np.ndarray:
     return np.where(sd == 0, 0.0, (x - mean) / np.where(sd == 0, 1.0, sd))
 
 
-def rule_hits(x: np.ndarray, rules: np.ndarray) -> np.ndarray:
-    """(events, rules) booleans: at least half of the features within the tolerance."""
+def distinct_values(x: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each feature its distinct values and where each event's stands among them."""
+    return [np.unique(x[:, i], return_inverse=True) for i in range(N_FEATURES)]
+
+
+def rule_hits(x: np.ndarray, rules: np.ndarray, distinct: list | None = None) -> np.ndarray:
+    """(events, rules) booleans: at least half of the features within the tolerance.
+
+    Many features repeat few values, so each distinct value meets the rules once
+    (``distinct``: what :func:`distinct_values` gave for ``x``).
+    """
     hits = np.zeros((len(x), len(rules)), bool)
-    if not len(rules):
+    if not hits.size:
         return hits
-    by_feature = np.ascontiguousarray(rules.T)
+    close = []
+    for (values, place), of_rules in zip(distinct or distinct_values(x), np.ascontiguousarray(rules.T)):
+        apart = values[:, None] - of_rules
+        np.abs(apart, out=apart)
+        close.append(((apart < RULE_TOLERANCE).view(np.int8), place))
     for at in range(0, len(x), _MATCH_ROWS):
-        part = x[at : at + _MATCH_ROWS]
-        close = np.zeros((len(part), len(rules)), np.int8)
-        for i in range(N_FEATURES):
-            close += np.abs(part[:, i, None] - by_feature[i]) < RULE_TOLERANCE
-        hits[at : at + _MATCH_ROWS] = close >= N_FEATURES // 2
+        part = slice(at, at + _MATCH_ROWS)
+        count = np.zeros(hits[part].shape, np.int8)
+        for table, place in close:
+            count += table[place[part]]
+        np.greater_equal(count, N_FEATURES // 2, out=hits[part])
     return hits
 
 
@@ -94,9 +107,15 @@ def moved_weights(weights: np.ndarray, x: np.ndarray, is_bot: bool) -> np.ndarra
 
 
 def train_block(
-    model: Model, x: np.ndarray, is_bot: np.ndarray, copies: np.ndarray, options: DetectorOptions
+    model: Model,
+    x: np.ndarray,
+    is_bot: np.ndarray,
+    copies: np.ndarray,
+    options: DetectorOptions,
+    distinct: list | None = None,
 ) -> tuple[np.ndarray, Model]:
     """Score each event before training on it ``copies`` times; returns scores and model.
+    ``distinct`` may hold the block's :func:`distinct_values`, which its models share.
 
     State ``s`` means the model after ``s`` of the block's training copies.
     """
@@ -125,11 +144,14 @@ def train_block(
     ends = np.full(len(rules), total + 1)
     if len(rules) > options.max_rules:
         ends[: -options.max_rules] = begins[options.max_rules :]
-    hits = rule_hits(x, rules)
+    hits = rule_hits(x, rules, distinct)
+    lasting = (begins == 0) & (ends > total)  # most rules are active in every state
+    always, passing = hits[:, lasting].any(axis=1), hits[:, ~lasting]
+    opens, closes = begins[~lasting], ends[~lasting]
 
     def matched(row: np.ndarray, state: np.ndarray) -> np.ndarray:
         state = state[:, None]
-        return (hits[row] & (begins <= state) & (state < ends)).any(axis=1)
+        return always[row] | (passing[row] & (opens <= state) & (state < closes)).any(axis=1)
 
     # Training scores see the new statistics and rule but the weights before the update;
     # the very first copy is still neutral.

@@ -399,10 +399,10 @@ def mix_batches(run: MixRun, slices: DataFrame, options: DetectorOptions) -> Non
         for folded in folds:
             folded.unpersist()
         blocks.unpersist()
-    told = spark.createDataFrame(control, _CONTROL).coalesce(1).withColumn("ts", F.timestamp_micros("ts"))
-    _log_batches(told, run.control_path)
+    told = spark.createDataFrame(control, _CONTROL)  # a batch has a row, so a file
+    _log_batches(told.withColumn("ts", F.timestamp_micros("ts")), run.control_path)
     rows = [row_of_model(0, m, 0, model) for m, model in enumerate(models)]
-    following = spark.createDataFrame(rows, MODEL_STATE_SCHEMA).coalesce(1)
+    following = spark.createDataFrame(spark.sparkContext.parallelize(rows, 1), MODEL_STATE_SCHEMA)
     save_model(following, run.models_path, known[-1].number + 1)  # marks them as finished
 
 
