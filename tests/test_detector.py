@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from derived_traffic import TrafficOptions, labelled_traffic
 from tidewarden.functions import display, scoring
 from tidewarden.functions.features import normalise_weights, with_features, zscore
+from tidewarden.learning import kernel
 from tidewarden.learning.exact import (
     detections_of,
     drift_events_of,
@@ -237,6 +239,41 @@ def test_mixing_does_not_depend_on_how_rows_arrive(keyed, tmp_path):
     assert len(found[0][0]) == 1000 and found[0] == found[1]
 
 
+def _hard_block(rows, seed, n_models=6):
+    """Events whose label the features tell little of, so that models err often; some values repeat, some are not numbers."""
+    draw = np.random.default_rng(seed)
+    x = np.column_stack([draw.integers(0, 4, (rows, 7)), draw.normal(1, 2, (rows, 7))]).astype(float)
+    x[draw.random(x.shape) < 0.01] = np.nan if seed == 2 else 0.0
+    copies = draw.poisson(1, (rows, n_models))
+    copies[:, -1] = 0
+    return x, draw.random(rows) < 0.4, copies
+
+
+def test_models_walk_together_as_alone(monkeypatch):
+    options, walked = DetectorOptions(grace_period=40, max_rules=12), []
+    together = kernel._walked_together
+    monkeypatch.setattr(kernel, "_walked_together", lambda *args: walked.append(1) or together(*args))
+    models = alone = [kernel.Model() for _ in range(6)]
+    for seed in range(4):
+        x, is_bot, copies = _hard_block(400, seed)
+        found = kernel.train_blocks(models, x, is_bot, copies, options)
+        single = [kernel.train_block(m, x, is_bot, copies[:, i], options) for i, m in enumerate(alone)]
+        for (scores, model), (own_scores, own) in zip(found, single):
+            assert np.array_equal(scores, own_scores, equal_nan=True)
+            assert all(np.array_equal(getattr(model, k), getattr(own, k), equal_nan=k != "rule_bot") for k in vars(own))
+        models, alone = [model for _, model in found], [model for _, model in single]
+    assert len(walked) == 4
+    kernel.train_blocks(models, np.zeros((0, 14)), np.zeros(0, bool), np.zeros((0, 6), int), options)
+
+
+def test_rule_hits_equal_pair_by_pair():
+    x, _, _ = _hard_block(600, 2)
+    rules = _hard_block(600, 3)[0][::7]
+    expected = (np.abs(x[:, None] - rules[None]) < 0.1).sum(axis=2) >= 7
+    assert expected.any() and np.array_equal(kernel.rule_hits(x, rules), expected)
+    assert kernel.rule_hits(x, rules[:0]).shape == (600, 0) and kernel.rule_hits(x[:0], rules).shape == (0, len(rules))
+
+
 def test_blocks_are_whole_and_in_order():
     import pandas as pd
     from tidewarden.learning.mixing import BLOCK_ROWS, _blocks

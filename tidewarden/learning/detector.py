@@ -8,7 +8,7 @@ from dataclasses import dataclass
 import numpy as np
 
 from tidewarden.learning.adwin import AdaptiveWindow
-from tidewarden.learning.kernel import Model, distinct_values, model_of_row, row_of_model, train_block
+from tidewarden.learning.kernel import Model, model_of_row, row_of_model, train_block, train_blocks
 from tidewarden.schema import MODEL_THRESHOLD, DetectorOptions
 
 BLOCK_ROWS = 2048
@@ -119,10 +119,9 @@ def fold_block(
     seen = np.empty((rows, n_models))
     correct = np.empty((rows, n_models))
 
-    def run(m: int, model: Model, start: int) -> None:
+    def take(m: int, model: Model, start: int, scored: np.ndarray, trained: Model) -> None:
         part = slice(start, None)
-        known = distinct if start == 0 else None
-        scores[part, m], trained = train_block(model, x[part], is_bot[part], copies[part, m], options, known)
+        scores[part, m] = scored
         right = (scores[part, m] > MODEL_THRESHOLD) == is_bot[part]
         seen[part, m] = model.seen + np.arange(rows - start)
         correct[part, m] = model.correct + np.cumsum(right) - right
@@ -130,9 +129,8 @@ def fold_block(
         trained.correct = model.correct + int(right.sum())
         detector.models[m] = trained
 
-    distinct = distinct_values(x)
-    for m in range(n_models):
-        run(m, detector.models[m], 0)
+    for m, found in enumerate(train_blocks(detector.models, x, is_bot, copies, options)):
+        take(m, detector.models[m], 0, *found)
     out = {
         "error_rate": np.zeros(rows),
         "window_length": np.zeros(rows, np.int32),
@@ -158,7 +156,7 @@ def fold_block(
         if at == rows:
             detector.models[worst] = Model()
             break
-        run(worst, Model(), at)
+        take(worst, Model(), at, *train_block(Model(), x[at:], is_bot[at:], copies[at:, worst], options))
     return {
         "is_bot_pred": flagged,
         "vote": vote,

@@ -2,11 +2,13 @@
 
 Within a block only the weights depend on earlier mistakes. Means, deviations and rules
 follow from the inputs alone and are computed for the whole block at once; the weights
-are then walked from mistake to mistake.
+are then walked from mistake to mistake, or, where mistakes are frequent, copy by copy
+for several models at a time.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -23,6 +25,8 @@ from tidewarden.schema import (
 )
 
 _MATCH_ROWS = 256
+#: What a model's walk to its next mistake costs, as a share of one copy's step by several models together.
+_WALK_SHARE = 0.8
 
 
 @dataclass
@@ -106,19 +110,116 @@ def moved_weights(weights: np.ndarray, x: np.ndarray, is_bot: bool) -> np.ndarra
     return moved / total if total > 0 else moved
 
 
+@dataclass
+class _Block:
+    """A block as one model meets it: what is known of its training copies before the weights are.
+
+    A copy's score is ``given + share * (z @ weights)``; ``finish`` gives the events' scores and the trained
+    model from the weights and the states since which each of them hold.
+    """
+
+    x: np.ndarray
+    bots: np.ndarray
+    z: np.ndarray
+    share: np.ndarray
+    given: np.ndarray
+    finish: Callable[[Sequence[np.ndarray], Sequence[int]], tuple[np.ndarray, Model]]
+
+
+def train_blocks(
+    models: list[Model], x: np.ndarray, is_bot: np.ndarray, copies: np.ndarray, options: DetectorOptions
+) -> list[tuple[np.ndarray, Model]]:
+    """:func:`train_block` for several models, with their ``copies`` in columns."""
+    distinct = distinct_values(x)
+    blocks = [_prepared(m, x, is_bot, copies[:, i], options, distinct) for i, m in enumerate(models)]
+    weights = [model.weights for model in models]
+    walks = [_walked(block, w) for block, w in zip(blocks[:1], weights)]  # its mistakes stand for the others'
+    rest = blocks[1:]
+    if rest and len(walks[0][0]) * len(rest) * _WALK_SHARE > max(len(block.z) for block in rest):
+        walks += _walked_together(rest, weights[1:])
+    else:
+        walks += [_walked(block, w) for block, w in zip(rest, weights[1:])]
+    return [block.finish(*walk) for block, walk in zip(blocks, walks)]
+
+
 def train_block(
-    model: Model,
-    x: np.ndarray,
-    is_bot: np.ndarray,
-    copies: np.ndarray,
-    options: DetectorOptions,
-    distinct: list | None = None,
+    model: Model, x: np.ndarray, is_bot: np.ndarray, copies: np.ndarray, options: DetectorOptions
 ) -> tuple[np.ndarray, Model]:
-    """Score each event before training on it ``copies`` times; returns scores and model.
-    ``distinct`` may hold the block's :func:`distinct_values`, which its models share.
+    """Score each event before training on it ``copies`` times; returns scores and model."""
+    return train_blocks([model], x, is_bot, copies[:, None], options)[0]
 
-    State ``s`` means the model after ``s`` of the block's training copies.
-    """
+
+def _walked(block: _Block, weights: np.ndarray) -> tuple[list[np.ndarray], list[int]]:
+    """The weights of one model after each mistake, and the states since which they hold."""
+    bots, total = block.bots.tolist(), len(block.z)
+    changes, kept = [0], [weights]
+    at, span = 0, 16
+    while at < total:
+        part = slice(at, at + span)
+        score = block.z[part] @ weights
+        score *= block.share[part]
+        score += block.given[part]
+        wrong = (score > MODEL_THRESHOLD) != block.bots[part]
+        first = int(wrong.argmax())
+        if not wrong[first]:
+            at, span = at + span, span * 2
+            continue
+        at, span = at + first, 16
+        weights = moved_weights(weights, block.x[at], bots[at])
+        at += 1
+        changes.append(at)
+        kept.append(weights)
+    return kept, changes
+
+
+def _walked_together(blocks: list[_Block], weights: list[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """:func:`_walked` for several models at once, copy by copy: every call serves all models that err."""
+    longest = max(len(block.z) for block in blocks)
+
+    def stacked(name: str) -> np.ndarray:
+        parts = [getattr(block, name) for block in blocks]
+        whole = np.zeros((longest, len(parts), *parts[0].shape[1:]), parts[0].dtype)
+        for m, part in enumerate(parts):
+            whole[: len(part), m] = part
+        return whole  # past a model's end it scores 0 a human, which is right
+
+    x, z, share, given, bots = (stacked(name) for name in ("x", "z", "share", "given", "bots"))
+    rate = np.where(bots, LEARNING_RATE, -LEARNING_RATE)[:, :, None]
+    now = np.array(weights)
+    states, erring, moves = [0], [np.arange(len(blocks))], [now.copy()]
+    for at, (of_z, of_share, of_given, of_bots) in enumerate(zip(z, share, given, bots)):
+        score = np.einsum("ij,ij->i", of_z, now)
+        score *= of_share
+        score += of_given
+        (err,) = ((score > MODEL_THRESHOLD) != of_bots).nonzero()
+        if not len(err):
+            continue
+        # as in moved_weights
+        old = now.take(err, axis=0)
+        step = x[at].take(err, axis=0)
+        step *= old
+        np.abs(step, out=step)
+        step *= rate[at].take(err, axis=0)
+        step += old
+        np.maximum(step, 0.0, out=step)
+        np.minimum(step, 1.0, out=step)
+        total = np.add.reduce(step, axis=1, keepdims=True)
+        if not np.minimum.reduce(total, axis=None) > 0:
+            total = np.where(total > 0, total, 1.0)
+        step /= total
+        now[err] = step
+        states.append(at + 1)
+        erring.append(err)
+        moves.append(step)
+    state = np.repeat(states, [len(err) for err in erring])
+    model, kept = np.concatenate(erring), np.concatenate(moves)
+    return [(kept[model == m], state[model == m]) for m in range(len(blocks))]
+
+
+def _prepared(
+    model: Model, x: np.ndarray, is_bot: np.ndarray, copies: np.ndarray, options: DetectorOptions, distinct: list
+) -> _Block:
+    """State ``s`` means the model after ``s`` of the block's training copies."""
     rows = np.repeat(np.arange(len(x)), copies)
     before = np.cumsum(copies) - copies  # state in which each event is scored
     total = len(rows)
@@ -163,45 +264,30 @@ def train_block(
     # A score is given + share * linear, which is what blend() and the neutral score come to.
     share = np.where(neutral, 0.0, np.where(ruled, 1 - RULE_SHARE, 1.0))
     given = np.where(neutral, NEUTRAL_SCORE, np.where(ruled, RULE_SHARE * RULE_CONFIDENCE, 0.0))
-    bots = trained_bot.tolist()
-    weights, changes, kept = model.weights, [0], [model.weights]
-    at, span = 0, 16
-    while at < total:
-        part = slice(at, at + span)
-        score = z[part] @ weights
-        score *= share[part]
-        score += given[part]
-        wrong = (score > MODEL_THRESHOLD) != trained_bot[part]
-        first = int(wrong.argmax())
-        if not wrong[first]:
-            at, span = at + span, span * 2
-            continue
-        at, span = at + first, 16
-        weights = moved_weights(weights, trained_x[at], bots[at])
-        at += 1
-        changes.append(at)
-        kept.append(weights)
 
-    # Prequential scores: the state and weights each event met.
-    in_force = np.asarray(kept)[np.searchsorted(changes, before, side="right") - 1]
-    linear = np.einsum("ij,ij->i", zscores(x, mean[before], sd[before]), in_force)
-    scores = blend(matched(np.arange(len(x)), before), linear)
-    scores[(n[before] == 0) | (before < first_rule)] = NEUTRAL_SCORE
-
-    live = slice(max(len(rules) - options.max_rules, 0), None)
-    trained = Model(
-        n=int(n[-1]),
-        mean=mean[-1] if n[-1] else model.mean,
-        m2=np.maximum(m2[-1], 0.0),
-        weights=weights,
-        rules=rules[live],
-        rule_seq=rule_seq[live],
-        rule_bot=rule_bot[live],
-        correct=model.correct,
-        seen=model.seen,
-        clock=model.clock + total,
-    )
-    return scores, trained
+    def finish(kept: Sequence[np.ndarray], changes: Sequence[int]) -> tuple[np.ndarray, Model]:
+        # Prequential scores: the state and weights each event met.
+        in_force = np.asarray(kept)[np.searchsorted(changes, before, side="right") - 1]
+        linear = np.einsum("ij,ij->i", zscores(x, mean[before], sd[before]), in_force)
+        scores = blend(matched(np.arange(len(x)), before), linear)
+        scores[(n[before] == 0) | (before < first_rule)] = NEUTRAL_SCORE
+
+        live = slice(max(len(rules) - options.max_rules, 0), None)
+        trained = Model(
+            n=int(n[-1]),
+            mean=mean[-1] if n[-1] else model.mean,
+            m2=np.maximum(m2[-1], 0.0),
+            weights=kept[-1],
+            rules=rules[live],
+            rule_seq=rule_seq[live],
+            rule_bot=rule_bot[live],
+            correct=model.correct,
+            seen=model.seen,
+            clock=model.clock + total,
+        )
+        return scores, trained
+
+    return _Block(trained_x, trained_bot, z, share, given, finish)
 
 
 def row_of_model(shard: int, model_id: int, version: int, model: Model) -> dict:
