@@ -380,6 +380,8 @@ def mix_batches(run: MixRun, slices: DataFrame, options: DetectorOptions) -> Non
             folds.append(fold_slices(own, models, batch, options).persist(StorageLevel.MEMORY_AND_DISK))
             learned = folds[-1].filter(lambda pair: pair[0] is not None).keys().collect()  # one for each slice
             learned.sort(key=lambda part: part.chunk)
+            if [part.chunk for part in learned] != sorted(batch.starts):
+                raise RuntimeError(f"batch {batch.number}: not all of its slices were folded")
             models = mixed_models(models, [part.models for part in learned], options)
             drift = False
             for part in learned:
